@@ -149,10 +149,10 @@ TABLE_19_2_ROWS = [
 ]
 TABLE_21_ROWS = [("HFO", 3.1), ("MDO", 3.2), ("LNG", 2.7)]
 TABLE_55_56_ROWS = [
-    (e, f, 0.01 + 0.002 * i + 0.1 * j) for i, e in enumerate([*ENGINES, "AE", "AB"]) for j, f in enumerate(FUELS)
+    (e, f, 0.0100371 + 0.0020113 * i + 0.1009729 * j) for i, e in enumerate([*ENGINES, "AE", "AB"]) for j, f in enumerate(FUELS)
 ]
 TABLE_59_60_ROWS = [
-    (e, f, 0.03 + 0.001 * i + 0.02 * j) for i, e in enumerate([*ENGINES, "AE", "AB"]) for j, f in enumerate(FUELS)
+    (e, f, 0.0300517 + 0.0010259 * i + 0.0200873 * j) for i, e in enumerate([*ENGINES, "AE", "AB"]) for j, f in enumerate(FUELS)
 ]
 TYPE_BIN_ROWS = [
     (t, t if t != "Oil tanker" else "Liquified gas tanker", 5000.0 * b, 5000.0 * (b + 1) if b < 9 else 1e9, b)
@@ -272,8 +272,9 @@ def done_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decimal(value: Column) -> Column:
-    """Text of value/1000 for a non-negative long."""
-    return F.concat((F.floor(value / 1000)).cast("string"), F.lit("."), F.lpad((value % 1000).cast("string"), 3, "0"))
+    """Text of value/1000 + 0.00005 for a non-negative long: no ship position or cell centre lies on it."""
+    whole, part = F.floor(value / 1000).cast("string"), F.lpad((value % 1000).cast("string"), 3, "0")
+    return F.concat(whole, F.lit("."), part, F.lit("05"))
 
 
 def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:

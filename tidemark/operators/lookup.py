@@ -23,7 +23,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame) -> bool:

@@ -87,7 +87,7 @@ def anch_port_links(sequence: DataFrame, gap: int = K.LINK_GAP) -> DataFrame:
     """Anchorage spells whose next event is a port stay that starts within ``gap`` seconds."""
     linked = (F.col("anch1_port2") == 1) & (F.col("next_type") == 2) & (F.col("time_to_next") <= gap)
     return sequence.filter(linked).select(
-        *SHIP, F.col("group_id").alias("anchorage_group_id"), F.col("event_start").alias("anch_start"),
+        *SHIP, "imo", F.col("group_id").alias("anchorage_group_id"), F.col("event_start").alias("anch_start"),
         F.col("event_end").alias("anch_end"), F.col("next_group_id").alias("port_group_id"),
     )
 

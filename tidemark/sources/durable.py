@@ -26,12 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and cut its lineage."""
+    """Write ``df`` to the shared folder and read it back.
+
+    This cuts the lineage like ``DataFrame.checkpoint`` and, as the files have a
+    known size, later broadcast decisions on the table are sound.
+    """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
