@@ -7,10 +7,13 @@ values are synthetic. ``checks/oracle_views.py`` states the same in DuckDB SQL.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.emissions import FactorTables
+from tidemark.operators.zones import zone_lookup
 from tidemark.plans.jobs import Registry
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -120,7 +123,10 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """A small lookup table whose size the optimizer knows."""
+    struct = T._parse_datatype_string(schema)
+    columns = zip(*rows)
+    return spark.createDataFrame(pa.table({f.name: pa.array(c) for f, c in zip(struct.fields, columns)}), struct)
 
 
 # ---- Lookup tables (shared with the oracle as plain rows) -------------------
@@ -161,12 +167,12 @@ TYPE_BIN_ROWS = [
 
 
 def zone_cells(spark: SparkSession) -> DataFrame:
-    return inline(spark, ZONE_CELL_ROWS, "Name string, H3_int_index_10 long")
+    return zone_lookup(spark, ZONE_CELL_ROWS)
 
 
 def port_cells(spark: SparkSession) -> DataFrame:
     rows = [r for r in ZONE_CELL_ROWS if r[0] in PORT_ZONES or r[0] == SPECIAL_CELL[1]]
-    return inline(spark, rows, "Name string, H3_int_index_10 long")
+    return zone_lookup(spark, rows)
 
 
 def versions(spark: SparkSession) -> DataFrame:

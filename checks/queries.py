@@ -381,29 +381,29 @@ def transit_port_filter(v: View) -> DataFrame:
 
 @query
 def transit_pairs(v: View) -> DataFrame:
-    return transits.transit_pairs(transits.transit_port_filter(v.segments)).select("ship", "segr", "run", "run_row")
+    return transits.transit_pairs(v.segments).select("ship", "segr", "run", "run_row")
 
 
 @query
 def transit_flags(v: View) -> DataFrame:
-    flags = transits.transit_flags(transits.transit_pairs(transits.transit_port_filter(v.segments)))
+    flags = transits.transit_flags(v.segments)
     return flags.select("ship", "flag", "open_segr", "close_segr", "open_zone")
 
 
 @query
 def transit_access(v: View) -> DataFrame:
-    return transits.transit_access(transits.transit_members(v.segments)).select("ship", "flag", "segr", "is_close")
+    return transits.transit_access(transits.transit_tests(transits.transit_members(v.segments))).select("ship", "flag", "segr", "is_close")
 
 
 @query
 def transit_locks(v: View) -> DataFrame:
-    members = transits.transit_access(transits.transit_members(v.segments))
+    members = transits.transit_access(transits.transit_tests(transits.transit_members(v.segments)))
     return transits.transit_locks(members).select("ship", "flag", "segr", "neo_transit")
 
 
 @query
 def transit_locks_strict(v: View) -> DataFrame:
-    members = transits.transit_access(transits.transit_members(v.segments))
+    members = transits.transit_access(transits.transit_tests(transits.transit_members(v.segments)))
     return transits.transit_locks(members, strict_locks=True).select("ship", "flag", "segr", "neo_transit")
 
 

@@ -66,16 +66,22 @@ def track_lag(
 ) -> DataFrame:
     """Add the previous row's values: ``cols`` maps new column -> source column."""
     inside, across = _windows(key, ts)
-    packed = F.struct(*[F.col(src).alias(new) for new, src in cols.items()])
     sliced = df.withColumn(SLICE, time_slice(ts, width))
+    packed = F.struct(*[F.col(src).alias(new) for new, src in cols.items()])
     border = (
         sliced.groupBy(*key, SLICE)
         .agg(F.max_by(packed, F.col(ts)).alias("_tail"))
         .select(*key, SLICE, F.lag("_tail").over(across).alias("_before"))
     )
     joined = sliced.join(border, [*key, SLICE])
-    joined = joined.withColumn("_prev", F.coalesce(F.lag(packed).over(inside), F.col("_before")))
-    return joined.select(*[F.col(c) for c in df.columns], *[F.col(f"_prev.{n}").alias(n) for n in cols])
+    opens = F.lag(ts).over(inside).isNull()
+    return joined.select(
+        *[F.col(c) for c in df.columns],
+        *[
+            F.when(opens, F.col(f"_before.{new}")).otherwise(F.lag(src).over(inside)).alias(new)
+            for new, src in cols.items()
+        ],
+    )
 
 
 def track_rownum(
@@ -122,12 +128,13 @@ def lag_within(
     )
     inside = Window.partitionBy(*key, SLICE).orderBy(ts)
     step = F.lead if ahead else F.lag
-    near_row = F.struct(F.col(ts).alias("_at"), *[F.col(src).alias(new) for new, src in cols.items()])
-    found = sliced.withColumn("_near", step(near_row).over(inside)).filter(F.col("_home") == F.col(SLICE))
-    distance = gap_seconds("_near._at", ts) if ahead else gap_seconds(ts, "_near._at")
+    found = sliced.select(
+        "*", step(ts).over(inside).alias("_at"), *[step(src).over(inside).alias(f"_near_{new}") for new, src in cols.items()]
+    ).filter(F.col("_home") == F.col(SLICE))
+    distance = gap_seconds("_at", ts) if ahead else gap_seconds(ts, "_at")
     return found.select(
         *[F.col(c) for c in df.columns],
-        *[F.when(distance <= limit, F.col(f"_near.{n}")).alias(n) for n in cols],
+        *[F.when(distance <= limit, F.col(f"_near_{new}")).alias(new) for new in cols],
     )
 
 
@@ -173,10 +180,8 @@ def number_groups(
     inside, across = _windows(key, ts)
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
     here = F.struct(*carry)
-    local = df.withColumn(SLICE, time_slice(ts, width)).withColumn("_prev", F.lag(here).over(inside))
-    cut = {n: _true(rule(_field("_prev"), F.col)) for n, rule in ids.items()}
-    cut = {n: F.when(F.col("_prev").isNull(), F.lit(0).cast("long")).otherwise(c) for n, c in cut.items()}
-    local = local.select("*", *[c.alias(f"_cut_{n}") for n, c in cut.items()])
+    local = _with_previous(df.withColumn(SLICE, time_slice(ts, width)), carry, ts, inside)
+    local = local.select("*", *[_local_break(rule, ts).alias(f"_cut_{n}") for n, rule in ids.items()])
 
     border = local.groupBy(*key, SLICE).agg(
         F.min_by(here, F.col(ts)).alias("_head"),
@@ -204,6 +209,32 @@ def _field(struct: str) -> Callable[[str], Column]:
     return lambda name: F.col(f"{struct}.{name}")
 
 
+def _with_previous(sliced: DataFrame, carry: Sequence[str], ts: str, inside: Window) -> DataFrame:
+    """Add the previous row's carry columns inside the slice.
+
+    Plain columns, because a packed struct would be built before the shuffle
+    and travel through it next to its parts.
+    """
+    names = dict.fromkeys([*carry, ts])
+    return sliced.select("*", *[F.lag(c).over(inside).alias(f"_prev_{c}") for c in names])
+
+
+def _local_break(rule: Break, ts: str) -> Column:
+    """1 where a row starts a new group inside its slice; a slice's first row is judged later."""
+    opens = _true(rule(lambda name: F.col(f"_prev_{name}"), F.col))
+    return F.when(F.col(f"_prev_{ts}").isNull(), F.lit(0).cast("long")).otherwise(opens)
+
+
+def value_counts(entries: Column) -> Column:
+    """Array of struct(value) to array of (value, n), one per distinct value."""
+    def count(one: Column) -> Column:
+        return F.size(F.filter(entries, lambda e: e["value"].eqNullSafe(one["value"]))).cast("long")
+
+    return F.transform(
+        F.array_distinct(entries), lambda one: F.struct(one["value"].alias("value"), count(one).alias("n"))
+    )
+
+
 def islands(
     df: DataFrame,
     key: Sequence[str],
@@ -216,7 +247,7 @@ def islands(
     least: Mapping[str, Column] | None = None,
     greatest: Mapping[str, Column] | None = None,
     first: Mapping[str, Column] | None = None,
-    tally: tuple[str, Column] | None = None,
+    tally: tuple[str, Column, Column] | None = None,
 ) -> DataFrame:
     """One row per island (run without a break) of each track, numbered from ``start``.
 
@@ -225,17 +256,16 @@ def islands(
     per island or ship-day, are then linked along the whole track and merged.
 
     ``least``/``greatest`` are min/max of an expression and ``first`` its value
-    on the island's first row. ``tally`` is (name, struct expression): it gives
-    an array of the distinct non-null structs, each with its row count ``n``;
-    one struct may come up once per fragment. It is meant for columns with few
-    values.
+    on the island's first row. ``tally`` is (name, value, condition): an array of
+    (value, n) with the count of each distinct value over the rows that meet the
+    condition; a value may come up once per fragment. It is counted inside
+    (ship, slice), so no list is longer than a slice has rows.
     """
     least, greatest, first = dict(least or {}), dict(greatest or {}), dict(first or {})
     inside, _ = _windows(key, ts)
     here = F.struct(*carry)
-    local = df.withColumn(SLICE, time_slice(ts, width)).withColumn("_prev", F.lag(here).over(inside))
-    cut = F.when(F.col("_prev").isNull(), F.lit(0).cast("long")).otherwise(_true(rule(_field("_prev"), F.col)))
-    local = local.withColumn("_cut", cut)
+    local = _with_previous(df.withColumn(SLICE, time_slice(ts, width)), carry, ts, inside)
+    local = local.withColumn("_cut", _local_break(rule, ts))
     local = local.select(
         *key, SLICE,
         F.sum("_cut").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_part"),
@@ -244,7 +274,7 @@ def islands(
         F.struct(F.col(ts).alias("_t"), *[e.alias(n) for n, e in first.items()]).alias("_opening"),
         *[e.alias(n) for n, e in least.items()],
         *[e.alias(n) for n, e in greatest.items()],
-        *([tally[1].alias("_tallied")] if tally else []),
+        *([F.when(tally[2], F.struct(tally[1].alias("value"))).alias("_tallied")] if tally else []),
     )
     merge = [
         F.min("_opening").alias("_opening"),
@@ -252,15 +282,13 @@ def islands(
         *[F.max(n).alias(n) for n in greatest],
     ]
     ends = [F.min("_head").alias("_head"), F.max("_tail").alias("_tail")]
-    lists = []
-    if tally:
-        local = local.groupBy(*key, SLICE, "_part", "_tallied").agg(*merge, *ends, F.count(F.lit(1)).alias("_n"))
-        counted = F.struct("_tallied.*", F.col("_n").alias("n"))
-        lists = [F.collect_list(F.when(F.col("_tallied").isNotNull(), counted)).alias(tally[0])]
+    lists = [F.collect_list("_tallied").alias("_tallied")] if tally else []
     fragments = local.groupBy(*key, SLICE, "_part").agg(*merge, *ends, *lists)
+    if tally:
+        fragments = fragments.withColumn(tally[0], value_counts(F.col("_tallied"))).drop("_tallied")
 
-    along = Window.partitionBy(*key).orderBy("_head._t")
-    fragments = fragments.withColumn("_before", F.lag("_tail._c").over(along))
+    along = Window.partitionBy(*key).orderBy("_at")
+    fragments = fragments.withColumn("_at", F.col("_head._t")).withColumn("_before", F.lag("_tail._c").over(along))
     edge = F.when(F.col("_before").isNull(), F.lit(0).cast("long")).otherwise(
         _true(rule(_field("_before"), _field("_head._c")))
     )

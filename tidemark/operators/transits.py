@@ -72,131 +72,183 @@ def segments(tagged: DataFrame, gap: int = K.SEGMENT_GAP) -> DataFrame:
             "seg_end": F.col(TS),
             "anchor_out": F.when(at_anchor(), F.col(TS)), "stop_out": F.when(at_stop(), F.col(TS)),
         },
-        tally=("draughts", F.when(lock, F.struct("draught"))),
+        tally=("draughts", F.col("draught"), lock),
     )
     changed = F.col("Name") != F.lag("Name").over(_along())
     far = gap_seconds("seg_start", F.lag("seg_end").over(_along())) >= gap
-    parts = parts.withColumn("name_changed", F.coalesce(changed, F.lit(False)))
-    parts = parts.withColumn("_opens", F.coalesce(changed | far, F.lit(False)))
-    parts = parts.withColumn("is_head", F.col("_opens") | F.lag("part").over(_along()).isNull())
-    return parts.withColumn("segr", F.sum(F.col("_opens").cast("long")).over(_rows_up_to(_along()))).drop("_opens")
+    opens = F.coalesce(changed | far, F.lit(False))
+    parts = parts.select(
+        "*",
+        F.coalesce(changed, F.lit(False)).alias("name_changed"), opens.alias("_opens"),
+        (opens | F.lag("part").over(_along()).isNull()).alias("is_head"),
+    )
+    so_far = _rows_up_to(_along())
+    return parts.select(
+        "*",
+        F.sum(F.col("_opens").cast("long")).over(so_far).alias("segr"),
+        F.sum(F.col("Name").isin(K.PORTS).cast("long")).over(so_far).alias("ports_so_far"),
+    ).drop("_opens")
 
 
-# ---- Stages 2-7: anchors and pairs ------------------------------------------
+# ---- Stages 2-8: anchors, pairs, transit numbers ------------------------------
+#
+# Each step marks segments instead of filtering them, and its windows take the
+# mark into their partition. The marked rows then see only each other, nothing
+# is joined back, and all windows share the one hash partitioning by ship.
 
 
-def transit_anchors(segs: DataFrame) -> DataFrame:
-    """Segments spent in the Atlantic or Pacific anchorage; each opens with an anchor row."""
-    return segs.filter(F.col("is_head") & F.col("Name").isin(K.ANCHORAGES))
+def mark_anchors(segs: DataFrame) -> DataFrame:
+    """``anchor``: the segment opens in the Atlantic or Pacific anchorage."""
+    return segs.withColumn("anchor", F.col("is_head") & F.col("Name").isin(K.ANCHORAGES))
 
 
-def transit_port_filter(segs: DataFrame) -> DataFrame:
-    """Anchors left after removing those followed by the same anchorage with a port between.
+def mark_port_filter(marked: DataFrame) -> DataFrame:
+    """Unmark anchors followed by an anchor of the same zone with a port in between.
 
     Before the first anchor of a track the port count starts at zero, so a port
     visited before it counts as well.
     """
-    visits = segs.filter(F.col("Name").isin(K.ANCHORAGES + K.PORTS))
-    visits = visits.withColumn("_ports", F.sum(F.col("Name").isin(K.PORTS).cast("long")).over(_rows_up_to(_along())))
-    anchors = transit_anchors(visits)
-    following = F.lead(F.struct("Name", "_ports")).over(_along())
-    ports_at_start = F.when(F.lag("part").over(_along()).isNull(), F.lit(0)).otherwise(F.col("_ports"))
-    judged = anchors.withColumn("_next", following).withColumn("_from", ports_at_start)
-    revisit = (F.col("_next.Name") == F.col("Name")) & (F.col("_next._ports") > F.col("_from"))
-    return judged.filter(~F.coalesce(revisit, F.lit(False))).drop("_ports", "_next", "_from")
+    among = _along("anchor")
+    out = marked.select(
+        "*",
+        F.lead(F.struct("Name", "ports_so_far")).over(among).alias("_next"),
+        F.when(F.lag("part").over(among).isNull(), F.lit(0)).otherwise(F.col("ports_so_far")).alias("_from"),
+    )
+    revisit = (F.col("_next.Name") == F.col("Name")) & (F.col("_next.ports_so_far") > F.col("_from"))
+    out = out.withColumn("anchor", F.col("anchor") & ~F.coalesce(revisit, F.lit(False)))
+    return out.drop("_next", "_from")
 
 
-def transit_pairs(anchors: DataFrame, undecided_gap: int = K.UNDECIDED_GAP) -> DataFrame:
-    """Opening and closing anchors of each transit, ``run_row`` 1 and 2.
+def mark_pairs(marked: DataFrame, undecided_gap: int = K.UNDECIDED_GAP) -> DataFrame:
+    """Keep only the opening and closing anchor of each transit, ``run_row`` 1 and 2.
 
-    Anchors that alternate between the two anchorages form a run. A run of two
-    is a pair. In a longer run, anchors whose successor is more than
+    Anchors that alternate between the two anchorages form a ``run``. A run of
+    two is a pair. In a longer run, anchors whose successor is more than
     ``undecided_gap`` seconds later go; if two are left they are a pair,
-    otherwise the run is discarded.
+    otherwise the run is discarded. ``close_segr`` is the pair's last segment.
     """
-    repeated = F.coalesce(F.col("Name") == F.lag("Name").over(_along()), F.lit(False)).cast("long")
-    runs = anchors.withColumn("_repeat", repeated)
-    runs = runs.withColumn("run", F.sum("_repeat").over(_rows_up_to(_along())))
-    in_run = Window.partitionBy("ship", "run")
-    runs = runs.withColumn("_size", F.count(F.lit(1)).over(in_run)).withColumn(
-        "_wait", gap_seconds(F.lead("seg_start").over(_along("run")), "seg_start")
+    among, in_run = _along("anchor"), _along("anchor", "run")
+    whole = in_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    repeated = F.coalesce(F.col("Name") == F.lag("Name").over(among), F.lit(False)).cast("long")
+    out = marked.withColumn("_repeat", repeated)
+    out = out.withColumn("run", F.sum("_repeat").over(_rows_up_to(among)))
+    out = out.select(
+        "*",
+        F.count(F.lit(1)).over(whole).alias("_size"),
+        gap_seconds(F.lead("seg_start").over(in_run), "seg_start").alias("_wait"),
     )
     long_wait = F.coalesce(F.col("_wait") > undecided_gap, F.lit(False))
-    kept = runs.filter((F.col("_size") == 2) | ((F.col("_size") > 2) & ~long_wait))
-    kept = kept.withColumn("_left", F.count(F.lit(1)).over(in_run)).filter(F.col("_left") == 2)
-    return kept.withColumn("run_row", F.row_number().over(_along("run"))).drop("_repeat", "_size", "_wait", "_left")
+    out = out.withColumn("_kept", (F.col("_size") == 2) | ((F.col("_size") > 2) & ~long_wait))
+    out = out.select(
+        "*",
+        F.sum(F.col("_kept").cast("long")).over(whole).alias("_left"),
+        F.sum(F.col("_kept").cast("long")).over(_rows_up_to(in_run)).alias("run_row"),
+        F.max(F.when(F.col("_kept"), F.col("segr"))).over(whole).alias("close_segr"),
+    )
+    out = out.withColumn("anchor", F.col("anchor") & F.col("_kept") & (F.col("_left") == 2))
+    return out.drop("_repeat", "_size", "_wait", "_kept", "_left")
+
+
+def mark_flags(marked: DataFrame) -> DataFrame:
+    """Carry the latest opening anchor forward as ``opening`` = (close_segr, open_segr, open_zone).
+
+    ``flag`` is the running count of accepted anchors; the closing anchor keeps
+    the number of its opening one.
+    """
+    opening = F.struct("close_segr", F.col("segr").alias("open_segr"), F.col("Name").alias("open_zone"))
+    opens = F.when(F.col("anchor") & (F.col("run_row") == 1), opening)
+    so_far = _rows_up_to(_along())
+    out = marked.select(
+        "*",
+        F.last(opens, ignorenulls=True).over(so_far).alias("opening"),
+        F.sum(F.col("anchor").cast("long")).over(so_far).alias("_count"),
+    )
+    closes = F.col("anchor") & (F.col("run_row") == 2)
+    return out.withColumn("flag", F.col("_count") - F.when(closes, 1).otherwise(0)).drop("_count")
 
 
-# ---- Stage 8: transit numbers -----------------------------------------------
+def transit_anchors(segs: DataFrame) -> DataFrame:
+    """Segments that open in an anchorage."""
+    return mark_anchors(segs).filter("anchor")
 
 
-def transit_flags(pairs: DataFrame) -> DataFrame:
-    """One row per pair: ``flag`` (running count of accepted anchors) and the segment range."""
-    numbered = pairs.withColumn("flag", F.row_number().over(_along()).cast("long"))
-    closing = F.lead("segr").over(_along("run"))
-    return numbered.withColumn("close_segr", closing).filter(F.col("run_row") == 1).select(
-        "ship", "part", "flag", F.col("segr").alias("open_segr"), "close_segr", F.col("Name").alias("open_zone")
+def transit_port_filter(segs: DataFrame) -> DataFrame:
+    """Anchors left by the port-between test."""
+    return mark_port_filter(mark_anchors(segs)).filter("anchor")
+
+
+def transit_pairs(segs: DataFrame) -> DataFrame:
+    """Opening and closing anchors with ``run`` and ``run_row``."""
+    return mark_pairs(mark_port_filter(mark_anchors(segs))).filter("anchor")
+
+
+def transit_flags(segs: DataFrame) -> DataFrame:
+    """One row per pair: ``flag`` and the segment range."""
+    marked = mark_flags(mark_pairs(mark_port_filter(mark_anchors(segs))))
+    return marked.filter(F.col("anchor") & (F.col("run_row") == 1)).select(
+        "ship", "flag", "opening.open_segr", "opening.close_segr", "opening.open_zone"
     )
 
 
 def transit_members(segs: DataFrame) -> DataFrame:
-    """Segments inside a transit with its ``flag``; the closing one has ``is_close``.
+    """Segments inside a transit, up to the first row of the closing one (``is_close``).
 
-    The opening of a transit is carried forward along the track and dropped
-    past the closing segment. Every step keeps the hash partitioning by ship.
+    ``transit_segr`` recounts the zone changes within the transit, and
+    ``left_opening`` tells whether the other anchorage has been reached.
     """
-    flags = transit_flags(transit_pairs(transit_port_filter(segs)))
-    opened = flags.select("ship", "part", F.struct("flag", "close_segr", "open_zone").alias("_open"))
-    joined = segs.join(opened, ["ship", "part"], "left")
-    joined = joined.withColumn("_tr", F.last("_open", ignorenulls=True).over(_rows_up_to(_along())))
-    closing = F.col("segr") == F.col("_tr.close_segr")
-    inside = joined.filter((F.col("segr") < F.col("_tr.close_segr")) | (closing & F.col("is_head")))
-    inside = inside.select(
-        *segs.columns, F.col("_tr.flag").alias("flag"), F.col("_tr.open_zone").alias("open_zone"),
-        closing.alias("is_close"),
-    )
-    return inside.withColumn(
-        "transit_segr", F.sum(F.col("name_changed").cast("long")).over(_rows_up_to(_along("flag")))
+    marked = mark_flags(mark_pairs(mark_port_filter(mark_anchors(segs))))
+    closing = F.col("segr") == F.col("opening.close_segr")
+    inside = marked.filter((F.col("segr") < F.col("opening.close_segr")) | (closing & F.col("is_head")))
+    so_far = _rows_up_to(_along("flag"))
+    other = F.col("Name").isin(K.ANCHORAGES) & (F.col("Name") != F.col("opening.open_zone"))
+    return inside.select(
+        *segs.columns, "flag", F.col("opening.open_zone").alias("open_zone"), closing.alias("is_close"),
+        F.sum(F.col("name_changed").cast("long")).over(so_far).alias("transit_segr"),
+        F.max(other).over(so_far).alias("left_opening"),
     )
 
 
 # ---- Stages 9-10: access and locks ------------------------------------------
 
 
-def transit_access(members: DataFrame) -> DataFrame:
-    """Segments of transits that touch an access zone."""
-    touched = F.max(F.col("Name").isin(K.ACCESS_ZONES)).over(Window.partitionBy("ship", "flag"))
-    return members.withColumn("_touched", touched).filter("_touched").drop("_touched")
+def transit_tests(members: DataFrame) -> DataFrame:
+    """Add, per transit, ``access`` and whether the locks of each pair changed: true, false, or null for none."""
+    over = Window.partitionBy("ship", "flag")
 
+    def changed(pair: list[str]) -> Column:
+        name = F.when(F.col("Name").isin(pair), F.col("Name"))
+        return F.min(name).over(over) != F.max(name).over(over)
 
-def _changed_lock(pair: list[str]) -> Column:
-    """True if both locks of the pair are visited, false if one, null if none."""
-    over = Window.partitionBy("ship", "flag")
-    name = F.when(F.col("Name").isin(pair), F.col("Name"))
-    return F.min(name).over(over) != F.max(name).over(over)
+    return members.select(
+        "*",
+        F.max(F.col("Name").isin(K.ACCESS_ZONES)).over(over).alias("access"),
+        changed(K.ORIGINAL_LOCK_PAIR).alias("original_locks"), changed(K.NEO_LOCK_PAIR).alias("neo_locks"),
+    )
 
 
-def transit_locks(members: DataFrame, strict_locks: bool = False) -> DataFrame:
+def transit_access(tested: DataFrame) -> DataFrame:
+    """Segments of transits that touch an access zone."""
+    return tested.filter("access")
+
+
+def transit_locks(tested: DataFrame, strict_locks: bool = False) -> DataFrame:
     """Segments of transits that used the locks, with ``neo_transit``.
 
     By default one lock of a pair is enough; ``strict_locks`` asks for both.
     """
-    out = members.withColumn("_orig", _changed_lock(K.ORIGINAL_LOCK_PAIR)).withColumn("_neo", _changed_lock(K.NEO_LOCK_PAIR))
-    if strict_locks:
-        used = lambda c: F.coalesce(F.col(c), F.lit(False))
-    else:
-        used = lambda c: F.col(c).isNotNull()
-    kept = out.filter(used("_orig") | used("_neo"))
-    return kept.withColumn("neo_transit", used("_neo").cast("int")).drop("_orig", "_neo")
+    def used(test: str) -> Column:
+        return F.coalesce(F.col(test), F.lit(False)) if strict_locks else F.col(test).isNotNull()
+
+    kept = tested.filter(used("original_locks") | used("neo_locks"))
+    return kept.withColumn("neo_transit", used("neo_locks").cast("int"))
 
 
 def transit_attributes(members: DataFrame) -> DataFrame:
     """Add ``anchoring_group``, ``port_group`` and ``dir``."""
     anchorage = F.col("Name").isin(K.ANCHORAGES)
-    left_opening = F.max(anchorage & (F.col("Name") != F.col("open_zone"))).over(_rows_up_to(_along("flag")))
     return members.select(
         "*",
-        F.when(anchorage & ~left_opening, F.lit(1)).alias("anchoring_group"),
+        F.when(anchorage & ~F.col("left_opening"), F.lit(1)).alias("anchoring_group"),
         F.when(F.col("Name").isin(K.PORTS + K.STOPS), F.lit(1)).alias("port_group"),
         F.when(F.col("open_zone") == K.ATLANTIC_ANCHORAGE, "South").otherwise("North").alias("dir"),
     )
@@ -204,7 +256,8 @@ def transit_attributes(members: DataFrame) -> DataFrame:
 
 def transit_visits(segs: DataFrame, strict_locks: bool = False) -> DataFrame:
     """All segments of accepted transits with their attributes (stages 2 to 11)."""
-    return transit_attributes(transit_locks(transit_access(transit_members(segs)), strict_locks))
+    tested = transit_tests(transit_members(segs))
+    return transit_attributes(transit_locks(transit_access(tested), strict_locks))
 
 
 def transit_candidates(tagged: DataFrame, strict_locks: bool = False, gap: int = K.SEGMENT_GAP) -> DataFrame:
@@ -258,12 +311,12 @@ def transit_stops(visits: DataFrame) -> DataFrame:
 
 
 def _most_frequent(entries: Column) -> Column:
-    """Value with the largest total ``n`` in an array of (draught, n); ties least, null only if alone."""
+    """Value with the largest total ``n`` in an array of (value, n); ties least, null only if alone."""
     def total(value: Column) -> Column:
-        same = F.filter(entries, lambda e: e["draught"].eqNullSafe(value))
+        same = F.filter(entries, lambda e: e["value"].eqNullSafe(value))
         return F.aggregate(same, F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
 
-    values = F.array_distinct(F.transform(entries, lambda e: e["draught"]))
+    values = F.array_distinct(F.transform(entries, lambda e: e["value"]))
     ranked = F.transform(values, lambda v: F.struct(v.isNull().alias("_1"), (-total(v)).alias("_2"), v.alias("_3")))
     return F.array_min(ranked)["_3"]
 

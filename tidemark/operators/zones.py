@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +19,13 @@ ZONE_SCHEMA = T.StructType([
 
 
 def zone_lookup(spark: SparkSession, rows: Sequence[tuple[str, int]]) -> DataFrame:
-    """Lookup of (zone name, cell id) pairs with the fixed schema."""
-    return spark.createDataFrame(list(rows), ZONE_SCHEMA)
+    """Lookup of (zone name, cell id) pairs with the fixed schema.
+
+    Built from an Arrow table, whose size the optimizer knows.
+    """
+    names, cells = zip(*rows) if rows else ((), ())
+    table = pa.table({"Name": pa.array(names, pa.string()), "H3_int_index_10": pa.array(cells, pa.int64())})
+    return spark.createDataFrame(table, ZONE_SCHEMA)
 
 
 def one_name_per_cell(zones: DataFrame, cell: str = "H3_int_index_10") -> DataFrame:
