@@ -50,75 +50,82 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _event_rank(events: DataFrame) -> DataFrame:
-    """0-based rank of each event of a user, counted per (user, hour) and added up over the hours.
+    """0-based rank of each event of a user, counted per (user, day) and added up over the days.
 
-    No task sees more than an hour of one user, or one row per hour of a user.
+    No task sees more than a day of one user, or one row per day of a user.
     """
-    hour = Window.partitionBy("user_id", "_h")
-    hours = events.groupBy("user_id", "_h").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("user_id").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    hours = hours.select("user_id", "_h", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    ranked = events.join(hours, ["user_id", "_h"])
-    return ranked.withColumn("rn0", F.row_number().over(hour.orderBy("ts", "event_id")) - 1 + F.col("_before"))
-
-
-def _zone_script() -> Column:
-    user, slot0, slot, cyc = F.col("user_id"), F.col("slot0"), F.col("slot"), F.col("cyc")
-    even = user % 2 == 0
-    port_ship = (
-        F.when(slot0 <= 1, "Atlantic Anchorage").when(slot0 <= 4, "MIT").when(slot0 == 5, "CCT")
-        .when(slot0 <= 7, F.lit(None).cast("string"))
-        .when(slot0 == 8, F.when(cyc % 2 == 0, "Atlantic Anchorage").otherwise("Pacific Anchorage"))
-        .otherwise("Pacific - PSA")
-    )
-    transit_ship = (
-        F.when(slot <= 1, "Pacific Anchorage")
-        .when(slot == 2, F.when(user % 13 == 6, "Gamboa Mooring station").otherwise("Pacific Access"))
-        .when(slot <= 4, F.when(even, "Miraflores Locks Original").otherwise("Cocoli Locks"))
-        .when(slot == 5, F.when(even, "Pedro Miguel Locks Original").otherwise("Cocoli Locks"))
-        .when(slot == 6, F.when(user % 5 == 1, "MIT").otherwise("Gamboa Mooring station"))
-        .when(slot == 7, "Gatun Anchorage")
-        .when(slot <= 9, F.when(user % 11 == 5, "Gatun Anchorage")
-              .otherwise(F.when(even, "Gatun Locks Original").otherwise("Gatun Locks Expanded")))
-        .when(slot == 10, F.when(user % 13 == 6, "Gamboa Mooring station").otherwise("Atlantic Access"))
-        .otherwise(F.when(user % 4 == 1, WEST_BREAKWATER).otherwise("Atlantic Anchorage"))
-    )
-    return F.when(user % 7 == 3, port_ship).otherwise(transit_ship)
+    day = Window.partitionBy("user_id", "_d")
+    days = events.groupBy("user_id", "_d").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("user_id").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("user_id", "_d", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    ranked = events.join(days, ["user_id", "_d"])
+    return ranked.withColumn("rn0", F.row_number().over(day.orderBy("ts", "event_id")) - 1 + F.col("_before"))
+
+
+def _sql(value) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + value + "'" if isinstance(value, str) else repr(value)
+
+
+def _array(values) -> str:
+    return "array(" + ", ".join(_sql(v) for v in values) + ")"
+
+
+ZONE_SCRIPT = f"""
+CASE WHEN user_id % 7 = 3 THEN
+  element_at({_array(
+      ["Atlantic Anchorage"] * 2 + ["MIT"] * 3 + ["CCT", None, None, "", "Pacific - PSA", "Pacific - PSA", "Pacific - PSA"]
+  )}, slot0 + 1)
+WHEN user_id % 13 = 6 AND slot IN (2, 10) THEN 'Gamboa Mooring station'
+WHEN user_id % 11 = 5 AND slot IN (8, 9) THEN 'Gatun Anchorage'
+WHEN slot = 6 AND user_id % 5 = 1 THEN 'MIT'
+WHEN slot = 11 AND user_id % 4 = 1 THEN '{WEST_BREAKWATER}'
+WHEN user_id % 2 = 0 THEN element_at({_array([
+    "Pacific Anchorage", "Pacific Anchorage", "Pacific Access", "Miraflores Locks Original",
+    "Miraflores Locks Original", "Pedro Miguel Locks Original", "Gamboa Mooring station", "Gatun Anchorage",
+    "Gatun Locks Original", "Gatun Locks Original", "Atlantic Access", "Atlantic Anchorage",
+])}, slot + 1)
+ELSE element_at({_array([
+    "Pacific Anchorage", "Pacific Anchorage", "Pacific Access", "Cocoli Locks", "Cocoli Locks", "Cocoli Locks",
+    "Gamboa Mooring station", "Gatun Anchorage", "Gatun Locks Expanded", "Gatun Locks Expanded",
+    "Atlantic Access", "Atlantic Anchorage",
+])}, slot + 1) END"""
+
+ZONE_MAP = "map(" + ", ".join(f"'{n}', {z}" for n, z in ZONE_NUMBER.items()) + ")"
+TOP = _array([speed_modulus(n) for n in [None, *ZONES]])
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    base = _event_rank(events.withColumn("_h", F.expr("unix_timestamp(ts) div 3600")))
-    base = base.select(
-        "event_id", "user_id", (F.unix_timestamp("ts") - EPOCH).alias("off_s"),
-        F.round(F.col("value") * 100).cast("long").alias("v100"),
-        F.expr(f"rn0 div {ROWS_PER_VOYAGE}").alias("cyc"), (F.col("rn0") % ROWS_PER_VOYAGE).alias("slot0"),
+    events = table(spark, sf_dir, "events").selectExpr("event_id", "user_id", "ts", "value", "to_date(ts) AS _d")
+    voyages = _event_rank(events).selectExpr(
+        "event_id", "user_id", f"unix_timestamp(ts) - {EPOCH} AS off_s",
+        "cast(round(value * 100) AS bigint) AS v100",
+        f"rn0 div {ROWS_PER_VOYAGE} AS cyc", f"cast(rn0 % {ROWS_PER_VOYAGE} AS int) AS slot0",
+    )
+    slots = voyages.selectExpr(
+        "*", f"CASE WHEN cyc % 2 = 0 THEN slot0 ELSE {ROWS_PER_VOYAGE - 1} - slot0 END AS slot",
+        f"{EPOCH} + cyc * {VOYAGE} + CASE user_id % 3 WHEN 0 THEN off_s div 8 WHEN 1 THEN off_s ELSE off_s * 2 END AS t_s",
     )
-    base = base.withColumn("slot", F.when(F.col("cyc") % 2 == 0, F.col("slot0")).otherwise(11 - F.col("slot0")))
-    pace = (
-        F.when(F.col("user_id") % 3 == 0, F.expr("off_s div 8"))
-        .when(F.col("user_id") % 3 == 1, F.col("off_s")).otherwise(F.col("off_s") * 2)
+    placed = slots.selectExpr("event_id", "user_id", "v100", "t_s", "cyc", f"{ZONE_SCRIPT} AS zone")
+    placed = placed.selectExpr(
+        "event_id", "user_id", "v100", "t_s",
+        "CASE WHEN zone <> '' THEN zone WHEN zone = '' AND cyc % 2 = 0 THEN 'Atlantic Anchorage' "
+        "WHEN zone = '' THEN 'Pacific Anchorage' END AS zone",
     )
-    base = base.withColumn("t_s", EPOCH + F.col("cyc") * VOYAGE + pace).withColumn("zone", _zone_script())
-    number = F.create_map(*[F.lit(v) for pair in ZONE_NUMBER.items() for v in pair])
-    base = base.withColumn("z", F.coalesce(number[F.col("zone")], F.lit(0)).cast("long"))
-    top = F.element_at(F.array(*[F.lit(speed_modulus(n)) for n in [None, *ZONES]]), (F.col("z") + 1).cast("int"))
-    user, event = F.col("user_id"), F.col("event_id")
-    return base.select(
-        "event_id", "user_id", F.timestamp_seconds("t_s").alias("dt_pos_utc"),
-        (200000000 + user).alias("mmsi"),
-        F.when(user % 5 != 0, 9000000 + user).alias("imo"),
-        ((F.col("v100") % top) / F.lit(100.0)).alias("sog"),
-        F.when(user % 19 == 4, F.lit("CERRO AZUL"))
-        .when(user % 19 != 5, F.concat(F.lit("SHIP "), user.cast("string"))).alias("vessel_name"),
-        F.when(event % 23 != 0, (5 + (event + user) % 3).cast("double")).alias("draught"),
-        (F.lit(8.90) + F.lit(0.05) * F.col("z") + ((event * 7919) % 21 - 10) * F.lit(0.0003)).alias("latitude"),
-        (F.lit(-79.60) - F.lit(0.03) * F.col("z") + ((event * 104729) % 21 - 10) * F.lit(0.0003)).alias("longitude"),
-        (1000 * F.col("z") + event % 7).alias("H3_int_index_10"),
-        (100 * F.col("z") + event % 3).alias("H3_int_8"),
-        F.col("z").alias("H3_int_4"), F.col("z").alias("H3_int_index_6"), F.col("z").alias("H3_int_index_5"),
-        F.element_at(F.array(*[F.lit(t) for t in TYPES]), (user % 5 + 1).cast("int")).alias("vessel_type_main"),
-        (100 + user % 200).cast("double").alias("length"), (20 + user % 30).cast("double").alias("width"),
+    numbered = placed.selectExpr("*", f"cast(coalesce({ZONE_MAP}[zone], 0) AS bigint) AS z")
+    return numbered.selectExpr(
+        "event_id", "user_id", "timestamp_seconds(t_s) AS dt_pos_utc", "200000000 + user_id AS mmsi",
+        "CASE WHEN user_id % 5 <> 0 THEN 9000000 + user_id END AS imo",
+        f"(v100 % element_at({TOP}, cast(z + 1 AS int))) / 100D AS sog",
+        "CASE WHEN user_id % 19 = 4 THEN 'CERRO AZUL' WHEN user_id % 19 <> 5 THEN concat('SHIP ', user_id) END AS vessel_name",
+        "CASE WHEN event_id % 23 <> 0 THEN cast(5 + (event_id + user_id) % 3 AS double) END AS draught",
+        "8.90D + 0.05D * z + ((event_id * 7919) % 21 - 10) * 0.0003D AS latitude",
+        "-79.60D - 0.03D * z + ((event_id * 104729) % 21 - 10) * 0.0003D AS longitude",
+        "1000 * z + event_id % 7 AS H3_int_index_10", "100 * z + event_id % 3 AS H3_int_8",
+        "z AS H3_int_4", "z AS H3_int_index_6", "z AS H3_int_index_5",
+        f"element_at({_array(TYPES)}, cast(user_id % 5 + 1 AS int)) AS vessel_type_main",
+        "cast(100 + user_id % 200 AS double) AS length", "cast(20 + user_id % 30 AS double) AS width",
     )
 
 
@@ -216,26 +223,25 @@ def type_bins(spark: SparkSession) -> DataFrame:
     )
 
 
-def _pick(values: list[str], col: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (col % len(values) + 1).cast("int"))
-
-
 def specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapted specifications: two versions of every user seen in ``events``."""
     users = table(spark, sf_dir, "events").select("user_id").distinct()
-    user = F.col("user_id")
-    both = users.withColumn("version", F.explode(F.array(F.lit("2024A"), F.lit("2024B"))))
-    later = F.when(F.col("version") == "2024B", 1).otherwise(0)
-    power = F.element_at(F.array(*[F.lit(p) for p in (100.0, 150.5, 300.0, 20000.0)]), (user % 4 + 1).cast("int"))
-    return both.select(
-        (200000000 + user).alias("mmsi"), "version",
-        F.when(user % 17 == 0, F.lit(0.0)).otherwise((10 + user % 13 + later).cast("double")).alias("Speed"),
-        power.alias("Powerkwmax"), _pick(TYPES, user).alias("StandardVesselType"),
-        (user % 10).cast("int").alias("imobin"), _pick(ENGINES, user).alias("meType"), _pick(FUELS, user).alias("fuel"),
-        F.when(user % 29 != 0, F.concat((1975 + user % 50).cast("string"), F.lit("-06-01"))).alias("DateOfBuild"),
-        (F.lit(8.0) + user % 6).cast("double").alias("SummerDraught"),
-        (100 + user % 200).cast("double").alias("ais_loa"), (20 + user % 30).cast("double").alias("ais_beam"),
-        (1000.0 * (1 + user % 60)).cast("double").alias("GrossTonnage"),
+    both = users.selectExpr("user_id", "explode(array('2024A', '2024B')) AS version")
+
+    def pick(values) -> str:
+        return f"element_at({_array(values)}, cast(user_id % {len(values)} + 1 AS int))"
+
+    return both.selectExpr(
+        "200000000 + user_id AS mmsi", "version",
+        "CASE WHEN user_id % 17 = 0 THEN 0D "
+        "ELSE cast(10 + user_id % 13 + CASE WHEN version = '2024B' THEN 1 ELSE 0 END AS double) END AS Speed",
+        f"cast({pick([100.0, 150.5, 300.0, 20000.0])} AS double) AS Powerkwmax",
+        f"{pick(TYPES)} AS StandardVesselType", "cast(user_id % 10 AS int) AS imobin",
+        f"{pick(ENGINES)} AS meType", f"{pick(FUELS)} AS fuel",
+        "CASE WHEN user_id % 29 <> 0 THEN concat(1975 + user_id % 50, '-06-01') END AS DateOfBuild",
+        "cast(8 + user_id % 6 AS double) AS SummerDraught",
+        "cast(100 + user_id % 200 AS double) AS ais_loa", "cast(20 + user_id % 30 AS double) AS ais_beam",
+        "cast(1000 * (1 + user_id % 60) AS double) AS GrossTonnage",
     )
 
 

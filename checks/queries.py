@@ -18,7 +18,7 @@ from tidemark.operators import emissions as em
 from tidemark.plans import jobs
 from tidemark.sources import ledger, results
 from tidemark.sources import positions as scans
-from tidemark.sources.durable import scratch_path
+from tidemark.sources.durable import checkpoint, scratch_path
 from tidemark.streaming import sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,7 +112,7 @@ class View:
             tagged.select("event_id", "mmsi", TS, "Name", "sog"), ["mmsi"], tie=fx.TIE
         ))
         slow = F.when(F.col("sog") <= 1, F.when(F.col("Name").isin(K.PORTS), K.BERTH).otherwise(K.ANCHORAGE))
-        return stops.withColumn("op_phase", F.when(F.col("sog") <= 3, F.coalesce(slow, F.lit(K.ANCHORAGE))).otherwise(K.MANOEUVRING))
+        return checkpoint(stops.withColumn("op_phase", F.when(F.col("sog") <= 3, F.coalesce(slow, F.lit(K.ANCHORAGE))).otherwise(K.MANOEUVRING)))
 
     @cached_property
     def transit_ranges(self) -> DataFrame:
@@ -239,13 +239,12 @@ def anchorage_events(v: View) -> DataFrame:
 
 @query
 def event_sequence(v: View) -> DataFrame:
-    return ports.event_sequence(ports.port_events(v.harbour), ports.anchorage_events(v.harbour)).drop("imo_key")
+    return ports.event_sequence(ports.stay_events(v.harbour)).drop("imo_key")
 
 
 @query
 def anch_port_links(v: View) -> DataFrame:
-    sequence = ports.event_sequence(ports.port_events(v.harbour), ports.anchorage_events(v.harbour))
-    return ports.anch_port_links(sequence).drop("imo_key")
+    return ports.anch_port_links(ports.event_sequence(ports.stay_events(v.harbour))).drop("imo_key")
 
 
 @query

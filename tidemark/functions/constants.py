@@ -53,6 +53,13 @@ PORT_MIN_STAY = HOUR
 LINK_GAP = HOUR
 LOOK_BACK_DAYS = 15
 
+# ---- Our own settings. ----
+
+#: Width of a track slice. With one row per ship and second a slice holds at most 604,800 rows.
+SLICE_WIDTH = 7 * DAY
+
+# ---- Fixed values of the position clustering. ----
+
 DBSCAN_EPS_SOUTH = 0.0028
 DBSCAN_EPS_OTHER = 0.0014
 DBSCAN_MIN_POINTS = 3

@@ -12,70 +12,83 @@ from tidemark.functions.time import gap_seconds
 from tidemark.operators import tracks
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.zones import anchoring_off_zone, in_port
+from tidemark.sources.durable import checkpoint
 
 TS = "dt_pos_utc"
 SHIP = ("imo_key", "mmsi")
 VISIT = ("mmsi", "flag")
 
 
-def _zone_or_gap(gap: int):
-    def rule(prev, cur) -> Column:
-        return (cur("Name") != prev("Name")) | (gap_seconds(cur(TS), prev(TS)) > gap)
-    return rule
+PORT, ANCHORAGE_SPELL = 2, 1
+ORDER = ("event_start", "anch1_port2", "group_id")
 
 
-def _gap_only(gap: int):
+def _new_stay(port_gap: int, anchorage_gap: int):
     def rule(prev, cur) -> Column:
-        return gap_seconds(cur(TS), prev(TS)) > gap
+        limit = F.when(cur("anch1_port2") == PORT, F.lit(port_gap)).otherwise(F.lit(anchorage_gap))
+        return (gap_seconds(cur(TS), prev(TS)) > limit) | (cur("Name") != prev("Name"))
     return rule
 
 
 # ---- Port calls ---------------------------------------------------------
 
 
+def slow_rows(tagged: DataFrame) -> DataFrame:
+    """Rows stopped in a port (``anch1_port2`` 2) or slow outside every port (1)."""
+    kind = F.when(in_port(), F.lit(PORT)).when(anchoring_off_zone(), F.lit(ANCHORAGE_SPELL))
+    return tagged.withColumn("anch1_port2", kind).filter(F.col("anch1_port2").isNotNull())
+
+
 def port_groups(tagged: DataFrame, gap: int = K.PORT_GAP) -> DataFrame:
     """Stopped rows in a port with the running ``group_id`` of their stay, from 1."""
-    rows = tagged.filter(in_port())
-    return tracks.number_groups(rows, SHIP, [TS, "Name"], {"group_id": _zone_or_gap(gap)}, start=1)
+    rows = slow_rows(tagged).filter(F.col("anch1_port2") == PORT)
+    rule = _new_stay(gap, K.ANCHORAGE_GAP)
+    return tracks.number_groups(rows, SHIP, [TS, "Name", "anch1_port2"], {"group_id": rule}, start=1)
+
+
+def stay_events(
+    tagged: DataFrame, port_gap: int = K.PORT_GAP, anchorage_gap: int = K.ANCHORAGE_GAP,
+    min_stay: int = K.PORT_MIN_STAY,
+) -> DataFrame:
+    """Port stays of at least ``min_stay`` seconds and anchorage spells, numbered from 1 by kind.
+
+    Both kinds come from one pass: the kind is part of the track key.
+    """
+    events = tracks.islands(
+        slow_rows(tagged), [*SHIP, "anch1_port2"], [TS, "Name", "anch1_port2"], _new_stay(port_gap, anchorage_gap),
+        "group_id", start=1,
+        first={"imo": F.col("imo"), "port_name": F.coalesce(F.col("Name"), F.lit("anch"))},
+        least={"event_start": F.col(TS)}, greatest={"event_end": F.col(TS)},
+    )
+    long_enough = gap_seconds("event_end", "event_start") >= min_stay
+    return events.filter((F.col("anch1_port2") == ANCHORAGE_SPELL) | long_enough)
 
 
-def port_events(tagged: DataFrame, gap: int = K.PORT_GAP, min_stay: int = K.PORT_MIN_STAY) -> DataFrame:
-    """One row per port stay of at least ``min_stay`` seconds."""
-    stays = tracks.islands(
-        tagged.filter(in_port()), SHIP, [TS, "Name"], _zone_or_gap(gap), "port_group_id", start=1,
-        first={"imo": F.col("imo"), "port_name": F.col("Name")},
-        least={"port_start": F.col(TS)}, greatest={"port_end": F.col(TS)},
+def port_events(tagged: DataFrame) -> DataFrame:
+    """One row per port stay."""
+    return stay_events(tagged).filter(F.col("anch1_port2") == PORT).select(
+        *SHIP, "imo", F.col("group_id").alias("port_group_id"), "port_name",
+        F.col("event_start").alias("port_start"), F.col("event_end").alias("port_end"),
     )
-    return stays.filter(gap_seconds("port_end", "port_start") >= min_stay)
 
 
-def anchorage_events(tagged: DataFrame, gap: int = K.ANCHORAGE_GAP) -> DataFrame:
+def anchorage_events(tagged: DataFrame) -> DataFrame:
     """One row per slow spell outside every port."""
-    return tracks.islands(
-        tagged.filter(anchoring_off_zone()), SHIP, [TS], _gap_only(gap), "anchorage_group_id", start=1,
-        first={"imo": F.col("imo")}, least={"anch_start": F.col(TS)}, greatest={"anch_end": F.col(TS)},
+    return stay_events(tagged).filter(F.col("anch1_port2") == ANCHORAGE_SPELL).select(
+        *SHIP, "imo", F.col("group_id").alias("anchorage_group_id"),
+        F.col("event_start").alias("anch_start"), F.col("event_end").alias("anch_end"),
     )
 
 
-def event_sequence(ports: DataFrame, anchorages: DataFrame) -> DataFrame:
+def event_sequence(events: DataFrame) -> DataFrame:
     """Port and anchorage events of a ship in order, each with its successor.
 
     Port stays last an hour or more and anchorage spells are an hour or more
     apart, so a ship has at most some 50 rows per day here.
     """
-    both = ports.select(
-        *SHIP, "imo", F.col("port_group_id").alias("group_id"), "port_name",
-        F.col("port_start").alias("event_start"), F.col("port_end").alias("event_end"), F.lit(2).alias("anch1_port2"),
-    ).unionByName(
-        anchorages.select(
-            *SHIP, "imo", F.col("anchorage_group_id").alias("group_id"), F.lit("anch").alias("port_name"),
-            F.col("anch_start").alias("event_start"), F.col("anch_end").alias("event_end"),
-            F.lit(1).alias("anch1_port2"),
-        )
-    )
-    order = Window.partitionBy(*SHIP).orderBy("event_start", "anch1_port2", "group_id")
-    return both.select(
-        "*",
+    order = Window.partitionBy(*SHIP).orderBy(*ORDER)
+    return events.select(
+        *SHIP, "imo", "group_id", "port_name", "event_start", "event_end", "anch1_port2",
         F.lead("anch1_port2").over(order).alias("next_type"),
         F.lead("group_id").over(order).alias("next_group_id"),
         F.lead("event_start").over(order).alias("next_start"),
@@ -85,25 +98,26 @@ def event_sequence(ports: DataFrame, anchorages: DataFrame) -> DataFrame:
 
 def anch_port_links(sequence: DataFrame, gap: int = K.LINK_GAP) -> DataFrame:
     """Anchorage spells whose next event is a port stay that starts within ``gap`` seconds."""
-    linked = (F.col("anch1_port2") == 1) & (F.col("next_type") == 2) & (F.col("time_to_next") <= gap)
+    linked = (
+        (F.col("anch1_port2") == ANCHORAGE_SPELL) & (F.col("next_type") == PORT) & (F.col("time_to_next") <= gap)
+    )
     return sequence.filter(linked).select(
         *SHIP, "imo", F.col("group_id").alias("anchorage_group_id"), F.col("event_start").alias("anch_start"),
         F.col("event_end").alias("anch_end"), F.col("next_group_id").alias("port_group_id"),
     )
 
 
-def port_calls(tagged: DataFrame, specs: DataFrame | None = None) -> DataFrame:
+def port_calls(tagged: DataFrame, specs: DataFrame | None = None, gap: int = K.LINK_GAP) -> DataFrame:
     """Port stays with the anchorage wait before them, and the ship's specifications.
 
-    Each stay has at most one link, carried by the event before it, so the
-    links are read off the event sequence with ``lag`` instead of a self-join.
+    A stay can only be linked to the event right before it, so the link is read
+    off the event sequence with ``lag`` instead of a self-join.
     """
-    ports, anchorages = port_events(tagged), anchorage_events(tagged)
-    sequence = event_sequence(ports, anchorages)
-    order = Window.partitionBy(*SHIP).orderBy("event_start", "anch1_port2", "group_id")
-    before = F.lag(F.struct("anch1_port2", "group_id", "event_start", "event_end", "time_to_next")).over(order)
-    linked = (F.col("_b.anch1_port2") == 1) & (F.col("_b.time_to_next") <= K.LINK_GAP)
-    calls = sequence.withColumn("_b", before).filter(F.col("anch1_port2") == 2).select(
+    order = Window.partitionBy(*SHIP).orderBy(*ORDER)
+    before = F.lag(F.struct("anch1_port2", "group_id", "event_start", "event_end")).over(order)
+    near = gap_seconds("event_start", "_b.event_end") <= gap
+    linked = (F.col("_b.anch1_port2") == ANCHORAGE_SPELL) & near
+    calls = stay_events(tagged).withColumn("_b", before).filter(F.col("anch1_port2") == PORT).select(
         "imo", "mmsi", F.col("group_id").alias("port_group_id"), "port_name",
         F.col("event_start").alias("port_start"), F.col("event_end").alias("port_end"),
         F.when(linked, F.col("_b.group_id")).alias("anchorage_group_id"),
@@ -141,8 +155,12 @@ def visit_tests(visits: DataFrame) -> DataFrame:
 
 
 def port_stops_cutoff(tagged: DataFrame, gap: int = K.SEGMENT_GAP) -> DataFrame:
-    """Rows of the visits that hold both a port row and an anchorage row."""
-    visits = number_visits(tagged, gap)
+    """Rows of the visits that hold both a port row and an anchorage row.
+
+    The numbered rows are read twice, to judge visits and to pick rows, so they
+    are written out once first.
+    """
+    visits = checkpoint(number_visits(tagged, gap))
     kept = visit_tests(visits).filter("has_port AND has_anchorage").select(*VISIT)
     return lookup_join(visits, kept, VISIT, "left_semi", spread=[TS])
 

@@ -5,8 +5,8 @@ of the data, so windows are not run over the whole track. Each track is cut into
 fixed time slices; window functions run inside (ship, slice), and what has to
 cross a slice border travels through a small table with one row per ship and
 slice. After :func:`dedup_positions` a slice holds at most one row per second
-(86,400 for the default day), and the border table holds one row per ship-day,
-so both group sizes have a fixed bound whatever the skew.
+(604,800 for the default week), and the border table holds one row per ship and
+week, so both group sizes have a fixed bound whatever the skew.
 
 Key columns must not be null; use :func:`with_ship` to get a single such key.
 """
@@ -18,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.constants import DAY
+from tidemark.functions.constants import SLICE_WIDTH
 from tidemark.functions.time import gap_seconds, seconds, time_slice
 
 SLICE = "_slice"
@@ -62,7 +62,7 @@ def track_lag(
     key: Sequence[str],
     cols: Mapping[str, str],
     ts: str = "dt_pos_utc",
-    width: int = DAY,
+    width: int = SLICE_WIDTH,
 ) -> DataFrame:
     """Add the previous row's values: ``cols`` maps new column -> source column."""
     inside, across = _windows(key, ts)
@@ -86,7 +86,7 @@ def track_lag(
 
 def track_rownum(
     df: DataFrame, key: Sequence[str], name: str = "row", ts: str = "dt_pos_utc",
-    tie: Sequence[str] = (), width: int = DAY,
+    tie: Sequence[str] = (), width: int = SLICE_WIDTH,
 ) -> DataFrame:
     """Number the rows of every track from 1."""
     _, across = _windows(key, ts)
@@ -107,7 +107,7 @@ def lag_within(
     cols: Mapping[str, str],
     limit: int,
     ts: str = "dt_pos_utc",
-    width: int = DAY,
+    width: int = SLICE_WIDTH,
     ahead: bool = False,
 ) -> DataFrame:
     """Previous (or next, with ``ahead``) row's values if at most ``limit`` seconds away, else null.
@@ -139,7 +139,7 @@ def lag_within(
 
 
 def fill_forward(
-    df: DataFrame, key: Sequence[str], source: str, name: str, ts: str = "dt_pos_utc", width: int = DAY
+    df: DataFrame, key: Sequence[str], source: str, name: str, ts: str = "dt_pos_utc", width: int = SLICE_WIDTH
 ) -> DataFrame:
     """Last non-null value of ``source`` at or before each row."""
     inside, across = _windows(key, ts)
@@ -170,7 +170,7 @@ def number_groups(
     ids: Mapping[str, Break],
     start: int = 0,
     ts: str = "dt_pos_utc",
-    width: int = DAY,
+    width: int = SLICE_WIDTH,
 ) -> DataFrame:
     """Running count of breaks along each track, one id column per entry of ``ids``.
 
@@ -243,7 +243,7 @@ def islands(
     name: str,
     start: int = 0,
     ts: str = "dt_pos_utc",
-    width: int = DAY,
+    width: int = SLICE_WIDTH,
     least: Mapping[str, Column] | None = None,
     greatest: Mapping[str, Column] | None = None,
     first: Mapping[str, Column] | None = None,
@@ -253,7 +253,7 @@ def islands(
 
     Rows are first reduced to fragments inside (ship, slice), in the same
     partitioning as the window that finds the breaks. Only fragments, about one
-    per island or ship-day, are then linked along the whole track and merged.
+    per island or ship-week, are then linked along the whole track and merged.
 
     ``least``/``greatest`` are min/max of an expression and ``first`` its value
     on the island's first row. ``tally`` is (name, value, condition): an array of

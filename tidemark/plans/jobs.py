@@ -10,6 +10,7 @@ from tidemark.functions import constants as K
 from tidemark.operators import emissions as em
 from tidemark.operators import ports, specs, tracks, transits, zones
 from tidemark.operators.phase import op_phase, with_load
+from tidemark.sources.durable import checkpoint
 
 
 @dataclass(frozen=True)
@@ -88,15 +89,19 @@ def port_stop_rows(
     positions: DataFrame, zone_cells: DataFrame, registry: Registry,
     layers: tuple[DataFrame, DataFrame, DataFrame], tie: tuple[str, ...] = (), merge_islands: bool = False,
 ) -> DataFrame:
-    """Rows of port-stop visits with phase and merged segments."""
+    """Rows of port-stop visits with phase and merged segments.
+
+    Written out once: the records are aggregated from these rows in four ways.
+    """
     tagged = zones.zone_tag(positions, zone_cells)
     narrow = _columns(tagged, "mmsi", "dt_pos_utc", "Name", "sog", "H3_int_4", "H3_int_8", *tie)
     stops = ports.port_stops_cutoff(tracks.dedup_positions(narrow, ["mmsi"], tie=tie))
     stops = specs.enrich_specs(specs.version_join(stops, registry.versions), registry.specs)
     phased = op_phase(zones.near_coast_port(with_load(stops), *layers))
+    phased = phased.select("mmsi", "dt_pos_utc", "Name", "flag", "segr", "op_phase", *tie)
     merge = ports.merge_stop_islands if merge_islands else ports.merge_stop_segments
     merged = merge(phased, K.ANCHORAGE, K.BERTH)
-    return merge(merged, K.BERTH, K.ANCHORAGE)
+    return checkpoint(merge(merged, K.BERTH, K.ANCHORAGE))
 
 
 def port_stop_records_job(
