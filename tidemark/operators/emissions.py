@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import constants as K
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.phase import op_phase, with_load
-from tidemark.operators.tracks import track_freq
 from tidemark.operators.zones import near_coast_port
 
 GASES = ("co2_t", "ch4_t", "n2o_t")
@@ -165,21 +164,20 @@ def ch4_n2o(df: DataFrame, multiply: bool = False) -> DataFrame:
     return out
 
 
-def active_positions(
-    positions: DataFrame, layers: tuple[DataFrame, DataFrame, DataFrame], key: tuple[str, ...] = ("ship",)
-) -> DataFrame:
-    """Positions with elapsed hours, load and phase; input already joined with specs and factors."""
-    return op_phase(near_coast_port(with_load(track_freq(positions, key)), *layers))
+def active_positions(timed: DataFrame, layers: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    """Add load and phase to positions that carry ``freq``, specs and factors."""
+    return op_phase(near_coast_port(with_load(timed), *layers))
 
 
 def emissions(
-    positions: DataFrame,
-    layers: tuple[DataFrame, DataFrame, DataFrame],
-    key: tuple[str, ...] = ("ship",),
-    multiply: bool = False,
+    timed: DataFrame, layers: tuple[DataFrame, DataFrame, DataFrame], multiply: bool = False
 ) -> DataFrame:
-    """Tonnes of CO2, CH4 and N2O per position, from positions joined with :func:`with_factors` specs."""
-    out = fuel_use(main_energy(aux_energy(active_positions(positions, layers, key))))
+    """Tonnes of CO2, CH4 and N2O per position.
+
+    The input has the elapsed hours (:func:`tidemark.operators.tracks.track_freq`)
+    and the columns of :func:`with_factors`.
+    """
+    out = fuel_use(main_energy(aux_energy(active_positions(timed, layers))))
     out = ch4_n2o(co2(out), multiply)
     return out.select("*", *[(F.col(f"{g[:3]}_g") * F.lit(1e-6)).alias(g) for g in GASES])
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from tidemark.functions import constants as K
 from tidemark.operators import emissions as em
 from tidemark.operators import ports, specs, tracks, transits, zones
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.phase import op_phase, with_load
 from tidemark.sources.durable import checkpoint
 
@@ -68,13 +69,19 @@ def specified_positions(
     positions: DataFrame, registry: Registry, factors: em.FactorTables, cell: str = "H3_int_index_6",
     tie: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Positions with version, specifications and emission factors, one per ship and second."""
+    """Positions with elapsed hours, version, specifications and emission factors.
+
+    Elapsed time counts between positions of known ships only, so those are
+    picked first by key. The wide specification columns are joined last and do
+    not travel through the shuffle by ship.
+    """
     narrow = _columns(
-        tracks.with_ship(positions), "ship", "mmsi", "dt_pos_utc", "latitude", "longitude", "sog", "draught",
-        "H3_int_4", "H3_int_8", cell, *tie,
+        tracks.with_ship(positions), "ship", "mmsi", "dt_pos_utc", "sog", "draught", "H3_int_4", "H3_int_8", cell, *tie,
     )
     rows = specs.version_join(tracks.dedup_positions(narrow, ["ship"], tie=tie), registry.versions)
-    return specs.enrich_specs(rows, em.with_factors(registry.specs, factors))
+    known = registry.specs.select("mmsi", "version").distinct()
+    rows = lookup_join(rows, known, ["mmsi", "version"], "left_semi", spread=["dt_pos_utc"])
+    return specs.enrich_specs(tracks.track_freq(rows), em.with_factors(registry.specs, factors))
 
 
 def emissions_job(
