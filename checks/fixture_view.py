@@ -50,16 +50,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _event_rank(events: DataFrame) -> DataFrame:
-    """0-based rank of each event of a user, counted per (user, day) and added up over the days.
+    """0-based rank of each event of a user, counted per (user, minute) and added up over the minutes.
 
-    No task sees more than a day of one user, or one row per day of a user.
+    No task sees more than a minute of one user, or one row per minute of a user.
     """
-    day = Window.partitionBy("user_id", "_d")
-    days = events.groupBy("user_id", "_d").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("user_id").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("user_id", "_d", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    ranked = events.join(days, ["user_id", "_d"])
-    return ranked.withColumn("rn0", F.row_number().over(day.orderBy("ts", "event_id")) - 1 + F.col("_before"))
+    events = events.withColumn("_m", F.expr("unix_timestamp(ts) div 60"))
+    inside = Window.partitionBy("user_id", "_m").orderBy("ts", "event_id")
+    earlier = Window.partitionBy("user_id").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    minutes = events.groupBy("user_id", "_m").agg(F.count(F.lit(1)).alias("_n"))
+    minutes = minutes.select("user_id", "_m", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    ranked = events.join(minutes, ["user_id", "_m"])
+    return ranked.withColumn("rn0", F.row_number().over(inside) - 1 + F.col("_before"))
 
 
 def _sql(value) -> str:
@@ -97,7 +98,7 @@ TOP = _array([speed_modulus(n) for n in [None, *ZONES]])
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").selectExpr("event_id", "user_id", "ts", "value", "to_date(ts) AS _d")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     voyages = _event_rank(events).selectExpr(
         "event_id", "user_id", f"unix_timestamp(ts) - {EPOCH} AS off_s",
         "cast(round(value * 100) AS bigint) AS v100",
