@@ -23,6 +23,7 @@ from tidemark.streaming import sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+VIEW_QUERIES: dict[str, Callable[[View], DataFrame]] = {}
 
 TODAY = date(2001, 9, 1)
 GRID = 0.005
@@ -119,8 +120,10 @@ class View:
         return ledger.processed_ranges(fx.object_names(self.spark, self.dir), "transits_pc_in", exclude="stops")
 
 
-def query(fn: Callable[[View], DataFrame]) -> Callable[[View], DataFrame]:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: plain(fn(View(spark, sf_dir)))
+def query(fn: Callable[[View], DataFrame], name: str | None = None) -> Callable[[View], DataFrame]:
+    name = name or fn.__name__
+    VIEW_QUERIES[name] = fn
+    QUERIES[name] = lambda spark, sf_dir: plain(fn(View(spark, sf_dir)))
     return fn
 
 
@@ -438,12 +441,11 @@ def direct_transit(v: View) -> DataFrame:
     return transits.direct_transit(v.visits).drop("ship")
 
 
-@query
 def transits_table(v: View) -> DataFrame:
     return jobs.transits_job(v.positions, v.zone_cells, v.registry, fx.TIE)
 
 
-QUERIES["transits"] = QUERIES.pop("transits_table")
+query(transits_table, "transits")
 
 
 @query
