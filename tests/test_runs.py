@@ -66,6 +66,18 @@ def test_stream_sessions_match_the_batch_rule(frame, spark):
     assert rows_of(got, "anch_start", "anch_end", "n_positions") == [(0, HOUR, 2), (2 * HOUR + 1, 2 * HOUR + 1, 1)]
 
 
+def test_emission_totals_do_not_count_a_repeated_batch_twice(frame, spark):
+    sums = frame("year int, month int, emission_type string, StandardVesselType string, h3resolution int, resolution_id long, emission_value double",
+                 [(2024, 1, "co2_t", None, 6, 1, 2.0), (2024, 1, "co2_t", None, 6, 1, 3.0)])
+    source, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    sums.write.parquet(source)
+    for log in ("log-a", "log-b"):  # a new log repeats batch 0
+        stream = spark.readStream.schema(sums.schema).parquet(source)
+        writer = sessions.emission_totals(stream, out).option("checkpointLocation", scratch_path(spark, log))
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert rows_of(sessions.read_totals(spark.read.parquet(out)), "emission_value") == [(5.0,)]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
