@@ -99,11 +99,11 @@ def dbscan(
     links = _cell_links(core, nodes, key)
     named = _components_by_track(nodes, links, key)
 
-    labels = core.join(named, cell).select(*key, "_x", "_y", "cluster")
+    labelled = lookup_join(core, named, cell, spread=["_x", "_y"])
+    labels = labelled.select(*key, "_x", "_y", "cluster")
     # Border points: non-core points with a core point within eps.
     rest = sparse.join(found, [*key, "_x", "_y"], "left_anti")
     probes = _around(rest.select(*cell, F.col("_x").alias("px"), F.col("_y").alias("py")), True)
-    labelled = core.join(named, cell)
     touched = lookup_join(labelled, probes, cell, spread=["_x", "_y"])
     touched = touched.filter(_near(F.col("px"), F.col("py"), F.col("_x"), F.col("_y"), F.col("_e")))
     border = touched.groupBy(*key, "px", "py").agg(F.min("cluster").alias("cluster"))
@@ -144,7 +144,7 @@ def _cell_links(core: DataFrame, nodes: DataFrame, key: list[str]) -> DataFrame:
     sure = pairs.filter("sure").select(*key, "a", "b")
 
     open_pairs = pairs.filter("NOT sure")
-    tagged = core.join(nodes.select(*cell, "node"), cell).select(*key, "node", "_x", "_y")
+    tagged = lookup_join(core, nodes.select(*cell, "node"), cell, spread=["_x", "_y"]).select(*key, "node", "_x", "_y")
     outer_a = _facing(tagged, open_pairs, key, "a", F.max, "b_")
     outer_b = _facing(tagged, open_pairs, key, "b", F.min, "")
     tested = outer_a.join(outer_b, [*key, "a", "b"])
