@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, simhash
+from tidemark.llm import decontaminate, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,24 @@ from d left join words using (r) left join items using (r)
 @_query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+# The span list is left out of the SQL; it is implied by the kept words.
+ORACLES["op2_substrings"] = r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select r, doc_id, i, sha256(array_to_string(list_slice(w, i, i + 49), ' ')) as g
+        from (select r, doc_id, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50)),
+least as (select g, min(doc_id) as ref from win group by g),
+gone as (select r, list(distinct p) as ps from (select r, unnest(range(i, i + 50)) as p from win join least using (g)
+         where coalesce(doc_id, 9223372036854775807) > coalesce(ref, 9223372036854775807)) group by r),
+kept as (select r, list_filter(list_transform(w, lambda x, i: case when list_contains(ps, i) then null else x end), lambda x: x is not null) as k
+         from d join gone using (r))
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(ps), 0) as bigint) as n_removed,
+       sha256(array_to_string(case when ps is null then w else k end, ' ')) as kept_sha256
+from d left join gone using (r) left join kept using (r)
+"""

@@ -61,8 +61,8 @@ def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first:
     """The words of each text joined by one space, and where each word now starts and ends."""
     keep = np.zeros(len(data) + 1, bool)
     mark = np.zeros(len(data) + 1, np.int8)
-    np.add.at(mark, starts, 1)
-    np.add.at(mark, ends, -1)
+    mark[starts] += 1
+    mark[ends] -= 1
     keep[:] = np.cumsum(mark) > 0
     last = np.zeros(len(ends), bool)
     last[first[1:][first[1:] > first[:-1]] - 1] = True
