@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, simhash, substrings
+from tidemark.llm import decontaminate, simhash, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +71,9 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(ps), 0) as b
        sha256(array_to_string(case when ps is null then w else k end, ' ')) as kept_sha256
 from d left join gone using (r) left join kept using (r)
 """
+
+
+@_query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = token_files.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(stored)
