@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, simhash, substrings, token_files
+from tidemark.llm import decontaminate, mixing, simhash, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,8 @@ from d left join gone using (r) left join kept using (r)
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = token_files.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_files.read_token_files(stored)
+
+
+@_query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(_table(spark, sf_dir, "documents"))
