@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, simhash, substrings, token_files
+from tidemark.llm import decontaminate, mixing, quality_rules, simhash, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,50 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def _quality_rules_sql() -> str:
+    names = ["symbols", "dup_lines", "repeat_words", "long_words", "short_words"]
+    cells = " union all ".join(f"select lang, source, '{m}' as measure, {m} as x from measured" for m in names)
+    levels = {"f": "lang, source, measure", "l": "lang, measure", "w": "measure"}
+    quantiles = ", ".join(
+        f"""{k} as (select {by}, max(total) as docs, min(case when 4 * upto >= total then b end) as q1,
+            min(case when 4 * upto >= 2 * total then b end) as q2, min(case when 4 * upto >= 3 * total then b end) as q3
+            from (select {by}, b, sum(n) over (partition by {by} order by b) as upto, sum(n) over (partition by {by}) as total
+                  from (select {by}, b, count(*) as n from cells group by {by}, b)) group by {by})""" for k, by in levels.items())
+    pick = {q: f"case when f.docs >= {quality_rules.LEAST_DOCS} then f.{q} when l.docs >= {quality_rules.LEAST_DOCS} then l.{q} else w.{q} end" for q in ("q1", "q2", "q3")}
+    limits = []
+    for measure, side, floor in quality_rules.MEASURES:
+        spread = f"{pick['q2']} - {pick['q1']}" if side > 0 else f"{pick['q3']} - {pick['q2']}"
+        limits.append(f"max(case when f.measure = '{measure}' then {pick['q2']} + {side * quality_rules.REACH} * greatest({spread}, {floor}) end) as limit_{measure}")
+    good = " and ".join(f"{m} {'<=' if side > 0 else '>='} limit_{m}" for m, side, _ in quality_rules.MEASURES)
+    return rf"""
+    with d as (select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as t from documents),
+    w as materialized (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws, list_filter(string_split(t, chr(10)),
+          lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
+    runs as (select r, i, hash(list_slice(ws, i, i + 7)) as h from (select r, ws, unnest(range(1, len(ws) - 6)) as i from w where len(ws) >= 8)),
+    twice as (select r, count(distinct p) as n from (select r, unnest(range(i, i + 8)) as p from
+              (select r, i, count(*) over (partition by r, h) as c from runs) where c > 1) group by r),
+    base as (select w.r, doc_id, lang, source, cast(len(ws) as bigint) as n_words, cast(length(array_to_string(ws, '')) as bigint) as word_chars,
+             cast(length(t) - length(translate(t, '#*$%&|<>', '')) as bigint) as n_symbols,
+             cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, len(ls) as n_lines, cast(coalesce(n, 0) as bigint) as n_repeat_words
+             from w left join twice using (r)),
+    measured as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+             coalesce(1000 * n_symbols // nullif(word_chars, 0), 0) as symbols, coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0) as dup_lines,
+             coalesce(1000 * n_repeat_words // nullif(n_words, 0), 0) as repeat_words, coalesce(1000 * word_chars // nullif(n_words, 0), 0) as long_words,
+             coalesce(1000 * word_chars // nullif(n_words, 0), 0) as short_words from base),
+    cells as (select lang, source, measure, x - x % cast(pow(2, greatest(length(bin(x)) - 7, 0)) as bigint) as b from ({cells})),
+    {quantiles.replace(" w as (", " whole as (")},
+    limits as (select f.lang, f.source, {", ".join(limits)} from f join l on f.lang is not distinct from l.lang and f.measure = l.measure
+               join whole as w on f.measure = w.measure group by f.lang, f.source)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {good} as kept
+    from measured m join limits on m.lang is not distinct from limits.lang and m.source is not distinct from limits.source
+    """
+
+
+ORACLES["op9_quality_rules"] = _quality_rules_sql()
