@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, quality_model, quality_rules, simhash, substrings, token_files
+from tidemark.llm import decontaminate, mixing, quality_model, quality_rules, secrets, simhash, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,8 @@ def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     model = quality_model.fit_quality(documents, _table(spark, sf_dir, "labels"))
     return quality_model.score_quality(documents.select("doc_id", "text"), model).drop("text")
+
+
+@_query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
