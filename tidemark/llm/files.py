@@ -32,7 +32,7 @@ def make_folder(folder: str) -> None:
 
 def open_output(uri: str):
     system, path = _located(uri)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):

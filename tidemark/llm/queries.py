@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, quality_model, quality_rules, secrets, simhash, substrings, token_files
+from tidemark.llm import archives, decontaminate, mixing, quality_model, quality_rules, secrets, simhash, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +141,17 @@ def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op4_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.archived_pages(_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op4_archives"] = """
+select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha256(coalesce(html, '')) as payload_digest,
+       case when strlen(coalesce(html, '')) >= 100 and page_id > min(page_id) over (partition by coalesce(html, '')) then 'revisit' else 'response' end as record_type,
+       case when strlen(coalesce(html, '')) >= 100 and page_id > min(page_id) over (partition by coalesce(html, ''))
+            then min(page_id) over (partition by coalesce(html, '')) end as refers_to
+from pages
+"""
