@@ -21,7 +21,6 @@ the item named by the empty string. Rows that repeat give repeated results.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import neutral, restored
 from tidemark.llm.words import ALNUM_WORD, LOWER, Hasher, find_words, run_starts, text_chunks
+from tidemark.sources.durable import checkpoint
 
 WINDOW = 10
 SHINGLE = 3
 BLOCK_WORDS = 500_000
 _FILTER_BITS = 20
 
-HITS = "doc_id bigint, text_key string, n_words bigint, hits array<int>, items array<string>"
+FOUND = "n_words bigint, hits array<int>, items array<string>"
 
 
 @dataclass
@@ -131,7 +132,7 @@ def _counts(documents: DataFrame, tables: dict[int, np.ndarray]) -> dict[int, np
 
     out = {s: np.zeros(len(t), np.int64) for s, t in tables.items()}
     # At most one row per distinct shingle of the block reaches the driver.
-    found = documents.select("text").mapInArrow(count, "s int, i int, n bigint").groupBy("s", "i").agg(F.sum("n").alias("n")).toPandas()
+    found = documents.select(documents.columns[-1]).mapInArrow(count, "s int, i int, n bigint").groupBy("s", "i").agg(F.sum("n").alias("n")).toPandas()
     for s, group in found.groupby("s"):
         out[int(s)][group["i"].to_numpy()] = group["n"].to_numpy()
     return out
@@ -180,9 +181,11 @@ def _verified(hashes, first, block, s, containment, at, window, place, runs, ite
     return start[good], window[good]
 
 
-def _block_hits(documents: DataFrame, block: Block, shingle: int, containment: float, several: bool) -> DataFrame:
+def _block_hits(documents: DataFrame, block: Block, shingle: int, containment: float, keep_text: bool = False) -> DataFrame:
+    """``documents`` (its last column is the text) with n_words, hits and items of one block."""
     spark = documents.sparkSession
     prefixes = _prefixes(block, shingle, containment, documents) if len(block.item) else {}
+    names_out = documents.columns if keep_text else documents.columns[:-1]
     shared = spark.sparkContext.broadcast((block, prefixes))
 
     def scan(batches):
@@ -192,8 +195,7 @@ def _block_hits(documents: DataFrame, block: Block, shingle: int, containment: f
         item_runs = {s: hasher.runs(block.hashes, s) for s in prefixes}
         names = np.array(block.names, dtype=object)
         for batch in batches:
-            ids, column = batch.column(0), batch.column(1)
-            for i, j, hashes, first in _words_of(column, hasher):
+            for i, j, hashes, first in _words_of(batch.column(batch.num_columns - 1), hasher):
                 starts, windows = [], []
                 for s, (_, begin, of, place) in prefixes.items():
                     runs = hasher.runs(hashes, s)
@@ -213,13 +215,23 @@ def _block_hits(documents: DataFrame, block: Block, shingle: int, containment: f
                     covered = np.repeat(start[own], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
                     hits[t] = np.unique(covered - first[t]).tolist()
                     items[t] = sorted(set(names[block.item[window[own]]].tolist()))
-                keys = [None if v is None else hashlib.sha256(v.encode()).hexdigest() for v in column.slice(i, j - i).to_pylist()] if several else [None] * (j - i)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(i, j - i), pa.array(keys, pa.string()), pa.array(np.diff(first).astype(np.int64)),
+                    *[c.slice(i, j - i) for c in batch.columns[:len(names_out)]], pa.array(np.diff(first).astype(np.int64)),
                     pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())),
-                ], ["doc_id", "text_key", "n_words", "hits", "items"])
+                ], [*names_out, "n_words", "hits", "items"])
 
-    return documents.select("doc_id", "text").mapInArrow(scan, HITS)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*names_out).schema.fields]
+    return documents.mapInArrow(scan, ", ".join([*fields, FOUND]))
+
+
+def _blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Block]:
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    # A text of n characters has at most (n + 1) / 2 words.
+    size = items.agg(F.sum(F.floor((F.length("text") + 1) / 2)).alias("n")).first()["n"] or 0
+    count = max(1, -(-int(size) // block_words))
+    dealt = items.withColumn("_b", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)))
+    for b in range(count):
+        yield make_block(dealt.filter(F.col("_b") == b).drop("_b").toArrow(), window)
 
 
 def benchmark_hits(
@@ -234,28 +246,34 @@ def benchmark_hits(
 
     ``documents`` needs doc_id and text, ``benchmark`` item_id and text.
     """
-    spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    # A text of n characters has at most (n + 1) / 2 words.
-    size = items.agg(F.sum(F.floor((F.length("text") + 1) / 2)).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-int(size) // block_words))
-    dealt = items.withColumn("_b", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    found = None
-    for b in range(blocks):
-        block = make_block(dealt.filter(F.col("_b") == b).drop("_b").toArrow(), window)
-        hits = _block_hits(docs, block, shingle, containment, blocks > 1)
-        found = hits if found is None else found.unionByName(hits)
-    if blocks == 1:
-        return found.drop("text_key")
+    text = F.col("text").cast("string")
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.sha2(text, 256).alias("text_key"), text.alias("text"))
+    each = [_block_hits(docs, block, shingle, containment) for block in _blocks(benchmark, window, block_words)]
+    if len(each) == 1:
+        return each[0].drop("text_key")
+    found = each[0]
+    for more in each[1:]:
+        found = found.unionByName(more)
     # Rows that repeat (equal id and text) have merged; each block saw each of them once.
     merged = found.groupBy("doc_id", "text_key").agg(
         F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.count(F.lit(1)).alias("_n"))
-    copies = F.sequence(F.lit(1), (F.col("_n") / blocks).cast("int"))
+    copies = F.sequence(F.lit(1), (F.col("_n") / len(each)).cast("int"))
     return merged.select("doc_id", "n_words", "hits", "items", F.explode(copies).alias("_c")).drop("_c")
 
 
+def clean_documents(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, containment: float = 1.0, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The documents, in all their columns, that hold no window of the benchmark; nothing is joined back."""
+    rows = neutral(documents, ["text"])
+    for number, block in enumerate(_blocks(benchmark, window, block_words)):
+        # One block's index at a time is in the workers' memory.
+        rows = checkpoint(rows) if number else rows
+        rows = _block_hits(rows, block, shingle, containment, keep_text=True).filter(F.size("hits") == 0).select(*rows.columns)
+    return restored(rows, documents, ["text"])
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The digest of :func:`benchmark_hits`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     hits = benchmark_hits(documents, benchmark, **how)

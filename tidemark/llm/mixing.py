@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import neutral, restored
 from tidemark.sources.durable import checkpoint
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -187,18 +188,21 @@ def mixed_documents(documents: DataFrame, **how) -> DataFrame:
     A document taken whole keeps its text; otherwise its taken words, in order,
     are joined by a space. A column n_chars is set to the length of the text.
     """
-    mix = mix_sources(documents, **how)
+    keep = ["doc_id", "source", "text"]
+    rows = neutral(documents, keep)
+    mix = mix_sources(rows, **how)
     spans = mix.pieces.groupBy("doc_id", "key", "nth", "turn").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"), F.sum(F.col("end") - F.col("start")).alias("_taken"), F.first("size").alias("_size"))
     takes = spans.groupBy("doc_id", "key").agg(F.collect_list(F.struct("_spans", "_taken", "_size")).alias("_takes"))
     takes = takes.select(F.col("doc_id").alias("_take_id"), F.col("key").alias("_take_key"), "_takes")
-    rows = documents.withColumn("_key", row_key(documents))
-    one = rows.dropDuplicates(["doc_id", "_key"])
-    joined = one.join(takes, one["doc_id"].eqNullSafe(F.col("_take_id")) & (F.col("_key") == F.col("_take_key"))).withColumn("_take", F.explode("_takes"))
+    one = rows.withColumn("_key", row_key(rows)).dropDuplicates(["doc_id", "_key"])
+    joined = one.join(takes, F.col("doc_id").eqNullSafe(F.col("_take_id")) & (F.col("_key") == F.col("_take_key"))).withColumn("_take", F.explode("_takes"))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    part = F.array_join(F.flatten(F.transform("_take._spans", lambda s: F.slice(words, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), " ")
+    # The words are split once per row, whatever the number of spans.
+    part = F.element_at(F.transform(F.array(words), lambda ws: F.array_join(F.flatten(F.transform(
+        "_take._spans", lambda s: F.slice(ws, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), " ")), 1)
     text = F.when(F.col("_take._taken") == F.col("_take._size"), F.col("text")).otherwise(part)
-    out = joined.withColumn("text", text)
+    out = restored(joined.withColumn("text", text), documents, keep)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+    return out

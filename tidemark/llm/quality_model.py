@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import neutral, restored
 from tidemark.llm.words import LOWER, PLAIN_WORD, Hasher, find_words, mix, text_chunks
 
 SAMPLE = 12_000
@@ -229,3 +230,8 @@ def score_quality(documents: DataFrame, model: Model) -> DataFrame:
     ordered = documents.select(*columns)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields)
     return ordered.mapInArrow(scan, f"{fields}, expected_grade double, tail_prob double, kept boolean")
+
+
+def good_documents(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents that the model keeps, in all their columns."""
+    return restored(score_quality(neutral(documents, ["text"]), model).filter("kept"), documents, ["text"])

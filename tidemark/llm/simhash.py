@@ -38,6 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import neutral, restored
 from tidemark.llm.words import LOWER, PLAIN_WORD, find_words, joined_words, text_chunks
 from tidemark.operators.components import components
 from tidemark.sources.durable import checkpoint
@@ -66,10 +67,15 @@ def _min_bits(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(documents: DataFrame, shingle: int = 4, with_check: bool = False) -> DataFrame:
-    """doc_id, fp (and check): SimHash of the XXH64 (seed 42) of lower-cased word shingles, as signed longs."""
+    """The SimHash of the XXH64 (seed 42) of lower-cased word shingles, as a signed long.
+
+    Takes ``text`` away and adds fp (and check).
+    """
+    rest = [c for c in documents.columns if c != "text"]
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offsets in text_chunks(batch.column(1), _CHUNK):
+            for i, j, data, offsets in text_chunks(batch.column(len(rest)), _CHUNK):
                 lowered = LOWER[data]
                 starts, ends, first = find_words(lowered, offsets, PLAIN_WORD)
                 text, at, to = joined_words(lowered, starts, ends, first)
@@ -90,13 +96,14 @@ def fingerprints(documents: DataFrame, shingle: int = 4, with_check: bool = Fals
                     fp[full] = packed.view(_U).ravel()
                     if with_check:
                         check[full] = _min_bits(hashes, begin[full])
-                columns = [batch.column(0).slice(i, j - i), pa.array(fp.view(np.int64))]
+                columns = [c.slice(i, j - i) for c in batch.columns[:len(rest)]] + [pa.array(fp.view(np.int64))]
                 if with_check:
                     columns.append(pa.array(check.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "check"][:len(columns)])
+                yield pa.RecordBatch.from_arrays(columns, [*rest, "fp", "check"][:len(columns)])
 
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(scan, "doc_id bigint, fp bigint" + (", check bigint" if with_check else ""))
+    docs = documents.select(*rest, F.col("text").cast("string").alias("text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema.fields]
+    return docs.mapInArrow(scan, ", ".join([*fields, "fp bigint"] + ["check bigint"] * with_check))
 
 
 @dataclass
@@ -358,16 +365,10 @@ def _verify(distance: int, agree: int, columns: list[str]):
     return scan, ", ".join(f"{n} bigint" for n in names)
 
 
-def near_duplicates(documents: DataFrame, shingle: int = 4, distance: int = 4, agree: int | None = None) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (least doc_id that links reach), one row per document.
-
-    Fingerprints link at ``distance`` or fewer differing bits; with ``agree``, only
-    if at least so many of 64 min-hash bits are equal too (2 * agree / 64 - 1
-    estimates the Jaccard similarity).
-    """
+def _components(prints: DataFrame, distance: int, agree: int | None) -> DataFrame:
+    """``prints`` with ``component``, a number shared by all rows that links connect."""
     columns = ["fp"] if agree is None else ["fp", "check"]
-    prints = checkpoint(fingerprints(documents, shingle, agree is not None))
-    nodes = checkpoint(prints.groupBy(*columns).agg(F.min("doc_id").alias("doc_id")))
+    nodes = checkpoint(prints.select(*columns).distinct())
     n = nodes.count()
     order = _bit_order(nodes, n)
     plan = plan_parts(order, _block_distances(nodes, order), n, distance)
@@ -377,8 +378,36 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, distance: int = 4, a
     name = lambda side: F.col(f"fp_{side}") if agree is None else F.xxhash64(f"fp_{side}", f"check_{side}")
     linked = components(edges.select(name("a").alias("u"), name("b").alias("v")))
     own = F.col("fp") if agree is None else F.xxhash64("fp", "check")
-    named = nodes.withColumn("node", own).join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    labels = named.join(least, "component").select(*columns, "component_id")
+    named = nodes.withColumn("node", own).join(linked, "node", "left")
+    return prints.join(named.select(*columns, F.coalesce("component", "node").alias("component")), columns)
+
+
+def near_duplicates(documents: DataFrame, shingle: int = 4, distance: int = 4, agree: int | None = None) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (least doc_id that links reach), one row per document.
+
+    Fingerprints link at ``distance`` or fewer differing bits; with ``agree``, only
+    if at least so many of 64 min-hash bits are equal too (2 * agree / 64 - 1
+    estimates the Jaccard similarity).
+    """
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    prints = checkpoint(fingerprints(docs, shingle, agree is not None))
+    grouped = checkpoint(_components(prints, distance, agree))
+    least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(labels, columns).select("doc_id", text.alias("fingerprint"), "component_id")
+    return grouped.join(least, "component").select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def one_of_each(documents: DataFrame, shingle: int = 5, distance: int = 10, agree: int | None = 54) -> DataFrame:
+    """The document with the least doc_id of each group of near duplicates, in the columns of ``documents``.
+
+    Of rows that share that id the one with the least hash stays; a null id counts as the largest.
+    """
+    rows = neutral(documents, ["doc_id", "text"])
+    rows = rows.withColumn("_key", F.xxhash64(*rows.columns))
+    docs = rows.select(F.col("doc_id").alias("_id"), "_key", "text")
+    prints = checkpoint(fingerprints(docs, shingle, agree is not None))
+    order = F.struct(F.col("_id").isNull().alias("unknown"), F.col("_id").alias("id"), F.col("_key").alias("key"))
+    kept = _components(prints, distance, agree).groupBy("component").agg(F.min(order).alias("_f"))
+    kept = kept.select(F.col("_f.id").alias("_kept_id"), F.col("_f.key").alias("_kept_key"))
+    found = rows.join(kept, (F.col("_key") == F.col("_kept_key")) & F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    return restored(found.dropDuplicates(["_key", "doc_id"]), documents, ["doc_id", "text"])
