@@ -11,16 +11,17 @@ Each id takes the fewest bits that hold the vocabulary. A file is
 All numbers are little-endian, bits go from the lowest up. A reader finds any
 token through the block offsets and unpacks whole blocks with numpy.
 
-Writing: documents are encoded where they are and stored packed, then dealt by
-ranges of doc_id and written one file per range in ascending order (a null
-doc_id comes first, equal ids are ordered by their tokens). No file or range is ever
-gathered in one place: tasks stream. Starts come from per-file totals.
+Writing: documents are dealt by ranges of doc_id, encoded, and written one file per
+range in ascending order (a null doc_id comes first, equal ids are ordered by a hash of the
+text, then by the text). Tasks stream; no file is ever held. Starts come from per-file totals.
 
 Nulls: a null text is empty and has the end id alone.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,8 +38,8 @@ from tidemark.sources.durable import checkpoint, scratch_path
 MAGIC, VERSION = b"TKPK", 1
 HEAD = "<4sBBI"
 BLOCK = 4096
-CACHED_PIECES = 300_000
-FILE_TOKENS = 64_000_000
+KNOWN_WORDS = 200_000
+FILE_BYTES = 256 << 20
 
 
 def width_of(vocabulary: int) -> int:
@@ -60,49 +61,66 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
     return (spread.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype=np.uint32).astype("<u4")
 
 
+# Characters whose words the encoder finds itself: ASCII but for controls, and the letters of Latin-1. They
+# are composed, so normalisation only lowers them.
+_PLAIN = re.compile(r"[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+# Fixed value: the pre-tokenizer's pattern, for lowered text of those characters.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r\x20a-z0-9ß-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as a letter: itself if it is printable in Latin-1, else one from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    letters = {b: chr(b) for b in printable} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+    return {c: "".join(letters[b] for b in chr(c).encode()) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100))}
+
+
 class Encoder:
-    """Ids of whole texts. A tokenizer that drops white space encodes each piece between spaces alone, so pieces are kept."""
+    """Ids of whole texts by the tokenizers library.
+
+    For a lower-casing word tokenizer, the words of a plain text are found here and
+    the library's model encodes each of them, once as long as it is remembered. Other
+    texts, and all texts of tokenizers of another make, go through the library whole.
+    """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.end = np.uint32(end_id).tobytes()
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        # Breaks at ASCII white space only: str.split would also break at others.
-        pieces = [t.translate(_BREAKS).split(" ") for t in texts]
-        new = list({p for own in pieces for p in own if p not in known})
-        if len(known) + len(new) > CACHED_PIECES:
+        self.by_word = self._is_word_tokenizer(path)
+
+    def _is_word_tokenizer(self, path: str) -> bool:
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        steps = [n.get("type") for n in (parts.get("normalizer") or {}).get("normalizers", [])]
+        split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        pattern = (split[0].get("pattern") or {}).get("Regex", "")
+        special = [t["content"] for t in parts.get("added_tokens", [])]
+        return (
+            steps == ["NFC", "Replace", "Lowercase"] and [p.get("type") for p in split] == ["Split", "ByteLevel"]
+            and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" and all(t.startswith("<|") for t in special))
+
+    def encode(self, text: str) -> bytes:
+        """The ids of the text and the end id, four bytes each."""
+        if not (self.by_word and _PLAIN.fullmatch(text) and "<|" not in text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
+        words, known = _WORDS.findall(text.lower()), self.known
+        try:
+            return b"".join(map(known.__getitem__, words)) + self.end
+        except KeyError:
+            pass
+        if len(known) > KNOWN_WORDS:
             known.clear()
-            new = list({p for own in pieces for p in own})
-        known.update(zip(new, self._encoded(new)))
-        return [b"".join(map(known.__getitem__, own)) + self.end for own in pieces]
-
-
-_BREAKS = {c: " " for c in range(0x09, 0x0E)}
-
-
-def encode_documents(documents: DataFrame, tokenizer: str, end_id: int, bits: int) -> DataFrame:
-    """doc_id, n (ids with the end id) and their packed ids."""
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end_id)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                cut = batch.slice(at, 256)
-                ids = [np.frombuffer(b, "<u4") for b in encoder.encode([t or "" for t in cut.column(1).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([
-                    cut.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([pack(x, bits) for x in ids], pa.binary()),
-                ], ["doc_id", "n", "ids"])
-
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(scan, "doc_id bigint, n bigint, ids binary")
+        for word in set(words):
+            if word not in known:
+                spelt = word if word.isascii() else word.translate(self.letters)
+                known[word] = struct.pack(f"<{len(found)}I", *found) if (found := [t.id for t in self.model.tokenize(spelt)]) else b""
+        return b"".join(map(known.__getitem__, words)) + self.end
 
 
 class Writer:
@@ -181,7 +199,7 @@ class TokenFiles:
 
 def write_token_files(
     documents: DataFrame, tokenizer: str, end_id: int, vocabulary: int | None = None, folder: str | None = None,
-    block: int = BLOCK, file_tokens: int = FILE_TOKENS,
+    block: int = BLOCK, file_bytes: int = FILE_BYTES,
 ) -> TokenFiles:
     """Encodes every text, appends ``end_id`` and writes all ids in ascending doc_id order."""
     spark = documents.sparkSession
@@ -190,27 +208,30 @@ def write_token_files(
     bits = width_of(max(vocabulary, end_id + 1))
     folder = files.folder_uri(folder or scratch_path(spark, "tokens"))
     files.make_folder(folder)
-    encoded = checkpoint(encode_documents(documents, tokenizer, end_id, bits))
-    total = encoded.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // file_tokens))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // file_bytes))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        writer, part = None, TaskContext.get().partitionId()
+        writer, part, encoder = None, TaskContext.get().partitionId(), None
         for batch in batches:
-            for doc, n, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if writer is None:
-                    path = files.fresh_name(folder, "tok")
-                    writer = Writer(path, bits, block)
-                writer.add(doc, unpack(data, n, bits))
+            for at in range(0, batch.num_rows, 256):
+                for doc, text in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    if writer is None:
+                        path, encoder = files.fresh_name(folder, "tok"), Encoder(tokenizer, end_id)
+                        writer = Writer(path, bits, block)
+                    writer.add(doc, np.frombuffer(encoder.encode(text), "<u4"))
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "documents": [len(writer.docs)], "tokens": [writer.tokens]},
                                              pa.schema([("part", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())]))
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("ids")]
-    ranged = encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # The hash parts rows of one id; boundaries are sampled from these two columns alone.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash")]
+    ranged = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text").select("doc_id", "text")
     written = checkpoint(ranged.mapInArrow(write, "part int, path string, documents bigint, tokens bigint"))
     # One row per file: the running total is over files, not over documents.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
