@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import archives, decontaminate, mixing, quality_model, quality_rules, secrets, simhash, substrings, token_files
+from tidemark.llm import archives, decontaminate, licences, mixing, quality_model, quality_rules, secrets, simhash, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +156,11 @@ select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha
             then min(page_id) over (partition by coalesce(html, '')) end as refers_to
 from pages
 """
+
+
+@_query
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(_table(spark, sf_dir, "documents"))
+    text = F.transform("matches", lambda m: F.concat_ws(
+        ":", m["licence"], m["template"].cast("string"), m["first_line"].cast("string"), m["last_line"].cast("string"), F.round(m["dice"], 6).cast("string")))
+    return found.select("doc_id", F.size("matches").cast("bigint").alias("n_licences"), F.array_join(text, ",").alias("licences"))
