@@ -36,7 +36,8 @@ WEIGHTS = (5, 2, 1)
 BLOCK = 64
 SHARD_SLOTS = 1 << 16
 CHUNK_SLOTS = 4096
-ROUNDS = 4
+TASK_SLOTS = 1 << 21
+ROUNDS = 3
 # Walking back into the range: the slack is under sqrt(n), so n <= 1600 always ends, and for
 # larger n the chance to need more steps is below 40 ** -40.
 WALK = 40
@@ -104,10 +105,10 @@ def permuted(x: Column, n: Column, *seeds: Column) -> Column:
     """Where the pseudorandom permutation of 0 .. n - 1 sends x."""
     rows = F.ceil(F.sqrt(n)).cast("bigint")
     columns = F.ceil(n / rows).cast("bigint")
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALK)), _shuffled(x, rows, columns, seeds),
-        lambda at, _: F.when(at < n, at).otherwise(_shuffled(at, rows, columns, seeds)))
-    return walked
+    step = lambda at: _shuffled(at, rows, columns, seeds)
+    walk = lambda at: F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), at, lambda x, _: F.when(x < n, x).otherwise(step(x)))
+    # Nearly all first steps end in the range; the array binds that step's result, so that it is computed once.
+    return F.element_at(F.transform(F.array(step(x)), lambda at: F.when(at < n, at).otherwise(walk(at))), 1)
 
 
 def mix_sources(
@@ -115,6 +116,7 @@ def mix_sources(
     block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 0,
 ) -> Mix:
     """Plans the mix of all documents (doc_id, text, source; other columns only tell rows apart)."""
+    spark = documents.sparkSession
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
     rows = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), row_key(documents).alias("key"), size.alias("size"))
@@ -152,14 +154,16 @@ def mix_sources(
     # Slots, made in chunks so that a hot source is spread.
     chunks = sources.filter("slots > 0").select(
         "rank", "slots", "blocks", F.explode(F.sequence(F.lit(0).cast("bigint"), _div(F.col("slots") - 1, CHUNK_SLOTS))).alias("_chunk"))
-    chunks = chunks.repartition("rank", "_chunk")
+    # A fixed number of tasks: adaptive execution would judge the chunks by their size before they are exploded.
+    chunks = chunks.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // TASK_SLOTS)), "rank", "_chunk")
     ends = F.least((F.col("_chunk") + 1) * CHUNK_SLOTS, F.col("slots")) - 1
     slots = chunks.select("rank", "blocks", F.explode(F.sequence(F.col("_chunk") * CHUNK_SLOTS, ends)).alias("slot"))
     turn = _div(F.col("slot"), F.col("blocks"))
     slots = slots.select(
         "rank", "slot", turn.alias("turn"), F.pmod(F.xxhash64(F.lit(seed), "rank", "slot"), F.lit(shards)).alias("shard"),
         permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("rank"), turn).alias("block"))
-    pieces = slots.join(parts, ["rank", "block"]).select(
+    # Both sides grow with the corpus, more than estimates across an explode say: never a broadcast.
+    pieces = checkpoint(slots).join(parts.hint("merge"), ["rank", "block"]).select(
         "shard", "rank", "slot", "turn", "block", "doc_id", "source", "key", "nth", "size", "start", "end")
     return Mix(docs, sources.drop("_docs", "_buckets"), pieces)
 
