@@ -38,8 +38,7 @@ def case(odd_texts):
     for k in range(60):
         text = say(rng.randrange(1, 60))
         if k % 3 == 0:
-            text += ", " + rng.choice(items)[1].upper() + ". " + say(5) if (item := rng.choice(items))[1] else ""
-            text += f"\n{item[1]}!"
+            text += f", {(rng.choice(items)[1] or '').upper()}. {say(5)}\n{rng.choice(items)[1]}!"
         rows.append((100 + k, text))
     rows += [rows[20], rows[20], (None, rows[30][1])]
     return rows, items

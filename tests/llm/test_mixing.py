@@ -37,7 +37,7 @@ def test_targets_sizes_and_limits(docs, prose, odd_texts):
         ids = {str(r[0]) for r in rows if r[2] == source}
         own = [r for r in got if str(r.doc_id) in ids and r.source_size == size]
         assert all(abs(r.target - want[source]) < 1e-6 for r in own)
-        assert abs(sum(r.taken for r in own) - want[source]) <= mixing.BLOCK
+        assert abs(sum(r.taken for r in own) - want[source]) <= 1.5 * mixing.BLOCK  # half a block, and a last block that is not full
     assert all(r.taken <= 2 * r.size for r in got)
 
 

@@ -32,6 +32,7 @@ from tidemark.llm.columns import neutral, restored
 from tidemark.sources.durable import checkpoint
 
 WORD = r"[^\x20\x09-\x0D]+"
+KEEP = ("doc_id", "source", "text")
 WEIGHTS = (5, 2, 1)
 BLOCK = 64
 SHARD_SLOTS = 1 << 16
@@ -175,7 +176,7 @@ def row_key(documents: DataFrame) -> Column:
 
 def taken_words(documents: DataFrame, **how) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    mix = mix_sources(documents, **how)
+    mix = mix_sources(neutral(documents, KEEP), **how)
     taken = mix.pieces.groupBy("doc_id", "source", "key", "nth").agg(F.sum(F.col("end") - F.col("start")).alias("taken"))
     names = ["doc_id", "source", "key", "nth"]
     own = mix.docs.join(mix.sources.select(F.col("source").alias("_source"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_source")))
@@ -192,8 +193,7 @@ def mixed_documents(documents: DataFrame, **how) -> DataFrame:
     A document taken whole keeps its text; otherwise its taken words, in order,
     are joined by a space. A column n_chars is set to the length of the text.
     """
-    keep = ["doc_id", "source", "text"]
-    rows = neutral(documents, keep)
+    rows = neutral(documents, KEEP)
     mix = mix_sources(rows, **how)
     spans = mix.pieces.groupBy("doc_id", "key", "nth", "turn").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"), F.sum(F.col("end") - F.col("start")).alias("_taken"), F.first("size").alias("_size"))
@@ -206,7 +206,7 @@ def mixed_documents(documents: DataFrame, **how) -> DataFrame:
     part = F.element_at(F.transform(F.array(words), lambda ws: F.array_join(F.flatten(F.transform(
         "_take._spans", lambda s: F.slice(ws, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), " ")), 1)
     text = F.when(F.col("_take._taken") == F.col("_take._size"), F.col("text")).otherwise(part)
-    out = restored(joined.withColumn("text", text), documents, keep)
+    out = restored(joined.withColumn("text", text), documents, KEEP)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return out

@@ -10,7 +10,8 @@ text as in a short one. Features are 64-bit hashes without a modulus.
 The model is fitted on at most ``sample`` labelled documents (those with the least
 hash of their id; three quarters fit, a quarter sets the cut), and knows at most
 ``sample * features per document / least_docs`` features: those in ``least_docs`` or more of
-the fitting documents. Scoring streams over all documents.
+the fitting documents, and among them those that a chi-square test ties to the grade.
+Scoring streams over all documents.
 
 The cut on P(grade = 2) is where the held-out documents that are wrongly rejected
 and wrongly kept weigh least, a wrongly rejected one ``keep_cost`` times.
@@ -36,6 +37,8 @@ from tidemark.llm.words import LOWER, PLAIN_WORD, Hasher, find_words, mix, text_
 SAMPLE = 12_000
 LEAST_DOCS = 8
 KEEP_COST = 2.0
+PRIOR = 0.5
+LEAST_CHI2 = 18.0
 _U = np.uint64
 # Bytes of words that tell meaning; what else ends or starts a word is its shape.
 _LETTER = np.zeros(256, bool)
@@ -124,8 +127,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit_ordinal(row: np.ndarray, column: np.ndarray, grade: np.ndarray, width: int, rounds: int = 300, rate: float = 0.1, penalty: float = 3e-4):
-    """Weights and ordered thresholds by Adam on the mean log-likelihood of sparse binary rows."""
+def fit_ordinal(row: np.ndarray, column: np.ndarray, grade: np.ndarray, width: int, rounds: int = 300, rate: float = 0.1, prior: float = PRIOR, faults_only: bool = True):
+    """Weights and ordered thresholds by Adam on the log-likelihood of sparse binary rows, with a normal prior on weights.
+
+    With ``faults_only`` no weight is positive: a feature can only lower the grade, so that what is usual in good
+    texts does not add up over a long one and cover a fault.
+    """
+    penalty = prior / max(len(grade), 1)
     weights = np.zeros(width)
     share = np.clip([np.mean(grade <= k) for k in range(2)], 1e-3, 1 - 1e-3)
     low = np.log(share / (1 - share))
@@ -148,10 +156,19 @@ def fit_ordinal(row: np.ndarray, column: np.ndarray, grade: np.ndarray, width: i
         m = 0.9 * m + 0.1 * gradient
         v = 0.999 * v + 0.001 * gradient**2
         state += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        if faults_only:
+            np.minimum(state[:width], 0, out=state[:width])
     t0 = state[width]
     return state[:width], np.array([t0, t0 + np.exp(np.clip(state[width + 1], -10, 10))])
 
 
+def _telling(row: np.ndarray, column: np.ndarray, grade: np.ndarray, width: int) -> np.ndarray:
+    """Features whose counts by grade are further from chance than LEAST_CHI2; the rest would only learn single documents by heart."""
+    seen = np.stack([np.bincount(column[grade[row] == g], minlength=width) for g in range(3)], axis=1).astype(float)
+    expected = np.maximum(seen.sum(axis=1, keepdims=True) * np.bincount(grade, minlength=3) / len(grade), 1e-9)
+    return ((seen - expected) ** 2 / expected).sum(axis=1) > LEAST_CHI2
+
+
 def _cut(tail: np.ndarray, good: np.ndarray, keep_cost: float) -> float:
     """The cut where wrong rejections and wrong acceptances weigh least, halfway between neighbours."""
     order = np.argsort(tail)
@@ -195,16 +212,16 @@ def fit_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, l
     features, column = np.unique(used["feature"].to_numpy().view(_U), return_inverse=True)
     grades = np.zeros(len(docs), int)
     grades[row] = used["grade"].to_numpy()
+    # In a fixed order, so that sums do not depend on how rows arrive.
+    order = np.lexsort((column, row))
+    row, column = row[order], column[order]
     held = mix(docs.view(_U)) % _U(4) == 0
     if len(np.unique(grades[~held])) < 2 or not held.any():
         return KEEP_ALL
     renumbered = np.cumsum(~held) - 1
     fit = ~held[row]
-    # In a fixed order, so that sums and with them weights do not depend on how rows arrive.
-    order = np.lexsort((column[fit], row[fit]))
-    x, y = renumbered[row[fit]][order], column[fit][order]
-    seen = np.bincount(y, minlength=len(features)) >= max(1, least_docs // 2)
-    kept = seen[y]
+    x, y = renumbered[row[fit]], column[fit]
+    kept = _telling(x, y, grades[~held], len(features))[y]
     weights, thresholds = fit_ordinal(x[kept], y[kept], grades[~held], len(features))
     score = np.bincount(row, weights[column], minlength=len(docs))
     model = Model(features, weights, thresholds, 0.0)
