@@ -242,8 +242,10 @@ add("fuel_use", f"SELECT event_id, {_rounded('sfc_me', 'sfc_ae', 'sfc_ab', 'me_c
     ENERGY)
 add("co2", f"SELECT event_id, {_rounded('co2_g')} FROM emitted", ENERGY)
 add("ch4_n2o", f"SELECT event_id, {_rounded('ch4_g', 'n2o_g')} FROM emitted", ENERGY)
-add("emissions", f"SELECT event_id, op_phase, {_rounded('freq', 'co2_t', 'ch4_t', 'n2o_t')} FROM tonnes", ENERGY)
-add("unpivot_emissions", f"SELECT event_id, emission_type, {_rounded('emission_value')} FROM long_form", ENERGY)
+add("emissions", """
+SELECT event_id, op_phase, round(freq, 6) AS freq, round(co2_t * 1e6, 6) AS co2_g, round(ch4_t * 1e6, 6) AS ch4_g,
+  round(n2o_t * 1e6, 6) AS n2o_g FROM tonnes""", ENERGY)
+add("unpivot_emissions", "SELECT event_id, emission_type, round(emission_value * 1e6, 6) AS emission_value FROM long_form", ENERGY)
 add("local_emissions", f"SELECT * REPLACE (round(emission_value, 6) AS emission_value) FROM monthly", ENERGY)
 add("null_emissions", """
 SELECT count(*) FILTER (co2_t IS NULL) AS co2_t_null, count(*) FILTER (ch4_t IS NULL) AS ch4_t_null,
@@ -471,6 +473,23 @@ WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT date_done FROM done_days)""")
 add("ranges_to_do", """
 SELECT strftime(from_date, '%Y-%m-%d') AS from_date, strftime(to_date, '%Y-%m-%d') AS to_date
 FROM (SELECT * FROM transit_ranges EXCEPT SELECT * FROM port_ranges)""")
+add("first_pending_range", """
+SELECT strftime(from_date, '%Y-%m-%d') AS from_date, strftime(to_date, '%Y-%m-%d') AS to_date
+FROM (SELECT * FROM transit_ranges EXCEPT SELECT * FROM port_ranges) ORDER BY 1, 2 LIMIT 1""")
+ORACLES["emissions_increment"] = ORACLES["local_emissions"]
+ORACLES["stream_anchorage_sessions"] = query("""
+SELECT imo, mmsi, min(t_s) AS anch_start, max(t_s) AS anch_end, count(*) AS n_positions
+FROM (SELECT *, sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s) AS gid FROM drifting) GROUP BY imo, mmsi, gid""", HARBOUR)
+_RUN = """
+SELECT imo, mmsi, port_group_id, port_name, port_start, port_end, '{0}' AS from_date, '{1}' AS to_date FROM port_ev"""
+_RUNS = []
+for _low, _high in (("2024-01-01", "2024-01-15"), ("2024-01-16", "2024-01-30")):
+    _within = f"ranged AS (SELECT * FROM harbour WHERE t_s BETWEEN epoch(DATE '{_low}') AND epoch(DATE '{_high}') + 86399),"
+    _RUNS.append(query(_RUN.format(_low, _high), _within + HARBOUR.replace("FROM harbour", "FROM ranged")))
+ORACLES["port_call_runs"] = " UNION ALL ".join(f"SELECT * FROM ({_one})" for _one in _RUNS)
+for _at, (_low, _high, _only) in {"a": ("2024-01-01", "2024-01-15", "true"), "b": ("2024-01-16", "2024-01-30", "imo IS NULL")}.items():
+    ORACLES[f"_{_at}"] = f"SELECT *, '{_low}' AS from_date, '{_high}' AS to_date FROM ({ORACLES['port_calls']}) WHERE {_only}"
+ORACLES["write_results"] = f"SELECT * FROM ({ORACLES.pop('_a')}) UNION ALL SELECT * FROM ({ORACLES.pop('_b')})"
 add("new_days_only", """
 SELECT event_id, t_s AS dt_pos_utc FROM positions WHERE t_s // 86400 IN (SELECT t_s // 86400 FROM positions WHERE sog < 0.02)""")
 

@@ -15,7 +15,7 @@ from tidemark.functions import cells
 from tidemark.functions import constants as K
 from tidemark.operators import cluster, geo, ports, specs, tracks, transits, zones
 from tidemark.operators import emissions as em
-from tidemark.plans import jobs
+from tidemark.plans import jobs, runs
 from tidemark.sources import ledger, results
 from tidemark.sources import positions as scans
 from tidemark.sources.durable import checkpoint, scratch_path
@@ -337,12 +337,15 @@ def ch4_n2o(v: View) -> DataFrame:
 
 @query
 def emissions(v: View) -> DataFrame:
-    return em.emissions(v.specified, v.layers).select("event_id", "op_phase", "freq", "co2_t", "ch4_t", "n2o_t")
+    tonnes = em.emissions(v.specified, v.layers)
+    # In grams: per position, tonnes of the small gases vanish in six places.
+    return tonnes.select("event_id", "op_phase", "freq", *[(F.col(f"{g}_t") * 1e6).alias(f"{g}_g") for g in ("co2", "ch4", "n2o")])
 
 
 @query
 def unpivot_emissions(v: View) -> DataFrame:
-    return em.unpivot_emissions(em.emissions(v.specified, v.layers), ["event_id"])
+    long = em.unpivot_emissions(em.emissions(v.specified, v.layers), ["event_id"])
+    return long.withColumn("emission_value", F.col("emission_value") * 1e6)
 
 
 @query
@@ -560,6 +563,35 @@ def ranges_to_do(v: View) -> DataFrame:
     return ledger.ranges_to_do(v.transit_ranges, done, first_only=False)
 
 
+@query
+def first_pending_range(v: View) -> DataFrame:
+    done = ledger.processed_ranges(fx.object_names(v.spark, v.dir), "port_stops_in")
+    return ledger.ranges_to_do(v.transit_ranges, done)
+
+
+@query
+def emissions_increment(v: View) -> DataFrame:
+    """The emissions of all days in two runs, the first of which is run again."""
+    path, log = scratch_path(v.spark, "sums"), scratch_path(v.spark, "days")
+    days = v.positions.select(F.date_format(TS, "yyyy-MM-dd").alias("day")).distinct()
+    early = days.filter("day < '2024-01-20'")
+    for part in (early, early, days):
+        runs.run_emissions(v.positions, v.registry, v.factors, v.layers, part, path, log, fx.TIE)
+    return runs.emission_sums(v.spark, path)
+
+
+@query
+def port_call_runs(v: View) -> DataFrame:
+    """Port calls of three ranges, one run each and one more; the last range has no positions."""
+    path, log = scratch_path(v.spark, "calls"), scratch_path(v.spark, "ranges")
+    wanted = v.spark.sql(
+        "SELECT DATE'2024-01-01' + 15 * i AS from_date, DATE'2024-01-15' + 15 * i AS to_date FROM VALUES (0), (1), (400) AS t(i)")
+    while runs.run_port_calls(v.positions, v.port_cells, v.registry, wanted, path, log, fx.TIE):
+        pass
+    stored = results.read_results(v.spark, path)
+    return stored.select("imo", "mmsi", "port_group_id", "port_name", "port_start", "port_end", *[F.col(c).cast("string").alias(c) for c in results.RANGE_COLUMNS])
+
+
 @query
 def new_days_only(v: View) -> DataFrame:
     days = v.positions.filter("sog < 0.02").select(F.date_format(TS, "yyyy-MM-dd").alias("day"))
@@ -652,9 +684,15 @@ def stream_anchorage_sessions(v: View) -> DataFrame:
     rows.write.parquet(source)
     stream = v.spark.readStream.schema(rows.schema).parquet(source)
     found = sessions.anchorage_sessions(stream)
-    running = (
-        found.writeStream.outputMode("append").option("checkpointLocation", log)
-        .trigger(availableNow=True).format("parquet").start(sink)
-    )
-    running.awaitTermination()
+
+    def run() -> None:
+        running = (
+            found.writeStream.outputMode("append").option("checkpointLocation", log)
+            .trigger(availableNow=True).format("parquet").start(sink)
+        )
+        running.awaitTermination()
+
+    run()
+    sessions.closing_row(rows).write.mode("append").parquet(source)
+    run()
     return v.spark.read.schema(found.schema).parquet(sink)

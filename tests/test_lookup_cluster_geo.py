@@ -5,32 +5,46 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tidemark.functions import cells
-from tidemark.operators import cluster, components, geo
-from tidemark.operators.lookup import BROADCAST_LIMIT_CONF, lookup_join
+from tidemark.operators import cluster, components, geo, specs
+from tidemark.operators.lookup import lookup_join
 
 
 @pytest.fixture
 def no_broadcast(spark):
-    spark.conf.set(BROADCAST_LIMIT_CONF, "-1")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
-    spark.conf.unset(BROADCAST_LIMIT_CONF)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_broadcast_join(spark, frame, how):
+def test_growing_lookups_join_alike_without_a_broadcast(spark, frame, how):
     large = frame("k long, v long", [(1, i) for i in range(200)] + [(2, 1), (3, 2)])
     small = frame("k long, w long", [(1, 10), (3, 30), (3, 31)])
     cols = ("k", "v", "w") if how in ("inner", "left") else ("k", "v")
-    quick = rows_of(lookup_join(large, small, ["k"], how, spread=["v"]), *cols)
-    spark.conf.set(BROADCAST_LIMIT_CONF, "-1")
-    try:
-        salted = lookup_join(large, small, ["k"], how, spread=["v"])
-        assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-        assert rows_of(salted, *cols) == quick
-    finally:
-        spark.conf.unset(BROADCAST_LIMIT_CONF)
+    grown = lookup_join(large, small, ["k"], how, grows=True)
+    assert "Broadcast" not in grown._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(grown, *cols) == rows_of(lookup_join(large, small, ["k"], how), *cols)
+
+
+def test_exploded_sides_are_not_broadcast(spark, frame):
+    points = frame("latitude double, longitude double, mmsi long, dt_pos_utc timestamp", [(1.0, 1.0, 1, 0)])
+    huge = "POLYGON ((-170 -80, 170 -80, 170 80, -170 80, -170 -80))"
+    parsed = geo.parse_wkt(frame("Name string, TERRITORY1 string, WKT_geom string", [("z", "x", huge)]))
+    plan = geo.points_in_zone(points, parsed, 0.005)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+
+
+def test_open_ended_versions_stay_small(spark):
+    versions = spark.sql("SELECT TIMESTAMP'2020-01-01' AS from_date, TIMESTAMP'9999-12-31 23:59:59' AS to_date, 'A' AS version")
+    rows = spark.sql("SELECT 1L AS mmsi, TIMESTAMP'2024-05-05 10:00:00' AS dt_pos_utc UNION ALL SELECT 2L, TIMESTAMP'2019-12-31 23:59:59'")
+    assert rows_of(specs.version_join(rows, versions), "mmsi", "version") == [(1, "A"), (2, None)]
+    assert specs.version_rows(versions).count() == 7980
+
+
+def test_newest_version_goes_by_date_not_by_text(frame):
+    versions = frame("from_date timestamp, to_date timestamp, version string", [(0, 9, "9"), (10, 19, "10")])
+    rows = frame("mmsi long, version string, length double", [(1, "9", 9.0), (1, "10", 10.0), (2, "9", 1.0), (3, "x", 5.0)])
+    assert rows_of(specs.latest_specs(rows, ("length",), versions), "mmsi", "length") == [(1, 10.0), (2, 1.0), (3, 5.0)]
 
 
 def brute(points, eps):
@@ -90,7 +104,7 @@ def test_polyfill_and_points_agree(spark, frame):
     every = spark.range(0, 20 * 20).select(
         ((F.floor(F.col("id") / 20) - 1) * 0.25 + 0.125).alias("latitude"), ((F.col("id") % 20 - 1) * 0.25 + 0.125).alias("longitude"),
     )
-    found = geo.points_in_zone(every, parsed, 0.7, spread=("latitude", "longitude"))
+    found = geo.points_in_zone(every, parsed, 0.7)
     assert rows_of(found, "latitude", "longitude") == rows_of(
         filled.select(lat.alias("latitude"), lon.alias("longitude")), "latitude", "longitude")
     assert found.count() > 50

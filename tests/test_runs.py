@@ -12,7 +12,7 @@ from checks.oracles import ORACLES
 from checks.queries import QUERIES, View
 from tests.conftest import HOUR, rows_of
 from tidemark.functions.constants import SLICE_WIDTH
-from tidemark.operators import transits
+from tidemark.operators import tracks, transits
 from tidemark.plans import jobs
 from tidemark.sources import ledger, results
 from tidemark.sources import positions as scans
@@ -60,10 +60,12 @@ def test_stream_sessions_match_the_batch_rule(frame, spark):
     source, sink, log = (scratch_path(spark, n) for n in ("in", "out", "log"))
     rows.write.parquet(source)
     found = sessions.anchorage_sessions(spark.readStream.schema(rows.schema).parquet(source))
-    found.writeStream.option("checkpointLocation", log).trigger(availableNow=True).start(sink, format="parquet").awaitTermination()
+    run = lambda: found.writeStream.option("checkpointLocation", log).trigger(availableNow=True).start(sink, format="parquet").awaitTermination()
+    run()
+    sessions.closing_row(rows).write.mode("append").parquet(source)
+    run()
     got = spark.read.schema(found.schema).parquet(sink)
-    # The last session stays open until the watermark passes it.
-    assert rows_of(got, "anch_start", "anch_end", "n_positions") == [(0, HOUR, 2), (2 * HOUR + 1, 2 * HOUR + 1, 1)]
+    assert rows_of(got, "anch_start", "anch_end", "n_positions") == [(0, HOUR, 2), (2 * HOUR + 1, 2 * HOUR + 1, 1), (100 * HOUR, 100 * HOUR, 1)]
 
 
 def test_emission_totals_do_not_count_a_repeated_batch_twice(frame, spark):
@@ -122,6 +124,7 @@ ORACLE_SAMPLE = [
     "zone_tag", "dedup_positions", "port_calls", "match_specs", "adapt_specs", "local_emissions", "transits",
     "transit_candidates", "transit_locks_strict", "draught_mode", "port_stop_records", "merge_stop_islands",
     "merge_overlaps", "points_in_zone", "polyfill", "days_to_do", "dbscan_stops",
+    "emissions_increment", "port_call_runs", "write_results", "stream_anchorage_sessions", "first_pending_range",
 ]
 
 
@@ -133,5 +136,32 @@ def test_query_equals_its_sql(spark, name):
     assert canonical(got) == canonical(want) and len(got) > 0
 
 
-def test_every_query_has_sql_but_two():
-    assert set(QUERIES) - set(ORACLES) == {"write_results", "stream_anchorage_sessions"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_an_empty_run_replaces_the_range_and_is_noted(frame, spark):
+    path, log = scratch_path(spark, "results"), scratch_path(spark, "log")
+    rows = frame("a long", [(1,), (2,), (3,)])
+    assert results.logged_ranges(spark, log).count() == 0
+    for df in (rows, rows.limit(0)):
+        results.write_results(df, path, "2024-01-01", "2024-01-15")
+        results.log_range(spark, log, "2024-01-01", "2024-01-15")
+    results.write_results(rows.limit(1), path, "2024-01-16", "2024-01-30")
+    assert results.read_results(spark, path).select("a").count() == 1
+    assert [tuple(map(str, r)) for r in results.logged_ranges(spark, log).collect()] == [("2024-01-01", "2024-01-15")]
+
+
+def test_new_days_reach_the_scan_as_a_range(frame, spark):
+    path = scratch_path(spark, "days")
+    frame("mmsi long, dt_pos_utc timestamp", [(1, 0), (2, 86400), (3, 5 * 86400)]).write.parquet(path)
+    days = frame("day string", [("2024-01-02",), ("2024-01-03",)])
+    found = ledger.new_days_only(spark.read.parquet(path), days)
+    assert [r.mmsi for r in found.collect()] == [2]
+    assert "GreaterThanOrEqual(dt_pos_utc" in found._jdf.queryExecution().executedPlan().toString()
+    assert ledger.new_days_only(spark.read.parquet(path), days.limit(0)).count() == 0
+
+
+def test_invalid_imo_numbers_do_not_merge_ships(frame):
+    rows = tracks.with_ship(frame("imo long, mmsi long", [(0, 5), (0, 6), (-1, 7), (9, 8), (None, 9)]))
+    assert rows_of(rows, "ship") == [(-9,), (-7,), (-6,), (-5,), (9,)]

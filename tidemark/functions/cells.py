@@ -1,7 +1,7 @@
 """Cell ids: a latitude/longitude grid, and bit work on hexagon (H3) ids.
 
 The grid id is a long: row * COLUMNS + column, cells ``size`` degrees wide. The
-H3 index itself comes with the feed, or from the optional ``h3`` package.
+H3 index itself comes with the feed.
 """
 
 from __future__ import annotations
@@ -53,21 +53,3 @@ def cell_text(cell: Column) -> Column:
 
 def cell_number(text: Column) -> Column:
     return F.conv(text, 16, 10).cast("long")
-
-
-def h3_cell(lat: Column, lon: Column, resolution: int) -> Column:
-    """Hexagon id of a point. Needs the ``h3`` package on the workers."""
-    try:
-        import h3  # noqa: F401
-    except ImportError as exc:
-        raise ImportError("h3_cell needs the h3 package; use the feed's cell columns or grid_cell") from exc
-    import pandas as pd
-
-    @F.pandas_udf("long")
-    def index(lats: pd.Series, lons: pd.Series) -> pd.Series:
-        import h3
-
-        to_cell = getattr(h3, "latlng_to_cell", None) or h3.geo_to_h3
-        return pd.Series([int(to_cell(a, b, resolution), 16) for a, b in zip(lats, lons)])
-
-    return index(lat, lon)

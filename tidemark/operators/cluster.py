@@ -77,13 +77,13 @@ def dbscan(
     )
     spots = spots.withColumn("cx", F.floor(F.col("_x") / side)).withColumn("cy", F.floor(F.col("_y") / side))
     weights = spots.groupBy(*cell).agg(F.sum("_w").alias("_cw"))
-    spots = checkpoint(lookup_join(spots, weights, cell, spread=["_x", "_y"]))
+    spots = checkpoint(lookup_join(spots, weights, cell, grows=True))
 
     dense, sparse = spots.filter(F.col("_cw") >= min_points), spots.filter(F.col("_cw") < min_points)
 
     # Core points of sparse cells: own cell's weight plus neighbours within eps.
     probes = _around(sparse.select(*cell, F.col("_x").alias("px"), F.col("_y").alias("py"), F.col("_cw").alias("own")), False)
-    seen = lookup_join(spots, probes, cell, spread=["_x", "_y"])
+    seen = lookup_join(spots, probes, cell, grows=True)
     seen = seen.filter(_near(F.col("px"), F.col("py"), F.col("_x"), F.col("_y"), F.col("_e")))
     found = seen.groupBy(*key, "px", "py").agg((F.sum("_w") + F.first("own")).alias("_n")).filter(F.col("_n") >= min_points)
     found = found.select(*key, F.col("px").alias("_x"), F.col("py").alias("_y"))
@@ -99,19 +99,19 @@ def dbscan(
     links = _cell_links(core, nodes, key)
     named = _components_by_track(nodes, links, key)
 
-    labelled = lookup_join(core, named, cell, spread=["_x", "_y"])
+    labelled = lookup_join(core, named, cell, grows=True)
     labels = labelled.select(*key, "_x", "_y", "cluster")
     # Border points: non-core points with a core point within eps.
     rest = sparse.join(found, [*key, "_x", "_y"], "left_anti")
     probes = _around(rest.select(*cell, F.col("_x").alias("px"), F.col("_y").alias("py")), True)
-    touched = lookup_join(labelled, probes, cell, spread=["_x", "_y"])
+    touched = lookup_join(labelled, probes, cell, grows=True)
     touched = touched.filter(_near(F.col("px"), F.col("py"), F.col("_x"), F.col("_y"), F.col("_e")))
     border = touched.groupBy(*key, "px", "py").agg(F.min("cluster").alias("cluster"))
     border = border.select(*key, F.col("px").alias("_x"), F.col("py").alias("_y"), "cluster")
     labels = labels.unionByName(border)
 
     out = points.withColumn("_x", F.col(x)).withColumn("_y", F.col(y))
-    out = lookup_join(out, labels, [*key, "_x", "_y"], "left", spread=[order])
+    out = lookup_join(out, labels, [*key, "_x", "_y"], "left", grows=True)
     return out.withColumn("cluster", F.coalesce(F.col("cluster"), F.lit(NOISE))).drop("_x", "_y")
 
 
@@ -144,7 +144,7 @@ def _cell_links(core: DataFrame, nodes: DataFrame, key: list[str]) -> DataFrame:
     sure = pairs.filter("sure").select(*key, "a", "b")
 
     open_pairs = pairs.filter("NOT sure")
-    tagged = lookup_join(core, nodes.select(*cell, "node"), cell, spread=["_x", "_y"]).select(*key, "node", "_x", "_y")
+    tagged = lookup_join(core, nodes.select(*cell, "node"), cell, grows=True).select(*key, "node", "_x", "_y")
     outer_a = _facing(tagged, open_pairs, key, "a", F.max, "b_")
     outer_b = _facing(tagged, open_pairs, key, "b", F.min, "")
     tested = outer_a.join(outer_b, [*key, "a", "b"])
@@ -158,7 +158,7 @@ def _facing(tagged: DataFrame, pairs: DataFrame, key: list[str], who: str, pick,
         *key, "a", "b", "_e", "sideways", F.col(who).alias("node"),
         *[F.col(f"{facing_box}{c}").alias(f"_{c}") for c in ("x0", "x1", "y0", "y1")],
     )
-    rows = lookup_join(tagged, sides, [*key, "node"], spread=["_x", "_y"])
+    rows = lookup_join(tagged, sides, [*key, "node"], grows=True)
     dx = F.greatest(F.col("_x0") - F.col("_x"), F.col("_x") - F.col("_x1"), F.lit(0.0))
     dy = F.greatest(F.col("_y0") - F.col("_y"), F.col("_y") - F.col("_y1"), F.lit(0.0))
     rows = rows.filter(dx * dx + dy * dy <= F.col("_e") * F.col("_e") * (1 + 1e-9))

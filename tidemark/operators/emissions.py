@@ -42,7 +42,7 @@ class FactorTables:
 
 
 def _left(df: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
-    return lookup_join(df, table, on, "left", spread=["mmsi"])
+    return lookup_join(df, table, on, "left")
 
 
 def _by_engine(table: DataFrame, kind: str, cols: dict[str, str]) -> DataFrame:

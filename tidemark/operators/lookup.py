@@ -1,9 +1,11 @@
-"""Joins of a large table with a lookup table, safe on skewed keys.
-
-The lookup side is broadcast only when the optimizer's own size estimate says
-it fits. Beyond that the join runs as a salted shuffle join: every large row
-takes one salt value, every lookup row is repeated once per salt, so a key that
-holds a third of all rows is spread over ``salts`` tasks and no row is dropped.
+"""Joins of a large table with a lookup table.
+
+Spark chooses the join: it broadcasts what its own threshold allows, and adaptive
+execution looks at the real size once the lookup's shuffle has run. Estimates do
+not see what an explode makes of a table, nor that a side grows with the
+positions. Such lookups are marked with ``grows``: they are joined by a shuffle in
+any case. A key that holds a large part of all rows is one skewed partition of
+that join, which adaptive execution splits, repeating only that key's lookup rows.
 """
 
 from __future__ import annotations
@@ -13,57 +15,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_CONF = "tidemark.broadcast.limit"
-DEFAULT_BROADCAST_LIMIT = 32 * 1024 * 1024
-DEFAULT_SALTS = 32
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for ``df``; None where it cannot be read."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(BROADCAST_LIMIT_CONF, str(DEFAULT_BROADCAST_LIMIT)))
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
-
 
 def lookup_join(
     large: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    spread: Sequence[str | Column] = (),
-    salts: int = DEFAULT_SALTS,
     condition: Column | None = None,
+    grows: bool = False,
 ) -> DataFrame:
     """Equi-join ``large`` with ``lookup`` on the shared columns ``on``.
 
-    ``how`` is inner, left, left_semi or left_anti. ``spread`` names columns of
-    ``large`` whose hash picks the salt; without it, or with a lookup that fits
-    a broadcast, no salt is used. ``condition`` is an extra predicate over the
-    columns of both sides (names must not clash).
+    ``how`` is inner, left, left_semi or left_anti. ``condition`` is an extra
+    predicate over the columns of both sides (names must not clash). ``grows``
+    rules a broadcast out.
     """
     on = list(on)
-    if fits_broadcast(lookup):
-        return _join(large, F.broadcast(lookup), on, how, condition)
-    if not spread:
-        return _join(large, lookup, on, how, condition)
-    left = large.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return _join(left, right, [*on, "_salt"], how, condition).drop("_salt")
-
-
-def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, condition: Column | None) -> DataFrame:
+    right = lookup.hint("merge") if grows else lookup
     if condition is None:
-        return left.join(right, on, how)
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in on else c) for c in right.columns])
+        return large.join(right, on, how)
+    renamed = lookup.select(*[F.col(c).alias(f"_r_{c}" if c in on else c) for c in lookup.columns])
     clause = condition
     for c in on:
         clause = clause & (F.col(c) == F.col(f"_r_{c}"))
-    joined = left.join(F.broadcast(renamed) if fits_broadcast(right) else renamed, clause, how)
-    return joined.drop(*[f"_r_{c}" for c in on])
+    return large.join(renamed.hint("merge") if grows else renamed, clause, how).drop(*[f"_r_{c}" for c in on])

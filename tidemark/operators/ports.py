@@ -124,7 +124,7 @@ def port_calls(tagged: DataFrame, specs: DataFrame | None = None, gap: int = K.L
         F.when(linked, F.col("_b.event_start")).alias("anch_start"),
         F.when(linked, F.col("_b.event_end")).alias("anch_end"),
     )
-    return calls if specs is None else lookup_join(calls, specs, ["mmsi"], "left", spread=["port_start"])
+    return calls if specs is None else lookup_join(calls, specs, ["mmsi"], "left")
 
 
 # ---- Port-stop visits -----------------------------------------------------
@@ -162,7 +162,7 @@ def port_stops_cutoff(tagged: DataFrame, gap: int = K.SEGMENT_GAP) -> DataFrame:
     """
     visits = checkpoint(number_visits(tagged, gap))
     kept = visit_tests(visits).filter("has_port AND has_anchorage").select(*VISIT)
-    return lookup_join(visits, kept, VISIT, "left_semi", spread=[TS])
+    return lookup_join(visits, kept, VISIT, "left_semi", grows=True)
 
 
 def port_ships(stops: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def anchorage_spans(stops: DataFrame, drop_last: bool = True) -> DataFrame:
     rows = stops.filter(F.col("op_phase") == K.ANCHORAGE)
     if drop_last:
         ends = rows.groupBy(*VISIT).agg(F.max(TS).alias("_end"))
-        rows = lookup_join(rows, ends, VISIT, "inner", spread=[TS]).filter(F.col(TS) < F.col("_end"))
+        rows = lookup_join(rows, ends, VISIT, "inner", grows=True).filter(F.col(TS) < F.col("_end"))
     return rows.groupBy(*VISIT, "segr").agg(
         F.min(TS).alias("anchorage_min_dt_pos_utc"), F.max(TS).alias("anchorage_max_dt_pos_utc")
     )

@@ -22,20 +22,23 @@ def require_columns(df: DataFrame, needed: Iterable[str]) -> None:
         raise MissingColumns("missing required columns: " + ", ".join(missing))
 
 
+def version_rows(versions: DataFrame) -> DataFrame:
+    """One row per version and year it touches."""
+    years = F.sequence(F.year("from_date"), F.year("to_date"))
+    return versions.select("from_date", "to_date", "version", F.explode(years).alias("_year"))
+
+
 def version_join(positions: DataFrame, versions: DataFrame, ts: str = "dt_pos_utc") -> DataFrame:
     """Left join each position with the registry version valid at its time.
 
-    The validity interval is laid out as one row per version and day, so the
-    range condition becomes an equi-join on the day plus an exact check.
+    The validity interval is laid out as one row per version and year, so the
+    range condition becomes an equi-join on the year plus an exact check. A version
+    that is open to the year 9999 makes some 8,000 rows.
     """
-    days = versions.select(
-        "from_date", "to_date", "version",
-        F.explode(F.sequence(F.to_date("from_date"), F.to_date("to_date"))).alias("_day"),
-    )
-    dated = positions.withColumn("_day", F.to_date(ts))
+    dated = positions.withColumn("_year", F.year(ts))
     valid = (F.col(ts) >= F.col("from_date")) & (F.col(ts) <= F.col("to_date"))
-    joined = lookup_join(dated, days, ["_day"], "left", spread=["mmsi", ts], condition=valid)
-    return joined.drop("_day", "from_date", "to_date")
+    joined = lookup_join(dated, version_rows(versions), ["_year"], "left", condition=valid)
+    return joined.drop("_year", "from_date", "to_date")
 
 
 def distinct_ships(positions: DataFrame) -> DataFrame:
@@ -76,29 +79,31 @@ def adapt_specs(matched: DataFrame, type_bins: DataFrame, size: str = "GrossTonn
     """
     bins = type_bins.withColumnRenamed("vessel_type", "vessel_type_main")
     fits = (F.col(size) >= F.col("lo")) & (F.col(size) < F.col("hi"))
-    return lookup_join(matched, bins, ["vessel_type_main"], "left", spread=["mmsi"], condition=fits).drop("lo", "hi")
+    return lookup_join(matched, bins, ["vessel_type_main"], "left", condition=fits).drop("lo", "hi")
 
 
 def enrich_specs(positions: DataFrame, specs: DataFrame, how: str = "inner", ts: str = "dt_pos_utc") -> DataFrame:
     """Join positions with the specifications of their own registry version."""
     clash = [c for c in specs.columns if c in positions.columns and c not in ("mmsi", "version")]
-    return lookup_join(positions, specs.drop(*clash), ["mmsi", "version"], how, spread=[ts])
+    return lookup_join(positions, specs.drop(*clash), ["mmsi", "version"], how)
 
 
-def latest_specs(specs: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per mmsi, from the ship's highest version."""
-    newest = F.max_by(F.struct(*cols), F.col("version")).alias("_spec")
-    return specs.groupBy("mmsi").agg(newest).select("mmsi", "_spec.*")
+def latest_specs(specs: DataFrame, cols: Sequence[str], versions: DataFrame) -> DataFrame:
+    """One row per mmsi, from the ship's version that begins last; versions without dates come before all others."""
+    begins = versions.groupBy("version").agg(F.max("from_date").alias("_begins"))
+    dated = lookup_join(specs, begins, ["version"], "left")
+    newest = F.max_by(F.struct(*cols), F.struct("_begins", "version")).alias("_spec")
+    return dated.groupBy("mmsi").agg(newest).select("mmsi", "_spec.*")
 
 
-def result_specs(specs: DataFrame) -> DataFrame:
+def result_specs(specs: DataFrame, versions: DataFrame) -> DataFrame:
     """The four specification columns carried by the result tables."""
     return latest_specs(
         specs.select(
             "mmsi", "version", F.col("ais_loa").alias("length"), F.col("ais_beam").alias("beam"),
             "StandardVesselType", "GrossTonnage",
         ),
-        ("length", "beam", "StandardVesselType", "GrossTonnage"),
+        ("length", "beam", "StandardVesselType", "GrossTonnage"), versions,
     )
 
 

@@ -26,14 +26,20 @@ SLICE = "_slice"
 Break = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
 
-def with_ship(df: DataFrame, name: str = "ship") -> DataFrame:
-    """Add one non-null ship key: the IMO number, or the negated MMSI without one."""
-    return df.withColumn(name, F.coalesce(F.col("imo").cast("long"), -F.col("mmsi").cast("long")))
+def _known_imo(least: int) -> Column:
+    """The IMO number; null below ``least``. Receivers send 0 for none, which would make one track of many ships."""
+    imo = F.col("imo").cast("long")
+    return F.when(imo >= least, imo)
 
 
-def with_identity(df: DataFrame, name: str = "imo_key") -> DataFrame:
+def with_ship(df: DataFrame, name: str = "ship", least_imo: int = 1) -> DataFrame:
+    """Add one non-null ship key: the IMO number, or the negated MMSI without a valid one."""
+    return df.withColumn(name, F.coalesce(_known_imo(least_imo), -F.col("mmsi").cast("long")))
+
+
+def with_identity(df: DataFrame, name: str = "imo_key", least_imo: int = 1) -> DataFrame:
     """Add a non-null form of ``imo`` so that (imo_key, mmsi) can key joins."""
-    return df.withColumn(name, F.coalesce(F.col("imo").cast("long"), F.lit(-1).cast("long")))
+    return df.withColumn(name, F.coalesce(_known_imo(least_imo), F.lit(-1).cast("long")))
 
 
 def dedup_positions(

@@ -267,7 +267,7 @@ def transit_candidates(tagged: DataFrame, strict_locks: bool = False, gap: int =
         "ship", "segr", "flag", "transit_segr", "is_close", "seg_start",
         "neo_transit", "anchoring_group", "port_group", "dir",
     )
-    joined = lookup_join(rows, visits, ["ship", "segr"], "inner", spread=[TS])
+    joined = lookup_join(rows, visits, ["ship", "segr"], "inner", grows=True)
     joined = joined.filter(~F.col("is_close") | (F.col(TS) == F.col("seg_start")))
     return joined.drop("segr", "is_close", "seg_start").withColumnRenamed("transit_segr", "segr")
 
@@ -372,4 +372,4 @@ def transits(visits: DataFrame, specs: DataFrame | None = None, one_row: bool =
         "imo", "mmsi", "flag", "lock_in", "lock_out", "_stay.anchoring_in", "_stay.anchoring_out",
         "direct_transit", "direction", "neo_transit", "draught",
     )
-    return table if specs is None else lookup_join(table, specs, ["mmsi"], "left", spread=["lock_in"])
+    return table if specs is None else lookup_join(table, specs, ["mmsi"], "left")

@@ -38,7 +38,7 @@ def zone_tag(
     cell: str = "H3_int_index_10", ts: str = "dt_pos_utc",
 ) -> DataFrame:
     """Add ``Name``; ``how='left'`` keeps positions outside every zone."""
-    return lookup_join(positions, one_name_per_cell(zones, cell), [cell], how, spread=[ts, "mmsi"])
+    return lookup_join(positions, one_name_per_cell(zones, cell), [cell], how)
 
 
 def exclude_tugs(positions: DataFrame, tugs: Sequence[str] = K.TUGS) -> DataFrame:
@@ -99,6 +99,6 @@ def near_coast_port(positions: DataFrame, coast_5: DataFrame, port_1: DataFrame,
         (port_5, "H3_int_8", "id_port_5", "port5"),
     ):
         cells = layer.filter(F.col(ident).isNotNull()).select(cell).distinct().withColumn(flag, F.lit(True))
-        out = lookup_join(out, cells, [cell], "left", spread=["dt_pos_utc", "mmsi"])
+        out = lookup_join(out, cells, [cell], "left")
         out = out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
     return out

@@ -24,7 +24,8 @@ class Registry:
 
 def _columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns a job needs, so that nothing else is read or shuffled."""
-    return df.select(*[n for n in dict.fromkeys(names) if n in df.columns])
+    specs.require_columns(df, names)
+    return df.select(*dict.fromkeys(names))
 
 
 def canal_positions(positions: DataFrame, zone_cells: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
@@ -40,7 +41,7 @@ def transits_job(
 ) -> DataFrame:
     """Transit table with specifications."""
     visits = transits.transit_visits(transits.segments(canal_positions(positions, zone_cells, tie)), strict_locks)
-    return transits.transits(visits, specs.result_specs(registry.specs), one_row)
+    return transits.transits(visits, specs.result_specs(registry.specs, registry.versions), one_row)
 
 
 def transit_stops_job(
@@ -62,7 +63,7 @@ def port_calls_job(
     positions: DataFrame, port_cells: DataFrame, registry: Registry, tie: tuple[str, ...] = ()
 ) -> DataFrame:
     """Port-call table with the anchorage wait before each call and specifications."""
-    return ports.port_calls(port_positions(positions, port_cells, tie), specs.result_specs(registry.specs))
+    return ports.port_calls(port_positions(positions, port_cells, tie), specs.result_specs(registry.specs, registry.versions))
 
 
 def specified_positions(
@@ -80,7 +81,7 @@ def specified_positions(
     )
     rows = specs.version_join(tracks.dedup_positions(narrow, ["ship"], tie=tie), registry.versions)
     known = registry.specs.select("mmsi", "version").distinct()
-    rows = lookup_join(rows, known, ["mmsi", "version"], "left_semi", spread=["dt_pos_utc"])
+    rows = lookup_join(rows, known, ["mmsi", "version"], "left_semi")
     return specs.enrich_specs(tracks.track_freq(rows), em.with_factors(registry.specs, factors))
 
 
@@ -113,8 +114,8 @@ def port_stop_rows(
 
 def port_stop_records_job(
     positions: DataFrame, zone_cells: DataFrame, registry: Registry,
-    layers: tuple[DataFrame, DataFrame, DataFrame], tie: tuple[str, ...] = (), nearest: bool = False,
+    layers: tuple[DataFrame, DataFrame, DataFrame], tie: tuple[str, ...] = (), nearest: bool = True,
 ) -> DataFrame:
-    """Berth spans with the anchorage spans of the visit."""
+    """Berth spans with the anchorage span of the visit that ends last before each; all of them without ``nearest``."""
     rows = port_stop_rows(positions, zone_cells, registry, layers, tie)
     return ports.berth_anchorage_nearest(rows) if nearest else ports.berth_anchorage(rows)

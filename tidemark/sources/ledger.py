@@ -12,6 +12,10 @@ from tidemark.functions.constants import LOOK_BACK_DAYS
 from tidemark.operators.lookup import lookup_join
 
 
+# Fixed value: how stored names give their range.
+RANGE_IN_NAME = r"_(\d{4}-\d{2}-\d{2})&(\d{4}-\d{2}-\d{2})\.parquet"
+
+
 class RangeError(ValueError):
     """No usable date range."""
 
@@ -23,8 +27,7 @@ def file_paths(df: DataFrame) -> DataFrame:
 
 def processed_ranges(paths: DataFrame, name: str, exclude: str | None = None) -> DataFrame:
     """Distinct (from_date, to_date) found in names like ``<name>_(date)&(date).parquet``."""
-    day = r"(\d{4}-\d{2}-\d{2})"
-    pattern = re.escape(name) + "_" + day + "&" + day + r"\.parquet"
+    pattern = re.escape(name) + RANGE_IN_NAME
     named = paths.filter(F.col("path").contains(name))
     if exclude:
         named = named.filter(~F.col("path").contains(exclude))
@@ -76,6 +79,13 @@ def ranges_to_do(wanted: DataFrame, done: DataFrame, first_only: bool = True) ->
 
 
 def new_days_only(positions: DataFrame, days: DataFrame, ts: str = "dt_pos_utc") -> DataFrame:
-    """Positions on one of the listed days (column ``day``, text)."""
-    dated = positions.withColumn("day", F.date_format(ts, "yyyy-MM-dd"))
-    return lookup_join(dated, days.select("day").distinct(), ["day"], "left_semi", spread=[ts, "mmsi"]).drop("day")
+    """Positions on one of the listed days (column ``day``, text).
+
+    The first and the last day become a range on ``ts``, which reaches the scan.
+    """
+    wanted = days.select(F.to_date("day").alias("_day")).distinct()
+    first, last = wanted.agg(F.min("_day"), F.max("_day")).first()
+    if first is None:
+        return positions.limit(0)
+    near = positions.filter((F.col(ts) >= F.lit(first).cast("timestamp")) & (F.col(ts) < F.lit(last + timedelta(days=1)).cast("timestamp")))
+    return lookup_join(near.withColumn("_day", F.to_date(ts)), wanted, ["_day"], "left_semi").drop("_day")

@@ -38,7 +38,7 @@ def scan_range(
         rows = rows.filter(F.col(date_column).between(F.to_date(lo), F.to_date(hi)))
     if cells is None:
         return rows
-    return lookup_join(rows, cells.select(cell).distinct(), [cell], "left_semi", spread=[ts, "mmsi"])
+    return lookup_join(rows, cells.select(cell).distinct(), [cell], "left_semi")
 
 
 def freshness(positions: DataFrame, last_date: str | datetime, ts: str = "dt_pos_utc", bypass: bool = False) -> DataFrame:

@@ -17,7 +17,8 @@ def anchorage_sessions(
     """Slow spells outside every port, as session windows of a streaming (or batch) input.
 
     A session window holds a row that comes exactly ``gap`` seconds after the
-    previous one, as the batch rule does. Rows later than the watermark are lost.
+    previous one, as the batch rule does. Rows later than the watermark are lost. Sessions that are open when an
+    input ends are closed by a :func:`closing_row`.
     """
     rows = tagged.filter(anchoring_off_zone())
     if rows.isStreaming:
@@ -28,6 +29,17 @@ def anchorage_sessions(
     return sessions.drop("session_window")
 
 
+def closing_row(tagged: DataFrame, watermark: str = "2 hours", gap: int = K.ANCHORAGE_GAP, ts: str = "dt_pos_utc") -> DataFrame:
+    """One row that ends a stream's input: read as its last batch, it moves the watermark past every open session.
+
+    It belongs to no ship (identity -1) and its own session stays open, so it never shows in the results.
+    """
+    late = F.max(ts) + F.expr(f"INTERVAL {watermark}") + F.expr(f"INTERVAL {2 * gap + 1} seconds")
+    last = tagged.agg(late.alias(ts)).filter(F.col(ts).isNotNull())
+    values = {"imo": F.lit(-1), "mmsi": F.lit(-1), ts: F.col(ts), "sog": F.lit(2.0)}
+    return last.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in tagged.schema.fields])
+
+
 def emission_totals(sums: DataFrame, path: str) -> DataStreamWriter:
     """Writer that keeps each micro-batch's sums under its batch number.
 
