@@ -397,7 +397,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, distance: int = 4, a
     return grouped.join(least, "component").select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def one_of_each(documents: DataFrame, shingle: int = 5, distance: int = 10, agree: int | None = 54) -> DataFrame:
+def one_of_each(documents: DataFrame, shingle: int = 5, distance: int = 10, agree: int | None = 56) -> DataFrame:
     """The document with the least doc_id of each group of near duplicates, in the columns of ``documents``.
 
     Of rows that share that id the one with the least hash stays; a null id counts as the largest.
