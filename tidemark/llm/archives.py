@@ -269,7 +269,7 @@ def index_arc(archives: DataFrame) -> DataFrame:
                     yield batch_of(rows)
 
     schema = "path string, offset bigint, id string, page_id bigint, url string, date string, bytes bigint, digest string"
-    return archives.select("path", "name").repartition("path").mapInArrow(scan, schema)
+    return files.task_each(archives.select("path", "name")).mapInArrow(scan, schema)
 
 
 def convert(archives: DataFrame, folder: str, least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -281,7 +281,7 @@ def convert(archives: DataFrame, folder: str, least_bytes: int = LEAST_BYTES) ->
     first = large.groupBy("digest").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     copies = large.join(first, "digest").filter("id != f.id")
     revisits = copies.groupBy("path").agg(F.collect_list(F.struct("offset", "f.id", "f.url", "f.date")).alias("revisits"))
-    work = archives.select("path", "name").join(revisits, "path", "left").repartition("path")
+    work = files.task_each(checkpoint(archives.select("path", "name").join(revisits, "path", "left")))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,7 +326,7 @@ def read_warc(archives: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names)
 
     schema = "id string, record_type string, uri string, date string, page_id bigint, payload_bytes bigint, payload_digest string, refers_to_id string"
-    return archives.select("path").repartition("path").mapInArrow(scan, schema)
+    return files.task_each(archives.select("path")).mapInArrow(scan, schema)
 
 
 def archived_pages(pages: DataFrame) -> DataFrame:

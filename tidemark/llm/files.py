@@ -10,6 +10,13 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import DataFrame
+
+
+def task_each(table: DataFrame) -> DataFrame:
+    """The rows of a stored table of files, one task each. Without a number adaptive execution would see a few
+    short rows and put all files into one task."""
+    return table.repartition(max(1, table.count()))
 
 
 def _located(uri: str) -> tuple[fs.FileSystem, str]:

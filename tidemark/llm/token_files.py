@@ -263,5 +263,5 @@ def read_token_files(stored: TokenFiles, step: int = 1 << 20) -> DataFrame:
                     at = to
                 reader.close()
 
-    paths = stored.manifest.select("path", "start").repartition("path")
+    paths = files.task_each(stored.manifest.select("path", "start"))
     return paths.mapInArrow(scan, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
