@@ -155,14 +155,10 @@ port_cell_names AS (
   WHERE cname IN {names(fx.PORT_ZONES + [fx.SPECIAL_CELL[1]])} GROUP BY ccell),
 tagged AS (SELECT p.*, Name FROM positions p JOIN cell_names ON H3_int_index_10 = ccell),
 canal AS (
-  SELECT * FROM (
-    SELECT t.* REPLACE (CASE WHEN Name IN {names(K.ATLANTIC_ANCHORAGE_PARTS)} THEN 'Atlantic Anchorage' ELSE Name END AS Name),
-           coalesce(imo, -mmsi) AS ship
-    FROM tagged t WHERE vessel_name NOT IN {names(K.TUGS)})
-  QUALIFY row_number() OVER (PARTITION BY ship, t_s ORDER BY event_id) = 1),
-harbour AS (
-  SELECT * FROM (SELECT p.*, Name FROM positions p LEFT JOIN port_cell_names ON H3_int_index_10 = ccell)
-  QUALIFY row_number() OVER (PARTITION BY imo, mmsi, t_s ORDER BY event_id) = 1)"""
+  SELECT t.* REPLACE (CASE WHEN Name IN {names(K.ATLANTIC_ANCHORAGE_PARTS)} THEN 'Atlantic Anchorage' ELSE Name END AS Name),
+         coalesce(imo, -mmsi) AS ship
+  FROM tagged t WHERE vessel_name NOT IN {names(K.TUGS)}),
+harbour AS (SELECT p.*, Name FROM positions p LEFT JOIN port_cell_names ON H3_int_index_10 = ccell)"""
 
 PREFIX = "WITH RECURSIVE " + ",\n".join(
     part.strip("\n") for part in (_POSITIONS, _LOOKUPS, _SPECS, _LEDGERS, _TAGGED)

@@ -57,14 +57,14 @@ SELECT ship, dt_pos_utc, event_id, round(sog, 6) AS sog FROM (
   SELECT coalesce(imo, -mmsi), t_s, event_id + 100000000, sog + 1 FROM positions WHERE event_id % 3 = 0)
 QUALIFY row_number() OVER (PARTITION BY ship, dt_pos_utc ORDER BY event_id) = 1""")
 add("time_extent", "SELECT min(t_s) AS from_time, max(t_s) AS to_time FROM positions")
-add("track_rownum", "SELECT ship, event_id, row_number() OVER (PARTITION BY ship ORDER BY t_s) AS row FROM canal")
+add("track_rownum", "SELECT ship, event_id, row_number() OVER (PARTITION BY ship ORDER BY t_s, event_id) AS row FROM canal")
 add("track_lag", """
 SELECT ship, event_id, lag(Name) OVER w AS Name_lag, lag(t_s) OVER w AS dt_lag
-FROM canal WINDOW w AS (PARTITION BY ship ORDER BY t_s)""")
+FROM canal WINDOW w AS (PARTITION BY ship ORDER BY t_s, event_id)""")
 add("gap_islands", """
-SELECT ship, event_id, CAST(sum(CASE WHEN gap > 3600 THEN 1 ELSE 0 END) OVER (PARTITION BY ship ORDER BY t_s) AS BIGINT) AS island
-FROM (SELECT *, t_s - lag(t_s) OVER (PARTITION BY ship ORDER BY t_s) AS gap FROM canal)""")
-FREQ = "(t_s - lag(t_s) OVER (PARTITION BY ship ORDER BY t_s)) / 3600"
+SELECT ship, event_id, CAST(sum(CASE WHEN gap > 3600 THEN 1 ELSE 0 END) OVER (PARTITION BY ship ORDER BY t_s, event_id) AS BIGINT) AS island
+FROM (SELECT *, t_s - lag(t_s) OVER (PARTITION BY ship ORDER BY t_s, event_id) AS gap FROM canal)""")
+FREQ = "(t_s - lag(t_s) OVER (PARTITION BY ship ORDER BY t_s, event_id)) / 3600"
 add("track_freq", f"""
 SELECT ship, event_id, round(freq, 6) AS freq FROM (SELECT ship, event_id, {FREQ} AS freq FROM canal) WHERE freq <= 1""")
 add("interpolate_track", """
@@ -73,7 +73,7 @@ UNION ALL
 SELECT ship, t_s + k * 600, round(latitude + (lat2 - latitude) * (k * 600.0::DOUBLE / gap), 6),
   round(longitude + (lon2 - longitude) * (k * 600.0::DOUBLE / gap), 6), 1
 FROM (SELECT *, lead(t_s) OVER w - t_s AS gap, lead(latitude) OVER w AS lat2, lead(longitude) OVER w AS lon2
-      FROM ship_rows WINDOW w AS (PARTITION BY ship ORDER BY t_s)), range(1, 13) r(k)
+      FROM ship_rows WINDOW w AS (PARTITION BY ship ORDER BY t_s, event_id)), range(1, 13) r(k)
 WHERE gap <= 7200 AND k * 600 < gap""", SHIP_ROWS)
 
 # ---- Ports ------------------------------------------------------------------
@@ -81,17 +81,17 @@ WHERE gap <= 7200 AND k * 600 < gap""", SHIP_ROWS)
 HARBOUR = """
 stopped AS (
   SELECT *, CASE WHEN lag(t_s) OVER w IS NULL OR Name <> lag(Name) OVER w OR t_s - lag(t_s) OVER w > 86400 THEN 1 ELSE 0 END AS fresh
-  FROM harbour WHERE Name IS NOT NULL AND sog <= 1 WINDOW w AS (PARTITION BY imo, mmsi ORDER BY t_s)),
-grouped AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s) AS BIGINT) AS group_id FROM stopped),
+  FROM harbour WHERE Name IS NOT NULL AND sog <= 1 WINDOW w AS (PARTITION BY imo, mmsi ORDER BY t_s, event_id)),
+grouped AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s, event_id) AS BIGINT) AS group_id FROM stopped),
 port_ev AS (
   SELECT imo, mmsi, group_id AS port_group_id, min(Name) AS port_name, min(t_s) AS port_start, max(t_s) AS port_end
   FROM grouped GROUP BY imo, mmsi, group_id HAVING max(t_s) - min(t_s) >= 3600),
 drifting AS (
   SELECT *, CASE WHEN lag(t_s) OVER w IS NULL OR t_s - lag(t_s) OVER w > 3600 THEN 1 ELSE 0 END AS fresh
-  FROM harbour WHERE Name IS NULL AND sog > 1 AND sog <= 3 WINDOW w AS (PARTITION BY imo, mmsi ORDER BY t_s)),
+  FROM harbour WHERE Name IS NULL AND sog > 1 AND sog <= 3 WINDOW w AS (PARTITION BY imo, mmsi ORDER BY t_s, event_id)),
 anch_ev AS (
   SELECT imo, mmsi, gid AS anchorage_group_id, min(t_s) AS anch_start, max(t_s) AS anch_end
-  FROM (SELECT *, CAST(sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s) AS BIGINT) AS gid FROM drifting)
+  FROM (SELECT *, CAST(sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s, event_id) AS BIGINT) AS gid FROM drifting)
   GROUP BY imo, mmsi, gid),
 both_ev AS (
   SELECT imo, mmsi, port_group_id AS group_id, port_name, port_start AS event_start, port_end AS event_end, 2 AS anch1_port2 FROM port_ev
@@ -174,8 +174,8 @@ add("emission_factors", "SELECT mmsi, version, YearOfBuild, " + ", ".join(f"roun
 ENERGY = NEAR + "," + FACTORS + "," + SHIP_ROWS + f""",
 timed AS (
   SELECT r.*, f.* EXCLUDE (mmsi), sog / nullif(Speed, 0) AS load,
-    (t_s - lag(t_s) OVER (PARTITION BY ship ORDER BY t_s)) / 3600 AS freq
-  FROM ship_rows r JOIN version_rows v ON t_s BETWEEN v_from AND v_to
+    (t_s - lag(t_s) OVER (PARTITION BY ship ORDER BY t_s, event_id)) / 3600 AS freq
+  FROM (SELECT *, coalesce(imo, -mmsi) AS ship FROM positions) r JOIN version_rows v ON t_s BETWEEN v_from AND v_to
   JOIN factor_rows f ON f.mmsi = r.mmsi AND f.version = v.version),
 phased AS (
   SELECT t.*, CASE
@@ -261,38 +261,38 @@ GROUP BY ALL""", ENERGY)
 
 TRANSIT = f"""
 lagged AS (
-  SELECT *, lag(Name) OVER w AS name_lag, lag(t_s) OVER w AS t_lag FROM canal WINDOW w AS (PARTITION BY ship ORDER BY t_s)),
+  SELECT *, lag(Name) OVER w AS name_lag, lag(t_s) OVER w AS t_lag FROM canal WINDOW w AS (PARTITION BY ship ORDER BY t_s, event_id)),
 seg AS (
   SELECT *, CAST(sum(CASE WHEN t_s - t_lag >= 259200 OR Name <> name_lag THEN 1 ELSE 0 END)
-                 OVER (PARTITION BY ship ORDER BY t_s) AS BIGINT) AS segr FROM lagged),
+                 OVER (PARTITION BY ship ORDER BY t_s, event_id) AS BIGINT) AS segr FROM lagged),
 heads AS (
-  SELECT *, Name IN {ANCH} AND row_number() OVER (PARTITION BY ship, segr ORDER BY t_s) = 1 AS is_anchor FROM seg),
+  SELECT *, Name IN {ANCH} AND row_number() OVER (PARTITION BY ship, segr ORDER BY t_s, event_id) = 1 AS is_anchor FROM seg),
 compared AS (
-  SELECT *, CASE WHEN is_anchor THEN lag(Name) OVER (PARTITION BY ship, is_anchor ORDER BY t_s) END AS before_name FROM heads),
+  SELECT *, CASE WHEN is_anchor THEN lag(Name) OVER (PARTITION BY ship, is_anchor ORDER BY t_s, event_id) END AS before_name FROM heads),
 changes AS (
   SELECT *, coalesce(Name = before_name, false) AS repeats, coalesce(Name <> before_name, false) AS differs FROM compared),
 settled AS (
-  SELECT *, sum(CASE WHEN differs OR after_repeat THEN 1 ELSE 0 END) OVER (PARTITION BY ship ORDER BY t_s) AS settler
-  FROM (SELECT *, coalesce(lag(repeats) OVER (PARTITION BY ship ORDER BY t_s), false) AS after_repeat FROM changes)),
+  SELECT *, sum(CASE WHEN differs OR after_repeat THEN 1 ELSE 0 END) OVER (PARTITION BY ship ORDER BY t_s, event_id) AS settler
+  FROM (SELECT *, coalesce(lag(repeats) OVER (PARTITION BY ship ORDER BY t_s, event_id), false) AS after_repeat FROM changes)),
 ported AS (
-  SELECT *, max(repeats) OVER (PARTITION BY ship, settler ORDER BY t_s DESC)
-            AND max(Name IN {PORTS}) OVER (PARTITION BY ship, settler ORDER BY t_s) AS port_seen FROM settled),
-judged AS (SELECT *, coalesce(lead(port_seen) OVER (PARTITION BY ship, is_anchor ORDER BY t_s), false) AS next_port_seen FROM ported),
+  SELECT *, max(repeats) OVER (PARTITION BY ship, settler ORDER BY t_s, event_id DESC)
+            AND max(Name IN {PORTS}) OVER (PARTITION BY ship, settler ORDER BY t_s, event_id) AS port_seen FROM settled),
+judged AS (SELECT *, coalesce(lead(port_seen) OVER (PARTITION BY ship, is_anchor ORDER BY t_s, event_id), false) AS next_port_seen FROM ported),
 left_over AS (SELECT * FROM judged WHERE is_anchor AND NOT next_port_seen),
 runs AS (
-  SELECT *, CAST(sum(CASE WHEN Name = prior THEN 1 ELSE 0 END) OVER (PARTITION BY ship ORDER BY t_s) AS BIGINT) AS run
-  FROM (SELECT *, lag(Name) OVER (PARTITION BY ship ORDER BY t_s) AS prior FROM left_over)),
+  SELECT *, CAST(sum(CASE WHEN Name = prior THEN 1 ELSE 0 END) OVER (PARTITION BY ship ORDER BY t_s, event_id) AS BIGINT) AS run
+  FROM (SELECT *, lag(Name) OVER (PARTITION BY ship ORDER BY t_s, event_id) AS prior FROM left_over)),
 sized AS (
   SELECT *, count(*) OVER (PARTITION BY ship, run) AS size,
-    lead(t_s) OVER (PARTITION BY ship, run ORDER BY t_s) - t_s AS wait FROM runs),
+    lead(t_s) OVER (PARTITION BY ship, run ORDER BY t_s, event_id) - t_s AS wait FROM runs),
 trimmed AS (
   SELECT *, count(*) OVER (PARTITION BY ship, run) AS remaining FROM sized
   WHERE size = 2 OR (size > 2 AND (wait IS NULL OR wait <= 345600))),
 accepted AS (
-  SELECT *, row_number() OVER (PARTITION BY ship, run ORDER BY t_s) AS run_row FROM trimmed WHERE remaining = 2),
+  SELECT *, row_number() OVER (PARTITION BY ship, run ORDER BY t_s, event_id) AS run_row FROM trimmed WHERE remaining = 2),
 pairs AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY ship ORDER BY t_s) AS BIGINT) AS flag, lead(segr) OVER w AS close_segr, lead(t_s) OVER w AS close_t
-  FROM accepted WINDOW w AS (PARTITION BY ship, run ORDER BY t_s)),
+  SELECT *, CAST(row_number() OVER (PARTITION BY ship ORDER BY t_s, event_id) AS BIGINT) AS flag, lead(segr) OVER w AS close_segr, lead(t_s) OVER w AS close_t
+  FROM accepted WINDOW w AS (PARTITION BY ship, run ORDER BY t_s, event_id)),
 opened AS (SELECT ship, flag, segr AS open_segr, close_segr, Name AS open_zone, t_s AS open_t, close_t FROM pairs WHERE run_row = 1),
 member AS (
   SELECT s.*, flag, open_zone, s.segr = close_segr AS is_close
@@ -302,8 +302,8 @@ accessed AS (
   QUALIFY max(Name IN ('Atlantic Access', 'Pacific Access')) OVER (PARTITION BY ship, flag)),
 lock_moves AS (
   SELECT *,
-    CASE WHEN Name IN {names(K.ORIGINAL_LOCK_PAIR)} THEN Name <> lag(Name) OVER (PARTITION BY ship, flag, Name IN {names(K.ORIGINAL_LOCK_PAIR)} ORDER BY t_s) END AS orig_move,
-    CASE WHEN Name IN {names(K.NEO_LOCK_PAIR)} THEN Name <> lag(Name) OVER (PARTITION BY ship, flag, Name IN {names(K.NEO_LOCK_PAIR)} ORDER BY t_s) END AS neo_move
+    CASE WHEN Name IN {names(K.ORIGINAL_LOCK_PAIR)} THEN Name <> lag(Name) OVER (PARTITION BY ship, flag, Name IN {names(K.ORIGINAL_LOCK_PAIR)} ORDER BY t_s, event_id) END AS orig_move,
+    CASE WHEN Name IN {names(K.NEO_LOCK_PAIR)} THEN Name <> lag(Name) OVER (PARTITION BY ship, flag, Name IN {names(K.NEO_LOCK_PAIR)} ORDER BY t_s, event_id) END AS neo_move
   FROM accessed),
 lock_tests AS (
   SELECT *, max(Name IN {names(K.ORIGINAL_LOCK_PAIR)}) OVER g AS orig_any, max(Name IN {names(K.NEO_LOCK_PAIR)}) OVER g AS neo_any,
@@ -314,9 +314,9 @@ candidates AS (
   SELECT *, CASE WHEN Name IN {ANCH} AND anch_changes = 0 THEN 1 END AS anchoring_group,
     CASE WHEN Name IN {names(K.PORTS + K.STOPS)} THEN 1 END AS port_group,
     CASE WHEN open_zone = 'Atlantic Anchorage' THEN 'South' ELSE 'North' END AS dir,
-    CAST(sum(CASE WHEN Name <> name_lag THEN 1 ELSE 0 END) OVER (PARTITION BY ship, flag ORDER BY t_s) AS BIGINT) AS new_segr
-  FROM (SELECT *, sum(CASE WHEN anch_move THEN 1 ELSE 0 END) OVER (PARTITION BY ship, flag, Name IN {ANCH} ORDER BY t_s) AS anch_changes
-        FROM (SELECT *, Name <> lag(Name) OVER (PARTITION BY ship, flag, Name IN {ANCH} ORDER BY t_s) AS anch_move FROM locked))),
+    CAST(sum(CASE WHEN Name <> name_lag THEN 1 ELSE 0 END) OVER (PARTITION BY ship, flag ORDER BY t_s, event_id) AS BIGINT) AS new_segr
+  FROM (SELECT *, sum(CASE WHEN anch_move THEN 1 ELSE 0 END) OVER (PARTITION BY ship, flag, Name IN {ANCH} ORDER BY t_s, event_id) AS anch_changes
+        FROM (SELECT *, Name <> lag(Name) OVER (PARTITION BY ship, flag, Name IN {ANCH} ORDER BY t_s, event_id) AS anch_move FROM locked))),
 stays AS (
   SELECT imo, mmsi, flag, min(t_s) AS anchoring_in, max(t_s) AS anchoring_out, min(Name) AS anch_area
   FROM candidates WHERE Name IN {ANCH} AND sog < 3 GROUP BY imo, mmsi, flag, new_segr),
@@ -378,15 +378,14 @@ GROUP BY imo, mmsi, grp""", TRANSIT)
 # ---- Port stops -------------------------------------------------------------
 
 STOPS = f"""
-stop_base AS (
-  SELECT * FROM tagged QUALIFY row_number() OVER (PARTITION BY mmsi, t_s ORDER BY event_id) = 1),
+stop_base AS (SELECT * FROM tagged),
 calls AS (
   SELECT *, lag(t_s) OVER w AS t_lag, lag(Name) OVER w AS name_lag FROM stop_base WHERE Name IN {PORTS} OR Name IN {ANCH}
-  WINDOW w AS (PARTITION BY mmsi ORDER BY t_s)),
+  WINDOW w AS (PARTITION BY mmsi ORDER BY t_s, event_id)),
 visits AS (
   SELECT *, CAST(sum(CASE WHEN t_s - t_lag >= 259200 OR (Name IN {ANCH} AND name_lag IN {PORTS}) THEN 1 ELSE 0 END)
-      OVER (PARTITION BY mmsi ORDER BY t_s) AS BIGINT) AS flag,
-    CAST(sum(CASE WHEN Name <> name_lag THEN 1 ELSE 0 END) OVER (PARTITION BY mmsi ORDER BY t_s) AS BIGINT) AS segr
+      OVER (PARTITION BY mmsi ORDER BY t_s, event_id) AS BIGINT) AS flag,
+    CAST(sum(CASE WHEN Name <> name_lag THEN 1 ELSE 0 END) OVER (PARTITION BY mmsi ORDER BY t_s, event_id) AS BIGINT) AS segr
   FROM calls),
 tested AS (
   SELECT *, max(Name IN {PORTS}) OVER v AS has_port, max(Name IN {ANCH}) OVER v AS has_anchorage
@@ -403,7 +402,7 @@ def merged(source: str, target: str, reference: str, limit: int) -> str:
   SELECT * EXCLUDE (p_phase, p_segr, p_t)
     REPLACE (CASE WHEN op_phase = '{reference}' AND p_phase = '{reference}' AND t_s - p_t <= {limit} THEN p_segr ELSE segr END AS segr)
   FROM (SELECT *, lag(op_phase) OVER w AS p_phase, lag(segr) OVER w AS p_segr, lag(t_s) OVER w AS p_t
-        FROM {source} WINDOW w AS (PARTITION BY mmsi, flag ORDER BY t_s)))"""
+        FROM {source} WINDOW w AS (PARTITION BY mmsi, flag ORDER BY t_s, event_id)))"""
 
 
 def records(source: str, prefix: str = "") -> str:
@@ -413,7 +412,7 @@ def records(source: str, prefix: str = "") -> str:
   FROM {source} WHERE op_phase = 'Berth' GROUP BY flag, mmsi, segr),
 {prefix}waits AS (
   SELECT flag, mmsi, segr, min(t_s) AS anchorage_min_dt_pos_utc, max(t_s) AS anchorage_max_dt_pos_utc
-  FROM (SELECT *, lead(t_s) OVER (PARTITION BY flag, mmsi ORDER BY t_s) AS nxt FROM {source} WHERE op_phase = 'Anchorage')
+  FROM (SELECT *, lead(t_s) OVER (PARTITION BY flag, mmsi ORDER BY t_s, event_id) AS nxt FROM {source} WHERE op_phase = 'Anchorage')
   WHERE t_s < nxt GROUP BY flag, mmsi, segr),
 {prefix}full_waits AS (
   SELECT flag, mmsi, segr, min(t_s) AS anchorage_min_dt_pos_utc, max(t_s) AS anchorage_max_dt_pos_utc
@@ -430,11 +429,11 @@ add("visit_tests", """
 SELECT DISTINCT mmsi, flag, has_port::INT AS has_port, has_anchorage::INT AS has_anchorage FROM tested""", STOPS)
 add("merge_stop_segments", "SELECT mmsi, event_id, flag, segr FROM m1", STOPS + "," + merged("cut", "m1", "Anchorage", 21600))
 add("merge_stop_islands", """
-SELECT mmsi, event_id, flag, first_value(segr) OVER (PARTITION BY mmsi, flag, isle ORDER BY t_s) AS segr
+SELECT mmsi, event_id, flag, first_value(segr) OVER (PARTITION BY mmsi, flag, isle ORDER BY t_s, event_id) AS segr
 FROM (SELECT *, sum(CASE WHEN op_phase = 'Anchorage' AND p_phase = 'Anchorage' AND t_s - p_t <= 21600 THEN 0 ELSE 1 END)
-             OVER (PARTITION BY mmsi, flag ORDER BY t_s) AS isle
+             OVER (PARTITION BY mmsi, flag ORDER BY t_s, event_id) AS isle
       FROM (SELECT *, lag(op_phase) OVER w AS p_phase, lag(t_s) OVER w AS p_t FROM cut
-            WINDOW w AS (PARTITION BY mmsi, flag ORDER BY t_s)))""", STOPS)
+            WINDOW w AS (PARTITION BY mmsi, flag ORDER BY t_s, event_id)))""", STOPS)
 add("berth_spans", "SELECT * FROM berths", STOPS + "," + records("cut"))
 add("visit_name", "SELECT * FROM visit_names", STOPS + "," + records("cut"))
 add("visit_name_mode", """
@@ -479,7 +478,7 @@ FROM (SELECT * FROM transit_ranges EXCEPT SELECT * FROM port_ranges) ORDER BY 1,
 ORACLES["emissions_increment"] = ORACLES["local_emissions"]
 ORACLES["stream_anchorage_sessions"] = query("""
 SELECT imo, mmsi, min(t_s) AS anch_start, max(t_s) AS anch_end, count(*) AS n_positions
-FROM (SELECT *, sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s) AS gid FROM drifting) GROUP BY imo, mmsi, gid""", HARBOUR)
+FROM (SELECT *, sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s, event_id) AS gid FROM drifting) GROUP BY imo, mmsi, gid""", HARBOUR)
 _RUN = """
 SELECT imo, mmsi, port_group_id, port_name, port_start, port_end, '{0}' AS from_date, '{1}' AS to_date FROM port_ev"""
 _RUNS = []

@@ -109,9 +109,7 @@ class View:
     def phased_stops(self) -> DataFrame:
         """Port-stop rows with a phase, segments not merged."""
         tagged = zones.zone_tag(self.positions, self.zone_cells)
-        stops = ports.port_stops_cutoff(tracks.dedup_positions(
-            tagged.select("event_id", "mmsi", TS, "Name", "sog"), ["mmsi"], tie=fx.TIE
-        ))
+        stops = ports.port_stops_cutoff(tagged.select("mmsi", TS, "event_id", "Name", "sog"))
         slow = F.when(F.col("sog") <= 1, F.when(F.col("Name").isin(K.PORTS), K.BERTH).otherwise(K.ANCHORAGE))
         return checkpoint(stops.withColumn("op_phase", F.when(F.col("sog") <= 3, F.coalesce(slow, F.lit(K.ANCHORAGE))).otherwise(K.MANOEUVRING)))
 
@@ -476,7 +474,7 @@ def port_stops_cutoff(v: View) -> DataFrame:
 @query
 def visit_tests(v: View) -> DataFrame:
     tagged = zones.zone_tag(v.positions, v.zone_cells)
-    rows = tracks.dedup_positions(tagged.select("mmsi", TS, "Name", "event_id"), ["mmsi"], tie=fx.TIE)
+    rows = tagged.select("mmsi", TS, "event_id", "Name")
     return ports.visit_tests(ports.number_visits(rows))
 
 

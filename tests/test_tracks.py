@@ -134,3 +134,24 @@ def test_merge_overlaps_uses_the_running_end(frame):
     df = frame("k long, a long, b long", [(1, 0, 100), (1, 10, 20), (1, 50, 60), (1, 101, 110), (None, 0, 1), (None, 1, 2)])
     got = tracks.merge_overlaps(df, ["k"], "a", "b")
     assert rows_of(got, "k", "a", "b") == [(1, 0, 100), (1, 101, 110), (None, 0, 2)]
+
+
+def test_rows_of_the_same_second_all_count_in_a_total_order(frame):
+    rng = random.Random(9)
+    rows = [(1, rng.randrange(40) * 20000, k, rng.choice("AB")) for k in range(300)]
+    df = frame("ship long, dt_pos_utc timestamp, event_id long, Name string", rows)
+    changes = lambda prev, cur: prev("Name") != cur("Name")
+    ordered = sorted(rows, key=lambda r: (r[1], r[2]))
+    want, group = [], 0
+    for k, row in enumerate(ordered):
+        group += k > 0 and ordered[k - 1][3] != row[3]
+        want.append((row[2], group))
+    for data in (df, df.repartition(7, "event_id")):
+        assert rows_of(tracks.number_groups(data, ["ship"], ["Name"], {"g": changes}), "event_id", "g") == sorted(want)
+        assert rows_of(tracks.track_rownum(data, ["ship"]), "event_id", "row") == sorted((r[2], k + 1) for k, r in enumerate(ordered))
+        lagged = rows_of(tracks.track_lag(data, ["ship"], {"before": "event_id"}), "event_id", "before")
+        assert [r for r in lagged if r[1] is not None] == sorted((b[2], a[2]) for a, b in zip(ordered, ordered[1:]))
+        found = tracks.islands(data, ["ship"], ["Name"], changes, "g", least={"low": F.col("event_id")}, first={"head": F.col("event_id")})
+        heads = {g: next(e for e, x in want if x == g) for _, g in want}
+        lows = {g: min(e for e, x in want if x == g) for _, g in want}
+        assert rows_of(found, "g", "head", "low") == sorted((g, heads[g], lows[g]) for g in heads)

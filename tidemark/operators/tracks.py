@@ -4,9 +4,11 @@ A track is the time-ordered rows of one ship. A single ship may own a large part
 of the data, so windows are not run over the whole track. Each track is cut into
 fixed time slices; window functions run inside (ship, slice), and what has to
 cross a slice border travels through a small table with one row per ship and
-slice. After :func:`dedup_positions` a slice holds at most one row per second
-(604,800 for the default week), and the border table holds one row per ship and
-week, so both group sizes have a fixed bound whatever the skew.
+slice. A slice holds what one ship's receivers report in a week, however long its
+track; :func:`dedup_positions`, where a caller asks for it, bounds that by one row per second.
+
+Rows are in total order: by time, then by the other columns in the order in which the
+table has them. So rows of the same second all count, and their order does not depend on how they arrive.
 
 Key columns must not be null; use :func:`with_ship` to get a single such key.
 """
@@ -17,6 +19,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.constants import SLICE_WIDTH
 from tidemark.functions.time import gap_seconds, seconds, time_slice
@@ -57,8 +60,13 @@ def dedup_positions(
     return grouped.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def _windows(key: Sequence[str], ts: str):
-    inside = Window.partitionBy(*key, SLICE).orderBy(ts)
+def row_order(df: DataFrame, key: Sequence[str], ts: str) -> list[str]:
+    """Columns that put the rows of a track into total order, up to equal rows."""
+    return [ts, *[f.name for f in df.schema.fields if f.name not in (*key, ts) and not isinstance(f.dataType, T.MapType)]]
+
+
+def _windows(key: Sequence[str], order: Sequence[str]):
+    inside = Window.partitionBy(*key, SLICE).orderBy(*order)
     across = Window.partitionBy(*key).orderBy(SLICE)
     return inside, across
 
@@ -71,12 +79,13 @@ def track_lag(
     width: int = SLICE_WIDTH,
 ) -> DataFrame:
     """Add the previous row's values: ``cols`` maps new column -> source column."""
-    inside, across = _windows(key, ts)
+    order = row_order(df, key, ts)
+    inside, across = _windows(key, order)
     sliced = df.withColumn(SLICE, time_slice(ts, width))
     packed = F.struct(*[F.col(src).alias(new) for new, src in cols.items()])
     border = (
         sliced.groupBy(*key, SLICE)
-        .agg(F.max_by(packed, F.col(ts)).alias("_tail"))
+        .agg(F.max_by(packed, F.struct(*order)).alias("_tail"))
         .select(*key, SLICE, F.lag("_tail").over(across).alias("_before"))
     )
     joined = sliced.join(border, [*key, SLICE])
@@ -95,8 +104,7 @@ def track_rownum(
     tie: Sequence[str] = (), width: int = SLICE_WIDTH,
 ) -> DataFrame:
     """Number the rows of every track from 1."""
-    _, across = _windows(key, ts)
-    inside = Window.partitionBy(*key, SLICE).orderBy(ts, *tie)
+    inside, across = _windows(key, [ts, *tie, *[c for c in row_order(df, key, ts)[1:] if c not in tie]])
     sliced = df.withColumn(SLICE, time_slice(ts, width))
     border = (
         sliced.groupBy(*key, SLICE)
@@ -132,7 +140,7 @@ def lag_within(
         .withColumn("_home", F.col(SLICE))
         .withColumn(SLICE, F.explode(copies))
     )
-    inside = Window.partitionBy(*key, SLICE).orderBy(ts)
+    inside = Window.partitionBy(*key, SLICE).orderBy(*row_order(df, key, ts))
     step = F.lead if ahead else F.lag
     found = sliced.select(
         "*", step(ts).over(inside).alias("_at"), *[step(src).over(inside).alias(f"_near_{new}") for new, src in cols.items()]
@@ -148,11 +156,12 @@ def fill_forward(
     df: DataFrame, key: Sequence[str], source: str, name: str, ts: str = "dt_pos_utc", width: int = SLICE_WIDTH
 ) -> DataFrame:
     """Last non-null value of ``source`` at or before each row."""
-    inside, across = _windows(key, ts)
+    order = row_order(df, key, ts)
+    inside, across = _windows(key, order)
     sliced = df.withColumn(SLICE, time_slice(ts, width))
     border = (
         sliced.groupBy(*key, SLICE)
-        .agg(F.max_by(F.col(source), F.when(F.col(source).isNotNull(), F.col(ts))).alias("_tail"))
+        .agg(F.max_by(F.col(source), F.when(F.col(source).isNotNull(), F.struct(*order))).alias("_tail"))
         .select(
             *key, SLICE,
             F.last("_tail", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
@@ -183,15 +192,16 @@ def number_groups(
     ``carry`` lists the columns the break rules look at. The first row of a
     track gets ``start``; a rule that yields null does not break.
     """
-    inside, across = _windows(key, ts)
+    order = row_order(df, key, ts)
+    inside, across = _windows(key, order)
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
     here = F.struct(*carry)
     local = _with_previous(df.withColumn(SLICE, time_slice(ts, width)), carry, ts, inside)
     local = local.select("*", *[_local_break(rule, ts).alias(f"_cut_{n}") for n, rule in ids.items()])
 
     border = local.groupBy(*key, SLICE).agg(
-        F.min_by(here, F.col(ts)).alias("_head"),
-        F.max_by(here, F.col(ts)).alias("_tail"),
+        F.min_by(here, F.struct(*order)).alias("_head"),
+        F.max_by(here, F.struct(*order)).alias("_tail"),
         *[F.sum(f"_cut_{n}").alias(f"_n_{n}") for n in ids],
     ).withColumn("_before", F.lag("_tail").over(across))
     total = across.rowsBetween(Window.unboundedPreceding, 0)
@@ -268,16 +278,18 @@ def islands(
     (ship, slice), so no list is longer than a slice has rows.
     """
     least, greatest, first = dict(least or {}), dict(greatest or {}), dict(first or {})
-    inside, _ = _windows(key, ts)
+    order = row_order(df, key, ts)
+    inside, _ = _windows(key, order)
     here = F.struct(*carry)
+    at = [F.col(c).alias(f"_t{k}") for k, c in enumerate(order)]
     local = _with_previous(df.withColumn(SLICE, time_slice(ts, width)), carry, ts, inside)
     local = local.withColumn("_cut", _local_break(rule, ts))
     local = local.select(
         *key, SLICE,
         F.sum("_cut").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_part"),
-        F.struct(F.col(ts).alias("_t"), here.alias("_c")).alias("_head"),
-        F.struct(F.col(ts).alias("_t"), here.alias("_c")).alias("_tail"),
-        F.struct(F.col(ts).alias("_t"), *[e.alias(n) for n, e in first.items()]).alias("_opening"),
+        F.struct(*at, here.alias("_c")).alias("_head"),
+        F.struct(*at, here.alias("_c")).alias("_tail"),
+        F.struct(*at, *[e.alias(n) for n, e in first.items()]).alias("_opening"),
         *[e.alias(n) for n, e in least.items()],
         *[e.alias(n) for n, e in greatest.items()],
         *([F.when(tally[2], F.struct(tally[1].alias("value"))).alias("_tallied")] if tally else []),
@@ -293,8 +305,8 @@ def islands(
     if tally:
         fragments = fragments.withColumn(tally[0], value_counts(F.col("_tallied"))).drop("_tallied")
 
-    along = Window.partitionBy(*key).orderBy("_at")
-    fragments = fragments.withColumn("_at", F.col("_head._t")).withColumn("_before", F.lag("_tail._c").over(along))
+    along = Window.partitionBy(*key).orderBy("_head")
+    fragments = fragments.withColumn("_before", F.lag("_tail._c").over(along))
     edge = F.when(F.col("_before").isNull(), F.lit(0).cast("long")).otherwise(
         _true(rule(_field("_before"), _field("_head._c")))
     )

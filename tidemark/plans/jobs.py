@@ -29,10 +29,9 @@ def _columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def canal_positions(positions: DataFrame, zone_cells: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
-    """Positions in named zones, without tugs, one per ship and second."""
+    """Positions in named zones, without tugs; rows of the same second are ordered by ``tie``, then by the other columns."""
     tagged = zones.canon_zones(zones.zone_tag(zones.exclude_tugs(positions), zone_cells))
-    narrow = _columns(tracks.with_ship(tagged), "ship", "imo", "mmsi", "dt_pos_utc", "Name", "sog", "draught", *tie)
-    return tracks.dedup_positions(narrow, ["ship"], tie=tie)
+    return _columns(tracks.with_ship(tagged), "ship", "dt_pos_utc", *tie, "imo", "mmsi", "Name", "sog", "draught")
 
 
 def transits_job(
@@ -53,10 +52,9 @@ def transit_stops_job(
 
 
 def port_positions(positions: DataFrame, port_cells: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
-    """Positions with the port they are in, or null, one per identity and second."""
+    """Positions with the port they are in, or null."""
     tagged = tracks.with_identity(zones.zone_tag(positions, port_cells, "left"))
-    narrow = _columns(tagged, "imo_key", "mmsi", "imo", "dt_pos_utc", "Name", "sog", *tie)
-    return tracks.dedup_positions(narrow, ["imo_key", "mmsi"], tie=tie)
+    return _columns(tagged, "imo_key", "mmsi", "dt_pos_utc", *tie, "imo", "Name", "sog")
 
 
 def port_calls_job(
@@ -77,9 +75,9 @@ def specified_positions(
     not travel through the shuffle by ship.
     """
     narrow = _columns(
-        tracks.with_ship(positions), "ship", "mmsi", "dt_pos_utc", "sog", "draught", "H3_int_4", "H3_int_8", cell, *tie,
+        tracks.with_ship(positions), "ship", "dt_pos_utc", *tie, "mmsi", "sog", "draught", "H3_int_4", "H3_int_8", cell,
     )
-    rows = specs.version_join(tracks.dedup_positions(narrow, ["ship"], tie=tie), registry.versions)
+    rows = specs.version_join(narrow, registry.versions)
     known = registry.specs.select("mmsi", "version").distinct()
     rows = lookup_join(rows, known, ["mmsi", "version"], "left_semi")
     return specs.enrich_specs(tracks.track_freq(rows), em.with_factors(registry.specs, factors))
@@ -102,8 +100,7 @@ def port_stop_rows(
     Written out once: the records are aggregated from these rows in four ways.
     """
     tagged = zones.zone_tag(positions, zone_cells)
-    narrow = _columns(tagged, "mmsi", "dt_pos_utc", "Name", "sog", "H3_int_4", "H3_int_8", *tie)
-    stops = ports.port_stops_cutoff(tracks.dedup_positions(narrow, ["mmsi"], tie=tie))
+    stops = ports.port_stops_cutoff(_columns(tagged, "mmsi", "dt_pos_utc", *tie, "Name", "sog", "H3_int_4", "H3_int_8"))
     stops = specs.enrich_specs(specs.version_join(stops, registry.versions), registry.specs)
     phased = op_phase(zones.near_coast_port(with_load(stops), *layers))
     phased = phased.select("mmsi", "dt_pos_utc", "Name", "flag", "segr", "op_phase", *tie)
