@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from tidemark.llm import near_copies as groups
 from tidemark.llm import simhash
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -96,3 +97,41 @@ def test_one_of_each_finds_similar_texts_only(docs, prose):
     changed = [(100 + k, " ".join(w if i != 90 else "changed" for i, w in enumerate(prose(k, 200).split()))) for k in range(40)]
     kept = {r.doc_id for r in simhash.one_of_each(docs(rows + changed)).collect()}
     assert set(range(40)) <= kept and len(kept) <= 42
+
+
+def similar_classes(texts, least, k=5):
+    """Least index that links of exact Jaccard similarity reach."""
+    words = [(t or "").translate(LOW).split() for t in texts]
+    sets = [frozenset(tuple(w[i:i + k]) for i in range(max(len(w) - k + 1, 1))) if w else frozenset() for w in words]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if (len(sets[i] & sets[j]) >= least * union) and label[i] != label[j]:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    return label
+
+
+def graded_copies(prose):
+    """Texts around Jaccard 0.8 of one another: one word changed at places that are far apart, some chains, one large group."""
+    rows = []
+    for base in range(12):
+        words = prose(700 + base, 120).split()
+        for changes in range(8):
+            rows.append(" ".join(f"z{base}x{i}" if i % 14 == 7 and i // 14 < changes else w for i, w in enumerate(words)))
+    rng, words = random.Random(4), prose(800, 150).split()
+    for _ in range(70):
+        own = list(words)
+        for _ in range(rng.randrange(6)):
+            own[rng.randrange(len(own))] = f"q{rng.randrange(99)}"
+        rows.append(" ".join(own))
+    return rows + [prose(900 + k, 60) for k in range(30)] + ["a b", "A  b", "", None]
+
+
+@pytest.mark.parametrize("chunk", [128, 6])
+def test_one_of_each_decides_on_exact_jaccard(docs, prose, monkeypatch, chunk):
+    monkeypatch.setattr(groups, "CHUNK", chunk)
+    texts = graded_copies(prose)
+    kept = sorted(r.doc_id for r in simhash.one_of_each(docs(list(enumerate(texts)))).collect())
+    assert kept == sorted(set(similar_classes(texts, 0.8)))

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import neutral, restored
+from tidemark.llm.near_copies import similar_groups
 from tidemark.llm.words import LOWER, PLAIN_WORD, find_words, joined_words, text_chunks
 from tidemark.operators.components import components
 from tidemark.sources.durable import checkpoint
@@ -397,17 +398,17 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, distance: int = 4, a
     return grouped.join(least, "component").select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def one_of_each(documents: DataFrame, shingle: int = 5, distance: int = 10, agree: int | None = 56) -> DataFrame:
+def one_of_each(documents: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """The document with the least doc_id of each group of near duplicates, in the columns of ``documents``.
 
-    Of rows that share that id the one with the least hash stays; a null id counts as the largest.
+    Links are pairs whose shingle sets have a Jaccard similarity of ``least`` or more
+    (:mod:`near_copies`). Of rows that share that id the one with the least hash stays; a null id counts as the largest.
     """
     rows = neutral(documents, ["doc_id", "text"])
     rows = rows.withColumn("_key", F.xxhash64(*rows.columns))
-    docs = rows.select(F.col("doc_id").alias("_id"), "_key", "text")
-    prints = checkpoint(fingerprints(docs, shingle, agree is not None))
+    docs = rows.select(F.col("doc_id").alias("_id"), "_key", F.col("text").cast("string").alias("text"))
     order = F.struct(F.col("_id").isNull().alias("unknown"), F.col("_id").alias("id"), F.col("_key").alias("key"))
-    kept = _components(prints, distance, agree).groupBy("component").agg(F.min(order).alias("_f"))
+    kept = similar_groups(docs, shingle, least).groupBy("component").agg(F.min(order).alias("_f"))
     kept = kept.select(F.col("_f.id").alias("_kept_id"), F.col("_f.key").alias("_kept_key"))
     found = rows.join(kept, (F.col("_key") == F.col("_kept_key")) & F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
     return restored(found.dropDuplicates(["_key", "doc_id"]), documents, ["doc_id", "text"])
