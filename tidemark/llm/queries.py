@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, decontaminate, licences, mixing, quality_model, quality_rules, secrets, simhash, substrings, token_files
+from tidemark.llm import archives, decontaminate, licences, mixing, prefix_trie, quality_model, quality_rules, secrets, simhash, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -164,3 +164,32 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.transform("matches", lambda m: F.concat_ws(
         ":", m["licence"], m["template"].cast("string"), m["first_line"].cast("string"), m["last_line"].cast("string"), F.round(m["dice"], 6).cast("string")))
     return found.select("doc_id", F.size("matches").cast("bigint").alias("n_licences"), F.array_join(text, ",").alias("licences"))
+
+
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+# CRC-32 by its table of 256 remainders, which the first view computes.
+ORACLES["op11_prefix_trie"] = """
+with remainders as (select list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda p, q: case when p & 1 = 1 then xor(p >> 1, 3988292384) else p >> 1 end)) as tab),
+own as (select conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+        order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as w from conversations where conv_id is not null group by conv_id),
+heads as (select conv_id, w, xor(list_reduce(list_concat([4294967295], list_transform(string_split(cast(conv_id as varchar), ''), lambda c: cast(ord(c) as bigint))),
+          lambda p, q: xor(p >> 8, tab[(xor(p, q) & 255) + 1])), 4294967295) % 6 as h from own, remainders),
+seqs as (select o.conv_id, list_concat(list_slice(coalesce(f.w, []), 1, h), list_slice(o.w, h + 1, len(o.w))) as s
+         from heads o left join own f on f.conv_id = o.conv_id - o.conv_id % 100),
+ends as (select s as p, sha256(string_agg(cast(conv_id as varchar), ',' order by conv_id)) as ends_sha256 from seqs group by s),
+nodes as (select list_slice(s, 1, d) as p, d, min(conv_id) as conv_id, count(*) as n_convs
+          from (select conv_id, s, unnest(range(0, len(s) + 1)) as d from seqs) group by all),
+kids as (select list_slice(p, 1, d - 1) as p, count(*) as n_children from nodes where d > 0 group by 1),
+own_figures as (select p, d, case when d = 0 then 0 else (n_convs - 1) * length(p[d].t) end as saves, case when n_children is null then 1 else 0 end as leaf
+                from nodes left join kids using (p)),
+below as (select list_slice(p, 1, e) as p, sum(saves) as saved, sum(leaf) as leaves
+          from (select p, saves, leaf, unnest(range(0, d + 1)) as e from own_figures) group by 1)
+select n.conv_id, cast(n.d as bigint) as depth, u.conv_id as parent_conv_id, n.n_convs, cast(coalesce(n_children, 0) as bigint) as n_children,
+       cast(leaves as bigint) as n_leaves, cast(saved as bigint) as saved_tokens, coalesce(ends_sha256, sha256('')) as ends_sha256
+from nodes n join below using (p) left join kids using (p) left join ends using (p) left join nodes u on n.d > 0 and u.p = list_slice(n.p, 1, n.d - 1)
+"""
