@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, decontaminate, licences, mixing, prefix_trie, quality_model, quality_rules, secrets, simhash, substrings, token_files
+from tidemark.llm import archives, decontaminate, licences, mixing, periodic_runs, prefix_trie, quality_model, quality_rules, secrets, simhash, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,3 +193,19 @@ select n.conv_id, cast(n.d as bigint) as depth, u.conv_id as parent_conv_id, n.n
        cast(leaves as bigint) as n_leaves, cast(saved as bigint) as saved_tokens, coalesce(ends_sha256, sha256('')) as ends_sha256
 from nodes n join below using (p) left join kids using (p) left join ends using (p) left join nodes u on n.d > 0 and u.p = list_slice(n.p, 1, n.d - 1)
 """
+
+
+def run_digest(found: DataFrame) -> DataFrame:
+    """What op12 reports of the result of :func:`periodic_runs.periodic_runs`."""
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    best = F.col("best")
+    return found.withColumn("best", periodic_runs.strongest_run()).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = periodic_runs.with_repeated_tails(_table(spark, sf_dir, "documents"))
+    return run_digest(periodic_runs.periodic_runs(documents))
