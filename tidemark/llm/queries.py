@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, decontaminate, licences, mixing, periodic_runs, prefix_trie, quality_model, quality_rules, secrets, simhash, substrings, token_files
+from tidemark.llm import archives, decontaminate, licences, mixing, periodic_runs, prefix_trie, quality_model, quality_rules, secrets, simhash, substrings, suffix_merge, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,3 +209,31 @@ def run_digest(found: DataFrame) -> DataFrame:
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = periodic_runs.with_repeated_tails(_table(spark, sf_dir, "documents"))
     return run_digest(periodic_runs.periodic_runs(documents))
+
+
+def byte_digest(found: DataFrame) -> DataFrame:
+    """What op13 reports of the result of :func:`suffix_merge.suffix_dedup`."""
+    removed = F.reduce("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op13_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_digest(suffix_merge.suffix_dedup(_table(spark, sf_dir, "documents")))
+
+
+# Bytes as pairs of hexadecimal digits; windows of one document that overlap or touch form a span.
+ORACLES["op13_suffix_merge"] = """
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+win as (select r, doc_id, i, substr(x, 2 * i + 1, 100) as g from (select r, doc_id, x, unnest(range(0, len(x) // 2 - 49)) as i from d where len(x) >= 100)),
+least as (select g, min(doc_id) as ref from win group by g having count(*) > 1),
+hit as (select r, i, case when i - lag(i) over (partition by r order by i) <= 50 then 0 else 1 end as opens
+        from win join least using (g) where doc_id > ref or (doc_id is null and ref is not null)),
+spans as (select r, min(i) as a, max(i) + 50 as b from (select r, i, sum(opens) over (partition by r order by i) as s from hit) group by r, s),
+pieces as (select r, a, substr(x, 2 * b0 + 1, 2 * (a - b0)) as piece from (select r, a, coalesce(lag(b) over (partition by r order by a), 0) as b0 from spans) join d using (r)),
+kept as (select r, n, k, p || substr(x, 2 * e + 1) as y from (select r, sum(b - a) as n, count(*) as k, max(b) as e from spans group by r)
+         join (select r, string_agg(piece, '' order by a) as p from pieces group by r) using (r) join d using (r))
+select doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(n, 0) as bigint) as n_removed, cast(coalesce(k, 0) as bigint) as n_spans,
+       sha256(unhex(coalesce(y, x))) as kept_sha256
+from d left join kept using (r)
+"""
