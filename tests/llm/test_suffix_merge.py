@@ -53,10 +53,14 @@ def test_matches_brute_force(docs, prose, odd_texts):
     assert got(docs(rows)) == brute(rows)
 
 
-def test_many_chunks_and_ranges(docs, prose, odd_texts, monkeypatch):
-    for name, value in {"CHUNK_BYTES": 1500, "RANGE_BYTES": 3000, "SAMPLED_KEYS": 3}.items():
+@pytest.mark.parametrize("group", [None, 3])
+def test_many_chunks_and_ranges(docs, prose, odd_texts, monkeypatch, group):
+    suffix_merge._powers.cache_clear()
+    for name, value in {"CHUNK_BYTES": 1500, "RANGE_BYTES": 3000, "SAMPLED_KEYS": 3, "STEP": 256}.items():
         monkeypatch.setattr(suffix_merge, name, value)
     rows = case(prose, odd_texts)
+    if group:
+        monkeypatch.setattr(suffix_merge, "GROUP", group)
     random.Random(2).shuffle(rows)
     assert got(docs(rows)) == brute(rows)
 

@@ -14,9 +14,10 @@ place with the least hash of SHARED bytes. Equal windows have equal anchors at e
 same anchor form a block. Three rounds find all windows that start in a smaller document too:
 
 1. the suffixes at the anchors to a depth of SHARED bytes: windows of blocks whose prefix occurs in one document only are unique;
-2. the others by all that belongs to the block, from the anchor onwards and then backwards: blocks of equal content are settled as a whole.
-   Prefixes with differing contents of several documents remain;
-3. the windows of these, byte by byte.
+2. the others by all that belongs to the block, from the anchor onwards and then backwards: blocks of equal content are settled as a whole,
+   and where a prefix has differing contents of several documents, their windows are compared as they come out of the merge;
+3. prefixes with more than GROUP contents, and those that may go on beyond the border of a range, are not held together: their windows
+   are sorted and merged as keys of their own.
 
 Keys are compared as bytes, hashes only choose the anchors. A chunk sends equal keys once, so a hot passage is
 sent once for each chunk, and the splitting keys of round 2 may divide one hot prefix. The splitting keys come from a sample
@@ -28,6 +29,8 @@ not find each other. Repeated rows are documents of their own. Other columns are
 
 from __future__ import annotations
 
+import functools
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,16 +46,19 @@ from tidemark.sources.durable import checkpoint, scratch_path
 WINDOW = 50
 SHARED = 24
 REACH = WINDOW - SHARED
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 8 << 20
 RANGE_BYTES = 16 << 20
+STEP = 1 << 16
+GROUP = 4096
 SAMPLED_CHUNKS = 8
 SAMPLED_KEYS = 512
 CHUNKS_A_TASK = 2
 
 PAD = 255  # in no UTF-8 text
-SMALLER, ASKED = 1, 2
+# Codes of keys: the bits below say which windows of a block start in a smaller document.
+SMALLER, ASKED = 1 << 31, 1 << 30
 NO_ID = 1 << 63
-_U = np.uint64
+_U, _A = np.uint64, np.uint32
 
 
 # Chunks
@@ -92,10 +98,46 @@ def _store_chunks(documents: DataFrame, folder: str) -> DataFrame:
     return docs.mapInArrow(scan, "path string, n_bytes bigint")
 
 
-def _grown(base: int, n: int) -> np.ndarray:
-    powers = np.full(n, base, _U)
-    powers[0] = 1
-    return np.cumprod(powers)
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of bytes, and powers of a random base and of its inverse."""
+    rng = np.random.Generator(np.random.PCG64(7))
+    table, base = rng.integers(0, 2**64, 256, dtype=_U), int(rng.integers(0, 2**64, dtype=_U)) | 1
+    grown = []
+    for factor in (base, pow(base, -1, 2**64)):
+        powers = np.full(STEP + WINDOW, factor, _U)
+        powers[0] = 1
+        grown.append(np.cumprod(powers))
+    return table, *grown
+
+
+def _anchors(data: np.ndarray) -> np.ndarray:
+    """For each window of ``data`` the place of its anchor."""
+    table, up, down = _powers()
+    n = len(data) - WINDOW + 1
+    found = np.empty(n, np.int64)
+    for at in range(0, n, STEP):
+        piece = data[at:at + STEP + WINDOW - 1]
+        sums = np.zeros(len(piece) + 1, _U)
+        np.cumsum(table[piece] * up[:len(piece)], out=sums[1:])
+        grams = mix((sums[SHARED:] - sums[:-SHARED]) * down[:len(piece) - SHARED + 1])
+        # The hash above, the place below: the least is the leftmost of the least hashes.
+        least = (grams >> _U(20) << _U(20)) + np.arange(len(grams), dtype=_U)
+        width = 1
+        while width < REACH + 1:
+            step = min(width, REACH + 1 - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        found[at:at + len(least)] = (least & _U((1 << 20) - 1)).astype(np.int64) + at
+    return found
+
+
+def _rows(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The ``width`` bytes from each place on."""
+    if not len(at):
+        return np.zeros((0, width), np.uint8)
+    data = np.ascontiguousarray(data)
+    return np.ndarray((len(data) - width + 1,), f"V{width}", data, strides=(1,))[at].view(np.uint8).reshape(-1, width)
 
 
 def _order(keys: np.ndarray, tie: np.ndarray) -> np.ndarray:
@@ -108,7 +150,7 @@ def _order(keys: np.ndarray, tie: np.ndarray) -> np.ndarray:
         return part.view(">u8").ravel().astype(_U)
 
     first = word(np.arange(n), 0)
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     value, group, slots = first[order], np.zeros(n, np.int64), np.arange(n)
     for c in [*range(8, width, 8), None]:
         new = np.append(True, (value[1:] != value[:-1]) | (group[1:] != group[:-1]))[:len(slots)]
@@ -129,8 +171,9 @@ class Keys:
 
     def __init__(self, rows: np.ndarray, who: np.ndarray):
         order = _order(rows, who)
-        rows, who = rows[order], who[order]
-        new = np.append(True, (rows[1:] != rows[:-1]).any(axis=1))[:len(rows)]
+        rows, who = np.ascontiguousarray(rows[order]), who[order]
+        listed = rows.view(f"S{rows.shape[1]}").ravel()
+        new = np.append(True, listed[1:] != listed[:-1])[:len(rows)]
         self.keys, self.least = rows[new], who[new]
         self.of = np.empty(len(order), np.int64)
         self.of[order] = np.cumsum(new) - 1
@@ -139,112 +182,134 @@ class Keys:
 
 
 class Chunk:
-    """The texts of one file and what the rounds need of them. ``answers``: the codes of the rounds so far, for the keys of their runs."""
-
-    def __init__(self, path: str, answers: list[np.ndarray]):
-        with open_input(path) as file:
-            table = pa.ipc.open_file(file).read_all()
-        self.docs = table.column(0)
-        ids = self.docs.fill_null(0).to_numpy()
-        self.null = self.docs.is_null().to_numpy()
-        texts = table.column(1).combine_chunks()
+    """The texts of one file and what the rounds need of them, read when first used.
+
+    ``tied``: the blocks that :meth:`pack_tied` found after round 1. ``answers``: the codes of the rounds, for the keys of their runs.
+    """
+
+    def __init__(self, path: str, tied: bytes | None, answers: list[np.ndarray]):
+        self.path, self.answers, self._tied = path, answers, tied
+
+    @functools.cached_property
+    def table(self) -> pa.Table:
+        with open_input(self.path) as file:
+            return pa.ipc.open_file(file).read_all()
+
+    @functools.cached_property
+    def _text(self) -> tuple[np.ndarray, np.ndarray]:
+        texts = self.table.column(1).combine_chunks()
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
         offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
         data = texts.buffers()[2]
         data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        self.data, self.offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
-        # Owners in the order of ids, rows without one last and equal to each other.
-        self.ids, who = np.unique(ids[~self.null], return_inverse=True)
-        self.who = np.full(len(ids), len(self.ids), np.int64)
-        self.who[~self.null] = who
-        self.answers = answers
-        self._cut()
+        return data[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+    @property
+    def data(self) -> np.ndarray:
+        return self._text[0]
+
+    @property
+    def offsets(self) -> np.ndarray:
+        return self._text[1]
+
+    @functools.cached_property
+    def _owners(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids in order, and for each text the number of its own; rows without one come last and are equal to each other."""
+        docs = self.table.column(0)
+        null = docs.is_null().to_numpy()
+        ids, who = np.unique(docs.fill_null(0).to_numpy()[~null], return_inverse=True)
+        numbers = np.full(len(null), len(ids), np.int64)
+        numbers[~null] = who
+        return ids, numbers
 
     def owner(self, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """doc_id, and whether there is none."""
-        return np.append(self.ids, 0)[who], who == len(self.ids)
-
-    def _cut(self) -> None:
-        """Blocks: first window, number of windows, anchor, document."""
-        n = len(self.data)
-        ends = np.repeat(self.offsets[1:], np.diff(self.offsets))
-        at = np.flatnonzero(np.arange(n) + WINDOW <= ends)
-        if not len(at):
-            self.begin = self.count = self.anchor = self.doc = np.zeros(0, np.int64)
-            return
-        rng = np.random.Generator(np.random.PCG64(7))
-        table, base = rng.integers(0, 2**64, 256, dtype=_U), int(rng.integers(0, 2**64, dtype=_U)) | 1
-        sums = np.zeros(n + 1, _U)
-        np.cumsum(table[self.data] * _grown(base, n), out=sums[1:])
-        grams = sums[SHARED:] - sums[:-SHARED]
-        grams = mix(grams * _grown(pow(base, -1, 2**64), n)[:len(grams)])
-        # The hash above, the place below: the least is the leftmost of the least hashes.
-        least = (grams >> _U(31) << _U(31)) + np.arange(len(grams), dtype=_U)
-        width = 1
-        while width < REACH + 1:
-            step = min(width, REACH + 1 - width)
-            least = np.minimum(least[:-step], least[step:])
-            width += step
-        anchor = (least[at] & _U((1 << 31) - 1)).astype(np.int64)
-        new = np.append(True, (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1))
-        self.begin, self.anchor = at[new], anchor[new]
-        self.count = np.diff(np.append(np.flatnonzero(new), len(at)))
-        self.doc = np.searchsorted(self.offsets, self.begin, "right") - 1
+        ids, _ = self._owners
+        return np.append(ids, 0)[who], who == len(ids)
+
+    def who(self, begin: np.ndarray) -> np.ndarray:
+        """The owner's number at each place."""
+        return self._owners[1][np.searchsorted(self.offsets, begin, "right") - 1]
+
+    @functools.cached_property
+    def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All blocks: first window, number of windows, anchor."""
+        none = np.zeros(0, np.int64)
+        if len(self.data) < WINDOW:
+            return none, none, none
+        anchor = _anchors(self.data)
+        valid = np.ones(len(anchor) + 1, bool)
+        valid[-1] = False
+        for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist()):
+            valid[max(a, b - WINDOW + 1):b] = False
+        same = np.append(anchor[1:] == anchor[:-1], False) & valid[1:] & valid[:-1]
+        begin = np.flatnonzero(valid[:-1] & ~np.append(False, same[:-1]))
+        return begin, np.flatnonzero(valid[:-1] & ~same) - begin + 1, anchor[begin]
 
     def prefixes(self) -> Keys:
         """Round 1: the suffixes at the anchors."""
-        return Keys(self.data[self.anchor[:, None] + np.arange(SHARED)], self.who[self.doc])
+        begin, _, anchor = self.cut
+        return Keys(_rows(self.data, anchor, SHARED), self.who(begin))
 
-    def tied(self) -> np.ndarray:
-        """Blocks whose prefix several documents have."""
+    def pack_tied(self) -> bytes:
+        """The blocks whose prefix several documents have."""
         run = self.prefixes()
-        return np.flatnonzero((run.several | (self.answers[0] == ASKED))[run.of])
-
-    def contents(self, blocks: np.ndarray) -> Keys:
+        tied = np.flatnonzero((run.several | (self.answers[0] == ASKED))[run.of])
+        begin, count, anchor = (x[tied] for x in self.cut)
+        packed = np.diff(begin, prepend=0).astype(np.int32).tobytes() + count.astype(np.uint8).tobytes() + (anchor - begin).astype(np.uint8).tobytes()
+        return zstandard.ZstdCompressor(level=1).compress(packed)
+
+    @functools.cached_property
+    def tied(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw = zstandard.ZstdDecompressor().decompress(self._tied)
+        n = len(raw) // 6
+        begin = np.cumsum(np.frombuffer(raw, np.int32, n).astype(np.int64))
+        return begin, np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.int64), begin + np.frombuffer(raw, np.uint8, n, 5 * n)
+
+    def contents(self) -> Keys:
         """Round 2: all bytes of the blocks' windows, from the anchor onwards and from there backwards."""
-        begin, anchor = self.begin[blocks], self.anchor[blocks]
-        data = np.append(self.data, np.full(WINDOW + REACH, PAD, np.uint8))
-        ahead = np.arange(WINDOW)
-        onwards = data[anchor[:, None] + ahead]
-        onwards[ahead >= (begin + self.count[blocks] - 1 + WINDOW - anchor)[:, None]] = PAD
-        behind = np.arange(REACH)
-        backwards = data[anchor[:, None] - 1 - behind]
-        backwards[behind >= (anchor - begin)[:, None]] = PAD
-        return Keys(np.hstack([onwards, backwards]), self.who[self.doc[blocks]])
-
-    def asked(self, blocks: np.ndarray, run: Keys) -> np.ndarray:
-        """Blocks whose windows have to be compared one by one."""
-        who = self.who[self.doc[blocks]]
-        return blocks[(self.answers[1] == ASKED)[run.of] & (who == run.least[run.of])]
-
-    def places(self, blocks: np.ndarray) -> np.ndarray:
-        count = self.count[blocks]
-        return np.repeat(self.begin[blocks] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-
-    def windows(self, blocks: np.ndarray) -> Keys:
-        """Round 3: the windows of the blocks."""
-        return Keys(self.data[self.places(blocks)[:, None] + np.arange(WINDOW)], np.repeat(self.who[self.doc[blocks]], self.count[blocks]))
+        begin, count, anchor = self.tied
+        onwards = _rows(np.append(self.data, np.full(WINDOW, PAD, np.uint8)), anchor, WINDOW)
+        onwards[np.arange(WINDOW) >= (begin + count - 1 + WINDOW - anchor)[:, None]] = PAD
+        backwards = _rows(np.append(self.data[::-1], np.full(REACH, PAD, np.uint8)), len(self.data) - anchor, REACH)
+        backwards[np.arange(REACH) >= (anchor - begin)[:, None]] = PAD
+        return Keys(np.hstack([onwards, backwards]), self.who(begin))
+
+    def asked(self, run: Keys) -> np.ndarray:
+        """The windows (places) that are to be compared one by one, of the tied blocks with contents ``run``."""
+        begin, count, _ = self.tied
+        blocks = np.flatnonzero((self.answers[1] & _A(ASKED) > 0)[run.of] & (self.who(begin) == run.least[run.of]))
+        begin, count = begin[blocks], count[blocks]
+        return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+    def windows(self, places: np.ndarray) -> Keys:
+        """Round 3."""
+        return Keys(_rows(self.data, places, WINDOW), self.who(places))
 
     def run(self) -> Keys:
         """The run of the round after those answered."""
         if not self.answers:
             return self.prefixes()
-        tied = self.tied()
-        contents = self.contents(tied)
-        return contents if len(self.answers) == 1 else self.windows(self.asked(tied, contents))
+        if len(self.answers) == 1:
+            return self.contents()
+        if not (self.answers[1] & _A(ASKED)).any():
+            return Keys(np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64))
+        return self.windows(self.asked(self.contents()))
 
     def removed(self) -> np.ndarray:
         """For each byte whether it is covered by a window that starts in a smaller document, after all rounds."""
-        tied = self.tied()
-        contents = self.contents(tied)
-        whole = tied[((self.answers[1] == SMALLER)[contents.of]) | (self.who[self.doc[tied]] > contents.least[contents.of])]
-        asked = self.asked(tied, contents)
+        begin, count, _ = self.tied
+        run = self.contents()
+        codes, ahead = self.answers[1][run.of], self.who(begin) > run.least[run.of]
+        whole = ahead | (codes & _A(SMALLER) > 0)
+        single = [begin[~whole & (codes >> _A(k) & _A(1) > 0)] + k for k in range(REACH + 1)]
+        asked = self.asked(run)
         windows = self.windows(asked)
-        single = np.repeat(self.who[self.doc[asked]], self.count[asked]) > windows.least[windows.of]
-        single = self.places(asked)[single | (self.answers[2] == SMALLER)[windows.of]]
-        edge = np.zeros(len(self.data) + 1, np.int64)
-        np.add.at(edge, np.append(self.begin[whole], single), 1)
-        np.add.at(edge, np.append(self.begin[whole] + self.count[whole], single + 1) + WINDOW - 1, -1)
+        single.append(asked[(self.who(asked) > windows.least[windows.of]) | (self.answers[2] & _A(SMALLER) > 0)[windows.of]])
+        places = np.concatenate(single)
+        edge = np.zeros(len(self.data) + 1, np.int32)
+        np.add.at(edge, np.append(begin[whole], places), 1)
+        np.add.at(edge, np.append(begin[whole] + count[whole], places + 1) + WINDOW - 1, -1)
         return np.cumsum(edge)[:-1] > 0
 
 
@@ -262,7 +327,7 @@ def _pack(run: Keys, chunk: Chunk, a: int, b: int) -> bytes:
     # Bytes of equal weight stand together, which compresses better.
     ids = np.ascontiguousarray(doc.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
     parts = [np.array([b - a, keys.shape[1]], np.int32).tobytes(), common.tobytes(), flags.astype(np.uint8).tobytes(), ids.tobytes(), rest.tobytes()]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
 class Packed:
@@ -279,7 +344,7 @@ class Packed:
         self.owner = np.ascontiguousarray(ids).view(np.int64).ravel().tolist()
         for k in np.flatnonzero(flags & 1).tolist():
             self.owner[k] = NO_ID
-        self.rest, self.codes = raw[8 + 10 * n:], bytearray(n)
+        self.rest, self.codes = raw[8 + 10 * n:], array("I", bytes(4 * n))
 
     def entries(self) -> Iterator[tuple[int, bytes]]:
         """Common prefix and rest of each key."""
@@ -325,41 +390,59 @@ def merged(runs: list[Packed]) -> Iterator[tuple[int, int, int, bytes]]:
     for node in range(k - 1, 0, -1):
         winners[node], tree[node] = play(winners[2 * node], winners[2 * node + 1])
     top = winners[1] if k > 1 else 0
+    width = runs[0].width if runs else 0
     while k and common[top] >= 0:
         key = keys[top]
         yield top, index[top], common[top], key
         index[top] += 1
         following = next(source[top], None)
         if following is None:
-            common[top] = -1
+            mine = common[top] = -1
         else:
-            shared, rest = following
-            common[top], keys[top] = shared, key[:shared] + rest
-        node, mine = (top + k) >> 1, common[top]
+            mine, rest = following
+            common[top] = mine
+            keys[top] = key = key[:mine] + rest
+        # As in play(), written out: this loop is most of the work.
+        node = (top + k) >> 1
         while node:
             other = tree[node]
             theirs = common[other]
             if theirs > mine:
-                tree[node], top, mine = top, other, theirs
-            elif theirs == mine and mine >= 0:
-                top, tree[node] = play(top, other)
-                mine = common[top]
+                tree[node], top, mine, key = top, other, theirs, keys[other]
+            elif theirs == mine and 0 <= mine < width:
+                rival, x = keys[other], mine
+                left, right = key[x], rival[x]
+                if left == right:
+                    if key[x:] == rival[x:]:
+                        common[other] = width
+                        node >>= 1
+                        continue
+                    x += 1
+                    while key[x] == rival[x]:
+                        x += 1
+                    left, right = key[x], rival[x]
+                if left < right:
+                    common[other] = x
+                else:
+                    common[top] = x
+                    tree[node], top, key = top, other, rival
             node >>= 1
 
 
 def _judge_prefixes(runs: list[Packed], fixed: list[bytes]) -> None:
     """Codes ASKED for keys that several documents have."""
     width = runs[0].width
-    pending: list[tuple[int, int]] = []
-    owner, several = None, False
+    owners, several, codes = [r.owner for r in runs], [r.several for r in runs], [r.codes for r in runs]
+    owner, tied, pending = None, False, []
     for i, at, shared, _ in merged(runs):
+        mine = owners[i][at]
         if shared < width:
-            pending, owner, several = [], runs[i].owner[at], False
-        several = several or runs[i].owner[at] != owner or bool(runs[i].several and runs[i].several[at])
+            owner, tied, pending = mine, False, []
+        tied = tied or mine != owner or (several[i] is not None and several[i][at])
         pending.append((i, at))
-        if several:
+        if tied:
             for run, place in pending:
-                runs[run].codes[place] = ASKED
+                codes[run][place] = ASKED
             pending = []
 
 
@@ -376,36 +459,59 @@ def _judge_smaller(runs: list[Packed], same: list[tuple[int, int]]) -> tuple[int
 
 
 def _judge_contents(runs: list[Packed], fixed: list[bytes]) -> None:
-    """SMALLER for contents that a smaller document has too; ASKED where a prefix has several contents of several documents.
+    """SMALLER for contents that a smaller document has too; where a prefix has several contents of several documents, their copied windows.
 
-    ``fixed``: the keys at the range's borders. Prefixes that may go on beyond them are asked in any case.
+    ``fixed``: the keys at the range's borders. Prefixes that may go on beyond them, and those with more than GROUP contents, are ASKED.
     """
     width = runs[0].width
     beyond = {key[:SHARED] for key in fixed if len(key) > SHARED}
     same: list[tuple[int, int]] = []
-    waiting: list[tuple[int, int]] = []
-    first, differ = None, False
+    group: list[tuple[bytes, int, list[tuple[int, int]]]] = []
+    ask, last = False, b""
 
-    def close() -> None:
-        nonlocal first, differ, waiting
+    def close_content() -> None:
+        nonlocal group, ask
         least, holders = _judge_smaller(runs, same)
-        differ = differ or (first is not None and least != first)
-        first = least
-        waiting += holders
-        if differ:
-            for i, at in waiting:
-                runs[i].codes[at] = ASKED
-            waiting = []
+        group.append((last, least, holders))
+        if ask or len(group) > GROUP:
+            ask = True
+            for _, _, holders in group:
+                for i, at in holders:
+                    runs[i].codes[at] = ASKED
+            group = []
+
+    def close_group() -> None:
+        if len(group) > 1 and any(least != group[0][1] for _, least, _ in group):
+            _judge_group(runs, group)
 
     for i, at, shared, key in merged(runs):
-        if shared < width and same:
-            close()
-            same = []
-        if shared < SHARED:
-            waiting, first, differ = [], None, key[:SHARED] in beyond
+        if shared < width:
+            if same:
+                close_content()
+                same = []
+            if shared < SHARED:
+                close_group()
+                group, ask = [], key[:SHARED] in beyond
+            last = key
         same.append((i, at))
     if same:
-        close()
+        close_content()
+    close_group()
+
+
+def _judge_group(runs: list[Packed], group: list[tuple[bytes, int, list[tuple[int, int]]]]) -> None:
+    """For each content the windows that another one has for a smaller document: one bit each, the first window lowest."""
+    texts = [key[WINDOW:].rstrip(b"\xff")[::-1] + key[:WINDOW].rstrip(b"\xff") for key, _, _ in group]
+    first: dict[bytes, int] = {}
+    for text, (_, least, _) in zip(texts, group):
+        for k in range(len(text) - WINDOW + 1):
+            window = text[k:k + WINDOW]
+            if first.get(window, NO_ID + 1) > least:
+                first[window] = least
+    for text, (_, least, holders) in zip(texts, group):
+        code = sum(1 << k for k in range(len(text) - WINDOW + 1) if first[text[k:k + WINDOW]] < least)
+        for i, at in holders:
+            runs[i].codes[at] = code
 
 
 def _judge_windows(runs: list[Packed], fixed: list[bytes]) -> None:
@@ -425,34 +531,34 @@ def _judge_windows(runs: list[Packed], fixed: list[bytes]) -> None:
 JUDGES = [_judge_prefixes, _judge_contents, _judge_windows]
 
 
-def _answers(row_answers: list[list[dict]]) -> list[np.ndarray]:
+def _answers(row_answers: list[list[dict] | None]) -> list[np.ndarray]:
     """The codes of each round, over all ranges in order."""
     read = zstandard.ZstdDecompressor()
-    return [np.frombuffer(b"".join(read.decompress(a["codes"]) for a in sorted(answers or [], key=lambda a: a["range"])), np.uint8) for answers in row_answers]
+    return [np.frombuffer(b"".join(read.decompress(a["codes"]) for a in sorted(answers or [], key=lambda a: a["range"])), np.uint32) for answers in row_answers]
 
 
-def _each_chunk(rows: DataFrame, rounds: int, use: Callable[[Chunk], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    names = [f"codes_{k}" for k in range(rounds)]
-
+def _each_chunk(rows: DataFrame, use: Callable[[Chunk], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``use`` on each chunk of (path, tied, codes) rows; codes: a list of answers for each round."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                path = batch.column(0)[k].as_py()
-                yield from use(path, Chunk(path, _answers([batch.column(1 + r)[k].as_py() for r in range(rounds)])))
+            for path, tied, *codes in zip(*(batch.column(k) for k in range(batch.num_columns))):
+                yield from use(Chunk(path.as_py(), tied.as_py(), _answers([c.as_py() for c in codes])))
 
-    return rows.select("path", *names).mapInArrow(scan, schema)
+    names = [c for c in rows.columns if c.startswith("codes_")]
+    tied = F.col("tied") if "tied" in rows.columns else F.lit(None).cast("binary")
+    return rows.select("path", tied.alias("tied"), *sorted(names)).mapInArrow(scan, schema)
 
 
-def _splitters(chunks: DataFrame, n_chunks: int, rounds: int, ranges: int) -> list[bytes]:
+def _splitters(chunks: DataFrame, n_chunks: int, ranges: int) -> list[bytes]:
     """At most ranges - 1 keys that divide the keys of a sample of the chunks evenly, cut to what tells each from the one before."""
     if ranges < 2:
         return []
     some = chunks if n_chunks <= SAMPLED_CHUNKS else chunks.filter(F.pmod(F.xxhash64("path"), F.lit(SAMPLED_CHUNKS)) == 0)
 
-    def sample(path: str, chunk: Chunk) -> Iterator[pa.RecordBatch]:
+    def sample(chunk: Chunk) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in chunk.run().keys[::SAMPLED_KEYS]], pa.binary())], ["key"])
 
-    keys = checkpoint(_each_chunk(some, rounds, sample, "key binary"))
+    keys = checkpoint(_each_chunk(some, sample, "key binary"))
     parts = keys.repartitionByRange(ranges, "key").groupBy(F.spark_partition_id().alias("part")).agg(F.min("key").alias("key"), F.max("key").alias("last"))
     rows = sorted((bytes(r.key), bytes(r.last)) for r in parts.collect())
     cut = []
@@ -464,10 +570,10 @@ def _splitters(chunks: DataFrame, n_chunks: int, rounds: int, ranges: int) -> li
 
 def _round(chunks: DataFrame, n_chunks: int, rounds: int, ranges: int) -> DataFrame:
     """``chunks`` with the codes of one more round."""
-    borders = _splitters(chunks, n_chunks, rounds, ranges)
+    borders = _splitters(chunks, n_chunks, ranges)
     judge = JUDGES[rounds]
 
-    def send(path: str, chunk: Chunk) -> Iterator[pa.RecordBatch]:
+    def send(chunk: Chunk) -> Iterator[pa.RecordBatch]:
         run = chunk.run()
         n, width = run.keys.shape
         listed = np.ascontiguousarray(run.keys).view(f"S{width}").ravel() if n else np.zeros(0, f"S{width}")
@@ -476,16 +582,16 @@ def _round(chunks: DataFrame, n_chunks: int, rounds: int, ranges: int) -> DataFr
             if a < b:
                 fixed = [borders[p] for p in (part - 1, part) if 0 <= p < len(borders)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([part], pa.int32()), pa.array([path]), pa.array([fixed], pa.list_(pa.binary())), pa.array([_pack(run, chunk, a, b)], pa.binary()),
+                    pa.array([part], pa.int32()), pa.array([chunk.path]), pa.array([fixed], pa.list_(pa.binary())), pa.array([_pack(run, chunk, a, b)], pa.binary()),
                 ], ["range", "path", "fixed", "blob"])
 
     def merge(table: pa.Table) -> pa.Table:
         runs = [Packed(blob.as_py()) for blob in table.column("blob")]
         judge(runs, table.column("fixed")[0].as_py())
-        pack = zstandard.ZstdCompressor(level=3)
-        return pa.table([table.column("path"), table.column("range"), pa.array([pack.compress(bytes(r.codes)) for r in runs], pa.binary())], ["path", "range", "codes"])
+        pack = zstandard.ZstdCompressor(level=1)
+        return pa.table([table.column("path"), table.column("range"), pa.array([pack.compress(r.codes.tobytes()) for r in runs], pa.binary())], ["path", "range", "codes"])
 
-    sent = _each_chunk(chunks, rounds, send, "range int, path string, fixed array<binary>, blob binary")
+    sent = _each_chunk(chunks, send, "range int, path string, fixed array<binary>, blob binary")
     codes = checkpoint(sent.groupBy("range").applyInArrow(merge, "path string, range int, codes binary"))
     # A chunk has one piece for each range: as many bytes as keys.
     per_chunk = codes.groupBy("path").agg(F.collect_list(F.struct("range", "codes")).alias(f"codes_{rounds}"))
@@ -506,12 +612,19 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     make_folder(folder_uri(folder))
     stored = checkpoint(_store_chunks(documents, folder_uri(folder)))
     total = stored.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes")).first()
-    chunks = _dealt(stored.select("path"), total["n"])
-    for rounds in range(len(JUDGES)):
-        chunks = _round(chunks, total["n"], rounds, 1 + total["n_bytes"] // RANGE_BYTES)
+    chunks, ranges = _dealt(stored.select("path"), total["n"]), 1 + total["n_bytes"] // RANGE_BYTES
+
+    def tied(chunk: Chunk) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([chunk.path]), pa.array([chunk.pack_tied()], pa.binary())], ["path", "tied"])
+
+    chunks = _round(chunks, total["n"], 0, ranges)
+    blocks = checkpoint(_each_chunk(chunks, tied, "path string, tied binary"))
+    chunks = _dealt(checkpoint(chunks.join(blocks, "path")), total["n"])
+    for rounds in (1, 2):
+        chunks = _round(chunks, total["n"], rounds, ranges)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def apply(path: str, chunk: Chunk) -> Iterator[pa.RecordBatch]:
+    def apply(chunk: Chunk) -> Iterator[pa.RecordBatch]:
         gone = chunk.removed()
         spans, kept = [], []
         for a, b in zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist()):
@@ -519,7 +632,7 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
             turns = np.flatnonzero(np.diff(np.concatenate([[0], cut.astype(np.int8), [0]])))
             spans.append([{"start": s, "end": e} for s, e in turns.reshape(-1, 2).tolist()])
             kept.append((chunk.data[a:b][~cut] if len(turns) else chunk.data[a:b]).tobytes())
-        yield pa.RecordBatch.from_arrays([chunk.docs.combine_chunks(), pa.array(np.diff(chunk.offsets)), pa.array(spans, kind), pa.array(kept, pa.binary())],
+        yield pa.RecordBatch.from_arrays([chunk.table.column(0).combine_chunks(), pa.array(np.diff(chunk.offsets)), pa.array(spans, kind), pa.array(kept, pa.binary())],
                                          ["doc_id", "n_bytes", "spans", "kept"])
 
-    return _each_chunk(chunks, len(JUDGES), apply, FOUND)
+    return _each_chunk(chunks, apply, FOUND)
