@@ -254,7 +254,7 @@ add("merge_emissions", """
 SELECT year, month, emission_type, StandardVesselType, h3resolution, resolution_id, round(sum(emission_value), 6) AS emission_value
 FROM (SELECT * FROM monthly UNION ALL
       SELECT * REPLACE (nullif(StandardVesselType, 'Cruise') AS StandardVesselType, emission_value * 2 AS emission_value)
-      FROM monthly WHERE resolution_id % 2 = 1)
+      FROM monthly)
 GROUP BY ALL""", ENERGY)
 
 # ---- Transits ---------------------------------------------------------------
@@ -468,7 +468,7 @@ add("freshness", f"SELECT max(t_s) AS newest, (max(t_s) >= {fx.EPOCH + 31 * 8640
 add("days_to_do", """
 SELECT strftime(d, '%Y-%m-%d') AS day
 FROM (SELECT unnest(generate_series(min(from_date)::TIMESTAMP, max(to_date)::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM transit_ranges)
-WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT date_done FROM done_days)""")
+WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT strftime(from_date, '%Y-%m-%d') FROM port_ranges)""")
 add("ranges_to_do", """
 SELECT strftime(from_date, '%Y-%m-%d') AS from_date, strftime(to_date, '%Y-%m-%d') AS to_date
 FROM (SELECT * FROM transit_ranges EXCEPT SELECT * FROM port_ranges)""")
@@ -479,13 +479,8 @@ ORACLES["emissions_increment"] = ORACLES["local_emissions"]
 ORACLES["stream_anchorage_sessions"] = query("""
 SELECT imo, mmsi, min(t_s) AS anch_start, max(t_s) AS anch_end, count(*) AS n_positions
 FROM (SELECT *, sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s, event_id) AS gid FROM drifting) GROUP BY imo, mmsi, gid""", HARBOUR)
-_RUN = """
-SELECT imo, mmsi, port_group_id, port_name, port_start, port_end, '{0}' AS from_date, '{1}' AS to_date FROM port_ev"""
-_RUNS = []
-for _low, _high in (("2024-01-01", "2024-01-15"), ("2024-01-16", "2024-01-30")):
-    _within = f"ranged AS (SELECT * FROM harbour WHERE t_s BETWEEN epoch(DATE '{_low}') AND epoch(DATE '{_high}') + 86399),"
-    _RUNS.append(query(_RUN.format(_low, _high), _within + HARBOUR.replace("FROM harbour", "FROM ranged")))
-ORACLES["port_call_runs"] = " UNION ALL ".join(f"SELECT * FROM ({_one})" for _one in _RUNS)
+add("stream_port_sessions", "SELECT * FROM both_ev", HARBOUR)
+ORACLES["port_call_runs"] = ORACLES["port_calls"]
 for _at, (_low, _high, _only) in {"a": ("2024-01-01", "2024-01-15", "true"), "b": ("2024-01-16", "2024-01-30", "imo IS NULL")}.items():
     ORACLES[f"_{_at}"] = f"SELECT *, '{_low}' AS from_date, '{_high}' AS to_date FROM ({ORACLES['port_calls']}) WHERE {_only}"
 ORACLES["write_results"] = f"SELECT * FROM ({ORACLES.pop('_a')}) UNION ALL SELECT * FROM ({ORACLES.pop('_b')})"

@@ -19,7 +19,8 @@ from tidemark.plans import jobs, runs
 from tidemark.sources import ledger, results
 from tidemark.sources import positions as scans
 from tidemark.sources.durable import checkpoint, scratch_path
-from tidemark.streaming import sessions
+from tidemark.sources.manifest import Manifest
+from tidemark.streaming import port_sessions, sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -552,7 +553,9 @@ def freshness(v: View) -> DataFrame:
 
 @query
 def days_to_do(v: View) -> DataFrame:
-    return ledger.days_to_do(v.transit_ranges, fx.done_days(v.spark, v.dir))
+    """Days of the transit ranges on which no range of port stops begins."""
+    done = ledger.processed_ranges(fx.object_names(v.spark, v.dir), "port_stops_in")
+    return ledger.days_to_do(v.transit_ranges, done.select(F.col("from_date").alias("date_done")))
 
 
 @query
@@ -569,25 +572,33 @@ def first_pending_range(v: View) -> DataFrame:
 
 @query
 def emissions_increment(v: View) -> DataFrame:
-    """The emissions of all days in two runs, the first of which is run again."""
-    path, log = scratch_path(v.spark, "sums"), scratch_path(v.spark, "days")
+    """The emissions of all days in several runs; one is repeated, one breaks off before it is committed and is followed by one with more days."""
+    path = scratch_path(v.spark, "sums")
     days = v.positions.select(F.date_format(TS, "yyyy-MM-dd").alias("day")).distinct()
-    early = days.filter("day < '2024-01-20'")
-    for part in (early, early, days):
-        runs.run_emissions(v.positions, v.registry, v.factors, v.layers, part, path, log, fx.TIE)
+
+    def run(part: DataFrame) -> None:
+        runs.run_emissions(v.positions, v.registry, v.factors, v.layers, part, path, fx.TIE)
+
+    run(days.filter("day < '2024-01-20'"))
+    run(days.filter("day < '2024-01-20'"))
+    manifest = Manifest(v.spark, path)
+    broken = manifest.plan(days.filter("day < '2024-02-01'").withColumnRenamed("day", "unit"))
+    stored = manifest.read("sums", runs.DAY_SUMS)
+    manifest.store(broken, sums=stored)
+    run(days)
     return runs.emission_sums(v.spark, path)
 
 
 @query
 def port_call_runs(v: View) -> DataFrame:
-    """Port calls of three ranges, one run each and one more; the last range has no positions."""
-    path, log = scratch_path(v.spark, "calls"), scratch_path(v.spark, "ranges")
-    wanted = v.spark.sql(
-        "SELECT DATE'2024-01-01' + 15 * i AS from_date, DATE'2024-01-15' + 15 * i AS to_date FROM VALUES (0), (1), (400) AS t(i)")
-    while runs.run_port_calls(v.positions, v.port_cells, v.registry, wanted, path, log, fx.TIE):
+    """Port calls over consecutive ranges of 15 days from the first position to the last, one run each, and a range without positions long after."""
+    path = scratch_path(v.spark, "calls")
+    extent = v.positions.agg(F.to_date(F.min(TS)).alias("a"), F.to_date(F.max(TS)).alias("b"))
+    ranges = extent.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 15 DAYS"))).alias("from_date"))
+    wanted = ranges.union(extent.select(F.date_add("b", 4000))).withColumn("to_date", F.date_add("from_date", 14))
+    while runs.run_port_calls(v.positions, v.port_cells, wanted, path, fx.TIE):
         pass
-    stored = results.read_results(v.spark, path)
-    return stored.select("imo", "mmsi", "port_group_id", "port_name", "port_start", "port_end", *[F.col(c).cast("string").alias(c) for c in results.RANGE_COLUMNS])
+    return runs.port_call_table(v.spark, path, v.registry)
 
 
 @query
@@ -598,9 +609,10 @@ def new_days_only(v: View) -> DataFrame:
 
 @query
 def merge_emissions(v: View) -> DataFrame:
+    """All sums, added to older ones: twice the same, with one type unknown."""
     new = jobs.emissions_job(v.positions, v.registry, v.factors, v.layers, fx.TIE)
     known = F.when(F.col("StandardVesselType") != "Cruise", F.col("StandardVesselType"))
-    old = new.filter("resolution_id % 2 = 1").withColumn("StandardVesselType", known)
+    old = new.withColumn("StandardVesselType", known)
     return results.merge_emissions(old.withColumn("emission_value", F.col("emission_value") * 2), new)
 
 
@@ -694,3 +706,22 @@ def stream_anchorage_sessions(v: View) -> DataFrame:
     sessions.closing_row(rows).write.mode("append").parquet(source)
     run()
     return v.spark.read.schema(found.schema).parquet(sink)
+
+
+@query
+def stream_port_sessions(v: View) -> DataFrame:
+    """Positions written as files in order of time, read back as a stream, its stays and spells closed by a processor per ship."""
+    port_sessions.use_rocks_db(v.spark)
+    source, sink, log = (scratch_path(v.spark, f"stays-{n}") for n in ("in", "out", "log"))
+    rows = v.harbour.select("imo", "mmsi", TS, "Name", "sog")
+    rows.write.parquet(source)
+    found = port_sessions.stream_stays(v.spark.readStream.schema(rows.schema).parquet(source))
+
+    def run() -> None:
+        writer = found.writeStream.outputMode("append").option("checkpointLocation", log).trigger(availableNow=True)
+        writer.format("parquet").start(sink).awaitTermination()
+
+    run()
+    port_sessions.closing_rows(rows).write.mode("append").parquet(source)
+    run()
+    return v.spark.read.schema(found.schema).parquet(sink).drop("imo_key")

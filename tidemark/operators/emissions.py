@@ -6,6 +6,7 @@ and independent of the positions; :func:`lookup_join` still checks their size.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -186,15 +187,19 @@ def unpivot_emissions(df: DataFrame, ids: list[str]) -> DataFrame:
     return df.unpivot(ids, list(GASES), "emission_type", "emission_value")
 
 
-def local_emissions(emitted: DataFrame, cell: str = "H3_int_index_6", resolution: int = 6) -> DataFrame:
-    """Monthly sums per gas, ship type and cell; an unknown amount counts as 0.
+def local_emissions(
+    emitted: DataFrame, cell: str = "H3_int_index_6", resolution: int = 6, by: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Monthly sums per gas, ship type and cell, and per expression in ``by``; an unknown amount counts as 0.
 
     Summed before the unpivot, so the shuffle carries one partial row per
     (month, type, cell) instead of three rows per position.
     """
-    ids = ["year", "month", "StandardVesselType", "h3resolution", "resolution_id"]
+    by = dict(by or {})
+    ids = [*by, "year", "month", "StandardVesselType", "h3resolution", "resolution_id"]
     sums = (
         emitted.groupBy(
+            *[e.alias(n) for n, e in by.items()],
             F.year("dt_pos_utc").alias("year"),
             F.month("dt_pos_utc").alias("month"),
             "StandardVesselType",
