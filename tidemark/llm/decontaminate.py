@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import neutral, restored
+from tidemark.llm.shared import by_value
 from tidemark.llm.words import ALNUM_WORD, LOWER, Hasher, find_words, run_starts, text_chunks
 from tidemark.sources.durable import checkpoint
 
@@ -183,14 +184,13 @@ def _verified(hashes, first, block, s, containment, at, window, place, runs, ite
 
 def _block_hits(documents: DataFrame, block: Block, shingle: int, containment: float, keep_text: bool = False) -> DataFrame:
     """``documents`` (its last column is the text) with n_words, hits and items of one block."""
-    spark = documents.sparkSession
     prefixes = _prefixes(block, shingle, containment, documents) if len(block.item) else {}
     names_out = documents.columns if keep_text else documents.columns[:-1]
-    shared = spark.sparkContext.broadcast((block, prefixes))
+    shared = by_value(documents.sparkSession, (block, prefixes))
 
     def scan(batches):
         hasher = Hasher()
-        block, prefixes = shared.value
+        block, prefixes = shared()
         lookups = {s: Lookup(p[0]) for s, p in prefixes.items()}
         item_runs = {s: hasher.runs(block.hashes, s) for s in prefixes}
         names = np.array(block.names, dtype=object)

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import neutral, restored
+from tidemark.llm.shared import by_value
 from tidemark.llm.words import LOWER, PLAIN_WORD, Hasher, find_words, mix, text_chunks
 
 SAMPLE = 12_000
@@ -232,10 +233,10 @@ def fit_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, l
 
 def score_quality(documents: DataFrame, model: Model) -> DataFrame:
     """``documents`` with expected_grade, tail_prob (of the best grade) and kept, for its columns doc_id and text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = by_value(documents.sparkSession, model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = Hasher(), shared.value
+        hasher, model = Hasher(), shared()
         for batch in batches:
             for i, j, data, offsets in text_chunks(batch.column(batch.num_columns - 1)):
                 expected, tail = model.grades(model.scores(hasher, data, offsets))
