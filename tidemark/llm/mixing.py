@@ -1,7 +1,7 @@
 """Mixing sources to target weights, in blocks of words, by DataFrame expressions only.
 
 * The words of a source, document after document, are packed into blocks of
-  ``block`` words. A document's place comes from a two-level running sum, over
+  ``block`` words, or of a LEAST_BLOCKS-th of the source if that is less, so that small sources come near their targets too. A document's place comes from a two-level running sum, over
   about sqrt(n) buckets of about sqrt(n) documents, so no task holds a source.
 * Targets: sources in ascending code-point order (null last) take the weights in
   turn and share ``share`` times all words, at most ``most`` times their own; the
@@ -35,6 +35,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 KEEP = ("doc_id", "source", "text")
 WEIGHTS = (5, 2, 1)
 BLOCK = 64
+LEAST_BLOCKS = 50
 SHARD_SLOTS = 1 << 16
 CHUNK_SLOTS = 4096
 TASK_SLOTS = 1 << 21
@@ -126,19 +127,20 @@ def mix_sources(
         .select("doc_id", "source", "key", "size", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("nth")))
     sources = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_docs"))
     sources = source_targets(ranked(sources, F.col("source").asc_nulls_last()), weights, share, most)
-    blocks = F.ceil(F.col("source_size") / block).cast("bigint")
+    blocks = F.ceil(F.col("source_size") / F.col("width")).cast("bigint")
     passes = F.when(F.col("source_size") > 0, _div(F.col("target"), F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("target") - passes * F.col("source_size")
     sources = checkpoint(
-        sources.withColumn("blocks", blocks)
-        .withColumn("slots", passes * F.col("blocks") + F.least(F.round(rest / block).cast("bigint"), F.col("blocks")))
+        sources.withColumn("width", F.greatest(F.lit(1), F.least(F.lit(block), _div(F.col("source_size"), LEAST_BLOCKS))).cast("bigint"))
+        .withColumn("blocks", blocks)
+        .withColumn("slots", passes * F.col("blocks") + F.least(F.round(rest / F.col("width")).cast("bigint"), F.col("blocks")))
         .withColumn("_buckets", F.ceil(F.sqrt("_docs")).cast("int")))
     total = sources.agg(F.sum("slots")).first()[0] or 0
     shards = max(1, -(-int(total) // shard_slots))
 
     # Place of each document in its source.
     same = docs["source"].eqNullSafe(sources["source"])
-    placed = docs.join(sources.select("source", "rank", "_buckets"), same).drop(sources["source"])
+    placed = docs.join(sources.select("source", "rank", "width", "_buckets"), same).drop(sources["source"])
     placed = placed.filter("size > 0").withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "key", "nth", F.lit(seed)), F.col("_buckets")))
     run = Window.partitionBy("rank", "_bucket").orderBy("doc_id", "key", "nth").rowsBetween(Window.unboundedPreceding, -1)
     placed = checkpoint(placed.withColumn("_in", F.coalesce(F.sum("size").over(run), F.lit(0))))
@@ -147,8 +149,8 @@ def mix_sources(
     starts = starts.withColumn("_before", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))).select("rank", "_bucket", "_before")
     start = F.col("_before") + F.col("_in")
     placed = placed.join(starts, ["rank", "_bucket"]).withColumn("_start", start)
-    cut = placed.withColumn("block", F.explode(F.sequence(_div(F.col("_start"), block), _div(F.col("_start") + F.col("size") - 1, block))))
-    low, high = F.greatest(F.col("block") * block, "_start"), F.least((F.col("block") + 1) * block, F.col("_start") + F.col("size"))
+    cut = placed.withColumn("block", F.explode(F.sequence(_div(F.col("_start"), F.col("width")), _div(F.col("_start") + F.col("size") - 1, F.col("width")))))
+    low, high = F.greatest(F.col("block") * F.col("width"), "_start"), F.least((F.col("block") + 1) * F.col("width"), F.col("_start") + F.col("size"))
     parts = cut.select(
         "rank", "block", "doc_id", "source", "key", "nth", "size", (low - F.col("_start")).alias("start"), (high - F.col("_start")).alias("end"))
 
@@ -166,7 +168,7 @@ def mix_sources(
     # Both sides grow with the corpus, more than estimates across an explode say: never a broadcast.
     pieces = checkpoint(slots).join(parts.hint("merge"), ["rank", "block"]).select(
         "shard", "rank", "slot", "turn", "block", "doc_id", "source", "key", "nth", "size", "start", "end")
-    return Mix(docs, sources.drop("_docs", "_buckets"), pieces)
+    return Mix(docs, sources.drop("width", "_docs", "_buckets"), pieces)
 
 
 def row_key(documents: DataFrame) -> Column:
