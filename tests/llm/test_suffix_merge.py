@@ -55,7 +55,6 @@ def test_matches_brute_force(docs, prose, odd_texts):
 
 @pytest.mark.parametrize("group", [None, 3])
 def test_many_chunks_and_ranges(docs, prose, odd_texts, monkeypatch, group):
-    suffix_merge._powers.cache_clear()
     for name, value in {"CHUNK_BYTES": 1500, "RANGE_BYTES": 3000, "SAMPLED_KEYS": 3, "STEP": 256}.items():
         monkeypatch.setattr(suffix_merge, name, value)
     rows = case(prose, odd_texts)

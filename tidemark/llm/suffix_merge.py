@@ -98,17 +98,21 @@ def _store_chunks(documents: DataFrame, folder: str) -> DataFrame:
     return docs.mapInArrow(scan, "path string, n_bytes bigint")
 
 
-@functools.cache
+_held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+
 def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values of bytes, and powers of a random base and of its inverse."""
-    rng = np.random.Generator(np.random.PCG64(7))
-    table, base = rng.integers(0, 2**64, 256, dtype=_U), int(rng.integers(0, 2**64, dtype=_U)) | 1
-    grown = []
-    for factor in (base, pow(base, -1, 2**64)):
-        powers = np.full(STEP + WINDOW, factor, _U)
-        powers[0] = 1
-        grown.append(np.cumprod(powers))
-    return table, *grown
+    """Values of bytes, and powers of a random base and of its inverse, for at least a step; made once in each worker."""
+    if not _held or len(_held[0][1]) < STEP + WINDOW:
+        rng = np.random.Generator(np.random.PCG64(7))
+        table, base = rng.integers(0, 2**64, 256, dtype=_U), int(rng.integers(0, 2**64, dtype=_U)) | 1
+        grown = []
+        for factor in (base, pow(base, -1, 2**64)):
+            powers = np.full(STEP + WINDOW, factor, _U)
+            powers[0] = 1
+            grown.append(np.cumprod(powers))
+        _held[:] = [(table, *grown)]
+    return _held[0]
 
 
 def _anchors(data: np.ndarray) -> np.ndarray:
