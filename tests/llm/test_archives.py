@@ -64,3 +64,11 @@ def test_undeclared_fields_come_from_the_version():
 def test_damaged_archives_are_named(data):
     with pytest.raises(ValueError, match="ARC"):
         list(archives.read_arc(io.BytesIO(data)))
+
+
+def test_urls_that_look_like_version_blocks_are_pages(spark):
+    big = "<html>" + "x" * 200
+    rows = [(1, "filedesc://a.arc", big), (2, "filedesc:b", "small"), (3, "http://c", big), (3, "http://c", big), (None, "filedesc:", big)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = sorted(((r.page_id, r.record_type, r.refers_to) for r in archives.archived_pages(pages).collect()), key=repr)
+    assert found == [(1, "response", None), (2, "response", None), (3, "revisit", 1), (3, "revisit", 1), (None, "revisit", 1)]

@@ -62,6 +62,7 @@ class ArcRecord:
     date: str
     content_type: str
     body: bytes
+    heads_file: bool = False
 
 
 @dataclass
@@ -103,7 +104,8 @@ def read_arc(stream) -> Iterator[ArcRecord]:
         if len(body) < int(length):
             raise ValueError(f"ARC record at {at} is cut short: {len(body)} of {length} bytes")
         offset += len(body)
-        if fields is None:
+        heads_file = fields is None
+        if heads_file:
             declared = body.decode("utf-8", "replace").split("\n")
             version = declared[0].split(" ")[0]
             if not version.isdigit() or int(version) not in FIELDS:
@@ -114,7 +116,7 @@ def read_arc(stream) -> Iterator[ArcRecord]:
         if len(parts) != len(fields):
             raise ValueError(f"ARC header line at {at} has {len(parts)} of {len(fields)} fields")
         values = dict(zip(fields, parts))
-        yield ArcRecord(at, values["URL"], values["IP-address"], values["Archive-date"], values["Content-type"], body)
+        yield ArcRecord(at, values["URL"], values["IP-address"], values["Archive-date"], values["Content-type"], body, heads_file)
 
 
 def timestamp_of(date: str) -> str:
@@ -148,7 +150,8 @@ def http_field(head: bytes, name: str) -> str | None:
 
 def payload_of(record: ArcRecord) -> tuple[str, bytes, bytes]:
     """WARC type, the header that stays in a revisit, and the payload."""
-    if record.url.startswith("filedesc:"):
+    # Only the first record of a file is its version block, whatever the URLs of the others.
+    if record.heads_file:
         return "warcinfo", b"", record.body
     parts = split_http(record.body)
     return ("resource", b"", record.body) if parts is None else ("response", *parts)

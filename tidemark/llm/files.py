@@ -10,7 +10,9 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.sources.durable import CHECKPOINT_CONF
 
 
 def task_each(table: DataFrame) -> DataFrame:
@@ -23,9 +25,25 @@ def _located(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
 
 
+# Schemes that pyarrow knows, and the names that Hadoop has for some of them.
+SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs", "abfs", "abfss")
+HADOOP_NAMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def folder_uri(path: str) -> str:
-    """``file:/x``, as Hadoop writes it, is ``file:///x`` for pyarrow."""
-    return "file:///" + path[6:].lstrip("/") if path.startswith("file:/") else path
+    """The path as a URI that tasks can open with pyarrow.
+
+    A path without a scheme lies on the file system that Spark takes by default, not on each executor's own disk.
+    """
+    spark = SparkSession.active()
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+    scheme, _, rest = whole.partition(":")
+    scheme = HADOOP_NAMES.get(scheme, scheme)
+    if scheme not in SCHEMES:
+        raise ValueError(f"tasks cannot open files on {scheme}: set {CHECKPOINT_CONF} to a folder on one of {', '.join(SCHEMES)}")
+    # Hadoop writes file:/x, pyarrow file:///x.
+    return "file:///" + rest.lstrip("/") if scheme == "file" else f"{scheme}:{rest}"
 
 
 def fresh_name(folder: str, kind: str) -> str:

@@ -149,12 +149,12 @@ def op4_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archived_pages(_table(spark, sf_dir, "pages"))
 
 
+# Of rows with equal page_id and payload one is the response, the others revisit it.
 ORACLES["op4_archives"] = """
 select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha256(coalesce(html, '')) as payload_digest,
-       case when strlen(coalesce(html, '')) >= 100 and page_id > min(page_id) over (partition by coalesce(html, '')) then 'revisit' else 'response' end as record_type,
-       case when strlen(coalesce(html, '')) >= 100 and page_id > min(page_id) over (partition by coalesce(html, ''))
-            then min(page_id) over (partition by coalesce(html, '')) end as refers_to
-from pages
+       case when again then 'revisit' else 'response' end as record_type, case when again then first_page end as refers_to
+from (select *, strlen(coalesce(html, '')) >= 100 and row_number() over (partition by coalesce(html, '') order by page_id nulls last) > 1 as again,
+             min(page_id) over (partition by coalesce(html, '')) as first_page from pages)
 """
 
 
