@@ -278,12 +278,6 @@ def object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def done_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days on which a seventh of the orders was placed."""
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 7 == 0)
-    return orders.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_done"))
-
-
 def _decimal(value: Column) -> Column:
     """Text of value/1000 + 0.00005 for a non-negative long: no ship position or cell centre lies on it."""
     whole, part = F.floor(value / 1000).cast("string"), F.lpad((value % 1000).cast("string"), 3, "0")
