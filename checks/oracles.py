@@ -480,6 +480,7 @@ ORACLES["stream_anchorage_sessions"] = query("""
 SELECT imo, mmsi, min(t_s) AS anch_start, max(t_s) AS anch_end, count(*) AS n_positions
 FROM (SELECT *, sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s, event_id) AS gid FROM drifting) GROUP BY imo, mmsi, gid""", HARBOUR)
 add("stream_port_sessions", "SELECT * FROM both_ev", HARBOUR)
+add("stream_repaired_sessions", "SELECT * FROM both_ev", HARBOUR)
 ORACLES["port_call_runs"] = ORACLES["port_calls"]
 for _at, (_low, _high, _only) in {"a": ("2024-01-01", "2024-01-15", "true"), "b": ("2024-01-16", "2024-01-30", "imo IS NULL")}.items():
     ORACLES[f"_{_at}"] = f"SELECT *, '{_low}' AS from_date, '{_high}' AS to_date FROM ({ORACLES['port_calls']}) WHERE {_only}"

@@ -20,7 +20,7 @@ from tidemark.sources import ledger, results
 from tidemark.sources import positions as scans
 from tidemark.sources.durable import checkpoint, scratch_path
 from tidemark.sources.manifest import Manifest
-from tidemark.streaming import port_sessions, sessions
+from tidemark.streaming import port_sessions, repair, sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -725,3 +725,28 @@ def stream_port_sessions(v: View) -> DataFrame:
     port_sessions.closing_rows(rows).write.mode("append").parquet(source)
     run()
     return v.spark.read.schema(found.schema).parquet(sink).drop("imo_key")
+
+
+@query
+def stream_repaired_sessions(v: View) -> DataFrame:
+    """Stays and spells of a feed in which a part of every ship's rows comes after all others, so that most of it is late and repaired."""
+    port_sessions.use_rocks_db(v.spark)
+    source, feed, sink, log, store = (scratch_path(v.spark, f"repair-{n}") for n in ("in", "feed", "out", "log", "store"))
+    rows = v.harbour.select("imo", "mmsi", TS, "Name", "sog")
+    behind = F.hour(TS) == 5
+    for part in (~behind, behind):
+        rows.filter(part).write.mode("append").parquet(source)
+        stream = v.spark.readStream.schema(rows.schema).parquet(source)
+        repair.split_feed(stream, feed).option("checkpointLocation", f"{log}-feed").trigger(availableNow=True).start().awaitTermination()
+    found = port_sessions.stream_stays(repair.rows_in_time(v.spark, feed, rows.schema), min_stay=0)
+
+    def run() -> None:
+        writer = found.writeStream.outputMode("append").option("checkpointLocation", f"{log}-stays").trigger(availableNow=True)
+        writer.format("parquet").start(sink).awaitTermination()
+
+    run()
+    port_sessions.closing_rows(rows).write.parquet(f"{feed}/batch=999999999/late=false")
+    run()
+    events = v.spark.read.schema(found.schema).parquet(sink)
+    repair.repair_stays(v.spark, feed, rows.schema, events, store)
+    return repair.repaired_stays(v.spark, events, store).filter("mmsi <> -1").drop("imo_key")
