@@ -475,7 +475,7 @@ FROM (SELECT * FROM transit_ranges EXCEPT SELECT * FROM port_ranges)""")
 add("first_pending_range", """
 SELECT strftime(from_date, '%Y-%m-%d') AS from_date, strftime(to_date, '%Y-%m-%d') AS to_date
 FROM (SELECT * FROM transit_ranges EXCEPT SELECT * FROM port_ranges) ORDER BY 1, 2 LIMIT 1""")
-ORACLES["emissions_increment"] = ORACLES["local_emissions"]
+ORACLES["emissions_increment"] = ORACLES["emissions_from_csv"] = ORACLES["local_emissions"]
 ORACLES["stream_anchorage_sessions"] = query("""
 SELECT imo, mmsi, min(t_s) AS anch_start, max(t_s) AS anch_end, count(*) AS n_positions
 FROM (SELECT *, sum(fresh) OVER (PARTITION BY imo, mmsi ORDER BY t_s, event_id) AS gid FROM drifting) GROUP BY imo, mmsi, gid""", HARBOUR)

@@ -16,7 +16,7 @@ from tidemark.functions import constants as K
 from tidemark.operators import cluster, geo, ports, specs, tracks, transits, zones
 from tidemark.operators import emissions as em
 from tidemark.plans import jobs, runs
-from tidemark.sources import ledger, results
+from tidemark.sources import ledger, results, tables
 from tidemark.sources import positions as scans
 from tidemark.sources.durable import checkpoint, scratch_path
 from tidemark.sources.manifest import Manifest
@@ -570,6 +570,18 @@ def first_pending_range(v: View) -> DataFrame:
     return ledger.ranges_to_do(v.transit_ranges, done)
 
 
+@query
+def emissions_from_csv(v: View) -> DataFrame:
+    """The emissions of all positions with factor tables and layers from checked CSV files."""
+    folder = scratch_path(v.spark, "csv")
+    for name in tables.FACTORS:
+        getattr(v.factors, name).coalesce(1).write.option("header", True).csv(f"{folder}/{name}.csv")
+    for name, layer in zip(tables.LAYERS, v.layers):
+        layer.coalesce(1).write.option("header", True).csv(f"{folder}/{name}.csv")
+    factors, layers = tables.read_factors(v.spark, folder), tables.read_layers(v.spark, folder)
+    return jobs.emissions_job(v.positions, v.registry, factors, layers, fx.TIE)
+
+
 @query
 def emissions_increment(v: View) -> DataFrame:
     """The emissions of all days in several runs; one is repeated, one breaks off before it is committed and is followed by one with more days."""

@@ -103,7 +103,7 @@ def feed(seed, ships=5, n=150):
     return rows
 
 
-@pytest.mark.parametrize("seed, step", [(1, 1), (2, 2), (3, 3)])
+@pytest.mark.parametrize("seed, step", [(2, 2), (3, 3)])
 def test_events_carried_over_ranges_equal_one_run(frame, seed, step):
     rows = feed(seed)
     tagged = tracks.with_identity(frame(SCHEMA, rows)).cache()
