@@ -53,9 +53,16 @@ PORT_MIN_STAY = HOUR
 LINK_GAP = HOUR
 LOOK_BACK_DAYS = 15
 
+# ---- Fixed values of the operational phase: knots and load. ----
+
+BERTH_SPEED = 1
+ANCHORAGE_SPEED = 3
+MANOEUVRING_SPEED = 5
+SLOW_LOAD = 0.65
+
 # ---- Our own settings. ----
 
-#: Width of a track slice. With one row per ship and second a slice holds at most 604,800 rows.
+#: Width of a track slice: a task of a track window holds what one ship reports in a week.
 SLICE_WIDTH = 7 * DAY
 
 # ---- Fixed values of the position clustering. ----
