@@ -62,3 +62,10 @@ def test_spans_are_the_removed_words(docs, prose):
 
 def test_empty_table(docs):
     assert substrings.substring_dedup(docs([])).count() == 0
+
+
+def test_the_largest_id_is_an_id(docs, prose):
+    text = prose(1, 80)
+    rows = [(2**63 - 1, text), (2**63 - 1, "a b"), (None, text), (None, None), (7, text)]
+    found = {(r.doc_id, r.n_words): r.n_removed for r in substrings.substring_dedup(docs(rows)).collect()}
+    assert found == {(2**63 - 1, 80): 80, (2**63 - 1, 2): 0, (None, 80): 80, (None, 0): 0, (7, 80): 0}

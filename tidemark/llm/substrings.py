@@ -19,8 +19,8 @@ one, by 96 bits. Hot blocks and hot windows are combined before the shuffle (the
 index keeps one row), and the joins that bring the index back are plain
 shuffle joins, whose skewed partitions adaptive execution splits.
 
-Nulls: a null or empty text has no words. A null doc_id is larger than any other
-and rows without an id do not find each other. Rows with equal id find each
+Nulls: a null or empty text has no words. A null doc_id compares as 2^63 - 1, the largest id,
+and stays null in the result; rows without an id do not find each other. Rows with equal id find each
 other's windows only in smaller ids.
 """
 
@@ -176,8 +176,10 @@ def _kept(removed: DataFrame, window: int) -> DataFrame:
 def substring_dedup(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by a space) and ``spans`` (removed word ranges)."""
     text = F.col("text").cast("string")
-    # The key tells texts of equal doc_id apart.
-    docs = documents.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), text.alias("text"), F.xxhash64(text).alias("key"))
+    given = F.col("doc_id").cast("bigint")
+    # The key tells texts of equal doc_id apart; its lowest bit says that the row has no id.
+    key = F.shiftleft(F.xxhash64(text), 1) + given.isNull().cast("bigint")
+    docs = documents.select(F.coalesce(given, F.lit(NO_ID)).alias("doc"), text.alias("text"), key.alias("key"))
     cut = checkpoint(cut_documents(docs, window, anchor))
     blocks = cut.select("doc", "key", F.explode("blocks").alias("_b")).select("doc", "key", "_b.*")
     index = checkpoint(blocks.groupBy("digest", "anchor").agg(F.min("doc").alias("ref"), F.max("doc").alias("_last")))
@@ -200,5 +202,5 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, anchor: int = AN
     shortened = _kept(docs.join(copied, ["doc", "key"]), window)
     whole = cut.select("doc", "key", "n_words", "kept_sha256").join(copied.select("doc", "key"), ["doc", "key"], "left_anti")
     spans = F.array().cast("array<struct<start:int,end:int>>").alias("spans")
-    result = whole.select("doc", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256", spans).unionByName(shortened.drop("key"))
-    return result.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "spans")
+    result = whole.select("doc", "key", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256", spans).unionByName(shortened)
+    return result.select(F.when(F.col("key").bitwiseAND(1) == 0, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "spans")
