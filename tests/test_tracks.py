@@ -155,3 +155,25 @@ def test_rows_of_the_same_second_all_count_in_a_total_order(frame):
         heads = {g: next(e for e, x in want if x == g) for _, g in want}
         lows = {g: min(e for e, x in want if x == g) for _, g in want}
         assert rows_of(found, "g", "head", "low") == sorted((g, heads[g], lows[g]) for g in heads)
+
+
+def test_prefix_scans_read_their_input_once(spark, frame, tmp_path):
+    """Slices and what they hand on use one scan and one shuffle by (ship, slice)."""
+    week = 7 * 86400
+    rows = [(s, i, i * 40000 + s, None if i % 3 else f"z{i % 4}") for s in range(5) for i in range(60)]
+    frame("ship long, event_id long, dt_pos_utc timestamp, Name string", rows).repartition(3).write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    far = lambda prev, cur: prev("Name").eqNullSafe(cur("Name")) == False  # noqa: E731, E712
+    made = {
+        "lag": tracks.track_lag(df, ["ship"], {"before": "event_id"}),
+        "number": tracks.track_rownum(df, ["ship"]),
+        "groups": tracks.number_groups(df, ["ship"], ["Name"], {"island": far}),
+        "filled": tracks.fill_forward(df, ["ship"], "Name", "last_name"),
+    }
+    assert max(r[2] for r in rows) > 3 * week
+    for name, found in made.items():
+        assert found.count() == len(rows)
+        found = found.select("ship", found.columns[-1])
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") == 1 and "ReusedExchange" in plan, name

@@ -71,6 +71,25 @@ def _windows(key: Sequence[str], order: Sequence[str]):
     return inside, across
 
 
+def _local(df: DataFrame, key: Sequence[str], ts: str, width: int, order: Sequence[str], made: Mapping[str, Column]) -> DataFrame:
+    """Rows with a time, their slice, the ``made`` window columns and ``_closes``: the last row of its slice.
+
+    A track is numbered or filled along its rows by a prefix scan in two levels. What a slice hands on stands
+    on its closing row: :func:`_handed_on` combines those rows along the track, and a join brings the result back. Both
+    sides need the same columns in the same shuffle (the slice is never null, so that a join adds no filter to one of
+    them), hence Spark reads the input and shuffles it once and uses that shuffle twice.
+    """
+    inside = _windows(key, order)[0]
+    at = F.coalesce(time_slice(ts, width), F.lit(0).cast("long"))
+    sliced = df.filter(F.col(ts).isNotNull()).withColumn(SLICE, at)
+    return sliced.select("*", *[c.alias(n) for n, c in made.items()], F.lead(F.lit(1)).over(inside).isNull().alias("_closes"))
+
+
+def _handed_on(local: DataFrame, key: Sequence[str], made: Mapping[str, Column]) -> DataFrame:
+    """One row per track and slice with the ``made`` columns, which may look along the closing rows of the track."""
+    return local.filter("_closes").select(*key, SLICE, *[c.alias(n) for n, c in made.items()])
+
+
 def track_lag(
     df: DataFrame,
     key: Sequence[str],
@@ -81,21 +100,13 @@ def track_lag(
     """Add the previous row's values: ``cols`` maps new column -> source column."""
     order = row_order(df, key, ts)
     inside, across = _windows(key, order)
-    sliced = df.withColumn(SLICE, time_slice(ts, width))
+    made = {"_opens": F.lag(F.lit(1)).over(inside).isNull()} | {f"_lag_{new}": F.lag(src).over(inside) for new, src in cols.items()}
+    local = _local(df, key, ts, width, order, made)
     packed = F.struct(*[F.col(src).alias(new) for new, src in cols.items()])
-    border = (
-        sliced.groupBy(*key, SLICE)
-        .agg(F.max_by(packed, F.struct(*order)).alias("_tail"))
-        .select(*key, SLICE, F.lag("_tail").over(across).alias("_before"))
-    )
-    joined = sliced.join(border, [*key, SLICE])
-    opens = F.lag(ts).over(inside).isNull()
+    joined = local.join(_handed_on(local, key, {"_before": F.lag(packed).over(across)}), [*key, SLICE])
     return joined.select(
         *[F.col(c) for c in df.columns],
-        *[
-            F.when(opens, F.col(f"_before.{new}")).otherwise(F.lag(src).over(inside)).alias(new)
-            for new, src in cols.items()
-        ],
+        *[F.when(F.col("_opens"), F.col(f"_before.{new}")).otherwise(F.col(f"_lag_{new}")).alias(new) for new in cols],
     )
 
 
@@ -104,15 +115,12 @@ def track_rownum(
     tie: Sequence[str] = (), width: int = SLICE_WIDTH,
 ) -> DataFrame:
     """Number the rows of every track from 1."""
-    inside, across = _windows(key, [ts, *tie, *[c for c in row_order(df, key, ts)[1:] if c not in tie]])
-    sliced = df.withColumn(SLICE, time_slice(ts, width))
-    border = (
-        sliced.groupBy(*key, SLICE)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*key, SLICE, (F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
-    )
-    joined = sliced.join(border, [*key, SLICE])
-    return joined.withColumn(name, F.row_number().over(inside) + F.col("_before")).select(*df.columns, name)
+    order = [ts, *tie, *[c for c in row_order(df, key, ts)[1:] if c not in tie]]
+    inside, across = _windows(key, order)
+    local = _local(df, key, ts, width, order, {"_row": F.row_number().over(inside)})
+    total = F.sum("_row").over(across.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_row")
+    joined = local.join(_handed_on(local, key, {"_before": total}), [*key, SLICE])
+    return joined.withColumn(name, F.col("_row") + F.col("_before")).select(*df.columns, name)
 
 
 def lag_within(
@@ -158,20 +166,11 @@ def fill_forward(
     """Last non-null value of ``source`` at or before each row."""
     order = row_order(df, key, ts)
     inside, across = _windows(key, order)
-    sliced = df.withColumn(SLICE, time_slice(ts, width))
-    border = (
-        sliced.groupBy(*key, SLICE)
-        .agg(F.max_by(F.col(source), F.when(F.col(source).isNotNull(), F.struct(*order))).alias("_tail"))
-        .select(
-            *key, SLICE,
-            F.last("_tail", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        )
-    )
-    local = F.last(source, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    joined = sliced.join(border, [*key, SLICE])
-    return joined.withColumn("_value", F.coalesce(local, F.col("_before"))).select(
-        *df.columns, F.col("_value").alias(name)
-    )
+    so_far = F.last(source, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    local = _local(df, key, ts, width, order, {"_value": so_far})
+    before = F.last("_value", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    joined = local.join(_handed_on(local, key, {"_before": before}), [*key, SLICE])
+    return joined.withColumn("_value", F.coalesce("_value", "_before")).select(*df.columns, F.col("_value").alias(name))
 
 
 def _true(flag: Column) -> Column:
@@ -196,14 +195,12 @@ def number_groups(
     inside, across = _windows(key, order)
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
     here = F.struct(*carry)
-    local = _with_previous(df.withColumn(SLICE, time_slice(ts, width)), carry, ts, inside)
-    local = local.select("*", *[_local_break(rule, ts).alias(f"_cut_{n}") for n, rule in ids.items()])
-
-    border = local.groupBy(*key, SLICE).agg(
-        F.min_by(here, F.struct(*order)).alias("_head"),
-        F.max_by(here, F.struct(*order)).alias("_tail"),
-        *[F.sum(f"_cut_{n}").alias(f"_n_{n}") for n in ids],
-    ).withColumn("_before", F.lag("_tail").over(across))
+    first = {f"_head_{c}": F.first(c).over(running) for c in carry}
+    local = _local(df, key, ts, width, order, _previous(carry, ts, inside) | first)
+    local = local.select("*", *[F.sum(_local_break(rule, ts)).over(running).alias(f"_cut_{n}") for n, rule in ids.items()])
+
+    tail = F.lag(here).over(across)
+    border = _handed_on(local, key, {"_head": F.struct(*[F.col(f"_head_{c}").alias(c) for c in carry]), "_before": tail} | {f"_n_{n}": F.col(f"_cut_{n}") for n in ids})
     total = across.rowsBetween(Window.unboundedPreceding, 0)
     offsets = []
     for n, rule in ids.items():
@@ -217,7 +214,7 @@ def number_groups(
     joined = local.join(border, [*key, SLICE])
     return joined.select(
         *[F.col(c) for c in df.columns if c not in ids],
-        *[(F.sum(f"_cut_{n}").over(running) + F.col(f"_off_{n}") + F.lit(start)).alias(n) for n in ids],
+        *[(F.col(f"_cut_{n}") + F.col(f"_off_{n}") + F.lit(start)).alias(n) for n in ids],
     )
 
 
@@ -225,14 +222,13 @@ def _field(struct: str) -> Callable[[str], Column]:
     return lambda name: F.col(f"{struct}.{name}")
 
 
-def _with_previous(sliced: DataFrame, carry: Sequence[str], ts: str, inside: Window) -> DataFrame:
-    """Add the previous row's carry columns inside the slice.
+def _previous(carry: Sequence[str], ts: str, inside: Window) -> dict[str, Column]:
+    """The previous row's carry columns inside the slice.
 
     Plain columns, because a packed struct would be built before the shuffle
     and travel through it next to its parts.
     """
-    names = dict.fromkeys([*carry, ts])
-    return sliced.select("*", *[F.lag(c).over(inside).alias(f"_prev_{c}") for c in names])
+    return {f"_prev_{c}": F.lag(c).over(inside) for c in dict.fromkeys([*carry, ts])}
 
 
 def _local_break(rule: Break, ts: str) -> Column:
@@ -282,8 +278,8 @@ def islands(
     inside, _ = _windows(key, order)
     here = F.struct(*carry)
     at = [F.col(c).alias(f"_t{k}") for k, c in enumerate(order)]
-    local = _with_previous(df.withColumn(SLICE, time_slice(ts, width)), carry, ts, inside)
-    local = local.withColumn("_cut", _local_break(rule, ts))
+    sliced = df.withColumn(SLICE, time_slice(ts, width))
+    local = sliced.select("*", *[c.alias(n) for n, c in _previous(carry, ts, inside).items()]).withColumn("_cut", _local_break(rule, ts))
     local = local.select(
         *key, SLICE,
         F.sum("_cut").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_part"),
