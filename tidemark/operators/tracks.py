@@ -10,7 +10,8 @@ track; :func:`dedup_positions`, where a caller asks for it, bounds that by one r
 Rows are in total order: by time, then by the other columns in the order in which the
 table has them. So rows of the same second all count, and their order does not depend on how they arrive.
 
-Key columns must not be null; use :func:`with_ship` to get a single such key.
+Key columns must not be null; use :func:`with_ship` to get a single such key. Lags, numbers, groups, fills and islands leave
+out rows without a key or a time.
 """
 
 from __future__ import annotations
@@ -71,18 +72,27 @@ def _windows(key: Sequence[str], order: Sequence[str]):
     return inside, across
 
 
+def _sliced(df: DataFrame, key: Sequence[str], ts: str, width: int) -> DataFrame:
+    """Rows with a key and a time, and their slice.
+
+    All operators of this module slice a table alike and sort it by all its columns, and none of the values is null any more,
+    so that no join adds a filter to one of several uses: Spark then shuffles the table once for all of them.
+    """
+    known = df.filter(F.col(ts).isNotNull())
+    for c in key:
+        known = known.filter(F.col(c).isNotNull())
+    return known.withColumn(SLICE, F.coalesce(time_slice(ts, width), F.lit(0).cast("long")))
+
+
 def _local(df: DataFrame, key: Sequence[str], ts: str, width: int, order: Sequence[str], made: Mapping[str, Column]) -> DataFrame:
-    """Rows with a time, their slice, the ``made`` window columns and ``_closes``: the last row of its slice.
+    """Sliced rows, the ``made`` window columns and ``_closes``: the last row of its slice.
 
     A track is numbered or filled along its rows by a prefix scan in two levels. What a slice hands on stands
     on its closing row: :func:`_handed_on` combines those rows along the track, and a join brings the result back. Both
-    sides need the same columns in the same shuffle (the slice is never null, so that a join adds no filter to one of
-    them), hence Spark reads the input and shuffles it once and uses that shuffle twice.
+    sides need the same columns of the sliced rows, hence Spark reads the input and shuffles it once and uses that shuffle twice.
     """
     inside = _windows(key, order)[0]
-    at = F.coalesce(time_slice(ts, width), F.lit(0).cast("long"))
-    sliced = df.filter(F.col(ts).isNotNull()).withColumn(SLICE, at)
-    return sliced.select("*", *[c.alias(n) for n, c in made.items()], F.lead(F.lit(1)).over(inside).isNull().alias("_closes"))
+    return _sliced(df, key, ts, width).select("*", *[c.alias(n) for n, c in made.items()], F.lead(F.lit(1)).over(inside).isNull().alias("_closes"))
 
 
 def _handed_on(local: DataFrame, key: Sequence[str], made: Mapping[str, Column]) -> DataFrame:
@@ -278,7 +288,7 @@ def islands(
     inside, _ = _windows(key, order)
     here = F.struct(*carry)
     at = [F.col(c).alias(f"_t{k}") for k, c in enumerate(order)]
-    sliced = df.withColumn(SLICE, time_slice(ts, width))
+    sliced = _sliced(df, key, ts, width)
     local = sliced.select("*", *[c.alias(n) for n, c in _previous(carry, ts, inside).items()]).withColumn("_cut", _local_break(rule, ts))
     local = local.select(
         *key, SLICE,
