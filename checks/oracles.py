@@ -516,6 +516,14 @@ WHERE {INSIDE}""", POLYGONS)
 add("points_in_zone", f"""
 SELECT event_id, Name FROM (SELECT event_id, longitude AS x, latitude AS y FROM positions), poly
 WHERE territory = 'Panama' AND {INSIDE}""", POLYGONS)
+add("zone_tag_from_polygons", f"""
+SELECT p.event_id, min(Name) AS Name FROM (SELECT event_id, longitude AS x, latitude AS y FROM positions) p LEFT JOIN poly ON {INSIDE}
+GROUP BY p.event_id""", POLYGONS)
+_BITS = " + ".join(f"(((r >> {k}) & 1) << {2 * k + 1}) + (((c >> {k}) & 1) << {2 * k})" for k in range(17))
+add("quad_cells", f"""
+SELECT event_id, cell, cell >> 10 AS parent, 17 AS level, r, c, 8 AS n_around FROM (SELECT *, {1 << 34} + {_BITS} AS cell FROM (
+  SELECT event_id, CAST(floor((latitude + 180) / (360 / {2 ** 17}::DOUBLE)) AS BIGINT) AS r,
+    CAST(floor((longitude + 180) / (360 / {2 ** 17}::DOUBLE)) AS BIGINT) AS c FROM positions))""")
 add("cell_of", f"""
 SELECT event_id, CAST(floor((latitude + 90) / {GRID}::DOUBLE) * {_COLS} + floor((longitude + 180) / {GRID}::DOUBLE) AS BIGINT) AS cell FROM positions""")
 _DIGITS = " + ".join(f"((event_id // {7 ** i}) % 7) * {8 ** (9 - i)}" for i in range(10))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from checks import fixture_view as fx
 from tidemark.functions import cells
 from tidemark.functions import constants as K
-from tidemark.operators import cluster, geo, ports, specs, tracks, transits, zones
+from tidemark.operators import cluster, cover, geo, ports, specs, tracks, transits, zones
 from tidemark.operators import emissions as em
 from tidemark.plans import jobs, runs
 from tidemark.sources import ledger, results, tables
@@ -665,6 +665,25 @@ def points_in_zone(v: View) -> DataFrame:
     return geo.points_in_zone(points, parsed, GRID).select("event_id", "Name")
 
 
+@query
+def zone_tag_from_polygons(v: View) -> DataFrame:
+    """All positions with the least zone among all polygons that contain them, or null."""
+    parsed = geo.parse_wkt(fx.polygons(v.spark, v.dir)).select("Name", "edges", "box")
+    points = v.positions.select("event_id", "latitude", "longitude")
+    return cover.zone_tag_polygons(points, cover.polygon_cover(parsed), "left").select("event_id", "Name")
+
+
+@query
+def quad_cells(v: View) -> DataFrame:
+    """The cell of each position with its ancestor five levels up, its level, row and column, and how many cells are around it."""
+    cell = F.col("cell")
+    row, col = cells.quad_row_col(cell)
+    celled = v.positions.select("event_id", cells.quad_cell(F.col("latitude"), F.col("longitude"), cover.FINEST).alias("cell"))
+    return celled.select(
+        "event_id", "cell", cells.quad_parent(cell, cover.FINEST - 5).alias("parent"), cells.quad_level(cell).alias("level"),
+        row.alias("r"), col.alias("c"), F.size(cells.quad_neighbours(cell)).alias("n_around"))
+
+
 @query
 def cell_of(v: View) -> DataFrame:
     return v.positions.select("event_id", cells.grid_cell(F.col("latitude"), F.col("longitude"), GRID).alias("cell"))

@@ -1,4 +1,7 @@
-"""The four analyses, composed from the operators."""
+"""The four analyses, composed from the operators.
+
+Zones are given as a table of (Name, cell id of the feed), or as a :class:`Cover` of polygons.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from pyspark.sql import DataFrame
 from tidemark.functions import constants as K
 from tidemark.operators import emissions as em
 from tidemark.operators import ports, specs, tracks, transits, zones
+from tidemark.operators.cover import Cover, zone_tag_polygons
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.phase import op_phase, with_load
 from tidemark.sources.durable import checkpoint
@@ -28,14 +32,21 @@ def _columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*dict.fromkeys(names))
 
 
-def canal_positions(positions: DataFrame, zone_cells: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
+def _tagged(positions: DataFrame, zone_cells: DataFrame | Cover, how: str = "inner") -> DataFrame:
+    """Positions with the zone they are in; the least name where there are several."""
+    if isinstance(zone_cells, Cover):
+        return zone_tag_polygons(positions, zone_cells.cells, how, zone_cells.finest)
+    return zones.zone_tag(positions, zone_cells, how)
+
+
+def canal_positions(positions: DataFrame, zone_cells: DataFrame | Cover, tie: tuple[str, ...] = ()) -> DataFrame:
     """Positions in named zones, without tugs; rows of the same second are ordered by ``tie``, then by the other columns."""
-    tagged = zones.canon_zones(zones.zone_tag(zones.exclude_tugs(positions), zone_cells))
+    tagged = zones.canon_zones(_tagged(zones.exclude_tugs(positions), zone_cells))
     return _columns(tracks.with_ship(tagged), "ship", "dt_pos_utc", *tie, "imo", "mmsi", "Name", "sog", "draught")
 
 
 def transits_job(
-    positions: DataFrame, zone_cells: DataFrame, registry: Registry, tie: tuple[str, ...] = (),
+    positions: DataFrame, zone_cells: DataFrame | Cover, registry: Registry, tie: tuple[str, ...] = (),
     strict_locks: bool = False, one_row: bool = False,
 ) -> DataFrame:
     """Transit table with specifications."""
@@ -44,21 +55,21 @@ def transits_job(
 
 
 def transit_stops_job(
-    positions: DataFrame, zone_cells: DataFrame, tie: tuple[str, ...] = (), strict_locks: bool = False
+    positions: DataFrame, zone_cells: DataFrame | Cover, tie: tuple[str, ...] = (), strict_locks: bool = False
 ) -> DataFrame:
     """Stops made during transits."""
     visits = transits.transit_visits(transits.segments(canal_positions(positions, zone_cells, tie)), strict_locks)
     return transits.transit_stops(visits).drop("ship")
 
 
-def port_positions(positions: DataFrame, port_cells: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
+def port_positions(positions: DataFrame, port_cells: DataFrame | Cover, tie: tuple[str, ...] = ()) -> DataFrame:
     """Positions with the port they are in, or null."""
-    tagged = tracks.with_identity(zones.zone_tag(positions, port_cells, "left"))
+    tagged = tracks.with_identity(_tagged(positions, port_cells, "left"))
     return _columns(tagged, "imo_key", "mmsi", "dt_pos_utc", *tie, "imo", "Name", "sog")
 
 
 def port_calls_job(
-    positions: DataFrame, port_cells: DataFrame, registry: Registry, tie: tuple[str, ...] = ()
+    positions: DataFrame, port_cells: DataFrame | Cover, registry: Registry, tie: tuple[str, ...] = ()
 ) -> DataFrame:
     """Port-call table with the anchorage wait before each call and specifications."""
     return ports.port_calls(port_positions(positions, port_cells, tie), specs.result_specs(registry.specs, registry.versions))
@@ -92,14 +103,14 @@ def emissions_job(
 
 
 def port_stop_rows(
-    positions: DataFrame, zone_cells: DataFrame, registry: Registry,
+    positions: DataFrame, zone_cells: DataFrame | Cover, registry: Registry,
     layers: tuple[DataFrame, DataFrame, DataFrame], tie: tuple[str, ...] = (), merge_islands: bool = False,
 ) -> DataFrame:
     """Rows of port-stop visits with phase and merged segments.
 
     Written out once: the records are aggregated from these rows in four ways.
     """
-    tagged = zones.zone_tag(positions, zone_cells)
+    tagged = _tagged(positions, zone_cells)
     stops = ports.port_stops_cutoff(_columns(tagged, "mmsi", "dt_pos_utc", *tie, "Name", "sog", "H3_int_4", "H3_int_8"))
     stops = specs.enrich_specs(specs.version_join(stops, registry.versions), registry.specs)
     phased = op_phase(zones.near_coast_port(with_load(stops), *layers))
@@ -110,7 +121,7 @@ def port_stop_rows(
 
 
 def port_stop_records_job(
-    positions: DataFrame, zone_cells: DataFrame, registry: Registry,
+    positions: DataFrame, zone_cells: DataFrame | Cover, registry: Registry,
     layers: tuple[DataFrame, DataFrame, DataFrame], tie: tuple[str, ...] = (), nearest: bool = True,
 ) -> DataFrame:
     """Berth spans with the anchorage span of the visit that ends last before each; all of them without ``nearest``."""
