@@ -162,7 +162,7 @@ from (select *, strlen(coalesce(html, '')) >= 100 and row_number() over (partiti
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(_table(spark, sf_dir, "documents"))
     text = F.transform("matches", lambda m: F.concat_ws(
-        ":", m["licence"], m["template"].cast("string"), m["first_line"].cast("string"), m["last_line"].cast("string"), F.round(m["dice"], 6).cast("string")))
+        ":", m["licence"], m["template"].cast("string"), m["first_word"].cast("string"), m["end_word"].cast("string"), F.round(m["dice"], 6).cast("string")))
     return found.select("doc_id", F.size("matches").cast("bigint").alias("n_licences"), F.array_join(text, ",").alias("licences"))
 
 
