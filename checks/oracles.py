@@ -459,6 +459,7 @@ add("scan_positions", f"""
 SELECT event_id, t_s AS dt_pos_utc, H3_int_index_5 FROM positions
 WHERE t_s BETWEEN {fx.EPOCH + 4 * 86400} AND {fx.EPOCH + 40 * 86400 + 43200}
   AND H3_int_index_5 IN (SELECT H3_int_index_5 FROM positions WHERE sog > 17)""")
+ORACLES["scan_with_index"] = ORACLES["scan_positions"]
 add("processed_ranges", """
 SELECT strftime(from_date, '%Y-%m-%d') AS from_date, strftime(to_date, '%Y-%m-%d') AS to_date FROM transit_ranges""")
 add("next_range", """

@@ -16,7 +16,7 @@ from tidemark.functions import constants as K
 from tidemark.operators import cluster, cover, geo, ports, specs, tracks, transits, zones
 from tidemark.operators import emissions as em
 from tidemark.plans import jobs, runs
-from tidemark.sources import ledger, results, tables
+from tidemark.sources import file_index, ledger, results, tables
 from tidemark.sources import positions as scans
 from tidemark.sources.durable import checkpoint, scratch_path
 from tidemark.sources.manifest import Manifest
@@ -536,6 +536,17 @@ def scan_positions(v: View) -> DataFrame:
     return found.select("event_id", TS, "H3_int_index_5")
 
 
+@query
+def scan_with_index(v: View) -> DataFrame:
+    """The rows of ``scan_positions`` from stored files, of which an index names those that can hold them."""
+    path, index = scratch_path(v.spark, "indexed"), scratch_path(v.spark, "file-index")
+    v.positions.repartitionByRange(F.to_date(TS), "H3_int_index_5").write.parquet(path)
+    file_index.index_files(v.spark, path, index)
+    busy = v.positions.filter("sog > 17").select("H3_int_index_5")
+    found = file_index.scan_indexed(v.spark, path, index, "2024-01-05 00:00:00", "2024-02-10 12:00:00", busy)
+    return found.select("event_id", TS, "H3_int_index_5")
+
+
 @query
 def processed_ranges(v: View) -> DataFrame:
     return v.transit_ranges
