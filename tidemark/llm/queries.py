@@ -55,10 +55,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.substring_dedup(_table(spark, sf_dir, "documents")).drop("spans")
+    return substrings.substring_dedup(_table(spark, sf_dir, "documents")).drop("spans", "factors")
 
 
-# The span list is left out of the SQL; it is implied by the kept words.
+# Spans and factors are left out of the SQL; the kept words imply the former, tests hold the latter against a brute-force parse.
 ORACLES["op2_substrings"] = r"""
 with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
 win as (select r, doc_id, i, sha256(array_to_string(list_slice(w, i, i + 49), ' ')) as g
