@@ -255,6 +255,14 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(extra)
 
 
+def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry as it is delivered: its own column names, dimensions, no adapted types."""
+    return specs(spark, sf_dir).select(
+        F.col("mmsi").alias("MaritimeMobileServiceIdentityMMSINumber"), (F.col("mmsi") - 200000000 + 9000000).alias("LRIMOShipNo"),
+        "version", "ais_loa", "ais_beam", "Speed", "GrossTonnage",
+    )
+
+
 def registry_of(spark: SparkSession, sf_dir: str) -> Registry:
     return Registry(versions=versions(spark), specs=specs(spark, sf_dir))
 

@@ -364,6 +364,16 @@ add("lock_summary", "SELECT * FROM lock_rows", TRANSIT)
 add("draught_mode", "SELECT * FROM draughts", TRANSIT)
 add("direct_transit", "SELECT * FROM directs", TRANSIT)
 add("transits", "SELECT t.*, length, beam, StandardVesselType, GrossTonnage FROM transit_rows t LEFT JOIN result_specs s ON s.mmsi = t.mmsi", TRANSIT)
+add("transits_from_registry", """
+SELECT t.*, length, beam, StandardVesselType, GrossTonnage FROM transit_rows t LEFT JOIN newest s ON s.mmsi = t.mmsi""", f"""{VERSIONED},
+newest AS (
+  SELECT m.mmsi, s.ais_loa AS length, s.ais_beam AS beam, b.StandardVesselType, m.GrossTonnage
+  FROM matched m JOIN specs s ON s.mmsi = m.mmsi AND s.version = m.version
+  LEFT JOIN type_bins b ON m.vessel_type_main = b.vessel_type AND m.GrossTonnage >= lo AND m.GrossTonnage < hi
+  QUALIFY row_number() OVER (PARTITION BY m.mmsi ORDER BY m.version DESC) = 1),{TRANSIT}""")
+add("transit_tables", """
+SELECT 'transit' AS kind, imo, mmsi, flag, lock_in AS from_time, lock_out AS to_time, direction AS what FROM transit_rows
+UNION ALL SELECT 'stop', imo, mmsi, flag, stop_time_in, stop_time_out, stop_area FROM stop_rows""", TRANSIT)
 add("transits_one_row", """
 SELECT t.*, length, beam, StandardVesselType, GrossTonnage FROM transit_rows t LEFT JOIN result_specs s ON s.mmsi = t.mmsi
 QUALIFY row_number() OVER (PARTITION BY imo, t.mmsi, flag ORDER BY anchoring_in) = 1""", TRANSIT)

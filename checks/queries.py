@@ -428,6 +428,21 @@ def transit_stops(v: View) -> DataFrame:
     return jobs.transit_stops_job(v.positions, v.zone_cells, fx.TIE)
 
 
+@query
+def transits_from_registry(v: View) -> DataFrame:
+    """Transits with specifications matched and adapted from the raw registry for the ships that were seen."""
+    registry = jobs.seen_registry(v.positions, fx.raw_registry(v.spark, v.dir), v.registry.versions, fx.type_bins(v.spark))
+    return jobs.transits_job(v.positions, v.zone_cells, registry, fx.TIE)
+
+
+@query
+def transit_tables(v: View) -> DataFrame:
+    """Transits and the stops made during them, from one pass."""
+    found, stops = jobs.transit_tables_job(v.positions, v.zone_cells, v.registry, fx.TIE)
+    found = found.selectExpr("'transit' AS kind", "imo", "mmsi", "flag", "lock_in AS from_time", "lock_out AS to_time", "direction AS what")
+    return found.union(stops.selectExpr("'stop'", "imo", "mmsi", "flag", "stop_time_in", "stop_time_out", "stop_area"))
+
+
 @query
 def lock_summary(v: View) -> DataFrame:
     return transits.lock_summary(v.visits).drop("ship")

@@ -123,7 +123,8 @@ def test_slice_bound_is_what_the_doc_says():
 ORACLE_SAMPLE = [
     "zone_tag", "dedup_positions", "port_calls", "match_specs", "adapt_specs", "local_emissions", "transits",
     "transit_candidates", "transit_locks_strict", "draught_mode", "port_stop_records", "merge_stop_islands",
-    "merge_overlaps", "points_in_zone", "polyfill", "days_to_do", "dbscan_stops",
+    "merge_overlaps", "points_in_zone", "polyfill", "days_to_do", "dbscan_stops", "scan_with_index",
+    "transits_from_registry", "transit_tables",
     "emissions_increment", "port_call_runs", "write_results", "stream_anchorage_sessions", "first_pending_range",
 ]
 

@@ -26,6 +26,17 @@ class Registry:
     specs: DataFrame
 
 
+def seen_registry(positions: DataFrame, registry: DataFrame, versions: DataFrame, type_bins: DataFrame) -> Registry:
+    """The part of a raw registry that the ships of ``positions`` need, matched by ship and version and adapted.
+
+    Types and size bins come from what the ships send and from their tonnage. Reads the positions' ship columns once and
+    stores a row per ship and version, which all jobs over the same positions share.
+    """
+    ships = specs.distinct_ships(specs.version_join(_columns(positions, "dt_pos_utc", *specs.SHIP_COLUMNS[:-1]), versions))
+    matched = specs.match_specs(ships, specs.read_registry(registry))
+    return Registry(versions, checkpoint(specs.adapt_specs(matched, type_bins)))
+
+
 def _columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns a job needs, so that nothing else is read or shuffled."""
     specs.require_columns(df, names)
@@ -45,12 +56,19 @@ def canal_positions(positions: DataFrame, zone_cells: DataFrame | Cover, tie: tu
     return _columns(tracks.with_ship(tagged), "ship", "dt_pos_utc", *tie, "imo", "mmsi", "Name", "sog", "draught")
 
 
+def canal_visits(
+    positions: DataFrame, zone_cells: DataFrame | Cover, tie: tuple[str, ...] = (), strict_locks: bool = False
+) -> DataFrame:
+    """Zone visits of all transits, from which the tables of transits and of stops are made."""
+    return transits.transit_visits(transits.segments(canal_positions(positions, zone_cells, tie)), strict_locks)
+
+
 def transits_job(
     positions: DataFrame, zone_cells: DataFrame | Cover, registry: Registry, tie: tuple[str, ...] = (),
     strict_locks: bool = False, one_row: bool = False,
 ) -> DataFrame:
     """Transit table with specifications."""
-    visits = transits.transit_visits(transits.segments(canal_positions(positions, zone_cells, tie)), strict_locks)
+    visits = canal_visits(positions, zone_cells, tie, strict_locks)
     return transits.transits(visits, specs.result_specs(registry.specs, registry.versions), one_row)
 
 
@@ -58,8 +76,20 @@ def transit_stops_job(
     positions: DataFrame, zone_cells: DataFrame | Cover, tie: tuple[str, ...] = (), strict_locks: bool = False
 ) -> DataFrame:
     """Stops made during transits."""
-    visits = transits.transit_visits(transits.segments(canal_positions(positions, zone_cells, tie)), strict_locks)
-    return transits.transit_stops(visits).drop("ship")
+    return transits.transit_stops(canal_visits(positions, zone_cells, tie, strict_locks)).drop("ship")
+
+
+def transit_tables_job(
+    positions: DataFrame, zone_cells: DataFrame | Cover, registry: Registry, tie: tuple[str, ...] = (),
+    strict_locks: bool = False, one_row: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The results of :func:`transits_job` and :func:`transit_stops_job` from one pass over the positions.
+
+    The visits, some rows for each transit, are stored between.
+    """
+    visits = checkpoint(canal_visits(positions, zone_cells, tie, strict_locks))
+    table = transits.transits(visits, specs.result_specs(registry.specs, registry.versions), one_row)
+    return table, transits.transit_stops(visits).drop("ship")
 
 
 def port_positions(positions: DataFrame, port_cells: DataFrame | Cover, tie: tuple[str, ...] = ()) -> DataFrame:
