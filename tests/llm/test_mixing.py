@@ -82,3 +82,42 @@ def test_no_python_in_the_plan(docs, prose):
 def test_empty_table(docs):
     assert mixing.taken_words(docs([])).count() == 0
     assert mixing.mixed_documents(docs([])).count() == 0
+
+
+def test_shards_hold_the_mix_in_multinomial_counts(spark, docs, prose, odd_texts, tmp_path):
+    rows = case(prose, odd_texts) + [(9000 + k, prose(900 + k, 2000), "hot" if k % 2 else "a") for k in range(20)]
+    how = {"block": 8, "shard_slots": 400}
+    path = str(tmp_path / "shards")
+    mixing.write_shards(docs(rows), path, **how)
+    stored = spark.read.parquet(path)
+    counts = mixing.shard_counts(mixing.mix_sources(docs(rows), **how)).collect()
+    n_words = F.size(F.filter(F.split("text", " "), lambda w: w != ""))
+    got = {(r.shard, r.source): (r.a, r.b) for r in stored.groupBy("shard", "source").agg(F.count("*").alias("a"), F.sum(n_words).alias("b")).collect()}
+    assert got == {(r.shard, r.source): (r.n_slots, r.n_words) for r in counts}
+    assert sum(b for _, b in got.values()) == sum(r.taken for r in mixing.taken_words(docs(rows), **how).collect())
+
+    # Each slot falls into a shard by itself: the counts of a large source spread as multinomial draws do, neither evenly nor more.
+    shards = 1 + max(r.shard for r in counts)
+    assert shards > 10
+    for source in ("hot", "a"):
+        n = [got.get((k, source), (0, 0))[0] for k in range(shards)]
+        mean = sum(n) / shards
+        spread = sum((x - mean) ** 2 for x in n) / mean
+        assert abs(spread - (shards - 1)) < 4 * (2 * (shards - 1)) ** 0.5 and spread > 1
+
+    # A block is made of runs of words of its source's texts.
+    texts = {}
+    for _, text, source in rows:
+        texts[source] = texts.get(source, "") + " | " + " ".join((text or "").split())
+    for r in stored.filter("source = 'hot'").limit(200).collect():
+        own = r.text.split()
+        seams = sum(f"{a} {b}" not in texts["hot"] for a, b in zip(own, own[1:]))
+        assert len(own) <= 8 and seams <= 2
+    # Files are ordered by place.
+    for f in stored.inputFiles()[:3]:
+        places = [r.place for r in spark.read.parquet(f).select("place").collect()]
+        assert places == sorted(places)
+
+
+def test_shards_of_an_empty_table(docs):
+    assert mixing.shard_blocks(docs([])).count() == 0

@@ -11,7 +11,8 @@
 * Slot i of a source stands for place i modulo the number of its blocks, in a
   pseudorandom permutation of them (a Feistel network that walks its cycles),
   one permutation per pass. So no block is taken more than ``most`` times.
-* Slots and blocks are joined by block index.
+* Slots and blocks are joined by block index. :func:`write_shards` stores the blocks by
+  shard, :func:`shard_counts` counts them.
 
 Everything depends on hashes of the rows, the seed and the parameters, so reruns agree.
 Only per-source sums meet: three numbers per pass of the excess reach the driver.
@@ -189,6 +190,43 @@ def taken_words(documents: DataFrame, **how) -> DataFrame:
     return own.join(taken, match, "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
+def shard_counts(mix: Mix) -> DataFrame:
+    """How many slots and words of each source each output shard has: shard, source, n_slots, n_words."""
+    counts = mix.pieces.groupBy("shard", "rank").agg(F.count_distinct("slot").alias("n_slots"), F.sum(F.col("end") - F.col("start")).alias("n_words"))
+    return counts.join(mix.sources.select("rank", "source"), "rank").select("shard", "source", "n_slots", "n_words")
+
+
+def shard_blocks(documents: DataFrame, **how) -> DataFrame:
+    """The mix as it is trained on: shard, place (a pseudorandom order in the shard), source, slot, block, text of the block.
+
+    Pieces are gathered by document, so that each text moves and is split once, and then by block. Documents of a block
+    stand in ascending order of doc_id (null first), their words in theirs.
+    """
+    rows = neutral(documents, KEEP)
+    mix = mix_sources(rows, **how)
+    piece = F.struct("shard", "rank", "slot", "block", "nth", "start", "end")
+    takes = mix.pieces.groupBy("doc_id", "key").agg(F.collect_list(piece).alias("_pieces"))
+    takes = takes.select(F.col("doc_id").alias("_take_id"), F.col("key").alias("_take_key"), "_pieces")
+    one = rows.withColumn("_key", row_key(rows)).dropDuplicates(["doc_id", "_key"])
+    joined = one.join(takes, F.col("doc_id").eqNullSafe(F.col("_take_id")) & (F.col("_key") == F.col("_take_key")))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # The words are split once per row, whatever the number of pieces.
+    cut = F.element_at(F.transform(F.array(words), lambda ws: F.transform("_pieces", lambda p: F.struct(
+        p["shard"].alias("shard"), p["rank"].alias("rank"), p["slot"].alias("slot"), p["block"].alias("block"), p["nth"].alias("nth"), p["start"].alias("start"),
+        F.array_join(F.slice(ws, (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")), " ").alias("part")))), 1)
+    parts = joined.select("doc_id", "_key", F.explode(cut).alias("_p")).select("doc_id", "_key", "_p.*")
+    ordered = F.array_sort(F.collect_list(F.struct("doc_id", "_key", "nth", "start", "part")))
+    blocks = parts.groupBy("shard", "rank", "slot", "block").agg(F.array_join(F.transform(ordered, lambda p: p["part"]), " ").alias("text"))
+    place = F.xxhash64(F.lit(how.get("seed", 0)), F.lit("place"), "rank", "slot")
+    return blocks.join(mix.sources.select("rank", "source"), "rank").select("shard", place.alias("place"), "source", "slot", "block", "text")
+
+
+def write_shards(documents: DataFrame, path: str, **how) -> None:
+    """Writes the blocks of each shard in their order, one folder ``shard=...`` each; a shard has some ``shard_slots`` blocks."""
+    blocks = shard_blocks(documents, **how)
+    blocks.repartition("shard").sortWithinPartitions("shard", "place", "source", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
+
+
 def mixed_documents(documents: DataFrame, **how) -> DataFrame:
     """The mix as documents: one row per document and pass that takes words of it, in the columns of ``documents``.
 
