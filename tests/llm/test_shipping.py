@@ -28,7 +28,8 @@ for name in {names!r}:
 """
 
 
-@pytest.mark.parametrize("names", [["op3_secrets", "op8_quality_model", "op10_decontamination"], ["op12_periodic_runs", "op13_suffix_merge", "op11_prefix_trie"]])
+@pytest.mark.parametrize("names", [["op3_secrets", "op8_quality_model", "op10_decontamination"], ["op12_periodic_runs", "op13_suffix_merge", "op11_prefix_trie"],
+                                   ["op2_substrings", "op6_mixing", "op7_licences"]])
 def test_queries_run_where_workers_have_no_package(tmp_path, names):
     script = tmp_path / "driver.py"
     script.write_text(DRIVER.format(repo=REPO, names=names))
