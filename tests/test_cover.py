@@ -107,3 +107,20 @@ def test_jobs_take_polygons(frame):
     for job in (jobs.canal_positions, jobs.port_positions):
         by_cell, by_polygon = (rows_of(job(positions, z, ("event_id",)), "event_id", "Name") for z in (zones, made))
         assert by_cell == by_polygon and len(by_cell) >= 30
+
+
+def test_a_cover_of_least_names_stays_small_under_many_polygons(frame, points):
+    rng = random.Random(5)
+    shapes = {f"zone {k}": [[(x, y), (x + w, y), (x + w, y + h / 2), (x + w / 2, y + h), (x, y + h)]] for k, (x, y, w, h) in enumerate(
+        (rng.uniform(-80, -79), rng.uniform(8.5, 9.5), rng.uniform(0.05, 0.9), rng.uniform(0.05, 0.9)) for _ in range(200))}
+    rows = [(name, wkt(rings)) for name, rings in shapes.items()] + [(None, wkt([[(-80.4, 8), (-78.9, 8), (-78.9, 10), (-80.4, 10)]])), ("zone 7", wkt(shapes["zone 7"]))]
+    parsed = geo.parse_wkt(frame("Name string, WKT_geom string", rows))
+    whole, least = cover.polygon_cover(parsed, 12), cover.polygon_cover(parsed, 12, least="Name")
+    assert least.count() * 4 < whole.count()
+    df = frame("event_id long, latitude double, longitude double", points)
+    want = {k: min((n for n, rings in shapes.items() if inside(rings, x, y)), default=None) for k, y, x in points if None not in (x, y)}
+    for made in (whole, least):
+        assert dict(rows_of(cover.zone_tag_polygons(df, made, "left", 12), "event_id", "Name")) == {k: want.get(k) for k, *_ in points}
+        found = rows_of(cover.zone_tag_polygons(df, made, finest=12), "event_id", "Name")
+        assert found == rows_of(cover.zone_tag_polygons(df, whole, finest=12), "event_id", "Name")
+        assert any(n is None for _, n in found)
