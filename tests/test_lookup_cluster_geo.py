@@ -110,6 +110,17 @@ def test_polyfill_and_points_agree(spark, frame):
     assert found.count() > 50
 
 
+def test_points_of_one_cell_are_dealt_over_tasks(frame, monkeypatch):
+    monkeypatch.setattr(geo, "PAIRS", 100, raising=False)
+    shapes = [(f"z{k}", "x", f"POLYGON ((0 0, {0.1 + 0.01 * k} 0, {0.1 + 0.01 * k} 0.9, 0 0.9, 0 0))") for k in range(40)]
+    parsed = geo.parse_wkt(frame("Name string, TERRITORY1 string, WKT_geom string", shapes + [("all", "x", "POLYGON ((-9 -9, 9 -9, 9 9, -9 9, -9 -9))")]))
+    rows = [(i, 0.5, 0.001 * i) for i in range(1, 600)] + [(1000, None, 0.1), (1001, 0.5, None), (1002, float("nan"), 0.1), (1003, -0.5, 360.1)]
+    found = geo.points_in_zone(frame("id long, latitude double, longitude double", rows), parsed, 1.0)
+    want = [(i, f"z{k}") for i, y, x in rows[:599] for k in range(40) if x < 0.1 + 0.01 * k] + [(i, "all") for i in range(1, 600)]
+    assert rows_of(found, "id", "Name") == sorted(want)
+    assert found.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_cell_ids(frame):
     ident = int("8a2a1072b59ffff", 16)
     row = frame("c long", [(ident,)]).select(
