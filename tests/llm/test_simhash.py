@@ -135,3 +135,12 @@ def test_one_of_each_decides_on_exact_jaccard(docs, prose, monkeypatch, chunk):
     texts = graded_copies(prose)
     kept = sorted(r.doc_id for r in simhash.one_of_each(docs(list(enumerate(texts)))).collect())
     assert kept == sorted(set(similar_classes(texts, 0.8)))
+
+
+def test_one_of_each_finds_candidates_by_fingerprints(docs, prose, monkeypatch):
+    # Without min-hash keys the fingerprints alone must bring near copies together.
+    monkeypatch.setattr("tidemark.llm.near_copies.BANDS", 0)
+    monkeypatch.setattr("tidemark.llm.near_copies._band_keys", lambda hashes, begin: np.zeros((len(begin), 0), np.uint64))
+    rows = [(k, prose(k, 400)) for k in range(12)]
+    changed = [(100 + k, text + " and one more line") for k, text in rows]
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs(rows + changed)).collect()) == list(range(12))

@@ -4,6 +4,7 @@
   with probability 1 - (1 - s**ROWS)**BANDS: 0.9993 at 0.8. Texts that share a
   key are joined to the least of them, never to each other, and the connected
   components are the candidates. Texts with equal sets are one node from the start.
+* Candidates found by other means, such as fingerprints, come in as further keys.
 * Verification: all pairs inside a component are compared on their shingle sets, so a
   pair is missed only where no chain of keys connects it, and none below ``least`` is
   linked. Pairs that links already connect need no comparison.
@@ -166,17 +167,21 @@ def _in_chunks(placed: DataFrame, across: bool, least: float) -> DataFrame:
     return rows.repartition("component", "chunk").sortWithinPartitions("component", "chunk").mapInArrow(_chunk_links(across, least), "u bigint, v bigint")
 
 
-def candidate_components(prints: DataFrame) -> DataFrame:
-    """(node, component) of all nodes that a chain of shared band keys connects to another; component = least node."""
-    keyed = prints.dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
+def candidate_components(prints: DataFrame, keys: DataFrame) -> DataFrame:
+    """(node, component) of all nodes that a chain of shared band keys, or of other shared ``keys`` (node, band), connects to another; component = least node."""
+    keyed = prints.dropDuplicates(["node"]).select("node", F.explode("bands").alias("band")).union(keys.select("node", "band").distinct())
     first = keyed.groupBy("band").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "first")
     return components(keyed.join(first, "band").select(F.col("node").alias("u"), F.col("first").alias("v")))
 
 
-def similar_groups(documents: DataFrame, shingle: int, least: float) -> DataFrame:
-    """``documents`` (last columns _key, text) without text, with ``component``: a number shared by all rows that links connect."""
+def similar_groups(documents: DataFrame, shingle: int, least: float, near: DataFrame) -> DataFrame:
+    """``documents`` (last columns _key, text) without text, with ``component``: a number shared by all rows that links connect.
+
+    ``near`` (_key, near) names candidates found otherwise: rows that share a ``near`` are compared like those that share a band key.
+    """
     prints = checkpoint(_scanned(documents, shingle, False))
-    found = checkpoint(candidate_components(prints.select("node", "bands")))
+    keys = prints.select("node", "_key").join(near, "_key").select("node", F.xxhash64(F.lit("near"), "near").alias("band"))
+    found = checkpoint(candidate_components(prints.select("node", "bands"), keys))
     sizes = found.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
     found = found.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     chosen = prints.select("node", "_key").groupBy("node").agg(F.min("_key").alias("_key")).join(found, "node")

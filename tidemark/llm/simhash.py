@@ -398,17 +398,18 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, distance: int = 4, a
     return grouped.join(least, "component").select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def one_of_each(documents: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+def one_of_each(documents: DataFrame, shingle: int = 5, least: float = 0.8, distance: int = 10) -> DataFrame:
     """The document with the least doc_id of each group of near duplicates, in the columns of ``documents``.
 
-    Links are pairs whose shingle sets have a Jaccard similarity of ``least`` or more
-    (:mod:`near_copies`). Of rows that share that id the one with the least hash stays; a null id counts as the largest.
+    SimHash fingerprints that links of ``distance`` or fewer differing bits connect are candidates, as are texts that
+    share min-hash keys (:mod:`near_copies`). Of these, links are pairs whose shingle sets have a Jaccard similarity of ``least`` or more. Of rows that share that id the one with the least hash stays; a null id counts as the largest.
     """
     rows = neutral(documents, ["doc_id", "text"])
     rows = rows.withColumn("_key", F.xxhash64(*rows.columns))
     docs = rows.select(F.col("doc_id").alias("_id"), "_key", F.col("text").cast("string").alias("text"))
     order = F.struct(F.col("_id").isNull().alias("unknown"), F.col("_id").alias("id"), F.col("_key").alias("key"))
-    kept = similar_groups(docs, shingle, least).groupBy("component").agg(F.min(order).alias("_f"))
+    near = checkpoint(_components(checkpoint(fingerprints(docs, shingle)), distance, None).select("_key", F.col("component").alias("near")))
+    kept = similar_groups(docs, shingle, least, near).groupBy("component").agg(F.min(order).alias("_f"))
     kept = kept.select(F.col("_f.id").alias("_kept_id"), F.col("_f.key").alias("_kept_key"))
     found = rows.join(kept, (F.col("_key") == F.col("_kept_key")) & F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
     return restored(found.dropDuplicates(["_key", "doc_id"]), documents, ["doc_id", "text"])
