@@ -31,6 +31,8 @@ NOISE = -1
 #: Cell side as a share of eps; below 1/sqrt(2), so a cell's diagonal stays under eps.
 SIDE = 0.7071
 REACH = 2
+#: Cells along the side of a block.
+BLOCK = 8
 
 
 def track_eps(direction: str = "dir", ts: str = "dt_pos_utc") -> Column:
@@ -43,15 +45,29 @@ def _near(ax: Column, ay: Column, bx: Column, by: Column, eps: Column) -> Column
     return (ax - bx) * (ax - bx) + (ay - by) * (ay - by) <= eps * eps
 
 
-def _around(df: DataFrame, include_own: bool) -> DataFrame:
-    """Repeat each row for the cells within reach, as (cx, cy); its own cell stays in (hx, hy)."""
-    steps = [
-        F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-        for dx in range(-REACH, REACH + 1) for dy in range(-REACH, REACH + 1)
-        if include_own or dx or dy
-    ]
-    out = df.withColumnRenamed("cx", "hx").withColumnRenamed("cy", "hy").withColumn("_s", F.explode(F.array(*steps)))
-    return out.withColumn("cx", F.col("hx") + F.col("_s.dx")).withColumn("cy", F.col("hy") + F.col("_s.dy")).drop("_s")
+def _near_cells(cells: DataFrame, key: list[str]) -> DataFrame:
+    """(hx, hy, cx, cy): each cell of a track with the occupied cells within reach, its own included.
+
+    Cells meet in blocks: a cell goes to the blocks that its reach touches, 2.25 on average, so a block holds at most
+    (BLOCK + 2 * REACH)^2 of them, and cells with nothing around them are not repeated for every place around.
+    """
+    def touched(c: str) -> Column:
+        return F.explode(F.sequence(F.floor((F.col(c) - REACH) / BLOCK), F.floor((F.col(c) + REACH) / BLOCK)))
+
+    dealt = cells.select(*key, "cx", "cy").distinct().withColumn("_bx", touched("cx")).withColumn("_by", touched("cy"))
+    blocks = dealt.groupBy(*key, "_bx", "_by").agg(F.collect_list(F.struct("cx", "cy")).alias("_all"))
+    own = F.filter("_all", lambda c: (F.floor(c["cx"] / BLOCK) == F.col("_bx")) & (F.floor(c["cy"] / BLOCK) == F.col("_by")))
+    homes = blocks.select(*key, "_all", F.explode(own).alias("_h"))
+    near = F.filter("_all", lambda c: (F.abs(c["cx"] - F.col("_h.cx")) <= REACH) & (F.abs(c["cy"] - F.col("_h.cy")) <= REACH))
+    pairs = homes.select(*key, F.col("_h.cx").alias("hx"), F.col("_h.cy").alias("hy"), F.explode(near).alias("_c"))
+    return pairs.select(*key, "hx", "hy", "_c.cx", "_c.cy")
+
+
+def _around(df: DataFrame, near: DataFrame, key: list[str], include_own: bool) -> DataFrame:
+    """Repeat each row for the occupied cells within reach, as (cx, cy); its own cell stays in (hx, hy)."""
+    if not include_own:
+        near = near.filter("cx != hx OR cy != hy")
+    return df.withColumnRenamed("cx", "hx").withColumnRenamed("cy", "hy").join(near, [*key, "hx", "hy"])
 
 
 def dbscan(
@@ -79,10 +95,11 @@ def dbscan(
     weights = spots.groupBy(*cell).agg(F.sum("_w").alias("_cw"))
     spots = checkpoint(lookup_join(spots, weights, cell, grows=True))
 
+    near = checkpoint(_near_cells(spots, key))
     dense, sparse = spots.filter(F.col("_cw") >= min_points), spots.filter(F.col("_cw") < min_points)
 
     # Core points of sparse cells: own cell's weight plus neighbours within eps.
-    probes = _around(sparse.select(*cell, F.col("_x").alias("px"), F.col("_y").alias("py"), F.col("_cw").alias("own")), False)
+    probes = _around(sparse.select(*cell, F.col("_x").alias("px"), F.col("_y").alias("py"), F.col("_cw").alias("own")), near, key, False)
     seen = lookup_join(spots, probes, cell, grows=True)
     seen = seen.filter(_near(F.col("px"), F.col("py"), F.col("_x"), F.col("_y"), F.col("_e")))
     found = seen.groupBy(*key, "px", "py").agg((F.sum("_w") + F.first("own")).alias("_n")).filter(F.col("_n") >= min_points)
@@ -96,14 +113,14 @@ def dbscan(
         F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"),
     )
     nodes = checkpoint(nodes.withColumn("node", F.col("_first")))
-    links = _cell_links(core, nodes, key)
+    links = _cell_links(core, nodes, near, key)
     named = _components_by_track(nodes, links, key)
 
     labelled = lookup_join(core, named, cell, grows=True)
     labels = labelled.select(*key, "_x", "_y", "cluster")
     # Border points: non-core points with a core point within eps.
     rest = sparse.join(found, [*key, "_x", "_y"], "left_anti")
-    probes = _around(rest.select(*cell, F.col("_x").alias("px"), F.col("_y").alias("py")), True)
+    probes = _around(rest.select(*cell, F.col("_x").alias("px"), F.col("_y").alias("py")), near, key, True)
     touched = lookup_join(labelled, probes, cell, grows=True)
     touched = touched.filter(_near(F.col("px"), F.col("py"), F.col("_x"), F.col("_y"), F.col("_e")))
     border = touched.groupBy(*key, "px", "py").agg(F.min("cluster").alias("cluster"))
@@ -115,12 +132,12 @@ def dbscan(
     return out.withColumn("cluster", F.coalesce(F.col("cluster"), F.lit(NOISE))).drop("_x", "_y")
 
 
-def _cell_links(core: DataFrame, nodes: DataFrame, key: list[str]) -> DataFrame:
+def _cell_links(core: DataFrame, nodes: DataFrame, near: DataFrame, key: list[str]) -> DataFrame:
     """Pairs (a, b) of core cells of one track with a core pair within eps."""
     cell = [*key, "cx", "cy"]
     box = ["x0", "x1", "y0", "y1"]
     other = nodes.select(*cell, F.col("node").alias("b"), *[F.col(c).alias(f"b_{c}") for c in box])
-    pairs = _around(nodes, False).join(other, cell)
+    pairs = _around(nodes, near, key, False).join(other, cell)
     # Each unordered pair once: the second cell lies to the right, or straight above.
     right = F.col("cx") > F.col("hx")
     above = (F.col("cx") == F.col("hx")) & (F.col("cy") > F.col("hy"))
