@@ -34,12 +34,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.columns import neutral, restored
 from tidemark.llm.shared import by_value
 from tidemark.llm.words import LOWER, PLAIN_WORD, Hasher, find_words, mix, text_chunks
+from tidemark.sources.durable import checkpoint
 
 SAMPLE = 12_000
 LEAST_DOCS = 8
 KEEP_COST = 2.0
 PRIOR = 0.5
 LEAST_CHI2 = 18.0
+#: Features take some ninety bytes of memory a byte of text while they are made.
+PART_BYTES = 1 << 18
 _U = np.uint64
 # Bytes of words that tell meaning; what else ends or starts a word is its shape.
 _LETTER = np.zeros(256, bool)
@@ -195,18 +198,15 @@ def fit_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, l
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            for i, j, data, offsets in text_chunks(batch.column(2)):
+            for i, j, data, offsets in text_chunks(batch.column(2), PART_BYTES):
                 of, key = _once(*_features(hasher, data, offsets))
                 take = pa.array(of)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i).take(take), batch.column(1).slice(i, j - i).take(take), pa.array(key.view(np.int64))], ["doc", "grade", "feature"])
 
-    pairs = chosen.select(F.col("_doc").alias("doc"), "grade", "text").mapInArrow(extract, "doc bigint, grade int, feature bigint").persist()
-    try:
-        common = pairs.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_docs).select("feature")
-        used = pairs.join(common, "feature").toArrow()
-    finally:
-        pairs.unpersist()
+    pairs = checkpoint(chosen.select(F.col("_doc").alias("doc"), "grade", "text").mapInArrow(extract, "doc bigint, grade int, feature bigint"))
+    common = pairs.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_docs).select("feature")
+    used = pairs.join(common, "feature").toArrow()
     if not used.num_rows:
         return KEEP_ALL
     docs, row = np.unique(used["doc"].to_numpy(), return_inverse=True)
@@ -238,7 +238,7 @@ def score_quality(documents: DataFrame, model: Model) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, model = Hasher(), shared()
         for batch in batches:
-            for i, j, data, offsets in text_chunks(batch.column(batch.num_columns - 1)):
+            for i, j, data, offsets in text_chunks(batch.column(batch.num_columns - 1), PART_BYTES):
                 expected, tail = model.grades(model.scores(hasher, data, offsets))
                 yield pa.RecordBatch.from_arrays(
                     [c.slice(i, j - i) for c in batch.columns] + [pa.array(expected), pa.array(tail), pa.array(tail >= model.cut)],

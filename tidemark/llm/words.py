@@ -29,12 +29,18 @@ ALNUM_WORD[0x80:] = True
 
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, UTF-8 bytes, byte offsets) of runs of rows; a null is empty, a row is never cut."""
-    texts = pc.fill_null(column, "").cast(pa.large_string())
+    """(first row, end row, UTF-8 bytes, byte offsets) of runs of rows; a null is empty, a row is never cut.
+
+    A batch of long texts is many times a chunk, so its bytes are used where they are; only one with nulls is copied.
+    """
+    texts = pc.fill_null(column, "") if column.null_count else column
     if not len(texts):
         return
+    if texts.type not in (pa.string(), pa.large_string()):
+        texts = texts.cast(pa.large_string())
+    kind = np.dtype(np.int32 if texts.type == pa.string() else np.int64)
     buffers = texts.buffers()
-    offsets = np.frombuffer(buffers[1], np.int64, len(texts) + 1, texts.offset * 8)
+    offsets = np.frombuffer(buffers[1], kind, len(texts) + 1, texts.offset * kind.itemsize).astype(np.int64)
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     i = 0
     while i < len(texts):
