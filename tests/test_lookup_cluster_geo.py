@@ -129,3 +129,10 @@ def test_cell_ids(frame):
         cells.cell_number(cells.cell_text(F.col("c"))).alias("n"),
     ).first()
     assert (row["t"], f"{row['p']:x}", row["finer"], row["r"], row["n"]) == ("8a2a1072b59ffff", "852a1073fffffff", None, 10, ident)
+
+
+def test_near_cells_are_the_occupied_ones_within_reach(frame):
+    cells = {(ship, x, y) for ship in (1, 2) for x, y in [(-9, -9), (-8, -7), (0, 0), (2, -2), (3, 0), (7, 7), (8, 9), (10, 9), (500, 500)]} - {(2, 0, 0)}
+    near = cluster._near_cells(frame("ship long, cx long, cy long", sorted(cells) * 2), ["ship"])
+    want = sorted((s, a, b, x, y) for s, a, b in cells for t, x, y in cells if s == t and abs(a - x) <= cluster.REACH and abs(b - y) <= cluster.REACH)
+    assert rows_of(near, "ship", "hx", "hy", "cx", "cy") == want

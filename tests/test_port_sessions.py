@@ -4,7 +4,9 @@ import random
 import subprocess
 import sys
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 
@@ -87,3 +89,33 @@ def test_the_processor_runs_where_the_package_is_not(tmp_path):
     path.write_bytes(cloudpickle.dumps(port_sessions.Stays({2: 5}, {2: 1})))
     load = f"import pickle; assert pickle.load(open({str(path)!r}, 'rb')).gaps == {{2: 5}}"
     subprocess.run([sys.executable, "-I", "-c", load], cwd=tmp_path, check=True)
+
+
+class Held:
+    """A state variable of one key, and how often it was asked or set."""
+
+    def __init__(self, calls):
+        self.value, self.calls = None, calls
+
+    def __getattr__(self, name):
+        self.calls.append(name)
+        return {"exists": lambda: self.value is not None, "get": lambda: self.value, "clear": lambda: setattr(self, "value", None),
+                "update": lambda v: setattr(self, "value", v), "put": lambda v: setattr(self, "value", v),
+                "appendValue": lambda v: setattr(self, "value", [*(self.value or []), v])}[name]
+
+
+@pytest.mark.parametrize("ships", [1, 500])
+def test_calls_to_the_state_do_not_grow_with_the_ships(ships):
+    calls, timers = [], set()
+    handle = SimpleNamespace(getListState=lambda *_: Held(calls), getValueState=lambda *_: Held(calls), registerTimer=timers.add, deleteTimer=timers.discard)
+    clock = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    processor = port_sessions.Stays({2: DAY, 1: HOUR}, {2: HOUR, 1: 0})
+    processor.init(handle)
+    us = 1_000_000
+    rows = pd.DataFrame([(-1, s, 2, t * us, "Balboa", s != 0, 2**60 + s) for t in (2 * HOUR, 0) for s in range(ships)], columns=port_sessions.ROW)
+    assert not list(processor.handleInputRows((0,), iter([rows]), clock(-1)))
+    events = pd.concat(processor.handleExpiredTimer((0,), clock(2 * DAY * 1000), None))
+    assert sorted(events["mmsi"]) == list(range(ships)) and set(events["group_id"]) == {1}
+    assert set(events["start_us"]) == {0} and set(events["end_us"]) == {2 * HOUR * us}
+    assert events.loc[events["mmsi"] == 0, "imo"].isna().all() and all(events["imo"].dropna() > 2**60)
+    assert len(calls) < 20
