@@ -48,6 +48,21 @@ def test_encoder_equals_the_library(odd_texts, prose):
         assert ids == [*library.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_pieces_between_spaces_equal_the_library_and_are_remembered(monkeypatch):
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", 40)
+    encoder, library = token_files.Encoder(PATH, 2), Tokenizer.from_file(PATH)
+    rng = np.random.Generator(np.random.PCG64(3))
+    for _ in range(300):
+        text = "".join("ab É'''strevl.1 \t-ÿ×"[k] for k in rng.integers(0, 20, 40))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], text
+    asked, tokenize = [], encoder.known.tokenize
+    encoder.known.tokenize = lambda word: asked.append(word) or tokenize(word)
+    for k in range(200):
+        encoder.encode(f"harbour. wo{'x' * k}")
+    # A common word is not encoded again when the memory is full.
+    assert asked.count("harbour") == 1 and len(encoder.known) + len(encoder.known.older) <= 80
+
+
 def test_other_tokenizers_go_through_the_library(odd_texts):
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder, library = token_files.Encoder(path, 50256), Tokenizer.from_file(path)

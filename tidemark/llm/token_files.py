@@ -64,8 +64,8 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
 # Characters whose words the encoder finds itself: ASCII but for controls, and the letters of Latin-1. They
 # are composed, so normalisation only lowers them.
 _PLAIN = re.compile(r"[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
-# Fixed value: the pre-tokenizer's pattern, for lowered text of those characters.
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r\x20a-z0-9ß-öø-ÿ]+")
+# Fixed value: the pre-tokenizer's pattern, for lowered text of those characters; the commonest words are tried first.
+_WORDS = re.compile(r"[a-zß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\t-\r\x20a-z0-9ß-öø-ÿ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -76,6 +76,40 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letters[b] for b in chr(c).encode()) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100))}
 
 
+class Pieces(dict):
+    """Ids, four bytes each, of what stands between white space in lowered plain text.
+
+    No word of the pre-tokenizer goes across white space. Ids are remembered for the last ``limit`` pieces at least and twice as
+    many at most; the library's model encodes each word of the others.
+    """
+
+    def __init__(self, model, limit: int):
+        self.tokenize, self.limit = model.tokenize, limit
+        self.letters = _byte_letters()
+        self.older: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        found = [t.id for t in self.tokenize(word if word.isascii() else word.translate(self.letters))]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            if piece.isalpha():
+                ids = self._word(piece)
+            elif piece[:-1].isalpha():
+                # One sign or digit behind letters is a word of its own.
+                ids = self[piece[:-1]] + self[piece[-1]]
+            else:
+                words = _WORDS.findall(piece)
+                ids = self._word(piece) if len(words) == 1 else b"".join(map(self.__getitem__, words))
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
@@ -84,43 +118,32 @@ class Encoder:
     texts, and all texts of tokenizers of another make, go through the library whole.
     """
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, by_word: bool | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.end = np.uint32(end_id).tobytes()
-        self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.by_word = self._is_word_tokenizer(path)
-
-    def _is_word_tokenizer(self, path: str) -> bool:
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        steps = [n.get("type") for n in (parts.get("normalizer") or {}).get("normalizers", [])]
-        split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        pattern = (split[0].get("pattern") or {}).get("Regex", "")
-        special = [t["content"] for t in parts.get("added_tokens", [])]
-        return (
-            steps == ["NFC", "Replace", "Lowercase"] and [p.get("type") for p in split] == ["Split", "ByteLevel"]
-            and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" and all(t.startswith("<|") for t in special))
+        self.known = Pieces(self.tokenizer.model, KNOWN_WORDS)
+        self.by_word = is_word_tokenizer(path) if by_word is None else by_word
 
     def encode(self, text: str) -> bytes:
         """The ids of the text and the end id, four bytes each."""
         if not (self.by_word and _PLAIN.fullmatch(text) and "<|" not in text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
-        words, known = _WORDS.findall(text.lower()), self.known
-        try:
-            return b"".join(map(known.__getitem__, words)) + self.end
-        except KeyError:
-            pass
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        for word in set(words):
-            if word not in known:
-                spelt = word if word.isascii() else word.translate(self.letters)
-                known[word] = struct.pack(f"<{len(found)}I", *found) if (found := [t.id for t in self.model.tokenize(spelt)]) else b""
-        return b"".join(map(known.__getitem__, words)) + self.end
+        return b"".join(map(self.known.__getitem__, text.lower().split())) + self.end
+
+
+def is_word_tokenizer(path: str) -> bool:
+    """Whether the tokenizer lowers texts and parts them into words as ``_WORDS`` does."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    steps = [n.get("type") for n in (parts.get("normalizer") or {}).get("normalizers", [])]
+    split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    pattern = (split[0].get("pattern") or {}).get("Regex", "")
+    special = [t["content"] for t in parts.get("added_tokens", [])]
+    return (
+        steps == ["NFC", "Replace", "Lowercase"] and [p.get("type") for p in split] == ["Split", "ByteLevel"]
+        and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" and all(t.startswith("<|") for t in special))
 
 
 class Writer:
@@ -205,7 +228,7 @@ def write_token_files(
     spark = documents.sparkSession
     if vocabulary is None:
         vocabulary = _vocabulary(tokenizer)
-    bits = width_of(max(vocabulary, end_id + 1))
+    bits, by_word = width_of(max(vocabulary, end_id + 1)), is_word_tokenizer(tokenizer)
     folder = files.folder_uri(folder or scratch_path(spark, "tokens"))
     files.make_folder(folder)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -221,7 +244,7 @@ def write_token_files(
             for at in range(0, batch.num_rows, 256):
                 for doc, text in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
                     if writer is None:
-                        path, encoder = files.fresh_name(folder, "tok"), Encoder(tokenizer, end_id)
+                        path, encoder = files.fresh_name(folder, "tok"), Encoder(tokenizer, end_id, by_word)
                         writer = Writer(path, bits, block)
                     writer.add(doc, np.frombuffer(encoder.encode(text), "<u4"))
         if writer is not None:
