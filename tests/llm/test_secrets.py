@@ -109,3 +109,46 @@ def test_short_secrets_behind_unknown_key_words(docs, prose):
     got = {r.doc_id: r.spans for r in secrets.secret_digest(secrets.find_secrets(docs(rows))).collect()}
     assert sum("network" in got[5000 + k] for k in range(4)) >= 3
     assert sum("network" in s for k, s in got.items() if 1000 <= k < 2000) <= 10
+
+
+def test_networks_learn_from_every_label_over_shards(spark, monkeypatch):
+    for name, value in (("SHARD", 128), ("LESSER", 24), ("EPOCHS", 4), ("STEPS", 100), ("ROUNDS", 3)):
+        monkeypatch.setattr(secrets, name, value)
+    good, bad = labelled(2600, 4)
+    good = good[:60]
+    rows = [(side, base, c) for kind, base in ((good, True), (bad, False)) for k, c in enumerate(kind) for side in [k % 2]]
+    labels = spark.createDataFrame(rows, "net int, base boolean, context string")
+    fit = {(net, base): len({c for s, b, c in rows if (s, b) == (net, base)}) for net in (0, 1) for base in (True, False)}
+    dealt = secrets.checkpoint(secrets.deal_shards(labels.distinct(), fit))
+    shards = dealt.collect()
+    assert len(shards) > 10
+    for net in (0, 1):
+        for base, name in ((True, "good"), (False, "bad")):
+            assert {c for r in shards if r.net == net for c in r[name]} == {c for s, b, c in rows if (s, b) == (net, base)}
+    assert sum(len(r.bad) for r in shards) == fit[0, False] + fit[1, False]
+    assert all(len(r.good) >= 8 and len(set(r.good)) == len(r.good) and len(r.bad) < 256 for r in shards)
+
+    networks = secrets.train_sharded(dealt)
+    again = secrets.train_sharded(dealt.repartition(3))
+    assert all((a.filters == b.filters).all() for a, b in zip(networks, again))
+    counted = secrets.count_outputs(labels, networks).collect()
+    assert sum(r.n for r in counted if r.base) == 2 * len(good) and sum(r.n for r in counted if not r.base) == len(bad)
+    for k, net in enumerate(networks):
+        own = [r for r in counted if r.net == k]
+        columns = [np.array([r[c] for r in own]) for c in ("z", "base", "n")]
+        secrets.calibrate_counts(net, columns[0] / secrets.GRAIN, *columns[1:], 0.97)
+        good, bad = labelled(200, 5)
+        assert (net.scores(good + secrets.varied(good)) >= net.threshold).mean() >= 0.9
+        assert (net.scores(bad) >= net.threshold).mean() <= 0.02
+
+
+def test_counted_outputs_calibrate_like_single_ones():
+    rng = np.random.Generator(np.random.PCG64(9))
+    z = np.rint(np.concatenate([rng.normal(3, 2, 500), rng.normal(-3, 2, 4000)]) * 4) / 4
+    positive = np.arange(4500) < 500
+    nets = [secrets.Training(np.random.Generator(np.random.PCG64(7))).net for _ in (0, 1)]
+    secrets.calibrate_counts(nets[0], z, positive, np.ones(4500, np.int64), 0.97)
+    pairs, n = np.unique(np.stack([z, positive]), axis=1, return_counts=True)
+    secrets.calibrate_counts(nets[1], pairs[0], pairs[1] == 1, n, 0.97)
+    assert np.allclose([*nets[0].scale, nets[0].threshold], [*nets[1].scale, nets[1].threshold])
+    assert np.isclose(secrets.ranked(pairs[0], n, 0.95), np.quantile(z, 0.95))

@@ -9,11 +9,13 @@ sees a candidate in windows of VALUE characters, one every STRIDE characters and
 characters ahead of the window and AFTER behind it, and the highest score is the candidate's: character embeddings with a mark for the candidate, one convolution,
 maxima over the candidate and over its surroundings, and a logistic output.
 
-It is trained on labelled findings: candidates that a rule has found are
-positive, the others negative, at most ``sample`` of each (those with the least
-hash), and as many again of the positive ones whose value and key word are exchanged
-for others of common make, so that it learns more than the rules say. A quarter is held
-out: Platt scaling calibrates the scores there, and the threshold lies halfway between the highest one that
+It is trained on labelled findings, on all of them: candidates that a rule has found are
+positive, the others negative, and as many again of the positive ones have value and key word exchanged
+for others of common make, so that it learns more than the rules say. Contexts are dealt by hash over shards of about SHARD of a
+kind; the kind that has fewer goes into as many shards as give each LESSER of it, or into all. Every shard
+trains from the same weights, a Spark task each, and the weights and Adam's moments are averaged over the shards, ROUNDS times; a single
+shard is trained in one go. A quarter is held out, by hash: all of it is scored in tasks, which count the outputs in steps of 1 / GRAIN.
+Platt scaling calibrates on these counts, and the threshold lies halfway between the highest score that
 keeps ``recall`` of the held-out positives and the score that 95 % of the negatives stay under. Candidates above it that no rule
 covers are added as ``network`` findings. A secret that no rule knows is labelled negative, so a
 candidate is judged by a network that has not seen it: there are two, each trained on one
@@ -21,7 +23,7 @@ half of the candidates for the other half. Where such secrets are many (a tenth
 that they are none. With fewer than LEAST labels of either kind in a half nothing is added.
 
 The scan is one pass without a shuffle; candidates with their context are stored,
-and training and scoring read that table.
+and training and scoring read that table. The driver holds two networks and their counts, whatever the number of candidates.
 
 Nulls: a null text is empty. Positions are code points of the text as it is.
 """
@@ -30,14 +32,16 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.files import task_each
 from tidemark.llm.words import LOWER, find_words, text_chunks
 from tidemark.llm.shared import by_value
 from tidemark.sources.durable import checkpoint
@@ -52,9 +56,11 @@ CANDIDATE_LEAST, ASSIGNED_LEAST = 16, 6
 BEFORE, VALUE, AFTER = 32, 48, 16
 STRIDE = 24
 WIDTH = BEFORE + VALUE + AFTER
-SAMPLE, LEAST, RECALL = 2000, 20, 0.97
+LEAST, RECALL = 20, 0.97
 UNDER = 0.95
-STEPS, VARIED = 400, 4
+EPOCHS, STEPS, VARIED, FEW = 12, 400, 4, 500
+SHARD, LESSER, ROUNDS = 4096, 512, 6
+HELD, SALTS, GRAIN, HIGHEST = 4, 16, 256, 64
 _MARKS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key", b"akia")
 
 
@@ -173,11 +179,11 @@ def scan_documents(documents: DataFrame) -> DataFrame:
 
 def encode(contexts: list[str]) -> np.ndarray:
     """Character numbers: printable ASCII each its own, 0 for padding, 1 for white space, 2 for all others."""
-    codes = np.array([list(map(ord, c)) for c in contexts], np.int64).reshape(len(contexts), WIDTH)
+    codes = np.frombuffer("".join(contexts).encode("utf-32-le"), "<u4").astype(np.int64).reshape(len(contexts), WIDTH)
     out = np.where((codes > 0x20) & (codes < 0x7F), codes - 0x1E, 2)
     out[codes == 0] = 0
     out[(codes == 0x20) | ((codes >= 9) & (codes <= 13))] = 1
-    return out
+    return out.astype(np.uint8)
 
 
 @dataclass
@@ -207,66 +213,108 @@ class Network:
         pooled = np.concatenate([np.take_along_axis(value, a[:, None], 1)[:, 0], np.take_along_axis(around, b[:, None], 1)[:, 0]], axis=1)
         return flat, a, b, pooled, pooled @ self.out + self.out_bias[0]
 
+    def outputs(self, contexts: list[str]) -> np.ndarray:
+        """What the last layer gives, before calibration."""
+        return np.concatenate([np.zeros(0), *(self._forward(encode(contexts[at:at + 256]))[-1] for at in range(0, len(contexts), 256))])
+
     def scores(self, contexts: list[str]) -> np.ndarray:
         """Calibrated probabilities."""
-        out = [np.zeros(0)]
-        for at in range(0, len(contexts), 256):
-            z = self._forward(encode(contexts[at:at + 256]))[-1]
-            out.append(1 / (1 + np.exp(-np.clip(self.scale[0] * z + self.scale[1], -60, 60))))
-        return np.concatenate(out)
-
-
-def train_network(contexts: list[str], labels: np.ndarray, rounds: int = 12, size: int = 64, channels: int = 24, width: int = 12) -> Network:
-    """Adam on the logistic loss, both kinds weighing the same."""
+        return 1 / (1 + np.exp(-np.clip(self.scale[0] * self.outputs(contexts) + self.scale[1], -60, 60)))
+
+
+class Training:
+    """A network and the state of Adam."""
+
+    def __init__(self, rng: np.random.Generator, channels: int = 24, width: int = 12):
+        f = Network.FILTER * (width + 1)
+        self.net = Network(
+            rng.normal(0, 0.3, (97, width)), rng.normal(0, f**-0.5, (f, channels)), np.zeros(channels), rng.normal(0, 0.2, 2 * channels), np.zeros(1))
+        self.parts = [self.net.embed, self.net.filters, self.net.bias, self.net.out, self.net.out_bias]
+        self.m, self.v = [np.zeros_like(p) for p in self.parts], [np.zeros_like(p) for p in self.parts]
+        self.step = 0.0
+
+    def values(self) -> np.ndarray:
+        """All weights, both moments and the number of steps in one row."""
+        return np.concatenate([*(p.ravel() for p in (*self.parts, *self.m, *self.v)), [self.step]])
+
+    def put(self, values: np.ndarray) -> None:
+        at = 0
+        for p in (*self.parts, *self.m, *self.v):
+            p[...] = values[at:at + p.size].reshape(p.shape)
+            at += p.size
+        self.step = float(values[at])
+
+    def run(self, contexts: list[str], labels: np.ndarray, rounds: int, size: int, rng: np.random.Generator) -> None:
+        """Adam on the logistic loss, both kinds weighing the same."""
+        net = self.net
+        f, channels = net.filters.shape
+        width = net.embed.shape[1]
+        codes = encode(contexts)
+        weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6))
+        for _ in range(rounds):
+            order = rng.permutation(len(codes))
+            for at in range(0, len(order), size):
+                rows = order[at:at + size]
+                n, own = len(rows), codes[rows]
+                flat, a, b, pooled, z = net._forward(own)
+                dz = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[rows]) * weight[rows] / n
+                dpool = dz[:, None] * net.out[None, :] * (pooled > 0)
+                dhidden = np.zeros((n, WIDTH, channels))
+                row, col = np.arange(n)[:, None], np.arange(channels)[None, :]
+                dhidden[row, BEFORE + a, col] += dpool[:, :channels]
+                dhidden[row, np.where(b < BEFORE, b, b + VALUE), col] += dpool[:, channels:]
+                dflat = (dhidden.reshape(-1, channels) @ net.filters.T).reshape(n, WIDTH, Network.FILTER, width + 1)
+                dx = np.zeros((n, WIDTH + Network.FILTER - 1, width))
+                for k in range(Network.FILTER):
+                    dx[:, k:k + WIDTH] += dflat[:, :, k, :width]
+                dembed = np.zeros_like(net.embed)
+                np.add.at(dembed, own, dx[:, Network.FILTER // 2:Network.FILTER // 2 + WIDTH])
+                grads = [dembed, flat.reshape(-1, f).T @ dhidden.reshape(-1, channels), dhidden.sum(axis=(0, 1)), pooled.T @ dz, np.array([dz.sum()])]
+                self.step += 1
+                for p, g, mm, vv in zip(self.parts, grads, self.m, self.v):
+                    mm *= 0.9
+                    mm += 0.1 * g
+                    vv *= 0.999
+                    vv += 0.001 * g * g
+                    p -= 3e-3 * (mm / (1 - 0.9**self.step)) / (np.sqrt(vv / (1 - 0.999**self.step)) + 1e-8)
+
+
+def epochs_of(n: int, rounds: int = EPOCHS, size: int = 64) -> int:
+    """Few labels are gone through more often."""
+    return max(rounds, -(-STEPS * size // n))
+
+
+def train_network(contexts: list[str], labels: np.ndarray, rounds: int = EPOCHS, size: int = 64, channels: int = 24, width: int = 12) -> Network:
+    """One network, trained here."""
     rng = np.random.Generator(np.random.PCG64(7))
-    f = Network.FILTER * (width + 1)
-    net = Network(
-        rng.normal(0, 0.3, (97, width)), rng.normal(0, f**-0.5, (f, channels)), np.zeros(channels), rng.normal(0, 0.2, 2 * channels), np.zeros(1))
-    parts = [net.embed, net.filters, net.bias, net.out, net.out_bias]
-    m, v = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
-    codes, step = encode(contexts), 0
-    weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6))
-    # Few labels are gone through more often.
-    for _ in range(max(rounds, -(-STEPS * size // len(codes)))):
-        order = rng.permutation(len(codes))
-        for at in range(0, len(order), size):
-            rows = order[at:at + size]
-            n, own = len(rows), codes[rows]
-            flat, a, b, pooled, z = net._forward(own)
-            dz = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[rows]) * weight[rows] / n
-            dpool = dz[:, None] * net.out[None, :] * (pooled > 0)
-            dhidden = np.zeros((n, WIDTH, channels))
-            row, col = np.arange(n)[:, None], np.arange(channels)[None, :]
-            dhidden[row, BEFORE + a, col] += dpool[:, :channels]
-            dhidden[row, np.where(b < BEFORE, b, b + VALUE), col] += dpool[:, channels:]
-            dflat = (dhidden.reshape(-1, channels) @ net.filters.T).reshape(n, WIDTH, Network.FILTER, width + 1)
-            dx = np.zeros((n, WIDTH + Network.FILTER - 1, width))
-            for k in range(Network.FILTER):
-                dx[:, k:k + WIDTH] += dflat[:, :, k, :width]
-            dembed = np.zeros_like(net.embed)
-            np.add.at(dembed, own, dx[:, Network.FILTER // 2:Network.FILTER // 2 + WIDTH])
-            grads = [dembed, flat.reshape(-1, f).T @ dhidden.reshape(-1, channels), dhidden.sum(axis=(0, 1)), pooled.T @ dz, np.array([dz.sum()])]
-            step += 1
-            for p, g, mm, vv in zip(parts, grads, m, v):
-                mm *= 0.9
-                mm += 0.1 * g
-                vv *= 0.999
-                vv += 0.001 * g * g
-                p -= 3e-3 * (mm / (1 - 0.9**step)) / (np.sqrt(vv / (1 - 0.999**step)) + 1e-8)
-    return net
+    training = Training(rng, channels, width)
+    training.run(contexts, labels, epochs_of(len(contexts), rounds, size), size, rng)
+    return training.net
 
 
 def calibrate(net: Network, contexts: list[str], labels: np.ndarray, recall: float) -> None:
-    """Platt scaling on held-out labels, and a threshold that keeps ``recall`` of the positives: halfway down to what UNDER of the negatives stay under."""
-    z = np.concatenate([net._forward(encode(contexts[at:at + 256]))[-1] for at in range(0, len(contexts), 256)])
-    positive = labels == 1
+    """:func:`calibrate_counts` for labelled contexts."""
+    calibrate_counts(net, net.outputs(contexts), labels == 1, np.ones(len(contexts), np.int64), recall)
+
+
+def ranked(values: np.ndarray, n: np.ndarray, share: float) -> float:
+    """The quantile of ``values`` that occur ``n`` times each."""
+    order = np.argsort(values)
+    values, upto = values[order], np.cumsum(n[order])
+    at = (upto[-1] - 1) * share
+    low, high = (values[np.searchsorted(upto, k, "right")] for k in (int(np.floor(at)), int(np.ceil(at))))
+    return float(low + (high - low) * (at - np.floor(at)))
+
+
+def calibrate_counts(net: Network, z: np.ndarray, positive: np.ndarray, n: np.ndarray, recall: float) -> None:
+    """Platt scaling on held-out outputs ``z`` that occur ``n`` times each, and a threshold that keeps ``recall`` of the positives: halfway down to what UNDER of the negatives stay under."""
     # Platt's targets keep the scores off 0 and 1.
-    target = np.where(positive, (positive.sum() + 1) / (positive.sum() + 2), 1 / ((~positive).sum() + 2))
+    target = np.where(positive, (n[positive].sum() + 1) / (n[positive].sum() + 2), 1 / (n[~positive].sum() + 2))
     a, b = 1.0, 0.0
     for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
-        w = np.maximum(p * (1 - p), 1e-6)
-        slope = np.array([((p - target) * z).sum() + 1e-3 * (a - 1), (p - target).sum()])
+        w = n * np.maximum(p * (1 - p), 1e-6)
+        slope = np.array([(n * (p - target) * z).sum() + 1e-3 * (a - 1), (n * (p - target)).sum()])
         curve = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-6]])
         move = np.linalg.solve(curve, slope)
         move = np.clip(move, -1, 1)
@@ -275,9 +323,11 @@ def calibrate(net: Network, contexts: list[str], labels: np.ndarray, recall: flo
             break
     net.scale = (float(a), float(b))
     scores = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
-    limit = np.sort(scores[positive])[int(np.floor((1 - recall) * positive.sum()))]
+    order = np.argsort(scores[positive])
+    lost = int(np.floor((1 - recall) * n[positive].sum()))
+    limit = scores[positive][order][np.searchsorted(np.cumsum(n[positive][order]), lost, "right")]
     # A few negatives are secrets that no rule knows, so the highest ones do not count.
-    net.threshold = float(limit + min(limit, np.quantile(scores[~positive], UNDER))) / 2
+    net.threshold = float(limit + min(limit, ranked(scores[~positive], n[~positive], UNDER))) / 2
 
 
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -286,8 +336,11 @@ _KEYS = ("credential", "auth", "private_key", "client-key", "bearer", "access_ke
 
 def varied(contexts: list[str]) -> list[str]:
     """The positive contexts with another key word and another value of common make, some at the end of a longer run."""
-    rng, out = np.random.Generator(np.random.PCG64(11)), []
+    out, seen = [], Counter()
     for context in contexts:
+        # Each context by itself, so that it does not matter which others are in the same task.
+        rng = np.random.Generator(np.random.PCG64([11, zlib.crc32(context.encode()), seen[context]]))
+        seen[context] += 1
         alphabet = (_LETTERS, _LETTERS + "+/", _LETTERS[:26] + _LETTERS[52:], _LETTERS + "_-")[rng.integers(4)]
         value = "".join(alphabet[k] for k in rng.integers(0, len(alphabet), int(rng.integers(8, VALUE))))
         before = context[:BEFORE]
@@ -313,32 +366,103 @@ def side_of(context: str) -> int:
     return zlib.crc32(context.encode()) & 1
 
 
-def fit_networks(scanned: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> list[Network] | None:
-    """Two networks for the candidates of either side, each trained on those of the other, from :func:`scan_documents`' table."""
-    rows = scanned.select(F.explode("candidates").alias("_c")).select("_c.base", "_c.side", F.explode("_c.contexts").alias("context")).distinct()
-    taken = {
-        kind: [(r["side"], r["context"]) for r in rows.filter(F.col("base") == kind).withColumn("_h", F.xxhash64("context")).orderBy("_h", "context", "side").limit(sample).collect()]
-        for kind in (True, False)}
-    out = []
-    for side in (0, 1):
-        good, bad = ([c for s, c in taken[kind] if s != side] for kind in (True, False))
-        if min(len(good), len(bad)) < LEAST:
-            return None
-        cut, low = len(good) * 3 // 4, len(bad) * 3 // 4
-        # Few labels are varied more often.
-        fit = [good[:cut], varied(good[:cut] * min(VARIED, max(1, sample // 4 // max(cut, 1)))), bad[:low]]
-        test = [good[cut:], varied(good[cut:]), bad[low:]]
-        marks = lambda parts: np.repeat([1.0, 1.0, 0.0], [len(p) for p in parts])
-        net = train_network([c for p in fit for c in p], marks(fit))
-        calibrate(net, [c for p in test for c in p], marks(test), recall)
-        out.append(net)
-    return out
+def _held(salt: int) -> Column:
+    return F.pmod(F.xxhash64("context", F.lit(salt)), F.lit(HELD)) == 0
+
 
+def _per_net(values: list) -> Column:
+    return F.when(F.col("net") == 0, values[0]).otherwise(values[1])
 
-def find_secrets(documents: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+
+def deal_shards(labels: DataFrame, fit: dict[tuple[int, bool], int]) -> DataFrame:
+    """Rows (net, shard, good, bad): ``labels`` (net, base, context), of which there are ``fit`` for each net and kind, over shards."""
+    shards = [-(-max(fit[net, True], fit[net, False]) // SHARD) for net in (0, 1)]
+    copies = [{kind: min(shards[net], -(-shards[net] * LESSER // fit[net, kind])) for kind in (True, False)} for net in (0, 1)]
+    last = F.when(F.col("base"), _per_net([F.lit(c[True] - 1) for c in copies])).otherwise(_per_net([F.lit(c[False] - 1) for c in copies]))
+    n = _per_net([F.lit(k) for k in shards])
+    first = F.pmod(F.xxhash64("context", F.lit(-1)), n)
+    dealt = labels.select("net", "base", "context", n.alias("_n"), first.alias("_first"), F.explode(F.sequence(F.lit(0), last)).alias("_copy"))
+    kind = lambda base: F.array_sort(F.collect_list(F.when(F.col("base") == base, F.col("context"))))
+    return dealt.groupBy("net", F.pmod(F.col("_first") + F.col("_copy"), F.col("_n")).alias("shard")).agg(kind(True).alias("good"), kind(False).alias("bad"))
+
+
+def train_sharded(dealt: DataFrame) -> list[Network]:
+    """The networks of :func:`deal_shards`' stored shards: each shard trains from the same weights, and weights are averaged."""
+    spark = dealt.sparkSession
+    rounds = ROUNDS if dealt.agg(F.max("shard")).first()[0] else 1
+    trainings = [Training(np.random.Generator(np.random.PCG64(7))) for _ in (0, 1)]
+    for done in range(rounds):
+        shared = by_value(spark, trainings)
+
+        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    net, shard, good, bad = (c[at].as_py() for c in batch.columns)
+                    training = shared()[net]
+                    # Few labels are varied more often.
+                    parts = [good, varied(good * min(VARIED, max(1, FEW // max(len(good), 1)))), bad]
+                    contexts, labels = [c for p in parts for c in p], np.repeat([1.0, 1.0, 0.0], [len(p) for p in parts])
+                    rng = np.random.Generator(np.random.PCG64([7, shard, done]))
+                    training.run(contexts, labels, -(-epochs_of(len(contexts)) // rounds), 64, rng)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([net], pa.int32()), pa.array([len(contexts)], pa.int64()), pa.array([training.values().tolist()])], ["net", "n", "values"])
+
+        learnt = task_each(dealt).mapInArrow(train, "net int, n bigint, values array<double>")
+        # Sums of decimals are the same in any order.
+        whole = lambda c: F.sum(c.cast("decimal(38,18)"))
+        means = learnt.select("net", "n", F.posexplode("values").alias("at", "value")).groupBy("net", "at").agg(
+            (whole(F.col("value") * F.col("n")).cast("double") / F.sum("n")).alias("mean")).collect()
+        for net, training in enumerate(trainings):
+            training.put(np.array([r["mean"] for r in sorted((r for r in means if r["net"] == net), key=lambda r: r["at"])]))
+    return [t.net for t in trainings]
+
+
+def count_outputs(held: DataFrame, networks: list[Network]) -> DataFrame:
+    """Rows (net, base, z, n): how many contexts of ``held`` (net, base, context), and of the varied positive ones, have the output ``z`` / GRAIN."""
+    shared = by_value(held.sparkSession, networks)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        networks = shared()
+        for batch in batches:
+            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+            for net, network in enumerate(networks):
+                for base in (True, False):
+                    own = [c for k, b, c in rows if k == net and b == base]
+                    z = np.clip(network.outputs(own + varied(own) if base else own), -HIGHEST, HIGHEST)
+                    steps, n = np.unique(np.rint(z * GRAIN).astype(np.int32), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([net] * len(n), pa.int32()), pa.array([base] * len(n), pa.bool_()), pa.array(steps), pa.array(n.astype(np.int64))], ["net", "base", "z", "n"])
+
+    return held.mapInArrow(count, "net int, base boolean, z int, n bigint").groupBy("net", "base", "z").agg(F.sum("n").alias("n"))
+
+
+def fit_networks(scanned: DataFrame, recall: float = RECALL) -> list[Network] | None:
+    """Two networks for the candidates of either side, each trained on those of the other, from :func:`scan_documents`' table."""
+    rows = scanned.select(F.explode("candidates").alias("_c")).select(
+        (1 - F.col("_c.side")).cast("int").alias("net"), "_c.base", F.explode("_c.contexts").alias("context"))
+    labels = checkpoint(rows.distinct())
+    counts = {(r["net"], r["base"]): r for r in labels.groupBy("net", "base").agg(
+        F.count("*").alias("n"), *[F.count_if(_held(k)).alias(f"held_{k}") for k in range(SALTS)]).collect()}
+    if len(counts) < 4 or min(r["n"] for r in counts.values()) < LEAST:
+        return None
+    # Of few labels a hash may hold out none: the first one that does not is taken.
+    shares = [min(min(r[f"held_{k}"] / r["n"] * 2, 1 - r[f"held_{k}"] / r["n"]) for r in counts.values()) for k in range(SALTS)]
+    salt = next((k for k in range(SALTS) if shares[k] >= 1 / HELD), int(np.argmax(shares)))
+    if not shares[salt]:
+        return None
+    dealt = checkpoint(deal_shards(labels.filter(~_held(salt)), {key: r["n"] - r[f"held_{salt}"] for key, r in counts.items()}))
+    networks = train_sharded(dealt)
+    found = count_outputs(labels.filter(_held(salt)), networks).collect()
+    for k, net in enumerate(networks):
+        own = [r for r in found if r["net"] == k]
+        calibrate_counts(net, np.array([r["z"] / GRAIN for r in own]), np.array([r["base"] for r in own]), np.array([r["n"] for r in own]), recall)
+    return networks
+
+
+def find_secrets(documents: DataFrame, recall: float = RECALL) -> DataFrame:
     """doc_id and ``spans`` (kind, start, end; by start, then kind): the rules' findings and the network's."""
     scanned = checkpoint(scan_documents(documents))
-    networks = fit_networks(scanned, sample, recall)
+    networks = fit_networks(scanned, recall)
     if networks is None:
         found = scanned.select("doc_id", "spans")
     else:
