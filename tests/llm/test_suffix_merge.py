@@ -101,3 +101,11 @@ def test_spans_are_the_removed_bytes(docs):
 
 def test_empty_table(docs):
     assert got(docs([])) == []
+
+
+def test_blocks_are_stored_with_the_texts(spark, docs, tmp_path, prose, monkeypatch):
+    (row,) = suffix_merge._store_chunks(docs([(k, prose(k, 200)) for k in range(5)]).coalesce(1), f"file://{tmp_path}").collect()
+    chunk = suffix_merge.Chunk(row.path, None, [])
+    want = suffix_merge._cut(chunk.data, chunk.offsets)
+    monkeypatch.setattr(suffix_merge, "_anchors", None)
+    assert len(want[0]) > 100 and all((a == b).all() for a, b in zip(chunk.cut, want))

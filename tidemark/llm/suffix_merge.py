@@ -1,6 +1,6 @@
 """Substring deduplication by a distributed merge sort of suffixes that never compares a known common prefix again.
 
-Texts are stored in chunks, files in the shared folder. A round sorts keys of all chunks:
+Texts are stored in chunks, files in the shared folder, with the blocks that the windows below form. A round sorts keys of all chunks:
 
 * each chunk sorts its own keys and drops repeats: a *run*. Runs are front-coded (the length of the prefix
   shared with the key before, and the rest), cut at splitting keys, and exchanged by key range;
@@ -54,6 +54,7 @@ SAMPLED_CHUNKS = 8
 SAMPLED_KEYS = 512
 CHUNKS_A_TASK = 2
 
+BLOCKS = b"blocks"  # what a chunk's file says beside its texts
 PAD = 255  # in no UTF-8 text
 # Codes of keys: the bits below say which windows of a block start in a smaller document.
 SMALLER, ASKED = 1 << 31, 1 << 30
@@ -71,9 +72,10 @@ def _store_chunks(documents: DataFrame, folder: str) -> DataFrame:
     def write(tables: list[pa.RecordBatch]) -> pa.RecordBatch:
         path = fresh_name(folder, "arrow")
         n = 0
-        with open_output(path) as out, pa.ipc.new_file(out, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
+        blocks = _pack_blocks(*_cut(*_joined(pa.Table.from_batches(tables, schema))))
+        with open_output(path) as out, pa.ipc.new_file(out, schema.with_metadata({BLOCKS: blocks}), options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
             for table in tables:
-                file.write_batch(table)
+                file.write_batch(table.replace_schema_metadata({BLOCKS: blocks}))
                 n += table.column(1).nbytes
         return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64())], ["path", "n_bytes"])
 
@@ -136,6 +138,43 @@ def _anchors(data: np.ndarray) -> np.ndarray:
     return found
 
 
+def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts and where each begins, and the end."""
+    texts = table.column(1).combine_chunks()
+    texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All blocks: first window, number of windows, anchor."""
+    none = np.zeros(0, np.int64)
+    if len(data) < WINDOW:
+        return none, none, none
+    anchor = _anchors(data)
+    valid = np.ones(len(anchor) + 1, bool)
+    valid[-1] = False
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        valid[max(a, b - WINDOW + 1):b] = False
+    same = np.append(anchor[1:] == anchor[:-1], False) & valid[1:] & valid[:-1]
+    begin = np.flatnonzero(valid[:-1] & ~np.append(False, same[:-1]))
+    return begin, np.flatnonzero(valid[:-1] & ~same) - begin + 1, anchor[begin]
+
+
+def _pack_blocks(begin: np.ndarray, count: np.ndarray, anchor: np.ndarray) -> bytes:
+    packed = np.diff(begin, prepend=0).astype(np.int32).tobytes() + count.astype(np.uint8).tobytes() + (anchor - begin).astype(np.uint8).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(packed)
+
+
+def _unpack_blocks(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    n = len(raw) // 6
+    begin = np.cumsum(np.frombuffer(raw, np.int32, n).astype(np.int64))
+    return begin, np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.int64), begin + np.frombuffer(raw, np.uint8, n, 5 * n)
+
+
 def _rows(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """The ``width`` bytes from each place on."""
     if not len(at):
@@ -201,12 +240,7 @@ class Chunk:
 
     @functools.cached_property
     def _text(self) -> tuple[np.ndarray, np.ndarray]:
-        texts = self.table.column(1).combine_chunks()
-        texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-        offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
-        data = texts.buffers()[2]
-        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        return data[offsets[0]:offsets[-1]], offsets - offsets[0]
+        return _joined(self.table)
 
     @property
     def data(self) -> np.ndarray:
@@ -237,18 +271,8 @@ class Chunk:
 
     @functools.cached_property
     def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All blocks: first window, number of windows, anchor."""
-        none = np.zeros(0, np.int64)
-        if len(self.data) < WINDOW:
-            return none, none, none
-        anchor = _anchors(self.data)
-        valid = np.ones(len(anchor) + 1, bool)
-        valid[-1] = False
-        for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist()):
-            valid[max(a, b - WINDOW + 1):b] = False
-        same = np.append(anchor[1:] == anchor[:-1], False) & valid[1:] & valid[:-1]
-        begin = np.flatnonzero(valid[:-1] & ~np.append(False, same[:-1]))
-        return begin, np.flatnonzero(valid[:-1] & ~same) - begin + 1, anchor[begin]
+        """All blocks, as they were stored with the texts."""
+        return _unpack_blocks(self.table.schema.metadata[BLOCKS])
 
     def prefixes(self) -> Keys:
         """Round 1: the suffixes at the anchors."""
@@ -259,16 +283,11 @@ class Chunk:
         """The blocks whose prefix several documents have."""
         run = self.prefixes()
         tied = np.flatnonzero((run.several | (self.answers[0] == ASKED))[run.of])
-        begin, count, anchor = (x[tied] for x in self.cut)
-        packed = np.diff(begin, prepend=0).astype(np.int32).tobytes() + count.astype(np.uint8).tobytes() + (anchor - begin).astype(np.uint8).tobytes()
-        return zstandard.ZstdCompressor(level=1).compress(packed)
+        return _pack_blocks(*(x[tied] for x in self.cut))
 
     @functools.cached_property
     def tied(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        raw = zstandard.ZstdDecompressor().decompress(self._tied)
-        n = len(raw) // 6
-        begin = np.cumsum(np.frombuffer(raw, np.int32, n).astype(np.int64))
-        return begin, np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.int64), begin + np.frombuffer(raw, np.uint8, n, 5 * n)
+        return _unpack_blocks(self._tied)
 
     def contents(self) -> Keys:
         """Round 2: all bytes of the blocks' windows, from the anchor onwards and from there backwards."""
@@ -436,23 +455,35 @@ def merged(runs: list[Packed]) -> Iterator[tuple[int, int, int, bytes]]:
 def _judge_prefixes(runs: list[Packed], fixed: list[bytes]) -> None:
     """Codes ASKED for keys that several documents have."""
     width = runs[0].width
-    owners, several, codes = [r.owner for r in runs], [r.several for r in runs], [r.codes for r in runs]
-    owner, tied, pending = None, False, []
-    for i, at, shared, _ in merged(runs):
-        mine = owners[i][at]
-        if shared < width:
-            owner, tied, pending = mine, False, []
-        tied = tied or mine != owner or (several[i] is not None and several[i][at])
-        pending.append((i, at))
-        if tied:
-            for run, place in pending:
-                codes[run][place] = ASKED
-            pending = []
+    for run in runs:
+        for at, several in enumerate(run.several or ()):
+            if several:
+                run.codes[at] = ASKED
+
+    def close(same: list[tuple[int, int, int, bytes]]) -> None:
+        owner = runs[same[0][0]].owner[same[0][1]]
+        if any([runs[i].owner[at] != owner or runs[i].codes[at] for i, at, _, _ in same]):
+            for i, at, _, _ in same:
+                runs[i].codes[at] = ASKED
+
+    before, same = None, []
+    for entry in merged(runs):
+        if entry[2] == width:
+            same.append(entry)
+            continue
+        if same:
+            close([before, *same])
+            same = []
+        before = entry
+    if same:
+        close([before, *same])
 
 
 def _judge_smaller(runs: list[Packed], same: list[tuple[int, int]]) -> tuple[int, list[tuple[int, int]]]:
     """Of runs with an equal key: the least owner, and those that have it; the others get the code SMALLER."""
-    least = min(runs[i].owner[at] for i, at in same)
+    if len(same) == 1:
+        return runs[same[0][0]].owner[same[0][1]], same
+    least = min([runs[i].owner[at] for i, at in same])
     holders = []
     for i, at in same:
         if runs[i].owner[at] > least:
@@ -485,7 +516,7 @@ def _judge_contents(runs: list[Packed], fixed: list[bytes]) -> None:
             group = []
 
     def close_group() -> None:
-        if len(group) > 1 and any(least != group[0][1] for _, least, _ in group):
+        if len(group) > 1 and any([least != group[0][1] for _, least, _ in group]):
             _judge_group(runs, group)
 
     for i, at, shared, key in merged(runs):
