@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -78,6 +79,51 @@ def test_thresholds_keep_the_pigeonhole_sum(distance):
     assert sum(t + 1 for _, t in plan.parts) == distance + 1 and skipped >= 0
 
 
+@pytest.mark.parametrize("with_check", [False, True])
+def test_links_need_few_rows(spark, monkeypatch, with_check):
+    """Each fingerprint is dealt once for each slice, and links are those of all pairs."""
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", 150)
+    rng = np.random.Generator(np.random.PCG64(3))
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (600, 9), dtype=np.uint64)
+    values = np.unique(base[rng.integers(0, 40, 600)] ^ np.bitwise_xor.reduce(flips[:, :9], axis=1)).view(np.int64)
+    nodes = spark.createDataFrame(pa.table({"fp": pa.array(values)} | ({"check": pa.array(values)} if with_check else {})))
+    slices = simhash._slices(len(values))
+    assert slices == 4 and simhash._dealt(nodes, slices, nodes.columns).count() == slices * len(values)
+    found = {r.fp: r.component for r in simhash._components(nodes, 10, 54 if with_check else None).collect()}
+    want = classes(values.view(np.uint64).tolist(), 10)
+    assert len(set(want)) < len(values)
+    assert len(set(zip(map(found.get, values.tolist()), want))) == len(set(want)) == len(set(found.values()))
+
+
+def test_plan_grows_less_than_pairs_do():
+    """Ten times the fingerprints get longer parts, not a hundred times the pairs."""
+    even = [np.array([1, 4, 6, 4, 1.0])] * 16
+    costs = [simhash.plan_parts(list(range(64)), even, n, 10, simhash._slices(n)).cost for n in (250_000, 2_500_000)]
+    assert costs[1] < 40 * costs[0] and costs[1] < 300
+
+
+def test_chance_components_are_cut(spark, monkeypatch):
+    """Of one large component only sets that may be similar are left, and those together."""
+    monkeypatch.setattr(groups, "CHUNK", 4)
+    rng = np.random.Generator(np.random.PCG64(4))
+    common = rng.integers(-2**63, 2**63, 60)
+    sets = [np.concatenate([common[:k % 60], rng.integers(-2**63, 2**63, 61 + k % 7)]) for k in range(80)]
+    for k in range(0, 80, 4):
+        sets.append(np.concatenate([sets[k][len(sets[k]) // 10:], rng.integers(-2**63, 2**63, 1 + k % 20)]))
+    sets += [np.zeros(0, np.int64), common[:1]]
+    rows = pa.table({
+        "component": [0] * len(sets), "chunks": pa.array([26] * len(sets), pa.int32()), "chunk": pa.array([0] * len(sets), pa.int32()),
+        "node": list(range(len(sets))), "members": pa.array([np.sort(s) for s in sets], pa.list_(pa.int64()))})
+    cut = groups._cut(spark.createDataFrame(rows), 0.8)
+    assert cut.columns == rows.column_names
+    place = {r.node: r.component for r in cut.collect()}
+    plain = [frozenset(s.tolist()) for s in sets]
+    alike = [(i, j) for j in range(len(sets)) for i in range(j) if len(plain[i] & plain[j]) >= 0.8 * len(plain[i] | plain[j])]
+    assert len(alike) > 5 and all(place[i] == place[j] for i, j in alike)
+    assert len(place) < len(sets) / 2
+
+
 def test_null_ids_and_repeated_rows(docs, prose):
     rows = [(None, prose(1, 50)), (None, prose(1, 50)), (7, prose(1, 50)), (7, prose(1, 50)), (None, "alone here"), (8, None)]
     got = sorted((r.doc_id is None, r.doc_id or 0, r.component_id or 0) for r in simhash.near_duplicates(docs(rows)).collect())

@@ -8,6 +8,10 @@
 * Verification: all pairs inside a component are compared on their shingle sets, so a
   pair is missed only where no chain of keys connects it, and none below ``least`` is
   linked. Pairs that links already connect need no comparison.
+* Chance links of fingerprints join ever more texts as their number grows. A component above
+  SPLIT * CHUNK nodes is therefore cut first: two sets of similarity ``least`` share one of the
+  first shingles of each, as many as may be missing and one more, in any order that is the same for all. Rare
+  ones come first, by counts of 1 / COUNTED of all. Texts that no chain of such shingles connects are not similar.
 * A component above CHUNK nodes is dealt over chunks by hash, and its first node goes to
   each of them. What links connect to that node is one group over all chunks;
   only the other nodes are sent to every chunk for the pairs between chunks.
@@ -31,6 +35,8 @@ from tidemark.sources.durable import checkpoint
 
 BANDS, ROWS = 24, 6
 CHUNK = 128
+SPLIT = 8
+COUNTED = 1 << 16
 _U = np.uint64
 _CHUNK_BYTES = 1 << 18
 
@@ -174,6 +180,66 @@ def candidate_components(prints: DataFrame, keys: DataFrame) -> DataFrame:
     return components(keyed.join(first, "band").select(F.col("node").alias("u"), F.col("first").alias("v")))
 
 
+def _counter(members: np.ndarray) -> np.ndarray:
+    """Which of the COUNTED counters a shingle has."""
+    return (mix(members.view(_U)) >> _U(48)).astype(np.int64) % COUNTED
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All members one after the other, and where each list ends."""
+    bounds = lists.offsets.to_numpy()
+    return lists.values.to_numpy(zero_copy_only=False)[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
+def _counts(sets: DataFrame) -> np.ndarray:
+    """How many members each counter has."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTED, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                total += np.bincount(_counter(_flat(batch.column(0))[0]), minlength=COUNTED)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    out = np.zeros(COUNTED, np.int64)
+    for row in sets.select("members").mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[row["at"]] = row["n"]
+    return out
+
+
+def _first_shingles(sets: DataFrame, least: float) -> DataFrame:
+    """(component, node, token): the rarest members of each set, of which two similar sets share at least one."""
+    counts = _counts(sets)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat, bounds = _flat(batch.column(2))
+            size = np.diff(bounds)
+            of = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort([flat, counts[_counter(flat)], of])
+            needed = np.where(size > 0, size - np.ceil(least * size - 1e-6).astype(np.int64) + 1, 0)
+            taken = order[np.arange(len(flat)) - bounds[:-1][of] < needed[of]]
+            rows = pa.array(of[taken])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(flat[taken])], ["component", "node", "token"])
+
+    return sets.select("component", "node", "members").mapInArrow(scan, "component bigint, node bigint, token bigint")
+
+
+def _cut(sets: DataFrame, least: float) -> DataFrame:
+    """``sets`` of large components under smaller ones, which hold all similar pairs; nodes that are similar to no other may be left out."""
+    tokens = checkpoint(_first_shingles(sets, least))
+    first = tokens.groupBy("component", "token").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    found = components(tokens.join(first, ["component", "token"]).select(F.col("node").alias("u"), F.col("first").alias("v")))
+    return sets.drop("component", "chunks", "chunk").join(_chunked(found), "node").select(*sets.columns)
+
+
+def _chunked(found: DataFrame) -> DataFrame:
+    sizes = found.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    return found.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+
+
 def similar_groups(documents: DataFrame, shingle: int, least: float, near: DataFrame) -> DataFrame:
     """``documents`` (last columns _key, text) without text, with ``component``: a number shared by all rows that links connect.
 
@@ -182,11 +248,13 @@ def similar_groups(documents: DataFrame, shingle: int, least: float, near: DataF
     prints = checkpoint(_scanned(documents, shingle, False))
     keys = prints.select("node", "_key").join(near, "_key").select("node", F.xxhash64(F.lit("near"), "near").alias("band"))
     found = checkpoint(candidate_components(prints.select("node", "bands"), keys))
-    sizes = found.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    found = found.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    found = _chunked(found)
     chosen = prints.select("node", "_key").groupBy("node").agg(F.min("_key").alias("_key")).join(found, "node")
     texts = documents.select("_key", "text").join(chosen, "_key").dropDuplicates(["node"])
     sets = checkpoint(_scanned(texts.select("component", "chunks", "chunk", "node", "text"), shingle, True))
+    large = sets.filter(F.col("chunks") > SPLIT)
+    if not large.isEmpty():
+        sets = checkpoint(sets.filter(F.col("chunks") <= SPLIT).union(_cut(large, least)))
 
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
     places = F.when(F.col("node") == F.col("component"), every).otherwise(F.array("chunk"))

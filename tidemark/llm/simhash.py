@@ -2,20 +2,21 @@
 
 Every distinct fingerprint is split into m parts with thresholds t_1 + ... + t_m =
 distance - m + 1 (a part with t = -1 is not looked at). Two fingerprints within
-``distance`` bits agree within t_i bits on some part i, so probing each part with
-all values within t_i bits finds every link; what is found is verified on the
-whole fingerprint.
+``distance`` bits agree within t_i bits on some part i, so comparing each with
+all whose part is within t_i bits of its own finds every link; what is found is
+verified on the whole fingerprint.
 
 * Correlated bits go into the same part: bits are ordered greedily by their
-  correlation over all fingerprints, parts are runs of eight-bit blocks of it.
+  correlation over all fingerprints, parts are runs of four-bit blocks of it.
 * Thresholds come from dynamic programming over estimated candidate counts: the
-  exact pair-distance distribution of each block (from its 256-value histogram
+  exact pair-distance distribution of each block (from its 16-value histogram
   over all fingerprints), convolved over the blocks of a part. The number of
   parts is chosen by the same cost.
-* Copies share a fingerprint and are one row from the start. A bucket of probes
-  is verified in numpy and gives the edges of a spanning forest, never its pairs;
-  a bucket above ``BUCKET_ROWS`` rows is cut into stripes, and each pair of
-  stripes is a bucket of its own. No link is lost.
+* Copies share a fingerprint and are one row from the start. Fingerprints are dealt
+  over slices by hash and a task is given two slices, each pair of them once. It sorts
+  them by each part and compares the rows of a value with those of all values near it, in numpy:
+  no probe is shuffled, and rows that share a value are spread over all tasks.
+  A task gives the edges of a spanning forest, never its pairs. No link is lost.
 
 ``near_duplicates`` can ask for a second code, the lowest bits of 64 min-hashes,
 which estimates the Jaccard similarity of the shingle sets; a link then needs both.
@@ -45,11 +46,14 @@ from tidemark.operators.components import components
 from tidemark.sources.durable import checkpoint
 
 BITS = 64
-BLOCK_BITS = 8
-BUCKET_ROWS = 8192
-# Cost of a probe row (made, shuffled, sorted) and of verifying a candidate pair, in seconds.
-ROW_COST, PAIR_COST = 3e-6, 5e-9
-LAYOUTS = ((4, 4), (3, 3, 2), (2, 2, 2, 2), (2, 2, 2, 1, 1), (2, 2, 1, 1, 1, 1), (2, 1, 1, 1, 1, 1, 1), (1,) * 8)
+BLOCK_BITS = 4
+RUN_BITS = 8
+PARTS = range(4, 9)
+# Most rows of a slice, rows from which on there are more slices than that asks for, and how many.
+BUCKET_ROWS, SPREAD_ROWS, SPREAD = 1 << 19, 1 << 13, 8
+# Cost of the rows of one value of a part, of a row gathered for them and of verifying a candidate pair, in seconds.
+GROUP_COST, ROW_COST, PAIR_COST = 4e-5, 4e-9, 1e-9
+_TILE, _FOLD = 1 << 18, 1 << 20
 _U = np.uint64
 _CHUNK = 1 << 18
 
@@ -135,7 +139,7 @@ def _bit_order(nodes: DataFrame, n: int) -> list[int]:
     related = np.abs(both / max(n, 1) - np.outer(mean, mean)) / np.outer(spread, spread)
     left, order = list(range(BITS)), []
     while left:
-        if len(order) % BLOCK_BITS == 0:
+        if len(order) % RUN_BITS == 0:
             block = [max(left, key=lambda b: (related[b, left].sum() - related[b, b], -b))]
         else:
             block.append(max(left, key=lambda b: (related[b, block].sum(), -b)))
@@ -152,25 +156,28 @@ def _take_bits(fp: np.ndarray, bits: tuple[int, ...]) -> np.ndarray:
 
 
 def _block_distances(nodes: DataFrame, order: list[int]) -> list[np.ndarray]:
-    """For each block of eight bits, how many ordered pairs of fingerprints differ in d of them."""
+    """For each block of bits, how many ordered pairs of fingerprints differ in d of them."""
+    values = 1 << BLOCK_BITS
     blocks = [tuple(order[k:k + BLOCK_BITS]) for k in range(0, BITS, BLOCK_BITS)]
     value = lambda bits: sum(F.shiftleft(F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1)), k) for k, b in enumerate(bits))
-    keyed = nodes.select(F.explode(F.array(*[(value(bits) + 256 * k).cast("int") for k, bits in enumerate(blocks)])).alias("v"))
-    counts = np.zeros(256 * len(blocks))
+    keyed = nodes.select(F.explode(F.array(*[(value(bits) + values * k).cast("int") for k, bits in enumerate(blocks)])).alias("v"))
+    counts = np.zeros(values * len(blocks))
     for row in keyed.groupBy("v").count().collect():
         counts[row["v"]] = row["count"]
-    apart = np.bitwise_count(np.arange(256)[:, None] ^ np.arange(256)[None, :])
+    apart = np.bitwise_count(np.arange(values)[:, None] ^ np.arange(values)[None, :])
     out = []
     for k in range(len(blocks)):
-        c = counts[256 * k:256 * (k + 1)]
+        c = counts[values * k:values * (k + 1)]
         out.append(np.bincount(apart.ravel(), np.outer(c, c).ravel(), BLOCK_BITS + 1))
     return out
 
 
-def plan_parts(order: list[int], distances: list[np.ndarray], n: int, distance: int) -> Plan:
+def plan_parts(order: list[int], distances: list[np.ndarray], n: int, distance: int, slices: int = 1) -> Plan:
     """The cheapest layout and thresholds; within a layout by dynamic programming over the parts."""
     best = Plan([], float("inf"))
-    for layout in LAYOUTS:
+    unit, tasks = BITS // len(distances), slices * (slices + 1) / 2
+    for many in PARTS:
+        layout = [len(distances) // many + (k < len(distances) % many) for k in range(many)]
         budget = distance - len(layout) + 1
         if budget < -len(layout):
             continue
@@ -179,12 +186,13 @@ def plan_parts(order: list[int], distances: list[np.ndarray], n: int, distance:
             spread = np.ones(1)
             for d in distances[at:at + blocks]:
                 spread = np.convolve(spread, d / max(d.sum(), 1))
-            width = BLOCK_BITS * blocks
+            width = unit * blocks
             pairs = np.cumsum(spread) * n * n / 2
-            probes = np.cumsum([comb(width, t) for t in range(width + 1)]) * n
+            gathered = np.cumsum([comb(width, t) for t in range(width + 1)]) * n * (slices + 1) / 2
             # Entry t + 1: the cost of threshold t; a part of threshold -1 costs nothing.
-            tables.append(np.concatenate([[0.0], ROW_COST * probes + PAIR_COST * pairs])[:distance + 2])
-            parts.append(tuple(order[BLOCK_BITS * at:BLOCK_BITS * (at + blocks)]))
+            fixed = GROUP_COST * min(1 << width, n / slices) * tasks
+            tables.append(np.concatenate([[0.0], fixed + ROW_COST * gathered + PAIR_COST * pairs])[:distance + 2])
+            parts.append(tuple(order[unit * at:unit * (at + blocks)]))
             at += blocks
         need = budget + len(layout)
         cost, chosen = np.full(need + 1, np.inf), []
@@ -207,54 +215,20 @@ def plan_parts(order: list[int], distances: list[np.ndarray], n: int, distance:
     return best
 
 
-def _probes(nodes: DataFrame, plan: Plan, columns: list[str]) -> DataFrame:
-    """Rows (bucket, role, node columns): role 0 is probed only, 1 probes only, 2 is the fingerprint's own value."""
-    def emit(batches):
-        flips = []
-        for bits, t in plan.parts:
-            own = [sum(1 << b for b in chosen) for r in range(t + 1) for chosen in combinations(range(len(bits)), r)]
-            flips.append(np.array(own, _U))
-        for batch in batches:
-            step = max(1, (1 << 19) // sum(map(len, flips)))
-            for at in range(0, batch.num_rows, step):
-                cut = batch.slice(at, step)
-                fp = cut.column(0).to_numpy(zero_copy_only=False).view(_U)
-                buckets, roles, rows = [], [], []
-                for k, (bits, _) in enumerate(plan.parts):
-                    keys = (_take_bits(fp, bits)[:, None] ^ flips[k][None, :]) | (_U(k) << _U(40))
-                    buckets.append(keys.ravel())
-                    roles.append(np.tile(np.where(flips[k] == 0, 2, 1).astype(np.int8), len(fp)))
-                    rows.append(np.repeat(np.arange(len(fp)), len(flips[k])))
-                rows = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(buckets).view(np.int64)), pa.array(np.concatenate(roles))] + [c.take(rows) for c in cut.columns],
-                    ["bucket", "role", *columns])
-
-    schema = "bucket bigint, role tinyint, " + ", ".join(f"{c} bigint" for c in columns)
-    return nodes.select(*columns).mapInArrow(emit, schema)
-
-
-def _hot_buckets(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """Buckets with more than BUCKET_ROWS own rows, and into how many stripes they go."""
-    keys = [sum(F.shiftleft(F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1)), i) for i, b in enumerate(bits)) + F.lit(k << 40)
-            for k, (bits, _) in enumerate(plan.parts)]
-    counted = nodes.select(F.explode(F.array(*keys)).alias("bucket")).groupBy("bucket").count()
-    return counted.filter(F.col("count") > BUCKET_ROWS).select("bucket", F.ceil(F.col("count") / BUCKET_ROWS).cast("int").alias("stripes"))
-
-
-def _striped(probes: DataFrame, hot: DataFrame) -> DataFrame:
-    """Adds ``stripe``: 0 in ordinary buckets; in hot ones a row is repeated once for each stripe it must meet."""
-    joined = probes.join(hot, "bucket", "left")
-    own = F.pmod(F.xxhash64("fp"), F.col("stripes")).cast("int")
-    every = F.sequence(F.lit(0), F.col("stripes") - 1)
-    # Stripe of the probed side * stripes + stripe of the probing side, and the row's role there.
-    as_probed = F.transform(every, lambda s: F.struct((own * F.col("stripes") + s).alias("stripe"), F.lit(0).cast("tinyint").alias("role")))
-    as_probe = F.transform(every, lambda s: F.struct((s * F.col("stripes") + own).alias("stripe"), F.lit(1).cast("tinyint").alias("role")))
-    places = (
-        F.when(F.col("stripes").isNull(), F.array(F.struct(F.lit(0).alias("stripe"), F.col("role").alias("role"))))
-        .when(F.col("role") == 1, as_probe).when(F.col("role") == 0, as_probed).otherwise(F.concat(as_probed, as_probe)))
-    rest = [c for c in probes.columns if c != "role"]
-    return joined.select(*rest, F.explode(places).alias("_p")).select(*rest, F.col("_p.stripe").alias("stripe"), F.col("_p.role").alias("role"))
+def _slices(n: int) -> int:
+    """Slices of n fingerprints: more than memory asks for, so that all cores have pairs of them."""
+    return max(1, -(-n // BUCKET_ROWS), min(SPREAD, -(-n // SPREAD_ROWS)))
+
+
+def _dealt(nodes: DataFrame, slices: int, columns: list[str]) -> DataFrame:
+    """Rows (task, second, node columns): each pair of slices is a task, ``second`` marks the rows of the second one."""
+    own = F.pmod(F.xxhash64(*columns), F.lit(slices)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
+    task = (high * (high + 1) / 2 + low).cast("int")
+    rows = nodes.select(*columns, own.alias("_own")).withColumn("_other", other)
+    rows = rows.select(task.alias("task"), (F.col("_own") > F.col("_other")).alias("second"), *columns)
+    return rows.repartitionById(slices * (slices + 1) // 2, F.col("task")).sortWithinPartitions("task")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -278,90 +252,95 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[leaf], names[label[leaf]]
 
 
-def _links(fp: np.ndarray, check: np.ndarray | None, probed: np.ndarray, probing: np.ndarray, distance: int, agree: int):
-    """Verified links between two row lists, as row pairs."""
-    near = np.bitwise_count(fp[probed][:, None] ^ fp[probing][None, :]) <= distance
-    if check is not None:
-        near &= np.bitwise_count(check[probed][:, None] ^ check[probing][None, :]) <= BITS - agree
-    i, j = np.nonzero(near)
-    keep = probed[i] != probing[j]
-    return probed[i[keep]], probing[j[keep]]
-
-
-def _verify(distance: int, agree: int, columns: list[str]):
+def _near(a: np.ndarray, b: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of two lists of fingerprints that differ in ``distance`` or fewer bits, tile by tile."""
+    width = min(len(b), _TILE)
+    high = max(1, _TILE // max(width, 1))
+    for p in range(0, len(a), high):
+        for q in range(0, len(b), width):
+            near = np.bitwise_count(a[p:p + high, None] ^ b[None, q:q + width]) <= distance
+            hit = np.flatnonzero(near)
+            if len(hit):
+                x, y = np.divmod(hit, near.shape[1])
+                yield p + x, q + y
+
+
+def _part_links(a: np.ndarray, b: np.ndarray | None, bits: tuple[int, ...], t: int, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a and b (None: of a itself) that differ in at most t of some bits and in at most ``distance`` of all."""
+    def by_value(fp):
+        value = _take_bits(fp, bits).astype(np.int64)
+        order = np.argsort(value, kind="stable")
+        return order, fp[order], np.concatenate([[0], np.cumsum(np.bincount(value, minlength=1 << len(bits)))])
+
+    order_a, a, first_a = by_value(a)
+    order_b, b, first_b = (order_a, a, first_a) if b is None else by_value(b)
+    flips = np.array([sum(1 << k for k in chosen) for r in range(t + 1) for chosen in combinations(range(len(bits)), r)], np.int64)
+    for value in np.flatnonzero(np.diff(first_a)).tolist():
+        near = value ^ flips
+        if order_b is order_a:
+            near = near[near >= value]  # each pair of values once
+        low = first_b[near]
+        size = first_b[near + 1] - low
+        rows = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        if len(rows):
+            at = first_a[value]
+            for x, y in _near(a[at:first_a[value + 1]], b[rows], distance):
+                yield order_a[at + x], order_b[rows[y]]
+
+
+def _verify(plan: Plan, distance: int, agree: int, columns: list[str]):
     names = [f"{c}_{side}" for side in "ab" for c in columns]
-    tile = 2048
-
-    def bucket_edges(group):
-        """Forest edges of one bucket, tile by tile; the edges found so far are folded in between."""
-        fp, check, role = group
-        probed, probing = np.flatnonzero(role != 1), np.flatnonzero(role != 0)
-        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for p in range(0, len(probed), tile):
-            for q in range(0, len(probing), tile):
-                x, y = _links(fp, check, probed[p:p + tile], probing[q:q + tile], distance, agree)
-                if len(x):
-                    a, b = _forest(np.concatenate([a, x]), np.concatenate([b, y]))
-        return a, b
 
-    def small_edges(fp, check, role, begin, size):
-        """Links of many small buckets at once: each row against the k-th row of its bucket."""
-        out_a, out_b = [], []
-        rank = np.arange(len(fp)) - np.repeat(begin, size)
-        sizes = np.repeat(size, size)
-        starts = np.repeat(begin, size)
-        for step in range(1, int(size.max(initial=1))):
-            row = np.flatnonzero(rank + step < sizes)
-            other = starts[row] + rank[row] + step
-            near = np.bitwise_count(fp[row] ^ fp[other]) <= distance
-            if check is not None:
-                near &= np.bitwise_count(check[row] ^ check[other]) <= BITS - agree
-            near &= ~((role[row] == role[other]) & (role[row] != 2))
-            out_a.append(row[near])
-            out_b.append(other[near])
-        none = np.zeros(0, np.int64)
-        return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
-
-    def edges_of(table):
-        bucket, stripe, role = (table.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "stripe", "role"))
-        values = [table.column(c).to_numpy(zero_copy_only=False).view(_U) for c in columns]
-        fp, check = values[0], values[1] if len(values) > 1 else None
-        begin = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (stripe[1:] != stripe[:-1])))
-        size = np.diff(np.append(begin, len(bucket)))
-        small = size <= 64
-        member = np.repeat(small, size)
-        rows = np.flatnonzero(member)
-        own = size[small]
-        x, y = small_edges(fp[rows], None if check is None else check[rows], role[rows], np.cumsum(own) - own, own)
-        a, b = [rows[x]], [rows[y]]
-        for k in np.flatnonzero(~small):
-            cut = slice(begin[k], begin[k] + size[k])
-            x, y = bucket_edges((fp[cut], None if check is None else check[cut], role[cut]))
-            a.append(x + begin[k])
-            b.append(y + begin[k])
-        a, b = np.concatenate(a), np.concatenate(b)
-        # Rows of one fingerprint are one node: fold the links of this piece into a forest over nodes.
-        nodes = np.stack([v.view(np.int64) for v in values], axis=1)
-        _, at, node = np.unique(nodes, axis=0, return_index=True, return_inverse=True)
-        node = node.ravel()
-        x, y = _forest(node[a], node[b])
-        return pa.RecordBatch.from_arrays([pa.array(nodes[at[side], k]) for side in (x, y) for k in range(len(columns))], names)
+    def task_edges(table: pa.Table) -> pa.RecordBatch:
+        """Forest edges of the links between two slices, or inside one; the links found so far are folded in between."""
+        second = table.column("second").to_numpy(zero_copy_only=False)
+        order = np.argsort(second, kind="stable")
+        values = [table.column(c).to_numpy().view(_U)[order] for c in columns]
+        n, cut = len(order), int(np.count_nonzero(~second))
+        # Of one slice, all rows are of the first; of two, a task without rows of the second has no pairs.
+        task = table.column("task")[0].as_py()
+        corner = int((np.sqrt(8 * task + 1) - 1) / 2)
+        inside = task == corner * (corner + 3) // 2
+        fp = values[0]
+        u, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        found, many = [], 0
+
+        def fold(u, v):
+            return _forest(np.concatenate([u, *(x for x, _ in found)]), np.concatenate([v, *(y for _, y in found)]))
+
+        if inside or 0 < cut < n:
+            for bits, t in plan.parts:
+                for x, y in _part_links(fp[:cut], None if inside else fp[cut:], bits, t, distance):
+                    y = y if inside else y + cut
+                    keep = x != y
+                    if len(values) > 1:
+                        keep &= np.bitwise_count(values[1][x] ^ values[1][y]) <= BITS - agree
+                    found.append((x[keep], y[keep]))
+                    many += len(x)
+                    if many > _FOLD:
+                        u, v = fold(u, v)
+                        found, many = [], 0
+        u, v = fold(u, v)
+        return pa.RecordBatch.from_arrays([pa.array(c[side].view(np.int64)) for side in (u, v) for c in values], names)
+
+    def tasks_of(held: list[pa.RecordBatch]) -> list[pa.Table]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        task = table.column("task").to_numpy()
+        begin = [0, *(np.flatnonzero(np.diff(task)) + 1).tolist(), len(task)]
+        return [table.slice(i, j - i) for i, j in zip(begin, begin[1:])]
 
     def scan(batches):
-        held = None
+        held = []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            if held.num_rows < 1 << 17:
+            if not batch.num_rows:
                 continue
-            bucket = held.column("bucket").to_numpy()
-            stripe = held.column("stripe").to_numpy()
-            open_from = int(np.flatnonzero((bucket != bucket[-1]) | (stripe != stripe[-1]))[-1]) + 1 if (bucket[0], stripe[0]) != (bucket[-1], stripe[-1]) else 0
-            if open_from:
-                yield edges_of(held.slice(0, open_from).combine_chunks())
-                held = held.slice(open_from)
-        if held is not None and held.num_rows:
-            yield edges_of(held.combine_chunks())
+            held.append(batch)
+            if held[0].column("task")[0] != batch.column("task")[-1]:
+                *whole, rest = tasks_of(held)
+                yield from map(task_edges, whole)
+                held = rest.to_batches()
+        if held:
+            yield from map(task_edges, tasks_of(held))
 
     return scan, ", ".join(f"{n} bigint" for n in names)
 
@@ -372,10 +351,10 @@ def _components(prints: DataFrame, distance: int, agree: int | None) -> DataFram
     nodes = checkpoint(prints.select(*columns).distinct())
     n = nodes.count()
     order = _bit_order(nodes, n)
-    plan = plan_parts(order, _block_distances(nodes, order), n, distance)
-    probes = _striped(_probes(nodes, plan, columns), _hot_buckets(nodes, plan))
-    scan, schema = _verify(distance, agree or 0, columns)
-    edges = probes.repartition("bucket", "stripe").sortWithinPartitions("bucket", "stripe").mapInArrow(scan, schema)
+    slices = _slices(n)
+    plan = plan_parts(order, _block_distances(nodes, order), n, distance, slices)
+    scan, schema = _verify(plan, distance, agree or 0, columns)
+    edges = _dealt(nodes, slices, columns).mapInArrow(scan, schema)
     name = lambda side: F.col(f"fp_{side}") if agree is None else F.xxhash64(f"fp_{side}", f"check_{side}")
     linked = components(edges.select(name("a").alias("u"), name("b").alias("v")))
     own = F.col("fp") if agree is None else F.xxhash64("fp", "check")
