@@ -124,3 +124,26 @@ def test_a_cover_of_least_names_stays_small_under_many_polygons(frame, points):
         found = rows_of(cover.zone_tag_polygons(df, made, finest=12), "event_id", "Name")
         assert found == rows_of(cover.zone_tag_polygons(df, whole, finest=12), "event_id", "Name")
         assert any(n is None for _, n in found)
+
+
+def test_batches_of_names_give_the_same_and_begin_with_few_cells(frame, points, monkeypatch):
+    rng = random.Random(6)
+    shapes = {f"zone {k}": [[(x, y), (x + w, y), (x + w, y + h / 2), (x + w / 2, y + h), (x, y + h)]] for k, (x, y, w, h) in enumerate(
+        (rng.uniform(-80, -79), rng.uniform(8.5, 9.5), rng.uniform(0.05, 0.9), rng.uniform(0.05, 0.9)) for _ in range(200))}
+    big, inner = [[(-81.5, 7.5), (-77.5, 7.5), (-77.5, 11), (-81.5, 11)]], [[(-80, 9), (-79, 9), (-79, 9.5)]]
+    rows = [(name, wkt(rings)) for name, rings in shapes.items()] + [("zone 0x", wkt(big)), (None, wkt(inner)), ("zone 7", wkt(shapes["zone 7"])), ("zone 9", None)]
+    parsed = geo.parse_wkt(frame("Name string, WKT_geom string", rows))
+    df = frame("event_id long, latitude double, longitude double", points + [(k + len(points), 9.0, -79.4) for k in range(300)])
+    want = sorted(rows_of(cover.zone_tag_polygons(df, cover.polygon_cover(parsed, 12, least="Name"), "left", 12), "event_id", "Name"), key=str)
+    monkeypatch.setattr(cover, "BATCH", 8)
+    monkeypatch.setattr(cover, "GROWTH", 4)
+    monkeypatch.setattr(cover, "PAIRS", 50)
+    borders = cover._borders(parsed, "Name")
+    assert 1 < len(borders) < 5 and borders == sorted(borders)
+    begun = []
+    whole = cover._split
+    monkeypatch.setattr(cover, "_split", lambda rows, *rest: begun.append(whole(rows, *rest)) or begun[-1])
+    made = cover.polygon_cover(parsed, 12, least="Name")
+    assert sorted(rows_of(cover.zone_tag_polygons(df, made, "left", 12), "event_id", "Name"), key=str) == want
+    # The large polygon of the first batch rules out all of the last one.
+    assert len(begun) == len(borders) + 1 and begun[-1].count() == 0
