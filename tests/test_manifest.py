@@ -1,6 +1,7 @@
 """Runs that break off, are repeated, overlap or are taken back; events carried over the borders of ranges."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -52,6 +53,25 @@ def test_readers_see_committed_units_once(spark, frame):
     assert m.unfinished().count() == 0
 
 
+def test_many_units_need_few_files(spark, frame):
+    path = scratch_path(spark, "m")
+    m = Manifest(spark, path)
+    many = [f"u{k}" for k in range(300)]
+    runs = [m.plan(units(frame, *many)), m.plan(units(frame, "u7", "u8")), m.plan(units(frame, "u9"))]
+    m.store_many(runs[0], t=frame("unit string, v long", [(u, k) for k, u in enumerate(many)]))
+    assert m.read("t", "v long").count() == 0
+    m.commit(runs[0])
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) < 20
+    # A unit belongs to its last run, however that stored it; u8 has no rows any more.
+    m.store(runs[1], t=frame("unit string, v long", [("u7", 1000)]))
+    m.store_many(runs[2], t=frame("unit string, v long", [("u9", 2000), ("u9", 2001)]))
+    m.commit(runs[1])
+    m.commit(runs[2])
+    want = [(u, k) for k, u in enumerate(many) if u not in ("u7", "u8", "u9")] + [("u7", 1000), ("u9", 2000), ("u9", 2001)]
+    assert rows_of(m.read("t", "v long"), "unit", "v") == sorted(want)
+
+
 def test_run_names_that_look_like_numbers_stay_text(spark, frame, monkeypatch):
     m = Manifest(spark, scratch_path(spark, "m"))
     monkeypatch.setattr("tidemark.sources.manifest.uuid.uuid4", lambda: type("U", (), {"hex": "00123e45"}))

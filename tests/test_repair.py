@@ -1,5 +1,6 @@
 """A stream that loses late rows, and their repair."""
 
+import os
 import random
 import time
 
@@ -62,6 +63,19 @@ def test_stream_and_repair_equal_the_batch_rule(spark, frame, seed):
         assert rows_of(found, *SHOWN) == want and len(want) > 40
 
 
+def test_repairs_of_many_ships_write_few_files(spark, frame):
+    ships = range(1, 60)
+    early = [(None, m, t, "Balboa", 0.0) for m in ships for t in (0, HOUR, 30 * HOUR)]
+    late = [(None, m, 2 * HOUR, "Balboa", 0.0) for m in ships]
+    path, store = stored_feed(spark, frame, [early, late]), scratch_path(spark, "repairs")
+    whole = frame(SCHEMA, early + late)
+    events = streamed(spark, path, whole)
+    assert repair.repair_stays(spark, path, SCHEMA, events, store) == len(ships)
+    assert len([f for _, _, names in os.walk(store) for f in names if f.endswith(".parquet")]) < len(ships) / 2
+    found = repair.repaired_stays(spark, events, store).filter("mmsi <> -1")
+    assert rows_of(found, *SHOWN) == rows_of(ports.stay_events(tracks.with_identity(whole)), *SHOWN)
+
+
 def test_a_repeated_batch_is_not_stored_twice(spark, frame):
     path = None
     rows = [(1, 7, 0, "Balboa", 0.0), (1, 7, HOUR, "Balboa", 0.0)]

@@ -6,7 +6,8 @@ run that committed it last; what other runs stored for it, finished or not, is n
 run that broke off at any step and was repeated, for the same units or others, counts
 once, and a committed unit is replaced by committing it again.
 
-Layout below ``path``: ``manifest/<run>-<state>`` and ``<table>/run=<run>/unit=<unit>``.
+Layout below ``path``: ``manifest/<run>-<state>`` and ``<table>/run=<run>/unit=<unit>``. Units as many as ships would be too many folders
+and files: :meth:`Manifest.store_many` writes the files of ``<table>-many/run=<run>`` with the unit as a column.
 """
 
 from __future__ import annotations
@@ -63,6 +64,12 @@ class Manifest:
             rows.write.mode("overwrite").partitionBy("unit").parquet(f"{self.path}/{name}/run={run.name}")
         self._note(run, "stored", self._planned(run))
 
+    def store_many(self, run: Run, **tables: DataFrame) -> None:
+        """As :meth:`store`, for units without number: a run's files do not follow them."""
+        for name, rows in tables.items():
+            rows.withColumn("unit", F.col("unit").cast("string")).write.mode("overwrite").parquet(f"{self.path}/{name}-many/run={run.name}")
+        self._note(run, "stored", self._planned(run))
+
     def commit(self, run: Run) -> None:
         """From now on the run's units are read from it."""
         self._note(run, "committed", self._planned(run))
@@ -91,10 +98,14 @@ class Manifest:
     def read(self, table: str, schema: str) -> DataFrame:
         """The rows of all committed units, with their ``unit``; ``schema``: the other columns."""
         full = f"{schema}, unit string, run string"
-        try:
-            rows = self.spark.read.schema(full).parquet(f"{self.path}/{table}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = self.spark.createDataFrame([], full)
+
+        def below(folder: str) -> DataFrame:
+            try:
+                return self.spark.read.schema(full).parquet(f"{self.path}/{folder}")
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                return self.spark.createDataFrame([], full)
+
+        rows = below(table).unionByName(below(f"{table}-many"))
         return rows.join(self.owners(), ["unit", "run"], "left_semi").drop("run")

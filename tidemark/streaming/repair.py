@@ -110,7 +110,7 @@ def repair_stays(spark: SparkSession, path: str, schema: StructType | str, event
     again = ports.stay_events(open_.filter(after).select(*rows.columns), min_stay=0)
     numbered = again.join(newest, KEY, "left").withColumn("group_id", F.col("group_id") + F.coalesce("_k.group_id", F.lit(0)))
     whole = carried._typed(kept.select(*carried.EVENT)).unionByName(carried._typed(numbered.select(*carried.EVENT)))
-    manifest.store(run, stays=whole.withColumn("unit", _unit()))
+    manifest.store_many(run, stays=whole.withColumn("unit", _unit()))
     manifest.commit(run)
     return keys.count()
 
