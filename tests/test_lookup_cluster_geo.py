@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
-from tidemark.functions import cells
+from tidemark.functions import cells, polygons
 from tidemark.operators import cluster, components, geo, specs
 from tidemark.operators.lookup import lookup_join
 
@@ -136,3 +136,21 @@ def test_near_cells_are_the_occupied_ones_within_reach(frame):
     near = cluster._near_cells(frame("ship long, cx long, cy long", sorted(cells) * 2), ["ship"])
     want = sorted((s, a, b, x, y) for s, a, b in cells for t, x, y in cells if s == t and abs(a - x) <= cluster.REACH and abs(b - y) <= cluster.REACH)
     assert rows_of(near, "ship", "hx", "hy", "cx", "cy") == want
+
+
+def test_few_edges_are_tested_like_many(frame):
+    """The test in generated code agrees with the one over the whole list, also on vertices, level edges and odd values."""
+    nan, inf = float("nan"), float("inf")
+    shapes = [[], [(0, 0, 1, 1)], [(0, 1, 1, 0), (1, 0, 0, 0)], [(0, 0, 2, 0), (2, 0, 1, 2), (1, 2, 0, 0)], [(0, 0, 2, 0), (2, 0, 2, 2), (2, 2, 0, 2), (0, 2, 0, 0)],
+              [(0, 0, nan, 1)], [(None, 0, 1, 1)], [(0, 0, 1, 1), (0, 0, 1, None)]]
+    edge = "struct<x1:double,y1:double,x2:double,y2:double>"
+    values = ["array(" + ", ".join("struct(" + ", ".join("cast('%s' as double)" % v if v is not None else "cast(null as double)" for v in e) + ")" for e in s) + ")"
+              for s in shapes]
+    spots = frame("x double, y double", [(x, y) for x in (-1.0, 0.0, 0.5, 1.0, 2.0, nan, inf, None) for y in (-1.0, 0.0, 0.5, 1.0, 2.0, nan, None)])
+    every = None
+    for v in values:
+        one = spots.select("x", "y", F.expr(f"cast({v} as array<{edge}>)").alias("edges"))
+        every = one if every is None else every.union(one)
+    found = every.select(polygons.contains_few(F.col("edges"), F.col("x"), F.col("y")).alias("a"), polygons.contains(F.col("edges"), F.col("x"), F.col("y")).alias("b"))
+    rows = found.collect()
+    assert len(rows) == 448 and all(r.a == r.b for r in rows) and {True, False} <= {r.a for r in rows}
